@@ -179,7 +179,8 @@ def _alert_rows(df: DataFrame) -> DataFrame:
                      "severity")
 
 
-_ALERT_ORDER = [F.col("detected_at").desc(), F.col("device_id"), F.col("metric")]
+def _alert_order() -> list[Column]:
+    return [F.col("detected_at").desc(), F.col("device_id"), F.col("metric")]
 
 
 def device_anomalies(alerts: DataFrame, device_id: str, severity: str | None = None,
@@ -189,7 +190,7 @@ def device_anomalies(alerts: DataFrame, device_id: str, severity: str | None = N
     rows = alerts.where(F.col("device_id") == device_id)
     if severity:
         rows = rows.where(F.col("severity") == severity)
-    return _alert_rows(rows.orderBy(*_ALERT_ORDER).limit(limit))
+    return _alert_rows(rows.orderBy(*_alert_order()).limit(limit))
 
 
 def device_anomalies_fleet(alerts: DataFrame, severity: str | None = None,
@@ -213,13 +214,13 @@ def recent_anomalies(alerts: DataFrame, as_of=None, since_minutes: int = 60,
     rows = alerts.where(since("detected_at", as_of, since_minutes))
     if severity:
         rows = rows.where(F.col("severity") == severity)
-    return _alert_rows(rows.orderBy(*_ALERT_ORDER).limit(limit))
+    return _alert_rows(rows.orderBy(*_alert_order()).limit(limit))
 
 
 def anomalies_by_metric(alerts: DataFrame, metric: str, limit: int = 100) -> DataFrame:
     check_range("limit", limit, 1, 1000)
     rows = alerts.where(F.col("metric") == metric)
-    return _alert_rows(rows.orderBy(*_ALERT_ORDER).limit(limit))
+    return _alert_rows(rows.orderBy(*_alert_order()).limit(limit))
 
 
 # -- operators 33, 34 -----------------------------------------------------

@@ -110,4 +110,5 @@ def with_views(body: str, alerts: bool = False) -> str:
     ctes = [f"telemetry AS ({TELEMETRY_SQL})"]
     if alerts:
         ctes.append(f"alerts AS ({telemetry_alerts_sql()})")
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+    sep = "" if body.lstrip().startswith(",") else "\n"
+    return "WITH " + ",\n".join(ctes) + sep + body

@@ -289,3 +289,199 @@ def q_ingest_lag(spark, sf_dir):
     lag = stamp_ingest_time(view, at=arrival).select(
         "device_id", ingest_lag_ms("ingested_at", "event_timestamp").alias("lag_ms"))
     return R.ingest_lag_percentiles(lag, ["device_id"])
+
+
+# ---------------------------------------------------------------- lookups
+_EV_COLS_SQL = ("cast(cpu_usage_pct AS double) AS cpu_usage_pct, cast(memory_usage_pct AS double) AS memory_usage_pct, "
+                "cast(signal_strength_dbm AS double) AS signal_strength_dbm, "
+                "cast(throughput_mbps AS double) AS throughput_mbps, cast(battery_pct AS double) AS battery_pct, event_type")
+_AL_COLS_SQL = ("device_id, cast(detected_at AS varchar) AS detected_at, metric, observed_value, rolling_mean, "
+                "rolling_std_dev, z_score, severity")
+
+
+@register("device_metrics", O.with_views(f"""
+SELECT cast(event_timestamp AS varchar) AS event_timestamp, {_EV_COLS_SQL} FROM telemetry
+WHERE device_id = '{DEVICE}' AND event_timestamp >= {O.AS_OF} - INTERVAL 1440 MINUTE
+ORDER BY telemetry.event_timestamp DESC, event_id DESC LIMIT 100"""))
+def q_device_metrics(spark, sf_dir):
+    return R.device_metrics(telemetry(spark, sf_dir), DEVICE, as_of=AS_OF, since_minutes=1440, limit=100)
+
+
+@register("device_metrics_fleet", O.with_views(f"""
+SELECT device_id, rank, cast(event_timestamp AS varchar) AS event_timestamp, {_EV_COLS_SQL} FROM (
+  SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY event_timestamp DESC, event_id DESC) AS rank
+  FROM telemetry WHERE event_timestamp >= {O.AS_OF} - INTERVAL 1440 MINUTE) t WHERE rank <= 3"""))
+def q_device_metrics_fleet(spark, sf_dir):
+    return R.device_metrics_fleet(telemetry(spark, sf_dir), as_of=AS_OF, since_minutes=1440, limit=3)
+
+
+@register("device_anomalies", O.with_views(f"""
+SELECT {_AL_COLS_SQL} FROM alerts WHERE device_id = '{DEVICE}'
+ORDER BY alerts.detected_at DESC, device_id, metric LIMIT 50""", alerts=True))
+def q_device_anomalies(spark, sf_dir):
+    return R.device_anomalies(alerts(spark, sf_dir), DEVICE, limit=50)
+
+
+@register("device_anomalies_fleet", O.with_views(f"""
+SELECT rank, {_AL_COLS_SQL} FROM (
+  SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY detected_at DESC, metric) AS rank
+  FROM alerts WHERE severity = 'critical') t WHERE rank <= 2""", alerts=True))
+def q_device_anomalies_fleet(spark, sf_dir):
+    return R.device_anomalies_fleet(alerts(spark, sf_dir), severity="critical", limit=2)
+
+
+@register("recent_anomalies", O.with_views(f"""
+SELECT {_AL_COLS_SQL} FROM alerts WHERE detected_at >= {O.AS_OF} - INTERVAL 1440 MINUTE
+ORDER BY alerts.detected_at DESC, device_id, metric LIMIT 100""", alerts=True))
+def q_recent_anomalies(spark, sf_dir):
+    return R.recent_anomalies(alerts(spark, sf_dir), as_of=AS_OF, since_minutes=1440, limit=100)
+
+
+@register("anomalies_by_metric", O.with_views(f"""
+SELECT {_AL_COLS_SQL} FROM alerts WHERE metric = 'signal_strength_dbm'
+ORDER BY alerts.detected_at DESC, device_id, metric LIMIT 100""", alerts=True))
+def q_anomalies_by_metric(spark, sf_dir):
+    return R.anomalies_by_metric(alerts(spark, sf_dir), "signal_strength_dbm", limit=100)
+
+
+_EVENT_ROW_SQL = f"device_id, network_type, cast(event_timestamp AS varchar) AS event_timestamp, {_EV_COLS_SQL}"
+
+
+@register("critical_events", O.with_views(f"""
+SELECT {_EVENT_ROW_SQL} FROM telemetry WHERE event_type = 'critical'
+ORDER BY telemetry.event_timestamp DESC, device_id, event_id LIMIT 100"""))
+def q_critical_events(spark, sf_dir):
+    return R.critical_events(telemetry(spark, sf_dir), limit=100)
+
+
+@register("network_segment_events", O.with_views(f"""
+SELECT {_EVENT_ROW_SQL} FROM telemetry WHERE network_type = 'LTE'
+ORDER BY telemetry.event_timestamp DESC, device_id, event_id LIMIT 100"""))
+def q_network_segment_events(spark, sf_dir):
+    return R.network_segment_events(telemetry(spark, sf_dir), "LTE", limit=100)
+
+
+# ---------------------------------------------------------------- messages
+_FAULT_REASONS = {
+    10: ",".join(f"missing:{f}" for f in ["device_id", "model", "firmware", "network_type", "timestamp",
+                                          "cpu_usage_pct", "memory_usage_pct", "signal_strength_dbm",
+                                          "throughput_mbps", "battery_pct", "event_type"]),
+    20: "malformed", 30: "malformed", 60: "malformed", 120: "malformed",
+    40: "not_finite:cpu_usage_pct", 70: "out_of_range:cpu_usage_pct",
+    80: "bad_value:event_type", 90: "missing:timestamp", 110: "too_long:model",
+    130: "out_of_range:signal_strength_dbm", 140: "out_of_range:throughput_mbps",
+}
+_FAULT_CASE = "CASE event_id % 150 " + " ".join(
+    f"WHEN {j} THEN '{r}'" for j, r in _FAULT_REASONS.items()) + " ELSE '' END"
+_FAULT_LIST = ", ".join(str(j) for j in _FAULT_REASONS)
+_TABLE_COLS_SQL = ("device_id, model, firmware, network_type, event_timestamp, "
+                   "cast(cpu_usage_pct AS double) AS cpu_usage_pct, cast(memory_usage_pct AS double) AS memory_usage_pct, "
+                   "cast(signal_strength_dbm AS double) AS signal_strength_dbm, "
+                   "cast(throughput_mbps AS double) AS throughput_mbps, cast(battery_pct AS double) AS battery_pct, "
+                   "event_type")
+
+
+def _decoded(spark, sf_dir, faults=False, replay_below=0):
+    from fleetscope.sources.messages import decode_telemetry
+    msgs = FX.wire_messages(telemetry(spark, sf_dir), faults=faults, replay_below=replay_below)
+    return decode_telemetry(msgs)
+
+
+def _table_rows(df: DataFrame) -> DataFrame:
+    from fleetscope.schemas import EVENT_COLUMNS, NUMERIC_FIELDS
+    cols = []
+    for c in EVENT_COLUMNS:
+        if c in NUMERIC_FIELDS:
+            cols.append(F.col(c).cast("double").alias(c))
+        elif c == "event_timestamp":
+            cols.append(F.col(c).cast("timestamp_ntz").alias(c))
+        else:
+            cols.append(F.col(c))
+    return df.select(F.col("offset").alias("event_id"), *cols)
+
+
+@register("decode_telemetry", O.with_views("""
+SELECT event_id, device_id, model, firmware, network_type,
+       strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS timestamp,
+       cast(cpu_usage_pct AS double) AS cpu_usage_pct, cast(memory_usage_pct AS double) AS memory_usage_pct,
+       cast(signal_strength_dbm AS double) AS signal_strength_dbm,
+       cast(throughput_mbps AS double) AS throughput_mbps, cast(battery_pct AS double) AS battery_pct,
+       event_type, CAST(NULL AS varchar) AS _corrupt
+FROM telemetry"""))
+def q_decode(spark, sf_dir):
+    """Keyed JSON messages of every reading, decoded back to fields."""
+    d = _decoded(spark, sf_dir)
+    return d.select(F.col("offset").alias("event_id"), *[c for c in d.columns
+                                                          if c not in ("key", "partition", "offset", "_not_object")])
+
+
+@register("quarantine_invalid", O.with_views(f"""
+SELECT event_id, {_FAULT_CASE} AS reasons, event_id % 150 NOT IN ({_FAULT_LIST}) AS accepted
+FROM telemetry"""))
+def q_quarantine(spark, sf_dir):
+    """Every message checked: damaged ones rejected with their reasons."""
+    from fleetscope.operators.ingest import quarantine_invalid
+    q = quarantine_invalid(_decoded(spark, sf_dir, faults=True))
+    return q.select(F.col("offset").alias("event_id"),
+                    F.concat_ws(",", "reject_reasons").alias("reasons"),
+                    (F.size("reject_reasons") == 0).alias("accepted"))
+
+
+@register("conform_event", O.with_views(f"""
+SELECT event_id, {_TABLE_COLS_SQL} FROM telemetry WHERE event_id % 150 NOT IN ({_FAULT_LIST})"""))
+def q_conform(spark, sf_dir):
+    """Valid messages shaped into stored-table rows."""
+    from fleetscope.operators.ingest import conform_event, quarantine_invalid, split_valid
+    valid, _ = split_valid(quarantine_invalid(_decoded(spark, sf_dir, faults=True)))
+    return _table_rows(conform_event(valid, keep=["offset"]))
+
+
+@register("dedup_events", O.with_views(f"SELECT event_id, {_TABLE_COLS_SQL} FROM telemetry"))
+def q_dedup(spark, sf_dir):
+    """Redelivered messages stored once (identity = partition + offset)."""
+    from fleetscope.operators.ingest import conform_event, dedup_events
+    d = dedup_events(_decoded(spark, sf_dir, replay_below=10))
+    return _table_rows(conform_event(d, keep=["offset"]))
+
+
+@register("publish_alerts", O.with_views("""
+SELECT device_id AS key, device_id, strftime(detected_at, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS timestamp, metric,
+       observed_value, rolling_mean AS mean, rolling_std_dev AS std_dev, z_score, severity FROM alerts""", alerts=True))
+def q_publish(spark, sf_dir):
+    """Alert messages (key + JSON), decoded back for checking."""
+    from fleetscope.sources.messages import decode_alerts, publish_alerts
+    return decode_alerts(publish_alerts(alerts(spark, sf_dir)))
+
+
+@register("stamp_ingest_time", """
+SELECT event_id, ts + to_microseconds(cast(round(value * 1000000) AS bigint)) AS ingested_at FROM events""")
+def q_stamp(spark, sf_dir):
+    """Arrival time stamped on every row (event time + delivery delay)."""
+    from fleetscope.operators.ingest import stamp_ingest_time
+    ev = FX.load_table(spark, sf_dir, "events")
+    delay = (F.round(F.col("value") * 1_000_000).cast("long") / 1_000_000).cast("decimal(18,6)")
+    return stamp_ingest_time(ev, at=F.col("ts") + F.make_dt_interval(secs=delay)).select("event_id", "ingested_at")
+
+
+def _alerts_with_event_sql() -> str:
+    return O.telemetry_alerts_sql(extra=["event_id"])
+
+
+@register("batch_progress", O.with_views(f"""
+, b AS (SELECT event_id // 200 AS batch_id, device_id FROM telemetry),
+ev AS (SELECT batch_id, count(*) AS events FROM b GROUP BY batch_id),
+an AS (SELECT event_id // 200 AS batch_id, count(*) AS anomalies FROM ({_alerts_with_event_sql()}) x GROUP BY 1),
+nd AS (SELECT batch_id, count(*) AS new_devices FROM
+         (SELECT device_id, min(batch_id) AS batch_id FROM b GROUP BY device_id) f GROUP BY batch_id)
+SELECT ev.batch_id, events, coalesce(anomalies, 0) AS anomalies,
+       cast(sum(events) OVER (ORDER BY ev.batch_id) AS bigint) AS total_processed,
+       cast(sum(coalesce(anomalies, 0)) OVER (ORDER BY ev.batch_id) AS bigint) AS total_anomalies,
+       cast(sum(coalesce(new_devices, 0)) OVER (ORDER BY ev.batch_id) AS bigint) AS devices_tracked
+FROM ev LEFT JOIN an ON ev.batch_id = an.batch_id LEFT JOIN nd ON ev.batch_id = nd.batch_id"""))
+def q_batch_progress(spark, sf_dir):
+    """Per flush of 200 events (arrival order): counts and running totals."""
+    from fleetscope.operators.progress import batch_progress
+    t = telemetry(spark, sf_dir)
+    a = D.detect_anomalies(t, keep=["event_id"])
+    batch = (F.col("event_id") / 200).cast("long")
+    return batch_progress(t.withColumn("batch_id", batch), a.withColumn("batch_id", batch))

@@ -70,3 +70,56 @@ def lineitem_history(lineitem: DataFrame) -> DataFrame:
 
 def load_lineitem_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineitem_history(load_table(spark, sf_dir, "lineitem"))
+
+
+# Damaged messages mixed into the wire form of the view: one kind per
+# value of j = event_id % 150 (the anomaly spikes use 0, 50, 75, 100).
+FAULTS = {
+    10: "empty object",
+    20: "broken JSON",
+    30: "JSON array",
+    40: "cpu NaN",
+    60: "cpu not a number",
+    70: "cpu above 100",
+    80: "unknown event_type",
+    90: "no timestamp",
+    110: "model longer than 30",
+    120: "bytes that are not UTF-8",
+    130: "signal above -40",
+    140: "negative throughput",
+}
+
+
+def wire_messages(view: DataFrame, faults: bool = False, replay_below: int = 0) -> DataFrame:
+    """The view as keyed JSON messages (offset = event_id). With ``faults``
+    some messages are damaged (see FAULTS); with ``replay_below`` = r the
+    messages with j < r are delivered twice (at-least-once redelivery)."""
+    from fleetscope.sources.messages import encode_events
+    j = F.col("event_id") % 150
+    src = view
+    if faults:
+        src = (src.withColumn("cpu_usage_pct", F.when(j == 40, F.lit(float("nan")))
+                              .when(j == 70, F.lit(120.0)).otherwise(F.col("cpu_usage_pct").cast("double")))
+               .withColumn("event_type", F.when(j == 80, F.lit("other")).otherwise(F.col("event_type")))
+               .withColumn("model", F.when(j == 110, F.repeat(F.lit("M"), 31)).otherwise(F.col("model")))
+               .withColumn("signal_strength_dbm", F.when(j == 130, F.lit(-39.99))
+                           .otherwise(F.col("signal_strength_dbm").cast("double")))
+               .withColumn("throughput_mbps", F.when(j == 140, F.lit(-0.01))
+                           .otherwise(F.col("throughput_mbps").cast("double"))))
+    msgs = encode_events(src)
+    if faults:
+        jm = F.col("offset") % 150
+        text = F.col("value").cast("string")
+        no_ts = F.regexp_replace(text, r'"timestamp":"[^"]*",', "")
+        bad_cpu = F.regexp_replace(text, r'"cpu_usage_pct":[^,]*,', '"cpu_usage_pct":"x",')
+        value = (F.when(jm == 10, F.lit("{}").cast("binary"))
+                 .when(jm == 20, F.lit("{bad").cast("binary"))
+                 .when(jm == 30, F.lit("[1]").cast("binary"))
+                 .when(jm == 60, bad_cpu.cast("binary"))
+                 .when(jm == 90, no_ts.cast("binary"))
+                 .when(jm == 120, F.concat(F.col("value"), F.unhex(F.lit("FF"))))
+                 .otherwise(F.col("value")))
+        msgs = msgs.withColumn("value", value)
+    if replay_below:
+        msgs = msgs.unionByName(msgs.where(F.col("offset") % 150 < replay_below))
+    return msgs
