@@ -18,6 +18,7 @@ from fleetscope.operators import detect as D
 from fleetscope.operators import reports as R
 from fleetscope.operators.rollup import rollup_5min
 from fleetscope.plans import oracle as O
+from fleetscope.schemas import ALERT_COLUMNS
 from fleetscope.session import ensure_utc
 from fleetscope.sources import fixtures as FX
 
@@ -242,7 +243,7 @@ def _cents_avg_sql(c: str) -> str:
     return f"cast({O.half_up_sql(s, f'count({c})')} AS double) / 100"
 
 
-@register("rollup_5min", O.with_views(f"""
+_ROLLUP_SQL = O.with_views(f"""
 SELECT device_id, network_type, window_start, count(*) AS event_count,
   {_cents_avg_sql('cpu_usage_pct')} AS avg_cpu, cast(max(cpu_usage_pct) AS double) AS max_cpu,
   {_cents_avg_sql('memory_usage_pct')} AS avg_memory, {_cents_avg_sql('signal_strength_dbm')} AS avg_signal,
@@ -252,7 +253,10 @@ SELECT device_id, network_type, window_start, count(*) AS event_count,
 FROM (SELECT *, date_trunc('minute', event_timestamp)
               - to_minutes(cast(extract(minute FROM event_timestamp) AS bigint) % 5) AS window_start
       FROM telemetry) t
-GROUP BY device_id, network_type, window_start"""))
+GROUP BY device_id, network_type, window_start""")
+
+
+@register("rollup_5min", _ROLLUP_SQL)
 def q_rollup(spark, sf_dir):
     return rollup_5min(telemetry(spark, sf_dir))
 
@@ -485,3 +489,89 @@ def q_batch_progress(spark, sf_dir):
     a = D.detect_anomalies(t, keep=["event_id"])
     batch = (F.col("event_id") / 200).cast("long")
     return batch_progress(t.withColumn("batch_id", batch), a.withColumn("batch_id", batch))
+
+
+# ---------------------------------------------------------------- streams
+def _stream_source(spark, sf_dir, replay_below: int = 0, chunks: int = 3) -> dict:
+    """Message files of every reading (3 ordered chunks, one per trigger)
+    under a fresh folder of the session's shared checkpoint dir."""
+    from fleetscope.session import new_subdir
+    root = new_subdir(spark, "stream")
+    msgs = FX.wire_messages(telemetry(spark, sf_dir), replay_below=replay_below)
+    FX.write_wire_chunks(msgs, f"{root}/messages", chunks=chunks)
+    return {"path": f"{root}/messages", "_root": root}
+
+
+def _src(d: dict) -> dict:
+    return {k: v for k, v in d.items() if not k.startswith("_")}
+
+
+@register("detect_anomalies_stream", O.telemetry_alerts_sql())
+def q_detect_stream(spark, sf_dir):
+    """Keyed-state detection over the message stream (3 micro-batches,
+    with redelivered messages); equals the batch alerts."""
+    from fleetscope.streaming.jobs import run_to_end, start_alerts_query
+    from fleetscope.streaming.sinks import read_alerts
+    s = _stream_source(spark, sf_dir, replay_below=10)
+    run_to_end(start_alerts_query(spark, _src(s), f"{s['_root']}/alerts", f"{s['_root']}/_ck_alerts"))
+    a = read_alerts(spark, f"{s['_root']}/alerts")
+    return a.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "detected_at" else F.col(c)
+                      for c in ALERT_COLUMNS])
+
+
+def _stored_rows(df: DataFrame) -> DataFrame:
+    """Stored events -> the oracle's column types (doubles, NTZ time)."""
+    from fleetscope.schemas import NUMERIC_FIELDS
+    return df.select(F.col("offset").alias("event_id"), "device_id", "model", "firmware", "network_type",
+                     F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
+                     *[F.col(c).cast("double").alias(c) for c in NUMERIC_FIELDS], "event_type")
+
+
+@register("write_events_by_month", O.with_views(f"SELECT event_id, {_TABLE_COLS_SQL} FROM telemetry"))
+def q_write_events(spark, sf_dir):
+    """Message stream -> month-partitioned event table (with replays,
+    stored once), read back."""
+    from fleetscope.streaming.jobs import run_to_end, start_events_query
+    s = _stream_source(spark, sf_dir, replay_below=10)
+    run_to_end(start_events_query(spark, _src(s), f"{s['_root']}/events", f"{s['_root']}/_ck_events"))
+    return _stored_rows(spark.read.parquet(f"{s['_root']}/events"))
+
+
+@register("telemetry_source", "SELECT event_id AS offset, "
+          "concat('DEV-', lpad(cast(user_id AS varchar), 5, '0')) AS key FROM events")
+def q_source(spark, sf_dir):
+    """Every message of the source read once, in micro-batches."""
+    from fleetscope.sources.messages import telemetry_source
+    s = _stream_source(spark, sf_dir)
+    out = telemetry_source(spark, **_src(s)).select(F.col("offset"), F.col("key").cast("string").alias("key"))
+    q = (out.writeStream.format("parquet").option("path", f"{s['_root']}/raw")
+         .option("checkpointLocation", f"{s['_root']}/_ck_raw").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{s['_root']}/raw")
+
+
+@register("refresh_rollup", _ROLLUP_SQL)
+def q_refresh(spark, sf_dir):
+    """Stored events -> versioned rollup, refreshed from empty."""
+    from fleetscope.plans.refresh import read_rollup, refresh_rollup
+    from fleetscope.streaming.jobs import run_to_end, start_events_query
+    s = _stream_source(spark, sf_dir)
+    run_to_end(start_events_query(spark, _src(s), f"{s['_root']}/events", f"{s['_root']}/_ck_events"))
+    refresh_rollup(spark, f"{s['_root']}/events", f"{s['_root']}/rollup")
+    r = read_rollup(spark, f"{s['_root']}/rollup")
+    return r.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+
+@register("rollup_5min_stream", f"""
+WITH r AS ({_ROLLUP_SQL})
+SELECT * FROM r WHERE window_start + INTERVAL 5 MINUTE
+                      <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+def q_rollup_stream(spark, sf_dir):
+    """Rollup as a stream: windows the watermark (max time - 10 min) has
+    passed are emitted once, in append mode."""
+    from fleetscope.streaming.jobs import run_to_end, start_rollup_query
+    s = _stream_source(spark, sf_dir)
+    run_to_end(start_rollup_query(spark, _src(s), f"{s['_root']}/rollup", f"{s['_root']}/_ck_rollup"))
+    r = spark.read.parquet(f"{s['_root']}/rollup")
+    return r.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

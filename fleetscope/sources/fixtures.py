@@ -123,3 +123,24 @@ def wire_messages(view: DataFrame, faults: bool = False, replay_below: int = 0)
     if replay_below:
         msgs = msgs.unionByName(msgs.where(F.col("offset") % 150 < replay_below))
     return msgs
+
+
+def write_wire_chunks(messages: DataFrame, path: str, chunks: int = 3) -> None:
+    """Write messages as ``chunks`` JSON files in offset order, one write
+    per chunk, so a file stream (one file per trigger) sees each device's
+    readings in order across micro-batches."""
+    from fleetscope.functions.expressions import int_div
+    bounds = messages.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
+    if bounds["lo"] is None:
+        return
+    span = bounds["hi"] - bounds["lo"] + 1
+    part = int_div((F.col("offset") - F.lit(bounds["lo"])) * chunks, F.lit(span))
+    tagged = messages.withColumn("_chunk", part)
+    for i in range(chunks):
+        out = tagged.where(F.col("_chunk") == i).drop("_chunk").coalesce(1)
+        _append_json(out, path)
+
+
+def _append_json(df: DataFrame, path: str) -> None:
+    df.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+              "topic", "partition", "offset").write.mode("append").json(path)
