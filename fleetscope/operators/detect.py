@@ -53,8 +53,12 @@ def unpivot_metrics(df: DataFrame, ids: list[str], metrics: list[str] = MONITORE
                     value_col: str = "x") -> DataFrame:
     """One row per (reading, metric); null readings are dropped so they do
     not take a window slot."""
-    cast = df.select(*ids, *[F.col(m).cast("double").alias(m) for m in metrics])
-    return (cast.unpivot(ids, metrics, "metric", value_col)
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias(value_col))
+                      for m in metrics])
+    # inline(array(struct)) rather than unpivot(): the same rows, but as a
+    # Generate it canonicalizes stably, so when one plan reads this twice
+    # (detect's union) Spark reuses the shuffle instead of repeating it.
+    return (df.select(*ids, F.inline(pairs))
             .where(F.col(value_col).isNotNull()))
 
 

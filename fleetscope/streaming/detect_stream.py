@@ -1,14 +1,17 @@
 """Incremental anomaly detection with keyed state (operator 20).
 
-The stream is shuffled on (device, metric); each key keeps the last
-``window`` readings (integer hundredths in the exact form, doubles in the
-general form) in Spark's state store, checkpointed with the query, so a
-restart continues where it stopped. Within a micro-batch a key's new
-readings are sorted by the arrival order and scored with prefix sums
-(numpy, vectorised), giving the same numbers as the batch operator.
-
-Order caveat: readings are applied in the order micro-batches arrive.
-The stream equals the batch result when each device's readings arrive in
+The stream is shuffled on the device: one row per reading crosses the
+network (not one per metric), and one state-function call serves all the
+device's metrics. The state of a device is the last ``window`` non-null
+readings of each metric (integer hundredths in the exact form, doubles in
+the general form), kept in Spark's state store (RocksDB in
+``build_session``) and checkpointed with the query, so a restart continues
+where it stopped. Within a micro-batch a device's new readings are sorted
+by the arrival order and scored with prefix sums (numpy, vectorised),
+giving the same numbers as the batch operator.
+
+Order caveat: readings are applied in the order micro-batches arrive. The
+stream equals the batch result when each device's readings arrive in
 order (as on one partition of a keyed topic). Late readings are applied on
 arrival, as the reference does.
 """
@@ -27,73 +30,93 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from fleetscope.functions.expressions import div_half_up
-from fleetscope.operators.detect import severity_expr, unpivot_metrics
+from fleetscope.operators.detect import severity_expr
 from fleetscope.schemas import MIN_STD, MONITORED_METRICS, THRESHOLDS, WINDOW_SIZE
 
-# pandas warns inside Spark's Arrow reader when a group's chunk is empty.
-warnings.filterwarnings("ignore", category=FutureWarning, module=r"pyspark\.sql\.pandas")
 
+def _score_metric(old: np.ndarray, new: np.ndarray, window: int, scale: int, exact: bool):
+    """Frame stats of each new reading given the previous buffer."""
+    vals = np.concatenate([old, new])
+    pos = np.arange(len(old), len(vals))
+    lo = np.maximum(0, pos - window + 1)
+    n = pos + 1 - lo
+    if exact:
+        cs = np.concatenate([[0], np.cumsum(vals, dtype=np.int64)])
+        cq = np.concatenate([[0], np.cumsum(vals * vals, dtype=np.int64)])
+        s = cs[pos + 1] - cs[lo]
+        q = cq[pos + 1] - cq[lo]
+        root = np.sqrt((n * q - s * s).astype(np.float64))
+        std = root / (n * scale).astype(np.float64)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            z = np.abs(n * new - s).astype(np.float64) / root
+        mean = s / (n * float(scale))
+    else:
+        # Prefix sums of values shifted by a reference value (small
+        # cancellation); frames are at most `window` long.
+        ref = vals[0]
+        v = vals - ref
+        cs = np.concatenate([[0.0], np.cumsum(v)])
+        cq = np.concatenate([[0.0], np.cumsum(v * v)])
+        m = (cs[pos + 1] - cs[lo]) / n
+        std = np.sqrt(np.maximum((cq[pos + 1] - cq[lo]) / n - m * m, 0.0))
+        mean = m + ref
+        s = np.zeros(len(new), dtype=np.int64)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            z = np.abs(new - mean) / std
+    return vals[-window:], n, s, mean, z, std
 
-def _scorer(order_cols: list[str], carry: list[str], window: int, scale: int, exact: bool,
-            warn_by_metric: dict, timeout_ms: int | None):
+
+def _scorer(metrics: list[str], order_cols: list[str], carry: list[str], window: int, scale: int,
+            exact: bool, warn_by_metric: dict, timeout_ms: int | None):
     ready_at = window // 2
+    dtype = np.int64 if exact else np.float64
     out_cols = ["device_id", "metric", *carry, "c", "x", "n", "s", "mean", "z", "std"]
 
     def score(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        # pandas warns inside Spark's Arrow reader when a chunk is empty.
+        warnings.filterwarnings("ignore", category=FutureWarning)
         if state.hasTimedOut:
             state.remove()
             return
-        pdf = pd.concat(list(batches), ignore_index=True)
-        pdf = pdf.sort_values(order_cols, kind="stable", ignore_index=True)
-        old = np.asarray(state.get[0], dtype=np.int64 if exact else np.float64) if state.exists \
-            else np.empty(0, dtype=np.int64 if exact else np.float64)
-        x = pdf["x"].to_numpy(dtype=np.float64)
-        new = np.round(x * scale).astype(np.int64) if exact else x
-        vals = np.concatenate([old, new])
-        state.update(([int(v) for v in vals[-window:]] if exact else [float(v) for v in vals[-window:]],))
+        chunks = [b for b in batches if len(b)]
+        if not chunks:
+            return
+        pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+        order = np.lexsort([pdf[c].to_numpy() for c in reversed(order_cols)])
+        carried = {c: pdf[c].to_numpy()[order] for c in carry}
+        bufs = list(state.get) if state.exists else [None] * len(metrics)
+        new_bufs, parts = [], []
+        for i, m in enumerate(metrics):
+            x = pdf[m].to_numpy(dtype=np.float64, na_value=np.nan)[order]
+            ok = ~np.isnan(x)
+            prev = bufs[i] if bufs[i] is not None else []
+            if not ok.any():
+                new_bufs.append(list(prev))
+                continue
+            idx = np.flatnonzero(ok)
+            xv = x[idx]
+            new = np.round(xv * scale).astype(np.int64) if exact else xv
+            buf, n, s, mean, z, std = _score_metric(np.asarray(prev, dtype=dtype), new, window,
+                                                    scale, exact)
+            new_bufs.append(buf.tolist())
+            hit = np.flatnonzero((n >= ready_at) & (std >= MIN_STD) & np.isfinite(z)
+                                 & (z >= warn_by_metric[m]))
+            if len(hit):
+                parts.append((m, idx[hit], (new[hit] if exact else np.zeros(len(hit), np.int64)),
+                              xv[hit], n[hit], s[hit], mean[hit], z[hit], std[hit]))
+        state.update(tuple(new_bufs))
         if timeout_ms:
             state.setTimeoutDuration(timeout_ms)
-        pos = np.arange(len(old), len(vals))
-        lo = np.maximum(0, pos - window + 1)
-        n = pos + 1 - lo
-        if exact:
-            cs = np.concatenate([[0], np.cumsum(vals, dtype=np.int64)])
-            cq = np.concatenate([[0], np.cumsum(vals * vals, dtype=np.int64)])
-            s = cs[pos + 1] - cs[lo]
-            q = cq[pos + 1] - cq[lo]
-            d = n * q - s * s
-            root = np.sqrt(d.astype(np.float64))
-            std = root / (n * scale).astype(np.float64)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                z = np.abs(n * new - s).astype(np.float64) / root
-            mean = s / (n * float(scale))
-        else:
-            # General form: prefix sums of values shifted by a reference
-            # value, which keeps the cancellation small.
-            ref = vals[0] if len(vals) else 0.0
-            v = vals - ref
-            cs = np.concatenate([[0.0], np.cumsum(v)])
-            cq = np.concatenate([[0.0], np.cumsum(v * v)])
-            s = np.zeros(len(new), dtype=np.int64)
-            m = (cs[pos + 1] - cs[lo]) / n
-            var = np.maximum((cq[pos + 1] - cq[lo]) / n - m * m, 0.0)
-            std = np.sqrt(var)
-            mean = m + ref
-            with np.errstate(divide="ignore", invalid="ignore"):
-                z = np.abs(new - mean) / std
-        warn = warn_by_metric[key[1]]
-        keep = (n >= ready_at) & (std >= MIN_STD) & np.isfinite(z) & (z >= warn)
-        if not keep.any():
+        if not parts:
             return
-        out = pdf.loc[keep, ["device_id", "metric", *carry]].copy()
-        out["c"] = new[keep] if exact else 0
-        out["x"] = x[keep]
-        out["n"] = n[keep]
-        out["s"] = s[keep] if exact else 0
-        out["mean"] = mean[keep]
-        out["z"] = z[keep]
-        out["std"] = std[keep]
-        yield out[out_cols]
+        rows = np.concatenate([p[1] for p in parts])
+        out = {"device_id": np.repeat(key[0], len(rows)),
+               "metric": np.concatenate([np.repeat(p[0], len(p[1])) for p in parts])}
+        for c in carry:
+            out[c] = carried[c][rows]
+        for j, c in enumerate(["c", "x", "n", "s", "mean", "z", "std"], start=2):
+            out[c] = np.concatenate([p[j] for p in parts])
+        yield pd.DataFrame(out, columns=out_cols)
 
     return score
 
@@ -113,11 +136,9 @@ def detect_anomalies_stream(readings: DataFrame, *, device_col: str = "device_id
     order_cols = order_cols or [time_col, "event_id"]
     keep = keep or []
     carry = list(dict.fromkeys([*order_cols, time_col, *keep]))
-    ids = [device_col, *carry]
-    long = unpivot_metrics(readings, ids, metrics)
-    if device_col != "device_id":
-        long = long.withColumnRenamed(device_col, "device_id")
-    in_types = {f.name: f.dataType for f in long.schema.fields}
+    wide = readings.select(F.col(device_col).alias("device_id"), *carry,
+                           *[F.col(m).cast("double").alias(m) for m in metrics])
+    in_types = {f.name: f.dataType for f in wide.schema.fields}
     out_schema = T.StructType(
         [T.StructField("device_id", in_types["device_id"]), T.StructField("metric", T.StringType())]
         + [T.StructField(c, in_types[c]) for c in carry]
@@ -125,12 +146,12 @@ def detect_anomalies_stream(readings: DataFrame, *, device_col: str = "device_id
            T.StructField("n", T.LongType()), T.StructField("s", T.LongType()),
            T.StructField("mean", T.DoubleType()),
            T.StructField("z", T.DoubleType()), T.StructField("std", T.DoubleType())])
-    state_schema = T.StructType([T.StructField(
-        "buf", T.ArrayType(T.LongType() if exact else T.DoubleType()))])
+    elem = T.LongType() if exact else T.DoubleType()
+    state_schema = T.StructType([T.StructField(f"buf{i}", T.ArrayType(elem)) for i in range(len(metrics))])
     timeout_ms = _duration_ms(state_timeout) if state_timeout else None
-    warn_by_metric = {m: float(t[0]) for m, t in thresholds.items()}
-    fn = _scorer(order_cols, carry, window, scale, exact, warn_by_metric, timeout_ms)
-    scored = long.groupBy("device_id", "metric").applyInPandasWithState(
+    warn_by_metric = {m: float(thresholds[m][0]) for m in metrics}
+    fn = _scorer(metrics, order_cols, carry, window, scale, exact, warn_by_metric, timeout_ms)
+    scored = wide.groupBy("device_id").applyInPandasWithState(
         fn, out_schema, state_schema, "append",
         GroupStateTimeout.ProcessingTimeTimeout if timeout_ms else GroupStateTimeout.NoTimeout)
     flagged = scored.withColumn("severity", severity_expr(thresholds)).where(F.col("severity").isNotNull())
