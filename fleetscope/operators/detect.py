@@ -100,21 +100,18 @@ def rolling_stats(long: DataFrame, keys: list[str], order_cols: list[str], *,
     ``n``, ``s``, ``q``; general form adds ``n``, ``mean``, ``std``."""
     if window < 1:
         raise ValueError("window must be >= 1")
-    base = long
-    if exact:
-        base = base.withColumn("_c", F.round(F.col(value_col) * scale).cast("long"))
     blk = F.col(block_col) if block_col else _block_key(long, order_cols[0], block_seconds)
-    base = base.withColumn("_blk", blk)
+    extra = {"_blk": blk}
+    if exact:
+        extra["_c"] = F.round(F.col(value_col) * scale).cast("long")
+    base = long.withColumns(extra)
     order = [F.col(c).asc() for c in order_cols]
     w_blk = Window.partitionBy(*keys, "_blk").orderBy(*order)
     frame = w_blk.rowsBetween(-(window - 1), Window.currentRow)
     whole = w_blk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     aggs = _frame_aggs(frame, value_col, exact)
-    stage1 = (base
-              .withColumn("_r", F.row_number().over(w_blk))
-              .withColumn("_m", F.count(F.lit(1)).over(whole)))
-    for name, expr in aggs.items():
-        stage1 = stage1.withColumn(name, expr)
+    stage1 = base.withColumns({"_r": F.row_number().over(w_blk),
+                               "_m": F.count(F.lit(1)).over(whole), **aggs})
     out_cols = [c for c in stage1.columns if c not in ("_blk", "_r", "_m")]
     # Rows with a full frame inside their block are final.
     inner = stage1.where(F.col("_r") >= window).select(*out_cols)
@@ -122,9 +119,7 @@ def rolling_stats(long: DataFrame, keys: list[str], order_cols: list[str], *,
     edge_src = stage1.where((F.col("_r") < window) | (F.col("_m") - F.col("_r") < window - 1))
     edge_src = edge_src.drop(*aggs.keys())
     w_key = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(window - 1), Window.currentRow)
-    edge = edge_src
-    for name, expr in _frame_aggs(w_key, value_col, exact).items():
-        edge = edge.withColumn(name, expr)
+    edge = edge_src.withColumns(_frame_aggs(w_key, value_col, exact))
     heads = edge.where(F.col("_r") < window).select(*out_cols)
     return inner.unionByName(heads)
 

@@ -98,14 +98,15 @@ def wire_messages(view: DataFrame, faults: bool = False, replay_below: int = 0)
     j = F.col("event_id") % 150
     src = view
     if faults:
-        src = (src.withColumn("cpu_usage_pct", F.when(j == 40, F.lit(float("nan")))
-                              .when(j == 70, F.lit(120.0)).otherwise(F.col("cpu_usage_pct").cast("double")))
-               .withColumn("event_type", F.when(j == 80, F.lit("other")).otherwise(F.col("event_type")))
-               .withColumn("model", F.when(j == 110, F.repeat(F.lit("M"), 31)).otherwise(F.col("model")))
-               .withColumn("signal_strength_dbm", F.when(j == 130, F.lit(-39.99))
-                           .otherwise(F.col("signal_strength_dbm").cast("double")))
-               .withColumn("throughput_mbps", F.when(j == 140, F.lit(-0.01))
-                           .otherwise(F.col("throughput_mbps").cast("double"))))
+        src = src.withColumns({
+            "cpu_usage_pct": F.when(j == 40, F.lit(float("nan"))).when(j == 70, F.lit(120.0))
+                              .otherwise(F.col("cpu_usage_pct").cast("double")),
+            "event_type": F.when(j == 80, F.lit("other")).otherwise(F.col("event_type")),
+            "model": F.when(j == 110, F.repeat(F.lit("M"), 31)).otherwise(F.col("model")),
+            "signal_strength_dbm": F.when(j == 130, F.lit(-39.99))
+                                    .otherwise(F.col("signal_strength_dbm").cast("double")),
+            "throughput_mbps": F.when(j == 140, F.lit(-0.01))
+                                .otherwise(F.col("throughput_mbps").cast("double"))})
     msgs = encode_events(src)
     if faults:
         jm = F.col("offset") % 150
