@@ -10,22 +10,29 @@ threshold, else no alert.
 Plan at scale
 -------------
 A plain ``Window.partitionBy(device, metric)`` would put every reading of
-a hot device into one task. Instead the count-based frame is computed in
-two exact stages:
-
-1. readings are shuffled on (device, metric, time block) and the frame is
-   evaluated inside each block. For a reading with at least ``window - 1``
-   predecessors in its own block this is already the full frame.
-2. only the *edge* rows -- the first and the last ``window - 1`` rows of
-   every block -- are shuffled on (device, metric) and the frame is
-   evaluated again over them. The last ``window - 1`` rows before any
-   block are all edge rows, so the result is exact for the head rows.
-
-The union of non-head rows from (1) and head rows from (2) is the whole,
-exact result. Per task, (1) holds one block of one key and (2) at most
-``2 (window - 1)`` rows per block of one key; a hot key is spread over
-as many tasks as it has blocks. ``block_seconds`` should be chosen so a
-block of the busiest device fits a task (default one hour).
+a hot device into one task. The count-based frame is therefore computed
+per key *size*:
+
+0. a counting aggregate (map-side combined) finds the hot keys, those with
+   more than ``hot_rows`` readings -- at most ``MAX_HOT_KEYS`` of them, a
+   proven bound, so the list is brought to the driver and applied as a
+   literal set (no join below the shuffle);
+1. readings are shuffled on (device, metric, block), where the block is a
+   time bucket of ``block_seconds`` for hot keys and the whole history for
+   the others. The frame is evaluated inside each block; this is already
+   final for every row of a one-block key and for rows with at least
+   ``window - 1`` predecessors in their block;
+2. only the *edge* rows of hot keys -- the first and the last
+   ``window - 1`` rows of every block -- are shuffled on (device, metric)
+   and the frame is evaluated again over them. The last ``window - 1`` rows
+   before any block are all edge rows, so the result is exact for the head
+   rows.
+
+The union of the final rows of (1) and the head rows of (2) is the whole,
+exact result, with one shuffle of the data (the two branches share it).
+Per task, (1) holds at most ``hot_rows`` readings of a normal key or one
+block of a hot key, and (2) at most ``2 (window - 1)`` rows per block of a
+hot key.
 
 Numbers
 -------
@@ -46,6 +53,8 @@ from fleetscope.functions.expressions import div_half_up, int_div
 from fleetscope.schemas import MIN_STD, MONITORED_METRICS, THRESHOLDS, WINDOW_SIZE
 
 DEFAULT_BLOCK_SECONDS = 3600
+DEFAULT_HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
 
 
 # -- operator 15 -----------------------------------------------------------
@@ -80,46 +89,82 @@ def _block_key(df: DataFrame, order_col: str, block_seconds: int) -> Column:
     return F.floor(_epoch_seconds(F.col(order_col), dtype) / F.lit(block_seconds)).cast("long")
 
 
-def _frame_aggs(w, value: str, exact: bool) -> dict:
+def _frame_aggs(w_order, value: str, exact: bool, window: int) -> list[dict]:
+    """Window columns n, s, q (exact) or n, mean, std (general) over the
+    last ``window`` rows of ``w_order``. A bounded frame: a sum of at most
+    ``window`` squares cannot overflow, unlike running prefix sums over a
+    long history (measured: prefix sums on decimal(38,0) were slower)."""
+    frame = w_order.rowsBetween(-(window - 1), Window.currentRow)
     if exact:
-        return {"n": F.count(F.lit(1)).over(w),
-                "s": F.sum("_c").over(w),
-                "q": F.sum(F.col("_c") * F.col("_c")).over(w)}
-    return {"n": F.count(F.lit(1)).over(w),
-            "mean": F.avg(value).over(w),
-            "std": F.stddev_pop(value).over(w)}
+        return [{"n": F.count(F.lit(1)).over(frame),
+                 "s": F.sum("_c").over(frame),
+                 "q": F.sum(F.col("_c") * F.col("_c")).over(frame)}]
+    return [{"n": F.count(F.lit(1)).over(frame),
+             "mean": F.avg(value).over(frame),
+             "std": F.stddev_pop(value).over(frame)}]
+
+
+def _apply(df: DataFrame, steps: list[dict]) -> DataFrame:
+    for step in steps:
+        df = df.withColumns(step)
+    return df
 
 
 # -- operator 16 -----------------------------------------------------------
+def hot_keys(long: DataFrame, keys: list[str], hot_rows: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows (at most ``max_keys`` of them,
+    the largest first). Its size is bounded by construction. A hot key past
+    the cap is still computed exactly, as one window partition."""
+    return (long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+            .where(F.col("_rows") > hot_rows)
+            .orderBy(F.col("_rows").desc()).limit(max_keys)
+            .select(*keys))
+
+
 def rolling_stats(long: DataFrame, keys: list[str], order_cols: list[str], *,
                   value_col: str = "x", window: int = WINDOW_SIZE, exact: bool = True,
                   scale: int = 100, block_seconds: int = DEFAULT_BLOCK_SECONDS,
-                  block_col: str | None = None) -> DataFrame:
+                  hot_rows: int | None = DEFAULT_HOT_ROWS, block_col: str | None = None) -> DataFrame:
     """Count, mean and population std over the last ``window`` rows of each
     key (current row included). Exact form adds ``_c`` (scaled integer),
-    ``n``, ``s``, ``q``; general form adds ``n``, ``mean``, ``std``."""
+    ``n``, ``s``, ``q``; general form adds ``n``, ``mean``, ``std``.
+
+    Keys with more than ``hot_rows`` rows are cut into time blocks of
+    ``block_seconds`` and stitched by the edge pass; every other key is one
+    window partition (``hot_rows=None`` blocks every key)."""
     if window < 1:
         raise ValueError("window must be >= 1")
-    blk = F.col(block_col) if block_col else _block_key(long, order_cols[0], block_seconds)
-    extra = {"_blk": blk}
+    fine = F.col(block_col) if block_col else _block_key(long, order_cols[0], block_seconds)
+    extra = {}
     if exact:
         extra["_c"] = F.round(F.col(value_col) * scale).cast("long")
-    base = long.withColumns(extra)
+    if hot_rows is None:
+        hot = F.lit(True)
+    else:
+        # At most MAX_HOT_KEYS rows reach the driver; applied as an InSet.
+        found = [tuple(r)[:len(keys)] for r in hot_keys(long, keys, hot_rows).collect()]
+        key = F.struct(*[F.col(k) for k in keys])
+        hot = (key.isin(*[F.struct(*[F.lit(v) for v in t]) for t in found]) if found
+               else F.lit(False))
+    base = long.withColumns({**extra, "_hot": hot})
+    base = base.withColumn("_blk", F.when(F.col("_hot"), fine).otherwise(F.lit(None).cast("long")))
     order = [F.col(c).asc() for c in order_cols]
     w_blk = Window.partitionBy(*keys, "_blk").orderBy(*order)
-    frame = w_blk.rowsBetween(-(window - 1), Window.currentRow)
     whole = w_blk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    aggs = _frame_aggs(frame, value_col, exact)
-    stage1 = base.withColumns({"_r": F.row_number().over(w_blk),
-                               "_m": F.count(F.lit(1)).over(whole), **aggs})
-    out_cols = [c for c in stage1.columns if c not in ("_blk", "_r", "_m")]
-    # Rows with a full frame inside their block are final.
-    inner = stage1.where(F.col("_r") >= window).select(*out_cols)
-    # Edge rows: first and last (window - 1) of every block.
-    edge_src = stage1.where((F.col("_r") < window) | (F.col("_m") - F.col("_r") < window - 1))
-    edge_src = edge_src.drop(*aggs.keys())
-    w_key = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(window - 1), Window.currentRow)
-    edge = edge_src.withColumns(_frame_aggs(w_key, value_col, exact))
+    stage1 = _apply(base.withColumns({"_r": F.row_number().over(w_blk),
+                                      "_m": F.count(F.lit(1)).over(whole)}),
+                    _frame_aggs(w_blk, value_col, exact, window))
+    stats = ["n", "s", "q"] if exact else ["n", "mean", "std"]
+    out_cols = [c for c in base.columns if c not in ("_blk", "_hot")] + stats
+    # Final from stage 1: every row of a single-block key, and rows with a
+    # full frame inside their block.
+    inner = stage1.where(~F.col("_hot") | (F.col("_r") >= window)).select(*out_cols)
+    # Edge rows of blocked keys: first and last (window - 1) of every block.
+    edge_src = stage1.where(F.col("_hot") & ((F.col("_r") < window)
+                                             | (F.col("_m") - F.col("_r") < window - 1)))
+    edge_src = edge_src.select(*base.columns, "_r")
+    w_key = Window.partitionBy(*keys).orderBy(*order)
+    edge = _apply(edge_src, _frame_aggs(w_key, value_col, exact, window))
     heads = edge.where(F.col("_r") < window).select(*out_cols)
     return inner.unionByName(heads)
 
@@ -179,6 +224,7 @@ def detect_anomalies(df: DataFrame, *, device_col: str = "device_id",
                      thresholds: dict = THRESHOLDS, window: int = WINDOW_SIZE,
                      exact: bool = True, scale: int = 100,
                      block_seconds: int = DEFAULT_BLOCK_SECONDS,
+                     hot_rows: int | None = DEFAULT_HOT_ROWS,
                      keep: list[str] | None = None) -> DataFrame:
     """Readings table -> alert rows (the stored alert columns).
 
@@ -192,7 +238,7 @@ def detect_anomalies(df: DataFrame, *, device_col: str = "device_id",
     ids = list(dict.fromkeys([device_col, *order_cols, time_col, *keep]))
     long = unpivot_metrics(df, ids, metrics)
     stats = rolling_stats(long, [device_col, "metric"], order_cols, window=window,
-                          exact=exact, scale=scale, block_seconds=block_seconds)
+                          exact=exact, scale=scale, block_seconds=block_seconds, hot_rows=hot_rows)
     derived = stats_columns(window, exact, scale)
     scored = stats.withColumn("z", derived["z"]).where(F.col("z").isNotNull())
     flagged = scored.withColumn("severity", severity_expr(thresholds)).where(F.col("severity").isNotNull())

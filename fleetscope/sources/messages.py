@@ -91,19 +91,21 @@ def decode_telemetry(messages: DataFrame, keep: list[str] | None = None) -> Data
     """
     keep = keep if keep is not None else [c for c in ("key", "partition", "offset")
                                           if c in messages.columns]
-    utf8_ok = F.is_valid_utf8(F.col("value"))
-    text = F.when(utf8_ok, F.col("value").cast("string"))
+    text = F.when(F.is_valid_utf8(F.col("value")), F.col("value").cast("string"))
     parsed = F.from_json(text, _DECODE_SCHEMA, {"mode": "PERMISSIVE",
                                                 "columnNameOfCorruptRecord": CORRUPT})
-    corrupt = F.when(text.isNull(), F.lit("<invalid utf-8>")).otherwise(parsed[CORRUPT])
+    # Parse once per message (a projection) ...
+    once = messages.select(*keep, text.alias("_text"), parsed.alias("_e"))
+    corrupt = (F.when(F.col("_text").isNull(), F.lit("<invalid utf-8>"))
+               .otherwise(F.col(f"_e.{CORRUPT}")))
     decoded = F.struct(
-        *[parsed[f.name].alias(f.name) for f in WIRE_EVENT_SCHEMA.fields],
+        *[F.col(f"_e.{f.name}").alias(f.name) for f in WIRE_EVENT_SCHEMA.fields],
         corrupt.alias(CORRUPT),
-        (text.isNotNull() & ~F.ltrim(text).startswith("{")).alias("_not_object"))
-    # inline(array(x)) yields exactly one row per message. As a Generate it
-    # is a barrier: filters on decoded fields (quarantine) are not pushed
-    # below it, so each message is parsed once instead of once per check.
-    return messages.select(*keep, F.inline(F.array(decoded)))
+        (F.col("_text").isNotNull() & ~F.ltrim(F.col("_text")).startswith("{")).alias("_not_object"))
+    # ... then inline(array(x)), exactly one row per message. As a Generate
+    # it is a barrier: filters on decoded fields (quarantine) are not pushed
+    # below it, so the parse is never copied into each check.
+    return once.select(*keep, F.inline(F.array(decoded)))
 
 
 # -- encode (wire form of readings; also operator 7 for alerts) -----------

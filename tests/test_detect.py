@@ -63,8 +63,9 @@ values = st.one_of(st.none(), st.integers(min_value=-500, max_value=500).map(lam
 @settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
 @given(seq=st.lists(st.tuples(st.integers(0, 2), values), min_size=1, max_size=150),
        window=st.sampled_from([1, 2, 3, 5, 60]),
-       block=st.sampled_from([1, 7, 40, 10_000]))
-def test_alerts_match_model(spark, seq, window, block):
+       block=st.sampled_from([1, 7, 40, 10_000]),
+       hot_rows=st.sampled_from([None, 0, 20, 10**9]))
+def test_alerts_match_model(spark, seq, window, block, hot_rows):
     th = {"cpu_usage_pct": (1.5, 2.0)}
     rows = [(f"d{d}", i, "cpu_usage_pct", x) for i, (d, x) in enumerate(seq)]
     pdf = pd.DataFrame({"device_id": [r[0] for r in rows], "event_id": [r[1] for r in rows],
@@ -72,21 +73,23 @@ def test_alerts_match_model(spark, seq, window, block):
     df = spark.createDataFrame(pdf, "device_id string, event_id long, cpu_usage_pct double")
     df = df.withColumn("ts", F.col("event_id"))
     got = D.detect_anomalies(df, time_col="ts", order_cols=["ts", "event_id"], metrics=["cpu_usage_pct"],
-                             thresholds=th, window=window, block_seconds=block).collect()
+                             thresholds=th, window=window, block_seconds=block,
+                             hot_rows=hot_rows).collect()
     got = {(r.device_id, r.detected_at, r.metric, r.severity) for r in got}
     want = model_alerts(rows, window, th)
     # the model's floating point may flip a decision exactly at a threshold
     assert len(got ^ want) <= max(1, len(want) // 50), (got ^ want)
 
 
-@pytest.mark.parametrize("block", [1, 3600, 86400 * 365])
-def test_block_size_does_not_change_results(spark, block):
+@pytest.mark.parametrize("block,hot_rows", [(1, 0), (3600, None), (86400 * 365, 0), (86400 * 30, 100),
+                                            (3600, 10**9)])
+def test_block_size_does_not_change_results(spark, block, hot_rows):
     from fleetscope.sources.fixtures import load_lineitem_history, LINEITEM_METRICS, LINEITEM_ORDER
     from conftest import SF_SMALL
     li = load_lineitem_history(spark, SF_SMALL)
     a = D.detect_anomalies(li, time_col="l_shipdate", order_cols=LINEITEM_ORDER,
                            metrics=LINEITEM_METRICS, thresholds={m: (1.8, 2.5) for m in LINEITEM_METRICS},
-                           block_seconds=block)
+                           block_seconds=block, hot_rows=hot_rows)
     assert a.count() == 428
 
 
