@@ -575,3 +575,16 @@ def q_rollup_stream(spark, sf_dir):
     run_to_end(start_rollup_query(spark, _src(s), f"{s['_root']}/rollup", f"{s['_root']}/_ck_rollup"))
     r = spark.read.parquet(f"{s['_root']}/rollup")
     return r.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@register("write_anomaly_alerts", O.telemetry_alerts_sql())
+def q_write_alerts(spark, sf_dir):
+    """Batch alerts written through the alert sink twice under the same
+    batch id (a replay), read back: stored once, NUMERIC(10,4)/(8,4)."""
+    from fleetscope.session import new_subdir
+    from fleetscope.streaming.sinks import read_alerts, write_anomaly_alerts
+    root = new_subdir(spark, "alerts")
+    a = alerts(spark, sf_dir)
+    write_anomaly_alerts(a, 0, f"{root}/alerts")
+    write_anomaly_alerts(a, 0, f"{root}/alerts")
+    return read_alerts(spark, f"{root}/alerts").select(*ALERT_COLUMNS)
