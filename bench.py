@@ -41,7 +41,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
-    spark = build_session(f"local[{cpus}]", app="fleetscope-bench", shuffle_partitions=cpus * 2,
+    spark = build_session(f"local[{cpus}]", app="fleetscope-bench", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "16g"})
     counts = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("events", "lineitem")}
     # warm-up: JIT and Python workers

@@ -506,6 +506,25 @@ def _src(d: dict) -> dict:
     return {k: v for k, v in d.items() if not k.startswith("_")}
 
 
+class state_partitions:
+    """Start streams with one state partition per core of the cluster (the
+    number is fixed in the checkpoint at the first start); the session's
+    setting is restored afterwards."""
+
+    def __init__(self, spark):
+        self.spark = spark
+
+    def __enter__(self):
+        self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
+        n = max(2, self.spark.sparkContext.defaultParallelism)
+        self.spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        return self
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+        return False
+
+
 @register("detect_anomalies_stream", O.telemetry_alerts_sql())
 def q_detect_stream(spark, sf_dir):
     """Keyed-state detection over the message stream (3 micro-batches,
@@ -513,7 +532,8 @@ def q_detect_stream(spark, sf_dir):
     from fleetscope.streaming.jobs import run_to_end, start_alerts_query
     from fleetscope.streaming.sinks import read_alerts
     s = _stream_source(spark, sf_dir, replay_below=10)
-    run_to_end(start_alerts_query(spark, _src(s), f"{s['_root']}/alerts", f"{s['_root']}/_ck_alerts"))
+    with state_partitions(spark):
+        run_to_end(start_alerts_query(spark, _src(s), f"{s['_root']}/alerts", f"{s['_root']}/_ck_alerts"))
     a = read_alerts(spark, f"{s['_root']}/alerts")
     return a.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "detected_at" else F.col(c)
                       for c in ALERT_COLUMNS])
@@ -533,7 +553,8 @@ def q_write_events(spark, sf_dir):
     stored once), read back."""
     from fleetscope.streaming.jobs import run_to_end, start_events_query
     s = _stream_source(spark, sf_dir, replay_below=10)
-    run_to_end(start_events_query(spark, _src(s), f"{s['_root']}/events", f"{s['_root']}/_ck_events"))
+    with state_partitions(spark):
+        run_to_end(start_events_query(spark, _src(s), f"{s['_root']}/events", f"{s['_root']}/_ck_events"))
     return _stored_rows(spark.read.parquet(f"{s['_root']}/events"))
 
 
@@ -556,7 +577,8 @@ def q_refresh(spark, sf_dir):
     from fleetscope.plans.refresh import read_rollup, refresh_rollup
     from fleetscope.streaming.jobs import run_to_end, start_events_query
     s = _stream_source(spark, sf_dir)
-    run_to_end(start_events_query(spark, _src(s), f"{s['_root']}/events", f"{s['_root']}/_ck_events"))
+    with state_partitions(spark):
+        run_to_end(start_events_query(spark, _src(s), f"{s['_root']}/events", f"{s['_root']}/_ck_events"))
     refresh_rollup(spark, f"{s['_root']}/events", f"{s['_root']}/rollup")
     r = read_rollup(spark, f"{s['_root']}/rollup")
     return r.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
@@ -572,7 +594,8 @@ def q_rollup_stream(spark, sf_dir):
     passed are emitted once, in append mode."""
     from fleetscope.streaming.jobs import run_to_end, start_rollup_query
     s = _stream_source(spark, sf_dir)
-    run_to_end(start_rollup_query(spark, _src(s), f"{s['_root']}/rollup", f"{s['_root']}/_ck_rollup"))
+    with state_partitions(spark):
+        run_to_end(start_rollup_query(spark, _src(s), f"{s['_root']}/rollup", f"{s['_root']}/_ck_rollup"))
     r = spark.read.parquet(f"{s['_root']}/rollup")
     return r.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 

@@ -29,6 +29,8 @@ def build_session(master: str | None = None, app: str = "fleetscope",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # commit a changelog per micro-batch instead of a full snapshot
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
