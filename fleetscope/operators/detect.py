@@ -13,8 +13,8 @@ A plain ``Window.partitionBy(device, metric)`` would put every reading of
 a hot device into one task. The count-based frame is therefore computed
 per key *size*:
 
-0. a counting aggregate (map-side combined) finds the hot keys, those with
-   more than ``hot_rows`` readings -- at most ``MAX_HOT_KEYS`` of them, a
+0. a counting aggregate (map-side combined, on the readings before the
+   unpivot) finds the hot devices, those with more than ``hot_rows`` readings -- at most ``MAX_HOT_KEYS`` of them, a
    proven bound, so the list is brought to the driver and applied as a
    literal set (no join below the shuffle);
 1. readings are shuffled on (device, metric, block), where the block is a
@@ -124,14 +124,17 @@ def hot_keys(long: DataFrame, keys: list[str], hot_rows: int, max_keys: int = MA
 def rolling_stats(long: DataFrame, keys: list[str], order_cols: list[str], *,
                   value_col: str = "x", window: int = WINDOW_SIZE, exact: bool = True,
                   scale: int = 100, block_seconds: int = DEFAULT_BLOCK_SECONDS,
-                  hot_rows: int | None = DEFAULT_HOT_ROWS, block_col: str | None = None) -> DataFrame:
+                  hot_rows: int | None = DEFAULT_HOT_ROWS, block_col: str | None = None,
+                  count_on: tuple[DataFrame, list[str]] | None = None) -> DataFrame:
     """Count, mean and population std over the last ``window`` rows of each
     key (current row included). Exact form adds ``_c`` (scaled integer),
     ``n``, ``s``, ``q``; general form adds ``n``, ``mean``, ``std``.
 
     Keys with more than ``hot_rows`` rows are cut into time blocks of
     ``block_seconds`` and stitched by the edge pass; every other key is one
-    window partition (``hot_rows=None`` blocks every key)."""
+    window partition (``hot_rows=None`` blocks every key). ``count_on`` =
+    (frame, cols) counts on a cheaper frame whose rows bound the key sizes,
+    e.g. (readings, [device]) before the unpivot."""
     if window < 1:
         raise ValueError("window must be >= 1")
     fine = F.col(block_col) if block_col else _block_key(long, order_cols[0], block_seconds)
@@ -142,8 +145,9 @@ def rolling_stats(long: DataFrame, keys: list[str], order_cols: list[str], *,
         hot = F.lit(True)
     else:
         # At most MAX_HOT_KEYS rows reach the driver; applied as an InSet.
-        found = [tuple(r)[:len(keys)] for r in hot_keys(long, keys, hot_rows).collect()]
-        key = F.struct(*[F.col(k) for k in keys])
+        src, cols = count_on if count_on else (long, keys)
+        found = [tuple(r)[:len(cols)] for r in hot_keys(src, cols, hot_rows).collect()]
+        key = F.struct(*[F.col(k) for k in cols])
         hot = (key.isin(*[F.struct(*[F.lit(v) for v in t]) for t in found]) if found
                else F.lit(False))
     base = long.withColumns({**extra, "_hot": hot})
@@ -237,8 +241,10 @@ def detect_anomalies(df: DataFrame, *, device_col: str = "device_id",
     keep = keep or []
     ids = list(dict.fromkeys([device_col, *order_cols, time_col, *keep]))
     long = unpivot_metrics(df, ids, metrics)
+    # A device with at most hot_rows readings bounds each of its metrics too.
     stats = rolling_stats(long, [device_col, "metric"], order_cols, window=window,
-                          exact=exact, scale=scale, block_seconds=block_seconds, hot_rows=hot_rows)
+                          exact=exact, scale=scale, block_seconds=block_seconds, hot_rows=hot_rows,
+                          count_on=(df.select(device_col), [device_col]))
     derived = stats_columns(window, exact, scale)
     scored = stats.withColumn("z", derived["z"]).where(F.col("z").isNotNull())
     flagged = scored.withColumn("severity", severity_expr(thresholds)).where(F.col("severity").isNotNull())
