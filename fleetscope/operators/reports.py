@@ -46,6 +46,17 @@ def since(ts_col: str, as_of, minutes: int) -> Column:
     return F.col(ts_col) >= as_of_col(as_of) - F.make_dt_interval(mins=F.lit(minutes))
 
 
+def since_pruned(df: DataFrame, ts_col: str, as_of, minutes: int) -> Column:
+    """``since`` plus, on a month-partitioned stored table, the matching
+    bound on ``event_month`` so Spark skips whole partitions (a filter on
+    the timestamp alone does not prune the derived partition column)."""
+    cond = since(ts_col, as_of, minutes)
+    if "event_month" in df.columns:
+        lower = as_of_col(as_of) - F.make_dt_interval(mins=F.lit(minutes))
+        cond = cond & (F.col("event_month") >= F.date_format(lower, "yyyy-MM"))
+    return cond
+
+
 def _as_double(cols):
     return [F.col(c).cast("double").alias(c) for c in cols]
 
@@ -97,35 +108,49 @@ def stats_summary(events: DataFrame, alerts: DataFrame, as_of=None) -> DataFrame
 
 # -- operator 29 -----------------------------------------------------------
 def ingest_lag_percentiles(df: DataFrame, group_cols: list[str], lag_col: str = "lag_ms",
-                           percentiles=(0.95, 0.99)) -> DataFrame:
+                           percentiles=(0.95, 0.99), bucket_width: float = 1.0) -> DataFrame:
     """Median (mean of the two middle values) and pXX = sorted[int(n*XX)]
-    (0-based) of ``lag_col`` per group.
-
-    Exact and skew-safe: values are first counted per (group, value) with a
-    map-side combine, then ranks come from running counts over that
-    histogram (a sort per group, spillable), never from collecting a group.
+    (0-based) of ``lag_col`` per group -- exact, without collecting a group.
+
+    Two levels, so no task holds a group's rows even when one group has a
+    third of the data:
+    1. counts per (group, bucket of ``bucket_width``, value), map-side
+       combined; a window over the per-bucket totals of a group (at most
+       range / width rows) finds the bucket holding each target rank;
+    2. a window over the distinct values of that one bucket picks the value.
     """
-    h = df.groupBy(*group_cols, lag_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    w_cum = (Window.partitionBy(*group_cols).orderBy(lag_col)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    w_all = Window.partitionBy(*group_cols).orderBy(lag_col).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    h = (h.withColumn("_cum", F.sum("_cnt").over(w_cum))
-         .withColumn("_n", F.sum("_cnt").over(w_all)))
-    lo = F.col("_cum") - F.col("_cnt")
-
-    def at_rank(r: Column) -> Column:
-        return F.max(F.when((lo < r) & (r <= F.col("_cum")), F.col(lag_col)))
-
+    g = list(group_cols)
+    v = F.col(lag_col)
+    fine = (df.select(*g, v.alias("_v"), F.floor(v / F.lit(bucket_width)).cast("long").alias("_b"))
+            .groupBy(*g, "_b", "_v").agg(F.count(F.lit(1)).alias("_cnt")))
+    buckets = fine.groupBy(*g, "_b").agg(F.sum("_cnt").alias("_bc"))
+    w_run = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding,
+                                                               Window.currentRow)
+    buckets = buckets.withColumns({"_cum": F.sum("_bc").over(w_run),
+                                   "_n": F.sum("_bc").over(Window.partitionBy(*g))})
     n = F.col("_n")
-    mid_lo = F.floor((n + 1) / 2)
-    mid_hi = F.floor(n / 2) + 1
-    aggs = [F.max("_n").alias("n"),
-            ((at_rank(mid_lo) + at_rank(mid_hi)) / 2.0).alias("p50")]
+    ranks = {"lo": F.floor((n + 1) / 2), "hi": F.floor(n / 2) + 1}
+    for p in percentiles:
+        ranks[f"p{int(round(p * 100))}"] = F.least(n, F.floor(n.cast("double") * F.lit(float(p))) + 1)
+    wanted = F.array(*[F.struct(F.lit(k).alias("_t"), r.cast("long").alias("_rank"))
+                       for k, r in ranks.items()])
+    targets = (buckets.select(*g, "_b", "_bc", "_cum", "_n", F.inline(wanted))
+               .where((F.col("_cum") - F.col("_bc") < F.col("_rank")) & (F.col("_rank") <= F.col("_cum")))
+               .select(*g, "_b", "_t", "_n", (F.col("_rank") - (F.col("_cum") - F.col("_bc"))).alias("_in")))
+    w_in = (Window.partitionBy(*g, "_b", "_t").orderBy("_v")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    picked = (fine.join(targets, [*g, "_b"])
+              .withColumn("_c2", F.sum("_cnt").over(w_in))
+              .where((F.col("_c2") - F.col("_cnt") < F.col("_in")) & (F.col("_in") <= F.col("_c2"))))
+
+    def val(t):
+        return F.max(F.when(F.col("_t") == t, F.col("_v")))
+
+    aggs = [F.max("_n").alias("n"), ((val("lo") + val("hi")) / 2.0).alias("p50")]
     for p in percentiles:
-        r = F.least(n, F.floor(n.cast("double") * F.lit(float(p))) + 1)
-        aggs.append(at_rank(r).cast("double").alias(f"p{int(round(p * 100))}"))
-    return h.groupBy(*group_cols).agg(*aggs)
+        name = f"p{int(round(p * 100))}"
+        aggs.append(val(name).cast("double").alias(name))
+    return picked.groupBy(*g).agg(*aggs)
 
 
 # -- operator 30 -----------------------------------------------------------
@@ -136,7 +161,7 @@ def device_metrics(events: DataFrame, device_id: str, as_of=None, since_minutes:
     check_range("since_minutes", since_minutes, 1, 1440)
     check_range("limit", limit, 1, 5000)
     rows = events.where((F.col("device_id") == device_id)
-                        & since("event_timestamp", as_of, since_minutes))
+                        & since_pruned(events, "event_timestamp", as_of, since_minutes))
     top = rows.orderBy(F.col("event_timestamp").desc(),
                        *[F.col(c).desc() for c in _tiebreak(events)]).limit(limit)
     return top.select(render_time("event_timestamp").alias("event_timestamp"),
@@ -152,7 +177,7 @@ def device_metrics_fleet(events: DataFrame, as_of=None, since_minutes: int = 60,
     """Fleet form of 30: the newest ``limit`` readings of every device."""
     check_range("since_minutes", since_minutes, 1, 1440)
     check_range("limit", limit, 1, 5000)
-    rows = events.where(since("event_timestamp", as_of, since_minutes))
+    rows = events.where(since_pruned(events, "event_timestamp", as_of, since_minutes))
     w = Window.partitionBy("device_id").orderBy(F.col("event_timestamp").desc(),
                                                 *[F.col(c).desc() for c in _tiebreak(events)])
     ranked = rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
@@ -211,7 +236,7 @@ def recent_anomalies(alerts: DataFrame, as_of=None, since_minutes: int = 60,
     check_range("limit", limit, 1, 1000)
     check_range("since_minutes", since_minutes, 1, 1440)
     check_severity(severity)
-    rows = alerts.where(since("detected_at", as_of, since_minutes))
+    rows = alerts.where(since_pruned(alerts, "detected_at", as_of, since_minutes))
     if severity:
         rows = rows.where(F.col("severity") == severity)
     return _alert_rows(rows.orderBy(*_alert_order()).limit(limit))
