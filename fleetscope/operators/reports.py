@@ -180,7 +180,7 @@ def device_metrics_fleet(events: DataFrame, as_of=None, since_minutes: int = 60,
     rows = events.where(since_pruned(events, "event_timestamp", as_of, since_minutes))
     w = Window.partitionBy("device_id").orderBy(F.col("event_timestamp").desc(),
                                                 *[F.col(c).desc() for c in _tiebreak(events)])
-    ranked = rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+    ranked = rows.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= limit)
     return ranked.select("device_id", "rank",
                          render_time("event_timestamp").alias("event_timestamp"),
                          *_as_double(NUMERIC_FIELDS), "event_type")
@@ -225,7 +225,7 @@ def device_anomalies_fleet(alerts: DataFrame, severity: str | None = None,
     check_severity(severity)
     rows = alerts.where(F.col("severity") == severity) if severity else alerts
     w = Window.partitionBy("device_id").orderBy(F.col("detected_at").desc(), F.col("metric"))
-    ranked = rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
+    ranked = rows.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= limit)
     return ranked.select(
         "rank", "device_id", render_time("detected_at").alias("detected_at"), "metric",
         *_as_double(["observed_value", "rolling_mean", "rolling_std_dev", "z_score"]), "severity")

@@ -262,7 +262,7 @@ def q_rollup(spark, sf_dir):
 
 
 @register("ingest_lag_percentiles", O.with_views("""
-SELECT device_id, max(n) AS n,
+SELECT device_id, cast(max(n) AS bigint) AS n,
   (max(CASE WHEN lo < (n + 1) // 2 AND (n + 1) // 2 <= cum THEN lag_ms END)
    + max(CASE WHEN lo < n // 2 + 1 AND n // 2 + 1 <= cum THEN lag_ms END)) / 2.0 AS p50,
   cast(max(CASE WHEN lo < least(n, floor(n * 0.95::double) + 1) AND least(n, floor(n * 0.95::double) + 1) <= cum
@@ -499,7 +499,7 @@ def _stream_source(spark, sf_dir, replay_below: int = 0, chunks: int = 3) -> dic
     root = new_subdir(spark, "stream")
     msgs = FX.wire_messages(telemetry(spark, sf_dir), replay_below=replay_below)
     FX.write_wire_chunks(msgs, f"{root}/messages", chunks=chunks)
-    return {"path": f"{root}/messages", "_root": root}
+    return {"path": f"{root}/messages", "options": {"maxFilesPerTrigger": "1"}, "_root": root}
 
 
 def _src(d: dict) -> dict:

@@ -54,8 +54,8 @@ def telemetry_source(spark: SparkSession, *, topic: str = "device-telemetry",
         return reader.load()
     if not path:
         raise ValueError("telemetry_source needs bootstrap (Kafka) or path (message files)")
-    reader = spark.readStream.schema(MESSAGE_FILE_SCHEMA).option("maxFilesPerTrigger", opts.pop("maxFilesPerTrigger", "1"))
-    for k, v in opts.items():
+    reader = spark.readStream.schema(MESSAGE_FILE_SCHEMA)
+    for k, v in opts.items():  # e.g. maxFilesPerTrigger to cap a micro-batch
         reader = reader.option(k, v)
     return as_messages(reader.json(path))
 

@@ -28,7 +28,7 @@ def test_stream_restart_between_files_equals_batch(spark):
     msgs = FX.wire_messages(view, replay_below=5)
     hi = msgs.agg(F.max("offset")).first()[0]
     first, rest = msgs.where(F.col("offset") <= hi // 2), msgs.where(F.col("offset") > hi // 2)
-    src = {"path": f"{root}/messages"}
+    src = {"path": f"{root}/messages", "options": {"maxFilesPerTrigger": "1"}}
     FX.write_wire_chunks(first, src["path"], chunks=2)
     run_to_end(start_alerts_query(spark, src, f"{root}/alerts", f"{root}/_ck"))
     part1 = read_alerts(spark, f"{root}/alerts").count()
@@ -78,7 +78,8 @@ def test_events_stream_counts(spark):
     root = new_subdir(spark, "t-events")
     msgs = FX.wire_messages(FX.load_telemetry(spark, SF_SMALL), replay_below=10)
     FX.write_wire_chunks(msgs, f"{root}/messages", chunks=3)
-    q = start_events_query(spark, {"path": f"{root}/messages"}, f"{root}/events", f"{root}/_ck")
+    q = start_events_query(spark, {"path": f"{root}/messages", "options": {"maxFilesPerTrigger": "1"}},
+                           f"{root}/events", f"{root}/_ck")
     run_to_end(q)
     ev = spark.read.parquet(f"{root}/events")
     assert ev.count() == 1000
