@@ -49,3 +49,44 @@ def rollup_5min(events: DataFrame, minutes: int = ROLLUP_MINUTES) -> DataFrame:
             .groupBy("device_id", "network_type",
                      window_start("event_timestamp", minutes).alias("window_start"))
             .agg(*rollup_aggs()))
+
+
+# Additive form: what a stored rollup keeps so new events can be merged in
+# without re-reading old ones. ``finish_rollup`` turns it into the result.
+_AVG_SOURCES = {"cpu": "cpu_usage_pct", "memory": "memory_usage_pct",
+                "signal": "signal_strength_dbm", "throughput": "throughput_mbps"}
+
+
+def partial_rollup(events: DataFrame, minutes: int = ROLLUP_MINUTES) -> DataFrame:
+    aggs = [F.count(F.lit(1)).alias("event_count"),
+            F.max(F.col("cpu_usage_pct").cast("double")).alias("max_cpu"),
+            F.min(F.col("throughput_mbps").cast("double")).alias("min_throughput"),
+            F.count_if(F.col("event_type") == "critical").alias("critical_count")]
+    for short, col in _AVG_SOURCES.items():
+        aggs += [F.sum(to_cents(col)).alias(f"sum_{short}_cents"), F.count(col).alias(f"n_{short}")]
+    return (events.groupBy("device_id", "network_type",
+                           window_start("event_timestamp", minutes).alias("window_start"))
+            .agg(*aggs))
+
+
+def merge_partial_rollups(parts: DataFrame) -> DataFrame:
+    """Combine additive rollup rows of the same window (sums, max, min)."""
+    aggs = [F.sum("event_count").alias("event_count"), F.max("max_cpu").alias("max_cpu"),
+            F.min("min_throughput").alias("min_throughput"),
+            F.sum("critical_count").alias("critical_count")]
+    for short in _AVG_SOURCES:
+        aggs += [F.sum(f"sum_{short}_cents").alias(f"sum_{short}_cents"),
+                 F.sum(f"n_{short}").alias(f"n_{short}")]
+    return parts.groupBy(*ROLLUP_KEYS).agg(*aggs)
+
+
+def finish_rollup(parts: DataFrame) -> DataFrame:
+    """Additive rollup rows -> the rollup columns (averages rounded half
+    away from zero from exact integer sums)."""
+    avg = {f"avg_{short}": (div_half_up(f"sum_{short}_cents", f"n_{short}") / F.lit(100.0))
+           for short in _AVG_SOURCES}
+    return parts.select(*ROLLUP_KEYS, F.col("event_count").cast("long").alias("event_count"),
+                        avg["avg_cpu"].alias("avg_cpu"), "max_cpu",
+                        avg["avg_memory"].alias("avg_memory"), avg["avg_signal"].alias("avg_signal"),
+                        avg["avg_throughput"].alias("avg_throughput"), "min_throughput",
+                        F.col("critical_count").cast("long").alias("critical_count"))

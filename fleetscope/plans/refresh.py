@@ -1,13 +1,14 @@
 """Refreshing the stored rollup without blocking readers (operator 28).
 
-The rollup lives in per-month version folders, ``<root>/month=<m>/v=<n>``,
-and a small manifest ``<root>/_current.json`` names the live version of
-every month and the last event batch folded in. A refresh:
-
-1. finds the months that received batches newer than the manifest's
-   last batch (partition pruning on ``batch_id``; only those months are
-   read, via ``event_month`` partition pruning),
-2. recomputes the rollup of those months into new version folders,
+The rollup lives in version folders, ``<root>/_v=<n>/event_month=<m>``, of
+additive rows (counts, sums of hundredths, max, min), and a small manifest
+``<root>/_current.json`` names the live folder of every month and the last
+event batch folded in. A refresh:
+
+1. reads only the event batches newer than the manifest's last batch
+   (partition pruning on ``batch_id``) and aggregates them,
+2. merges those rows with the live rows of the months they touch and
+   writes the merged months into a new version folder,
 3. replaces the manifest in one file write.
 
 Readers resolve the manifest first and read only the folders it names, so
@@ -22,7 +23,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.operators.rollup import rollup_5min
+from fleetscope.operators.rollup import finish_rollup, merge_partial_rollups, partial_rollup
 
 MANIFEST = "_current.json"
 
@@ -61,7 +62,13 @@ def _write_manifest(spark: SparkSession, root: str, manifest: dict) -> None:
 
 def refresh_rollup(spark: SparkSession, events_path: str, root: str) -> dict:
     """Fold event batches newer than the last refresh into the rollup.
-    Returns the new manifest."""
+    Returns the new manifest.
+
+    Only the new batches are read (``batch_id`` partition pruning) and
+    aggregated; their additive rows are merged with the live version of the
+    months they touch, and those months get a new version folder. A folder
+    left by a failed attempt is simply overwritten: no manifest names it.
+    """
     manifest = _read_manifest(spark, root)
     events = spark.read.parquet(events_path)
     fresh = events.where(F.col("batch_id") > manifest["last_batch"])
@@ -71,10 +78,15 @@ def refresh_rollup(spark: SparkSession, events_path: str, root: str) -> dict:
     # Month names only: one row per touched month.
     months = sorted(r[0] for r in fresh.select("event_month").distinct().collect())
     version = manifest["version"] + 1
-    todo = events.where(F.col("event_month").isin(months))
-    out = rollup_5min(todo).withColumn("event_month", F.date_format("window_start", "yyyy-MM"))
+    parts = partial_rollup(fresh).withColumn("event_month", F.date_format("window_start", "yyyy-MM"))
+    old_paths = [manifest["months"][m] for m in months if m in manifest["months"]]
+    if old_paths:
+        old = spark.read.parquet(*old_paths)
+        parts = parts.unionByName(old.withColumn("event_month", F.date_format("window_start", "yyyy-MM")))
+    merged = merge_partial_rollups(parts).withColumn(
+        "event_month", F.date_format("window_start", "yyyy-MM"))
     staging = f"{root.rstrip('/')}/_v={version}"
-    out.write.mode("errorifexists").partitionBy("event_month").parquet(staging)
+    merged.write.mode("overwrite").partitionBy("event_month").parquet(staging)
     new_months = dict(manifest["months"])
     for m in months:
         new_months[m] = f"{staging}/event_month={m}"
@@ -92,5 +104,4 @@ def read_rollup(spark: SparkSession, root: str) -> DataFrame:
                                          "event_count bigint, avg_cpu double, max_cpu double, avg_memory double, "
                                          "avg_signal double, avg_throughput double, min_throughput double, "
                                          "critical_count bigint")
-    return spark.read.parquet(*paths)
-
+    return finish_rollup(spark.read.parquet(*paths))
