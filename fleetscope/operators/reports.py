@@ -15,11 +15,6 @@ from pyspark.sql import functions as F
 from fleetscope.functions.expressions import render_time
 from fleetscope.schemas import NUMERIC_FIELDS, SEVERITIES
 
-READING_COLUMNS = ["event_timestamp", *NUMERIC_FIELDS, "event_type"]
-ALERT_RESULT_COLUMNS = ["device_id", "detected_at", "metric", "observed_value", "rolling_mean",
-                        "rolling_std_dev", "z_score", "severity"]
-
-
 def check_range(name: str, value: int, lo: int, hi: int) -> int:
     if not isinstance(value, int) or isinstance(value, bool) or not lo <= value <= hi:
         raise ValueError(f"{name} must be an integer in {lo}..{hi}, got {value!r}")
