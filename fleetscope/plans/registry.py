@@ -516,7 +516,10 @@ class state_partitions:
 
     def __enter__(self):
         self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
-        n = max(2, self.spark.sparkContext.defaultParallelism)
+        try:
+            n = max(2, self.spark.sparkContext.defaultParallelism)
+        except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): keep the setting
+            n = int(self.old)
         self.spark.conf.set("spark.sql.shuffle.partitions", str(n))
         return self
 

@@ -57,12 +57,18 @@ def shared_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext._jsc.sc().getCheckpointDir()
-        d = d.get() if d.isDefined() else None
+        try:
+            cur = spark.sparkContext._jsc.sc().getCheckpointDir()
+            d = cur.get() if cur.isDefined() else None
+        except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="fleetscope-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:  # noqa: BLE001
+            pass
     return d
 
 

@@ -53,6 +53,9 @@ def _trigger(writer, available_now: bool, interval: str | None):
 def start_events_query(spark, source: dict, events_path: str, checkpoint: str,
                        available_now: bool = True, interval: str | None = None, ingested_at=None):
     rows = stamp_ingest_time(valid_readings(spark, source), at=ingested_at)
+    # per-batch counters (operator 10) reported in the query's progress
+    rows = rows.observe("batch", F.count(F.lit(1)).alias("events"),
+                        F.count_if(F.col("event_type") == "critical").alias("critical"))
 
     def sink(batch: DataFrame, batch_id: int):
         write_events_by_month(batch, batch_id, events_path, extra=["ingested_at", "partition", "offset"])
@@ -78,6 +81,8 @@ def start_alerts_query(spark, source: dict, alerts_path: str, checkpoint: str,
     rows = valid_readings(spark, source)
     alerts = detect_anomalies_stream(rows, order_cols=["offset"], window=window,
                                      state_timeout=state_timeout, keep=["offset"])
+    alerts = alerts.observe("batch", F.count(F.lit(1)).alias("anomalies"),
+                            F.count_if(F.col("severity") == "critical").alias("critical"))
 
     def sink(batch: DataFrame, batch_id: int):
         write_anomaly_alerts(batch, batch_id, alerts_path, created_at=created_at)

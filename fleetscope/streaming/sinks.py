@@ -64,8 +64,20 @@ def read_alerts(spark, path: str) -> DataFrame:
 
 # -- operator 10 -----------------------------------------------------------
 def progress_rows(query) -> list[dict]:
-    """Per micro-batch counters of a finished or running streaming query
-    (rows in, rows out, batch id), from Spark's own progress reports."""
-    return [{"batch_id": p["batchId"], "input_rows": p["numInputRows"],
-             "state_rows": sum(s.get("numRowsTotal", 0) for s in p.get("stateOperators", []))}
-            for p in (query.recentProgress or [])]
+    """Per micro-batch counters of a streaming query from Spark's progress
+    reports: input rows, rows held in state (for the detector: devices
+    tracked), the ``observe("batch", ...)`` metrics of the query, and
+    running totals of them."""
+    out, totals = [], {}
+    for p in (query.recentProgress or []):
+        row = {"batch_id": p["batchId"], "input_rows": p["numInputRows"],
+               "state_rows": sum(s["numRowsTotal"] for s in (p["stateOperators"] or []))}
+        metrics = (p["observedMetrics"] or {}).get("batch")
+        metrics = metrics.asDict() if hasattr(metrics, "asDict") else (metrics or {})
+        for k, v in metrics.items():
+            row[k] = v
+            if isinstance(v, int):
+                totals[k] = totals.get(k, 0) + v
+                row[f"total_{k}"] = totals[k]
+        out.append(row)
+    return out

@@ -85,3 +85,17 @@ def test_events_stream_counts(spark):
     assert ev.count() == 1000
     assert ev.select("event_month").distinct().count() == 1
     assert ev.select("batch_id").distinct().count() == 3
+
+
+def test_progress_counters(spark):
+    from fleetscope.streaming.sinks import progress_rows
+    root = new_subdir(spark, "t-progress")
+    msgs = FX.wire_messages(FX.load_telemetry(spark, SF_SMALL))
+    FX.write_wire_chunks(msgs, f"{root}/messages", chunks=2)
+    q = start_events_query(spark, {"path": f"{root}/messages", "options": {"maxFilesPerTrigger": "1"}},
+                           f"{root}/events", f"{root}/_ck")
+    run_to_end(q)
+    rows = [r for r in progress_rows(q) if r["input_rows"]]
+    assert len(rows) == 2
+    assert rows[-1]["total_events"] == 1000
+    assert sum(r["critical"] for r in rows) == 20
