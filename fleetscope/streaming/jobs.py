@@ -27,6 +27,33 @@ from fleetscope.streaming.sinks import write_anomaly_alerts, write_events_by_mon
 DEFAULT_WATERMARK = "1 day"
 
 
+class _start_conf:
+    """Session settings read when a streaming query starts (and then kept
+    in its checkpoint); restored on the session afterwards."""
+
+    def __init__(self, spark: SparkSession, conf: dict):
+        self.spark, self.conf = spark, conf
+
+    def __enter__(self):
+        self.old = {k: self.spark.conf.get(k, None) for k in self.conf}
+        for k, v in self.conf.items():
+            self.spark.conf.set(k, v)
+
+    def __exit__(self, *exc):
+        for k, v in self.old.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
+
+
+# Queries whose output does not wait for the watermark need no extra
+# micro-batch when only the watermark moved (dedup state is then evicted
+# with the next data batch instead).
+_NO_EMPTY_BATCHES = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+
+
 def checked_messages(spark: SparkSession, source: dict) -> DataFrame:
     """Decoded and checked messages (``reject_reasons`` set)."""
     return quarantine_invalid(decode_telemetry(telemetry_source(spark, **source)))
@@ -61,7 +88,8 @@ def start_events_query(spark, source: dict, events_path: str, checkpoint: str,
         write_events_by_month(batch, batch_id, events_path, extra=["ingested_at", "partition", "offset"])
 
     w = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    return _trigger(w, available_now, interval).start()
+    with _start_conf(spark, _NO_EMPTY_BATCHES):
+        return _trigger(w, available_now, interval).start()
 
 
 def start_quarantine_query(spark, source: dict, path: str, checkpoint: str,
@@ -88,7 +116,8 @@ def start_alerts_query(spark, source: dict, alerts_path: str, checkpoint: str,
         write_anomaly_alerts(batch, batch_id, alerts_path, created_at=created_at)
 
     w = alerts.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    return _trigger(w, available_now, interval).start()
+    with _start_conf(spark, _NO_EMPTY_BATCHES):
+        return _trigger(w, available_now, interval).start()
 
 
 def start_rollup_query(spark, source: dict, path: str, checkpoint: str, delay: str = "10 minutes",
