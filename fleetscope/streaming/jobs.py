@@ -24,7 +24,7 @@ from fleetscope.streaming.detect_stream import detect_anomalies_stream
 from fleetscope.streaming.rollup_stream import rollup_5min_stream
 from fleetscope.streaming.sinks import write_anomaly_alerts, write_events_by_month
 
-DEFAULT_WATERMARK = "1 day"
+DEFAULT_WATERMARK = "1 hour"  # redelivery horizon, on arrival time
 
 
 class _start_conf:
@@ -55,20 +55,32 @@ _NO_EMPTY_BATCHES = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 
 
 def checked_messages(spark: SparkSession, source: dict) -> DataFrame:
-    """Decoded and checked messages (``reject_reasons`` set)."""
-    return quarantine_invalid(decode_telemetry(telemetry_source(spark, **source)))
+    """Decoded and checked messages (``reject_reasons`` set), with their
+    arrival time ``_arrival``: the broker's timestamp when the source has
+    one (Kafka), else the micro-batch time."""
+    msgs = telemetry_source(spark, **source)
+    if "timestamp" in msgs.columns:
+        msgs = msgs.withColumnRenamed("timestamp", "_arrival")
+    else:
+        msgs = msgs.withColumn("_arrival", F.current_timestamp())
+    decoded = decode_telemetry(msgs, keep=["key", "partition", "offset", "_arrival"])
+    return quarantine_invalid(decoded)
 
 
 def valid_readings(spark: SparkSession, source: dict, watermark: str = DEFAULT_WATERMARK,
                    dedup: bool = True) -> DataFrame:
-    """Stored-table rows of the valid messages, with the source position;
-    redelivered messages (same partition + offset) dropped while the
-    watermark keeps their key."""
+    """Stored-table rows of the valid messages, with the source position.
+
+    Redelivered messages (same partition + offset) are dropped while they
+    arrive within ``watermark`` of each other. The watermark is on arrival
+    time, not event time, so readings that are late by event time are kept
+    and processed on arrival, as the reference does."""
     valid, _ = split_valid(checked_messages(spark, source))
-    rows = conform_event(valid, keep=["partition", "offset"]).withWatermark("event_timestamp", watermark)
+    rows = conform_event(valid, keep=["partition", "offset", "_arrival"])
     if dedup:
-        rows = dedup_events(rows, ["partition", "offset"], watermark_col="event_timestamp")
-    return rows
+        rows = dedup_events(rows.withWatermark("_arrival", watermark), ["partition", "offset"],
+                            watermark_col="_arrival")
+    return rows.drop("_arrival")
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
