@@ -129,17 +129,21 @@ def wire_messages(view: DataFrame, faults: bool = False, replay_below: int = 0)
 def write_wire_chunks(messages: DataFrame, path: str, chunks: int = 3) -> None:
     """Write messages as ``chunks`` JSON files in offset order, one write
     per chunk, so a file stream (one file per trigger) sees each device's
-    readings in order across micro-batches."""
+    readings in order across micro-batches. The messages are computed once
+    into a staging table partitioned by chunk; each chunk write then reads
+    only its own partition."""
     from fleetscope.functions.expressions import int_div
+    spark = messages.sparkSession
     bounds = messages.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
     if bounds["lo"] is None:
         return
     span = bounds["hi"] - bounds["lo"] + 1
     part = int_div((F.col("offset") - F.lit(bounds["lo"])) * chunks, F.lit(span))
-    tagged = messages.withColumn("_chunk", part)
+    staging = f"{path.rstrip('/')}-staging"
+    messages.withColumn("_chunk", part).write.mode("overwrite").partitionBy("_chunk").parquet(staging)
+    staged = spark.read.parquet(staging)
     for i in range(chunks):
-        out = tagged.where(F.col("_chunk") == i).drop("_chunk").coalesce(1)
-        _append_json(out, path)
+        _append_json(staged.where(F.col("_chunk") == i).drop("_chunk").coalesce(1), path)
 
 
 def _append_json(df: DataFrame, path: str) -> None:
