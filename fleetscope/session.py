@@ -81,3 +81,33 @@ def new_subdir(spark: SparkSession, name: str) -> str:
     base = base[len("file:"):] if base.startswith("file:") else base
     os.makedirs(base, exist_ok=True)
     return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``fleetscope`` importable in the Python workers (what
+    ``spark-submit --py-files`` does): zip the package once per application
+    and add it with ``addPyFile``. Needed by the keyed-state function of the
+    stream detector; a no-op when already shipped or without a SparkContext."""
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect: packages are shipped by the client
+        return
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="fleetscope-pkg-"), "fleetscope.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)

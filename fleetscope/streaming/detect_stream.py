@@ -133,6 +133,8 @@ def detect_anomalies_stream(readings: DataFrame, *, device_col: str = "device_id
     numbers as ``detect_anomalies``. ``state_timeout`` (e.g. "7 days",
     processing time) drops devices that stay silent; off by default, as in
     the reference where devices never expire."""
+    from fleetscope.session import ship_package
+    ship_package(readings.sparkSession)  # the state function runs in Python workers
     order_cols = order_cols or [time_col, "event_id"]
     keep = keep or []
     carry = list(dict.fromkeys([*order_cols, time_col, *keep]))
