@@ -125,7 +125,8 @@ def rolling_stats(long: DataFrame, keys: list[str], order_cols: list[str], *,
                   value_col: str = "x", window: int = WINDOW_SIZE, exact: bool = True,
                   scale: int = 100, block_seconds: int = DEFAULT_BLOCK_SECONDS,
                   hot_rows: int | None = DEFAULT_HOT_ROWS, block_col: str | None = None,
-                  count_on: tuple[DataFrame, list[str]] | None = None) -> DataFrame:
+                  count_on: tuple[DataFrame, list[str]] | None = None,
+                  max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """Count, mean and population std over the last ``window`` rows of each
     key (current row included). Exact form adds ``_c`` (scaled integer),
     ``n``, ``s``, ``q``; general form adds ``n``, ``mean``, ``std``.
@@ -146,7 +147,7 @@ def rolling_stats(long: DataFrame, keys: list[str], order_cols: list[str], *,
     else:
         # At most MAX_HOT_KEYS rows reach the driver; applied as an InSet.
         src, cols = count_on if count_on else (long, keys)
-        found = [tuple(r)[:len(cols)] for r in hot_keys(src, cols, hot_rows).collect()]
+        found = [tuple(r)[:len(cols)] for r in hot_keys(src, cols, hot_rows, max_hot_keys).collect()]
         key = F.struct(*[F.col(k) for k in cols])
         hot = (key.isin(*[F.struct(*[F.lit(v) for v in t]) for t in found]) if found
                else F.lit(False))
@@ -228,7 +229,7 @@ def detect_anomalies(df: DataFrame, *, device_col: str = "device_id",
                      thresholds: dict = THRESHOLDS, window: int = WINDOW_SIZE,
                      exact: bool = True, scale: int = 100,
                      block_seconds: int = DEFAULT_BLOCK_SECONDS,
-                     hot_rows: int | None = DEFAULT_HOT_ROWS,
+                     hot_rows: int | None = DEFAULT_HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS,
                      keep: list[str] | None = None) -> DataFrame:
     """Readings table -> alert rows (the stored alert columns).
 
@@ -244,7 +245,7 @@ def detect_anomalies(df: DataFrame, *, device_col: str = "device_id",
     # A device with at most hot_rows readings bounds each of its metrics too.
     stats = rolling_stats(long, [device_col, "metric"], order_cols, window=window,
                           exact=exact, scale=scale, block_seconds=block_seconds, hot_rows=hot_rows,
-                          count_on=(df.select(device_col), [device_col]))
+                          count_on=(df.select(device_col), [device_col]), max_hot_keys=max_hot_keys)
     derived = stats_columns(window, exact, scale)
     scored = stats.withColumn("z", derived["z"]).where(F.col("z").isNotNull())
     flagged = scored.withColumn("severity", severity_expr(thresholds)).where(F.col("severity").isNotNull())

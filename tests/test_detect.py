@@ -124,3 +124,16 @@ def test_general_form_matches_exact(spark):
     a = {(r.device_id, r.detected_at, r.metric, r.severity) for r in D.detect_anomalies(t).collect()}
     b = {(r.device_id, r.detected_at, r.metric, r.severity) for r in D.detect_anomalies(t, exact=False).collect()}
     assert a == b and len(a) == 47
+
+
+@pytest.mark.parametrize("max_hot_keys", [1, 3])
+def test_hot_keys_past_the_cap_stay_exact(spark, max_hot_keys):
+    """Every supplier is hot (hot_rows=0) but only the largest few are
+    blocked; the rest run as one window partition. Same alerts either way."""
+    from fleetscope.sources.fixtures import load_lineitem_history, LINEITEM_METRICS, LINEITEM_ORDER
+    from conftest import SF_SMALL
+    li = load_lineitem_history(spark, SF_SMALL)
+    a = D.detect_anomalies(li, time_col="l_shipdate", order_cols=LINEITEM_ORDER, metrics=LINEITEM_METRICS,
+                           thresholds={m: (1.8, 2.5) for m in LINEITEM_METRICS},
+                           block_seconds=86400 * 60, hot_rows=0, max_hot_keys=max_hot_keys)
+    assert a.count() == 428
