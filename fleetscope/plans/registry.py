@@ -614,3 +614,20 @@ def q_write_alerts(spark, sf_dir):
     write_anomaly_alerts(a, 0, f"{root}/alerts")
     write_anomaly_alerts(a, 0, f"{root}/alerts")
     return read_alerts(spark, f"{root}/alerts").select(*ALERT_COLUMNS)
+
+
+@register("quarantine_stream", O.with_views(f"""
+SELECT event_id, reasons FROM (SELECT event_id, {_FAULT_CASE} AS reasons FROM telemetry) r
+WHERE event_id % 150 IN ({_FAULT_LIST})"""))
+def q_quarantine_stream(spark, sf_dir):
+    """Damaged messages through the stream's quarantine sink (rejected
+    rows with reasons), read back."""
+    from fleetscope.session import new_subdir
+    from fleetscope.streaming.jobs import run_to_end, start_quarantine_query
+    root = new_subdir(spark, "stream")
+    msgs = FX.wire_messages(telemetry(spark, sf_dir), faults=True)
+    FX.write_wire_chunks(msgs, f"{root}/messages", chunks=3)
+    src = {"path": f"{root}/messages", "options": {"maxFilesPerTrigger": "1"}}
+    with state_partitions(spark):
+        run_to_end(start_quarantine_query(spark, src, f"{root}/rejected", f"{root}/_ck_rejected"))
+    return spark.read.parquet(f"{root}/rejected").select(F.col("offset").alias("event_id"), "reasons")

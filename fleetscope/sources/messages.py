@@ -86,8 +86,10 @@ def decode_telemetry(messages: DataFrame, keep: list[str] | None = None) -> Data
     """UTF-8 + JSON decode of ``value`` into the wire event fields.
 
     Malformed messages are kept, not fatal: ``_corrupt`` holds their text
-    (or "<invalid utf-8>"); ``_not_object`` marks valid JSON that is not an
-    object. Quarantine decides what happens to them.
+    (or "<invalid utf-8>"); ``_not_object`` marks text that is not one JSON
+    object (an array, a number, or trailing data after the object, which
+    ``from_json`` alone would ignore). Quarantine decides what happens to
+    them.
     """
     keep = keep if keep is not None else [c for c in ("key", "partition", "offset")
                                           if c in messages.columns]
@@ -101,7 +103,9 @@ def decode_telemetry(messages: DataFrame, keep: list[str] | None = None) -> Data
     decoded = F.struct(
         *[F.col(f"_e.{f.name}").alias(f.name) for f in WIRE_EVENT_SCHEMA.fields],
         corrupt.alias(CORRUPT),
-        (F.col("_text").isNotNull() & ~F.ltrim(F.col("_text")).startswith("{")).alias("_not_object"))
+        (F.col("_text").isNotNull()
+         & ~(F.ltrim(F.col("_text")).startswith("{") & F.rtrim(F.col("_text")).endswith("}")))
+        .alias("_not_object"))
     # ... then inline(array(x)), exactly one row per message. As a Generate
     # it is a barrier: filters on decoded fields (quarantine) are not pushed
     # below it, so the parse is never copied into each check.

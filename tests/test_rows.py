@@ -138,3 +138,8 @@ def test_empty_tables_give_zero_totals(spark):
     al = spark.createDataFrame([], "severity string, detected_at timestamp_ntz")
     r = R.stats_summary(ev, al, as_of="2024-01-31 00:00:00").first()
     assert all(v == 0 for v in r.asDict().values())
+
+
+def test_trailing_data_after_object_is_malformed(spark):
+    got = _reasons(spark, [json.dumps(GOOD) + " x", json.dumps(GOOD) + "  \n", json.dumps(GOOD) + "�"])
+    assert got == ["malformed", "", "malformed"]
