@@ -104,7 +104,8 @@ def decode_telemetry(messages: DataFrame, keep: list[str] | None = None) -> Data
         *[F.col(f"_e.{f.name}").alias(f.name) for f in WIRE_EVENT_SCHEMA.fields],
         corrupt.alias(CORRUPT),
         (F.col("_text").isNotNull()
-         & ~(F.ltrim(F.col("_text")).startswith("{") & F.rtrim(F.col("_text")).endswith("}")))
+         & ~(F.btrim(F.col("_text"), F.lit(" \t\r\n")).startswith("{")
+             & F.btrim(F.col("_text"), F.lit(" \t\r\n")).endswith("}")))
         .alias("_not_object"))
     # ... then inline(array(x)), exactly one row per message. As a Generate
     # it is a barrier: filters on decoded fields (quarantine) are not pushed
