@@ -105,3 +105,38 @@ def read_rollup(spark: SparkSession, root: str) -> DataFrame:
                                          "avg_signal double, avg_throughput double, min_throughput double, "
                                          "critical_count bigint")
     return finish_rollup(spark.read.parquet(*paths))
+
+
+def vacuum_rollup(spark: SparkSession, root: str, retain: int = 1) -> list[str]:
+    """Delete month folders of old versions that the manifest no longer
+    names, keeping the newest ``retain`` versions before the current one
+    so readers holding an older manifest can finish. Returns the deleted
+    paths."""
+    manifest = _read_manifest(spark, root)
+    live = set(manifest["months"].values())
+    keep_from = manifest["version"] - retain
+    fs, base, jvm = _fs(spark, root.rstrip("/"))
+    if not fs.exists(base):
+        return []
+    deleted = []
+    for vdir in fs.listStatus(base):
+        name = vdir.getPath().getName()
+        if not (vdir.isDirectory() and name.startswith("_v=")):
+            continue
+        try:
+            version = int(name[len("_v="):])
+        except ValueError:
+            continue
+        if version >= keep_from:
+            continue
+        remaining = 0
+        for mdir in fs.listStatus(vdir.getPath()):
+            path = f"{root.rstrip('/')}/{name}/{mdir.getPath().getName()}"
+            if mdir.isDirectory() and mdir.getPath().getName().startswith("event_month=") and path not in live:
+                fs.delete(mdir.getPath(), True)
+                deleted.append(path)
+            elif mdir.isDirectory():
+                remaining += 1
+        if remaining == 0:
+            fs.delete(vdir.getPath(), True)
+    return deleted

@@ -165,3 +165,17 @@ def test_late_readings_are_kept(spark):
                            f"{root}/events", f"{root}/_ck")
     run_to_end(q)
     assert spark.read.parquet(f"{root}/events").count() == 1000
+
+
+def test_vacuum_keeps_live_months(spark):
+    from fleetscope.plans.refresh import vacuum_rollup
+    root = new_subdir(spark, "t-vacuum")
+    view = FX.load_telemetry(spark, SF_SMALL).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+    events = f"{root}/events"
+    for b, (lo, hi) in enumerate([(0, 300), (300, 600), (600, 1000)]):
+        write_events_by_month(view.where((F.col("event_id") >= lo) & (F.col("event_id") < hi)), b, events, extra=[])
+        refresh_rollup(spark, events, f"{root}/rollup")
+    before = read_rollup(spark, f"{root}/rollup").count()
+    deleted = vacuum_rollup(spark, f"{root}/rollup", retain=1)
+    assert len(deleted) == 1 and "_v=1/" in deleted[0]  # _v=2 kept for readers, _v=3 live
+    assert read_rollup(spark, f"{root}/rollup").count() == before == rollup_5min(view).count()
