@@ -17,9 +17,11 @@ per key *size*:
    unpivot) finds the hot devices, those with more than ``hot_rows`` readings -- at most ``MAX_HOT_KEYS`` of them, a
    proven bound, so the list is brought to the driver and applied as a
    literal set (no join below the shuffle);
-1. readings are shuffled on (device, metric, block), where the block is a
-   time bucket of ``block_seconds`` for hot keys and the whole history for
-   the others. The frame is evaluated inside each block; this is already
+1. readings are shuffled once, *before* the unpivot (one row per event, not
+   one per metric), on (device, block), where the block is a time bucket of
+   ``block_seconds`` for hot devices and the whole history for the others;
+   the window on (device, metric, block) needs no further shuffle. The
+   frame is evaluated inside each block; this is already
    final for every row of a one-block key and for rows with at least
    ``window - 1`` predecessors in their block;
 2. only the *edge* rows of hot keys -- the first and the last
@@ -121,12 +123,24 @@ def hot_keys(long: DataFrame, keys: list[str], hot_rows: int, max_keys: int = MA
             .select(*keys))
 
 
+def _hot_flag(src: DataFrame, cols: list[str], hot_rows: int | None, max_keys: int) -> Column:
+    """Column: is this row's key hot? At most ``max_keys`` keys reach the
+    driver; they are applied as a literal set (an InSet)."""
+    if hot_rows is None:
+        return F.lit(True)
+    found = [tuple(r)[:len(cols)] for r in hot_keys(src, cols, hot_rows, max_keys).collect()]
+    if not found:
+        return F.lit(False)
+    key = F.struct(*[F.col(k) for k in cols])
+    return key.isin(*[F.struct(*[F.lit(v) for v in t]) for t in found])
+
+
 def rolling_stats(long: DataFrame, keys: list[str], order_cols: list[str], *,
                   value_col: str = "x", window: int = WINDOW_SIZE, exact: bool = True,
                   scale: int = 100, block_seconds: int = DEFAULT_BLOCK_SECONDS,
                   hot_rows: int | None = DEFAULT_HOT_ROWS, block_col: str | None = None,
                   count_on: tuple[DataFrame, list[str]] | None = None,
-                  max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+                  max_hot_keys: int = MAX_HOT_KEYS, blocked: bool = False) -> DataFrame:
     """Count, mean and population std over the last ``window`` rows of each
     key (current row included). Exact form adds ``_c`` (scaled integer),
     ``n``, ``s``, ``q``; general form adds ``n``, ``mean``, ``std``.
@@ -135,24 +149,20 @@ def rolling_stats(long: DataFrame, keys: list[str], order_cols: list[str], *,
     ``block_seconds`` and stitched by the edge pass; every other key is one
     window partition (``hot_rows=None`` blocks every key). ``count_on`` =
     (frame, cols) counts on a cheaper frame whose rows bound the key sizes,
-    e.g. (readings, [device]) before the unpivot."""
+    e.g. (readings, [device]) before the unpivot. ``blocked=True``: ``long``
+    already carries ``_hot`` and ``_blk`` (see ``detect_anomalies``)."""
     if window < 1:
         raise ValueError("window must be >= 1")
-    fine = F.col(block_col) if block_col else _block_key(long, order_cols[0], block_seconds)
     extra = {}
     if exact:
         extra["_c"] = F.round(F.col(value_col) * scale).cast("long")
-    if hot_rows is None:
-        hot = F.lit(True)
+    if blocked:
+        base = long.withColumns(extra)
     else:
-        # At most MAX_HOT_KEYS rows reach the driver; applied as an InSet.
+        fine = F.col(block_col) if block_col else _block_key(long, order_cols[0], block_seconds)
         src, cols = count_on if count_on else (long, keys)
-        found = [tuple(r)[:len(cols)] for r in hot_keys(src, cols, hot_rows, max_hot_keys).collect()]
-        key = F.struct(*[F.col(k) for k in cols])
-        hot = (key.isin(*[F.struct(*[F.lit(v) for v in t]) for t in found]) if found
-               else F.lit(False))
-    base = long.withColumns({**extra, "_hot": hot})
-    base = base.withColumn("_blk", F.when(F.col("_hot"), fine).otherwise(F.lit(None).cast("long")))
+        base = long.withColumns({**extra, "_hot": _hot_flag(src, cols, hot_rows, max_hot_keys)})
+        base = base.withColumn("_blk", F.when(F.col("_hot"), fine).otherwise(F.lit(None).cast("long")))
     order = [F.col(c).asc() for c in order_cols]
     w_blk = Window.partitionBy(*keys, "_blk").orderBy(*order)
     whole = w_blk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -241,11 +251,19 @@ def detect_anomalies(df: DataFrame, *, device_col: str = "device_id",
     order_cols = order_cols or [time_col, "event_id"]
     keep = keep or []
     ids = list(dict.fromkeys([device_col, *order_cols, time_col, *keep]))
-    long = unpivot_metrics(df, ids, metrics)
-    # A device with at most hot_rows readings bounds each of its metrics too.
+    # Hot devices and blocks are decided on the readings, and the readings
+    # are shuffled once on (device, block) *before* the 4x unpivot: a window
+    # on (device, metric, block) is satisfied by that partitioning, so the
+    # long rows are never shuffled. A device with at most hot_rows readings
+    # bounds each of its metrics too.
+    hot = _hot_flag(df.select(device_col), [device_col], hot_rows, max_hot_keys)
+    wide = df.withColumn("_hot", hot).withColumn(
+        "_blk", F.when(F.col("_hot"), _block_key(df, order_cols[0], block_seconds))
+        .otherwise(F.lit(None).cast("long")))
+    wide = wide.repartition(device_col, "_blk")
+    long = unpivot_metrics(wide, [*ids, "_hot", "_blk"], metrics)
     stats = rolling_stats(long, [device_col, "metric"], order_cols, window=window,
-                          exact=exact, scale=scale, block_seconds=block_seconds, hot_rows=hot_rows,
-                          count_on=(df.select(device_col), [device_col]), max_hot_keys=max_hot_keys)
+                          exact=exact, scale=scale, blocked=True)
     derived = stats_columns(window, exact, scale)
     scored = stats.withColumn("z", derived["z"]).where(F.col("z").isNotNull())
     flagged = scored.withColumn("severity", severity_expr(thresholds)).where(F.col("severity").isNotNull())
