@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,9 +49,9 @@ def slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBa
             continue
         col = batch.column(text)
         if pa.types.is_list(col.type):
-            sizes = 4 * np.asarray(col.value_lengths().fill_null(0), dtype=np.int64)
+            sizes = 4 * np.asarray(pc.fill_null(col.value_lengths(), 0), dtype=np.int64)
         else:
-            sizes = np.asarray(pa.compute.binary_length(col).fill_null(0), dtype=np.int64)
+            sizes = np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64)
         ends = np.cumsum(sizes)
         at = 0
         while at < n:
@@ -60,7 +60,3 @@ def slices(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBa
             stop = min(max(stop, at + 1), at + SLICE_ROWS, n)
             yield batch.slice(at, stop - at)
             at = stop
-
-
-def crc32(data: bytes) -> int:
-    return zlib.crc32(data)
