@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetscope.llm import byte_bpe, decontaminate
+from fleetscope.llm import byte_bpe, decontaminate, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": byte_bpe.op1,
+    "op8_simhash": simhash.op8,
     "op10_decontamination": decontaminate.op10,
 }
 
