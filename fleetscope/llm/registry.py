@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetscope.llm import byte_bpe, decontaminate, language_id, pii, simhash, toxicity
+from fleetscope.llm import byte_bpe, decontaminate, language_id, pii, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": byte_bpe.op1,
     "op2_language_id": language_id.op2,
     "op5_pii": pii.op5,
+    "op6_quality_rules": quality.op6,
     "op7_toxicity": toxicity.op7,
     "op8_simhash": simhash.op8,
     "op10_decontamination": decontaminate.op10,
