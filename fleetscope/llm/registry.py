@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetscope.llm import byte_bpe, decontaminate, language_id, pii, quality, simhash, toxicity
+from fleetscope.llm import byte_bpe, decontaminate, language_id, pii, quality, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": byte_bpe.op1,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": quality.op6,
     "op7_toxicity": toxicity.op7,
     "op8_simhash": simhash.op8,
+    "op9_sharding": sharding.op9,
     "op10_decontamination": decontaminate.op10,
 }
 
