@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetscope.llm import byte_bpe, decontaminate, language_id, pii, quality, sharding, simhash, toxicity
+from fleetscope.llm import byte_bpe, decontaminate, language_id, pii, quality, sharding, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": byte_bpe.op1,
     "op2_language_id": language_id.op2,
+    "op4_warc_revisits": warc.op4,
     "op5_pii": pii.op5,
     "op6_quality_rules": quality.op6,
     "op7_toxicity": toxicity.op7,
@@ -19,4 +20,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": decontaminate.op10,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_warc_revisits": warc.ORACLE_SQL,
+}
