@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetscope.llm import byte_bpe, decontaminate, language_id, pii, quality, sharding, simhash, toxicity, warc
+from fleetscope.llm import byte_bpe, decontaminate, language_id, licenses, pii, quality, sharding, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": byte_bpe.op1,
     "op2_language_id": language_id.op2,
+    "op3_license_scan": licenses.op3,
     "op4_warc_revisits": warc.op4,
     "op5_pii": pii.op5,
     "op6_quality_rules": quality.op6,
@@ -21,5 +22,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_license_scan": licenses.ORACLE_SQL,
     "op4_warc_revisits": warc.ORACLE_SQL,
 }
