@@ -281,13 +281,14 @@ def decode(encoded: DataFrame, bpe: Bpe, id_col: str = "doc_id") -> DataFrame:
     return picked.mapInArrow(run, f"id {kind}, token_ids array<int>, decoded binary").withColumnRenamed("id", id_col)
 
 
-def digests(docs: DataFrame, bpe: Bpe) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document, from the encoded ids and their decoding."""
+def digests(docs: DataFrame, bpe: Bpe, keep_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document, from the encoded ids and their decoding; with
+    ``keep_ids`` the token_ids too."""
     both = decode(encode(docs, bpe), bpe)
     return both.select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2("decoded", 256).alias("decoded_sha256"), *(["token_ids"] if keep_ids else []))
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

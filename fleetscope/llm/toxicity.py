@@ -36,7 +36,7 @@ from fleetscope.session import ship_package
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
-POSITIVES, UNLABELLED = 4000, 8000
+POSITIVES, UNLABELLED = 3000, 6000
 FEATURES = 4096
 #: Hashed features.
 _BITS = 20
@@ -165,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = _featured(rows).dropDuplicates(["id", "positive"]).orderBy("positive", "id").drop("id").toArrow()
     sizes = pa.chunked_array(sample["features"]).combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
     flat = [sample[c].combine_chunks().flatten().to_numpy() for c in ("features", "counts")]
-    return fit(np.repeat(np.arange(len(sizes)), sizes), flat[0], flat[1],
+    return fit(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), flat[0], flat[1],
                sample["positive"].to_numpy().astype(bool), n_p / n, keep)
 
 
