@@ -10,31 +10,24 @@ threshold, else no alert.
 Plan at scale
 -------------
 A plain ``Window.partitionBy(device, metric)`` would put every reading of
-a hot device into one task. The count-based frame is therefore computed
-per key *size*:
+a hot device into one task. All devices take one path instead:
 
-0. a counting aggregate (map-side combined, on the readings before the
-   unpivot) finds the hot devices, those with more than ``hot_rows`` readings -- at most ``MAX_HOT_KEYS`` of them, a
-   proven bound, so the list is brought to the driver and applied as a
-   literal set (no join below the shuffle);
+0. ``assign_blocks`` numbers blocks of about ``target_rows`` consecutive
+   readings of a device from counts by time bucket (see blocks.py);
 1. readings are shuffled once, *before* the unpivot (one row per event, not
-   one per metric), on (device, block), where the block is a time bucket of
-   ``block_seconds`` for hot devices and the whole history for the others;
-   the window on (device, metric, block) needs no further shuffle. The
-   frame is evaluated inside each block; this is already
-   final for every row of a one-block key and for rows with at least
-   ``window - 1`` predecessors in their block;
-2. only the *edge* rows of hot keys -- the first and the last
-   ``window - 1`` rows of every block -- are shuffled on (device, metric)
-   and the frame is evaluated again over them. The last ``window - 1`` rows
-   before any block are all edge rows, so the result is exact for the head
-   rows.
+   one per metric), on (device, block); the window on (device, metric,
+   block) needs no further shuffle. The frame evaluated inside a block is
+   already final for the rows of a device's first block and for rows with
+   at least ``window - 1`` predecessors in their block;
+2. only the *edge* rows of devices with several blocks -- the first and the
+   last ``window - 1`` rows of every block -- are shuffled on (device,
+   metric) and the frame is evaluated again over them. The last
+   ``window - 1`` rows before any block are all edge rows, so the result is
+   exact for the head rows.
 
 The union of the final rows of (1) and the head rows of (2) is the whole,
-exact result, with one shuffle of the data (the two branches share it).
-Per task, (1) holds at most ``hot_rows`` readings of a normal key or one
-block of a hot key, and (2) at most ``2 (window - 1)`` rows per block of a
-hot key.
+exact result. A task of (1) holds about ``target_rows`` readings, and one
+of (2) ``2 (window - 1)`` rows per block and metric of a device.
 
 Numbers
 -------
@@ -49,15 +42,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fleetscope.functions.expressions import div_half_up
+from fleetscope.operators.blocks import DEFAULT_TARGET_ROWS, assign_blocks
 from fleetscope.schemas import MIN_STD, MONITORED_METRICS, THRESHOLDS, WINDOW_SIZE
 
-DEFAULT_BLOCK_SECONDS = 3600
-DEFAULT_HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
-
 
 # -- operator 15 -----------------------------------------------------------
 def unpivot_metrics(df: DataFrame, ids: list[str], metrics: list[str] = MONITORED_METRICS,
@@ -73,24 +62,6 @@ def unpivot_metrics(df: DataFrame, ids: list[str], metrics: list[str] = MONITORE
             .where(F.col(value_col).isNotNull()))
 
 
-def _epoch_seconds(c: Column, dtype: T.DataType) -> Column:
-    """Seconds since 1970 without any time-zone step for NTZ/date input, so
-    the block key never goes backwards across a DST change."""
-    if isinstance(dtype, T.TimestampType):
-        return F.floor(F.unix_micros(c) / 1_000_000)
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("long") * 86400
-    if isinstance(dtype, T.TimestampNTZType):
-        return (F.unix_date(F.to_date(c)).cast("long") * 86400 + F.hour(c) * 3600
-                + F.minute(c) * 60 + F.floor(F.second(c)))
-    return c.cast("long")  # already a number that grows with the order
-
-
-def _block_key(df: DataFrame, order_col: str, block_seconds: int) -> Column:
-    dtype = df.schema[order_col].dataType
-    return F.floor(_epoch_seconds(F.col(order_col), dtype) / F.lit(block_seconds)).cast("long")
-
-
 def _frame_aggs(w_order, value: str, exact: bool, window: int) -> list[dict]:
     """Window columns n, s, q (exact) or n, mean, std (general) over the
     last ``window`` rows of ``w_order``. A bounded frame: a sum of at most
@@ -113,56 +84,32 @@ def _apply(df: DataFrame, steps: list[dict]) -> DataFrame:
 
 
 # -- operator 16 -----------------------------------------------------------
-def hot_keys(long: DataFrame, keys: list[str], hot_rows: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows (at most ``max_keys`` of them,
-    the largest first). Its size is bounded by construction. A hot key past
-    the cap is still computed exactly, as one window partition."""
-    return (long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-            .where(F.col("_rows") > hot_rows)
-            .orderBy(F.col("_rows").desc()).limit(max_keys)
-            .select(*keys))
-
-
-def _hot_flag(src: DataFrame, cols: list[str], hot_rows: int | None, max_keys: int) -> Column:
-    """Column: is this row's key hot? At most ``max_keys`` keys reach the
-    driver; they are applied as a literal set (an InSet)."""
-    if hot_rows is None:
-        return F.lit(True)
-    found = [tuple(r)[:len(cols)] for r in hot_keys(src, cols, hot_rows, max_keys).collect()]
-    if not found:
-        return F.lit(False)
-    key = F.struct(*[F.col(k) for k in cols])
-    return key.isin(*[F.struct(*[F.lit(v) for v in t]) for t in found])
+def hundredths(value: Column, scale: int) -> Column:
+    """``value * scale`` as an integer; fails where it is not one, instead
+    of scoring a rounded value."""
+    scaled = value * scale
+    whole = F.round(scaled)
+    message = F.concat(F.lit(f"not a multiple of 1/{scale}, use exact=False: "), value.cast("string"))
+    off = F.abs(scaled - whole) > F.greatest(F.lit(1e-6), F.abs(whole) * 1e-12)
+    return F.when(off, F.raise_error(message).cast("long")).otherwise(whole.cast("long"))
 
 
 def rolling_stats(long: DataFrame, keys: list[str], order_cols: list[str], *,
                   value_col: str = "x", window: int = WINDOW_SIZE, exact: bool = True,
-                  scale: int = 100, block_seconds: int = DEFAULT_BLOCK_SECONDS,
-                  hot_rows: int | None = DEFAULT_HOT_ROWS, block_col: str | None = None,
-                  count_on: tuple[DataFrame, list[str]] | None = None,
-                  max_hot_keys: int = MAX_HOT_KEYS, blocked: bool = False) -> DataFrame:
+                  scale: int = 100, target_rows: int = DEFAULT_TARGET_ROWS,
+                  blocked: bool = False) -> DataFrame:
     """Count, mean and population std over the last ``window`` rows of each
     key (current row included). Exact form adds ``_c`` (scaled integer),
     ``n``, ``s``, ``q``; general form adds ``n``, ``mean``, ``std``.
 
-    Keys with more than ``hot_rows`` rows are cut into time blocks of
-    ``block_seconds`` and stitched by the edge pass; every other key is one
-    window partition (``hot_rows=None`` blocks every key). ``count_on`` =
-    (frame, cols) counts on a cheaper frame whose rows bound the key sizes,
-    e.g. (readings, [device]) before the unpivot. ``blocked=True``: ``long``
-    already carries ``_hot`` and ``_blk`` (see ``detect_anomalies``)."""
+    Keys are cut into blocks of about ``target_rows`` rows and stitched by
+    the edge pass. ``blocked=True``: ``long`` already carries ``_blk`` and
+    ``_split`` (see ``detect_anomalies``)."""
     if window < 1:
         raise ValueError("window must be >= 1")
-    extra = {}
-    if exact:
-        extra["_c"] = F.round(F.col(value_col) * scale).cast("long")
-    if blocked:
-        base = long.withColumns(extra)
-    else:
-        fine = F.col(block_col) if block_col else _block_key(long, order_cols[0], block_seconds)
-        src, cols = count_on if count_on else (long, keys)
-        base = long.withColumns({**extra, "_hot": _hot_flag(src, cols, hot_rows, max_hot_keys)})
-        base = base.withColumn("_blk", F.when(F.col("_hot"), fine).otherwise(F.lit(None).cast("long")))
+    if not blocked:
+        long = assign_blocks(long, keys, order_cols, target_rows).repartition(*keys, "_blk")
+    base = long.withColumn("_c", hundredths(F.col(value_col), scale)) if exact else long
     order = [F.col(c).asc() for c in order_cols]
     w_blk = Window.partitionBy(*keys, "_blk").orderBy(*order)
     whole = w_blk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -170,17 +117,20 @@ def rolling_stats(long: DataFrame, keys: list[str], order_cols: list[str], *,
                                       "_m": F.count(F.lit(1)).over(whole)}),
                     _frame_aggs(w_blk, value_col, exact, window))
     stats = ["n", "s", "q"] if exact else ["n", "mean", "std"]
-    out_cols = [c for c in base.columns if c not in ("_blk", "_hot")] + stats
-    # Final from stage 1: every row of a single-block key, and rows with a
-    # full frame inside their block.
-    inner = stage1.where(~F.col("_hot") | (F.col("_r") >= window)).select(*out_cols)
-    # Edge rows of blocked keys: first and last (window - 1) of every block.
-    edge_src = stage1.where(F.col("_hot") & ((F.col("_r") < window)
-                                             | (F.col("_m") - F.col("_r") < window - 1)))
+    out_cols = [c for c in base.columns if c not in ("_blk", "_split")] + stats
+    # Final from stage 1: every row of a key's first block, and rows with a
+    # full frame inside their block. (A key that is not split only has a first
+    # block; naming _split here too gives both branches the same columns, so
+    # that Spark runs the shuffle once for both.)
+    first = ~F.col("_split") | (F.col("_blk") == 0)
+    inner = stage1.where(first | (F.col("_r") >= window)).select(*out_cols)
+    # Edge rows of split keys: first and last (window - 1) of every block.
+    edge_src = stage1.where(F.col("_split") & ((F.col("_r") < window)
+                                               | (F.col("_m") - F.col("_r") < window - 1)))
     edge_src = edge_src.select(*base.columns, "_r")
     w_key = Window.partitionBy(*keys).orderBy(*order)
     edge = _apply(edge_src, _frame_aggs(w_key, value_col, exact, window))
-    heads = edge.where(F.col("_r") < window).select(*out_cols)
+    heads = edge.where((F.col("_blk") > 0) & (F.col("_r") < window)).select(*out_cols)
     return inner.unionByName(heads)
 
 
@@ -238,8 +188,7 @@ def detect_anomalies(df: DataFrame, *, device_col: str = "device_id",
                      metrics: list[str] = MONITORED_METRICS,
                      thresholds: dict = THRESHOLDS, window: int = WINDOW_SIZE,
                      exact: bool = True, scale: int = 100,
-                     block_seconds: int = DEFAULT_BLOCK_SECONDS,
-                     hot_rows: int | None = DEFAULT_HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS,
+                     target_rows: int = DEFAULT_TARGET_ROWS,
                      keep: list[str] | None = None) -> DataFrame:
     """Readings table -> alert rows (the stored alert columns).
 
@@ -251,17 +200,14 @@ def detect_anomalies(df: DataFrame, *, device_col: str = "device_id",
     order_cols = order_cols or [time_col, "event_id"]
     keep = keep or []
     ids = list(dict.fromkeys([device_col, *order_cols, time_col, *keep]))
-    # Hot devices and blocks are decided on the readings, and the readings
-    # are shuffled once on (device, block) *before* the 4x unpivot: a window
-    # on (device, metric, block) is satisfied by that partitioning, so the
-    # long rows are never shuffled. A device with at most hot_rows readings
-    # bounds each of its metrics too.
-    hot = _hot_flag(df.select(device_col), [device_col], hot_rows, max_hot_keys)
-    wide = df.withColumn("_hot", hot).withColumn(
-        "_blk", F.when(F.col("_hot"), _block_key(df, order_cols[0], block_seconds))
-        .otherwise(F.lit(None).cast("long")))
-    wide = wide.repartition(device_col, "_blk")
-    long = unpivot_metrics(wide, [*ids, "_hot", "_blk"], metrics)
+    # Blocks are decided on the readings, and the readings are shuffled once
+    # on (device, block) *before* the 4x unpivot: a window on (device, metric,
+    # block) is satisfied by that partitioning, so the long rows are never
+    # shuffled.
+    if exact and 10_000 % scale:
+        raise ValueError("scale must divide 10,000; use exact=False for other data")
+    wide = assign_blocks(df, [device_col], order_cols, target_rows).repartition(device_col, "_blk")
+    long = unpivot_metrics(wide, [*ids, "_blk", "_split"], metrics)
     stats = rolling_stats(long, [device_col, "metric"], order_cols, window=window,
                           exact=exact, scale=scale, blocked=True)
     derived = stats_columns(window, exact, scale)

@@ -67,6 +67,16 @@ def q_detect_lineitem(spark, sf_dir):
         thresholds=FX.LINEITEM_THRESHOLDS)
 
 
+@register("detect_anomalies_blocked", O.lineitem_alerts_sql())
+def q_detect_blocked(spark, sf_dir):
+    """The same with blocks of 150 readings: every supplier is split into
+    several blocks and stitched by the edge pass."""
+    return D.detect_anomalies(
+        FX.load_lineitem_history(spark, sf_dir), time_col="l_shipdate",
+        order_cols=FX.LINEITEM_ORDER, metrics=FX.LINEITEM_METRICS,
+        thresholds=FX.LINEITEM_THRESHOLDS, target_rows=150)
+
+
 _LONG_SQL = " UNION ALL ".join(
     f"SELECT device_id, event_id, '{m}' AS metric, cast({m} AS double) AS x FROM telemetry"
     for m in D.MONITORED_METRICS)

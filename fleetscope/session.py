@@ -43,7 +43,9 @@ def build_session(master: str | None = None, app: str = "fleetscope",
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """Instants are rendered and truncated in UTC, as the reference stores them."""
+    """Instants are rendered and truncated in UTC, as the reference stores them.
+    The registered queries set it; a plan keeps the zone it was made with only
+    if the session keeps it, so it is not set back."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
@@ -52,8 +54,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder for written intermediate tables, stream checkpoints and sinks.
 
     Uses the cluster's ``spark.checkpoint.dir`` (a shared file system on a
-    real cluster). Only when it is unset -- tests, local runs -- a fresh
-    local folder is created and registered as the checkpoint dir.
+    real cluster). Only when it is unset and the master is local -- tests,
+    local runs -- a fresh local folder is created and registered as the
+    checkpoint dir; on any other master that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -63,6 +66,9 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
             d = None
     if not d:
+        master = spark.conf.get("spark.master", "") or ""
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="fleetscope-")
         spark.conf.set("spark.checkpoint.dir", d)
         try:
