@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,11 +29,6 @@ def div_half_up(num, den) -> Column:
     return F.when(num < 0, -q).otherwise(q)
 
 
-def round_avg_cents(sum_cents, n) -> Column:
-    """ROUND(AVG(x), 2) for 2-decimal x, from the exact sum of cents."""
-    return div_half_up(sum_cents, n) / F.lit(100.0)
-
-
 def to_cents(x) -> Column:
     """2-decimal value -> exact BIGINT number of hundredths."""
     return F.round(col_of(x).cast("double") * 100).cast("long")
@@ -46,8 +39,8 @@ def clamp_metrics(df, cols: dict | None = None):
     """Clamp readings into their valid ranges and round to 2 places.
 
     cpu and memory to 0..100, signal to -120..-40, throughput to >= 0;
-    battery is only rounded. Rounding is half away from zero on the
-    decimal value (``round`` on a decimal cast), as for NUMERIC.
+    battery is only rounded. Rounding is half away from zero, once. A
+    reading that is NaN has no place in a range and stays NaN.
     """
     cols = cols or {
         "cpu_usage_pct": VALUE_RANGES["cpu_usage_pct"],
@@ -63,7 +56,8 @@ def clamp_metrics(df, cols: dict | None = None):
             c = F.greatest(c, F.lit(float(lo)))
         if hi is not None:
             c = F.least(c, F.lit(float(hi)))
-        out = out.withColumn(name, F.round(c.cast("decimal(20,6)"), 2).cast("double"))
+        own = F.col(name).cast("double")
+        out = out.withColumn(name, F.when(F.isnan(own), own).otherwise(F.round(c, 2)))
     return out
 
 
@@ -106,7 +100,3 @@ def iso_text(ts) -> Column:
 def render_time(ts) -> Column:
     """Timestamp -> text for results. Sort on the timestamp before this."""
     return col_of(ts).cast("string")
-
-
-def any_of(conds) -> Column:
-    return reduce(lambda a, b: a | b, conds)

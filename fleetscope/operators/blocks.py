@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetscope.session import new_subdir
+from fleetscope.session import written
 
 DEFAULT_TARGET_ROWS = 1_000_000
 COARSE_SECONDS = 3600
@@ -48,12 +48,6 @@ def _levels(df: DataFrame, order_cols: list[str]) -> list[Column]:
     return [*start, first, *[F.col(c) for c in order_cols[1:]]]
 
 
-def _table(df: DataFrame, name: str) -> DataFrame:
-    path = new_subdir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def assign_blocks(df: DataFrame, keys: list[str], order_cols: list[str],
                   target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Adds ``_blk`` (long, 0 for the first rows of a key, growing in the
@@ -80,7 +74,7 @@ def assign_blocks(df: DataFrame, keys: list[str], order_cols: list[str],
         if large is None:  # only keys with several blocks
             counts = (counts.withColumn("_all", F.sum("_n").over(Window.partitionBy(*keys)))
                       .where(F.col("_all") > target_rows))
-        found = _table(counts.select(*keys, *own, F.floor(F.col("_before") / target_rows).alias(f"_b{i}"),
+        found = written(counts.select(*keys, *own, F.floor(F.col("_before") / target_rows).alias(f"_b{i}"),
                                      "_n", "_before"), "blocks")
         out = out.join(found.drop("_n", "_before"), [*keys, *own], "left")
         blocks.insert(0, F.col(f"_b{i}"))

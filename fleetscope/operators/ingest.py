@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.functions.expressions import parse_event_time
-from fleetscope.schemas import (DECIMAL_TYPES, EVENT_COLUMNS, EVENT_TYPES, NUMERIC_FIELDS,
+from fleetscope.schemas import (DECIMAL_TYPES, EVENT_COLUMNS, EVENT_TYPES, MONITORED_METRICS, NUMERIC_FIELDS,
                                 TEXT_FIELDS, TEXT_LENGTHS, VALUE_RANGES)
 from fleetscope.sources.messages import CORRUPT
 
@@ -22,6 +22,17 @@ def _reason(cond: Column, text: str) -> Column:
     return F.when(cond, F.lit(text))
 
 
+def _finite(x: Column) -> Column:
+    return ~F.isnan(x) & (F.abs(x) != float("inf"))
+
+
+def stored_value(field: str) -> Column:
+    """A wire number as the table stores it: rounded to its decimal type,
+    NULL if it is not finite or does not fit."""
+    p, s = DECIMAL_TYPES[field]
+    return F.col(field).try_cast(f"decimal({p},{s})")
+
+
 def reject_reasons(df: DataFrame) -> Column:
     """array<string> of every rule the decoded row breaks (empty = valid)."""
     malformed = F.col(CORRUPT).isNotNull() | F.coalesce(F.col("_not_object"), F.lit(False))
@@ -31,14 +42,17 @@ def reject_reasons(df: DataFrame) -> Column:
         checks.append(_reason(ok & F.col(f).isNull(), f"missing:{f}"))
     for f in NUMERIC_FIELDS:
         x = F.col(f)
-        checks.append(_reason(ok & (F.isnan(x) | (F.abs(x) == float("inf"))), f"not_finite:{f}"))
+        checks.append(_reason(ok & ~_finite(x), f"not_finite:{f}"))
+        # the table checks the value it stores, after rounding; a value that
+        # its type cannot hold is out of range too
+        v = stored_value(f)
         lo, hi = VALUE_RANGES[f]
-        bad = F.lit(False)
+        bad = v.isNull()
         if lo is not None:
-            bad = bad | (x < lo)
+            bad = bad | (v < lo)
         if hi is not None:
-            bad = bad | (x > hi)
-        checks.append(_reason(ok & ~F.isnan(x) & (F.abs(x) != float("inf")) & bad, f"out_of_range:{f}"))
+            bad = bad | (v > hi)
+        checks.append(_reason(ok & _finite(x) & bad, f"out_of_range:{f}"))
     checks.append(_reason(ok & F.col("event_type").isNotNull()
                           & ~F.col("event_type").isin(*EVENT_TYPES), "bad_value:event_type"))
     for f, n in TEXT_LENGTHS.items():
@@ -71,13 +85,25 @@ def conform_event(valid: DataFrame, keep: list[str] | None = None) -> DataFrame:
         if c == "event_timestamp":
             cols.append(parse_event_time(F.col("timestamp")).alias(c))
         elif c in DECIMAL_TYPES:
-            p, s = DECIMAL_TYPES[c]
-            cols.append(F.col(c).cast(f"decimal({p},{s})").alias(c))
+            cols.append(stored_value(c).alias(c))
         else:
             cols.append(F.col(c))
     return valid.select(*keep, *cols)
 
 
+def detector_readings(decoded: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Decoded messages -> rows for the detector: it needs a device, a time
+    and finite metrics only. A metric that is missing, not finite or too
+    large to store is NULL, which the detector skips by itself; fields that
+    only the table checks do not matter here."""
+    keep = keep or []
+    at = parse_event_time(F.col("timestamp"))
+    readable = F.col(CORRUPT).isNull() & ~F.coalesce(F.col("_not_object"), F.lit(False))
+    rows = decoded.where(readable & F.col("device_id").isNotNull() & at.isNotNull())
+    return rows.select(*keep, "device_id", at.alias("event_timestamp"),
+                       *[stored_value(m).alias(m) for m in MONITORED_METRICS])
+
+
 # -- operator 8 ------------------------------------------------------------
 def dedup_events(df: DataFrame, key_cols: list[str] | None = None,
                  watermark_col: str | None = None) -> DataFrame:

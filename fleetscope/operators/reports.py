@@ -9,11 +9,16 @@ before the shuffle (a hot device ships at most k rows per map task).
 
 from __future__ import annotations
 
+from decimal import Decimal
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetscope.functions.expressions import render_time
 from fleetscope.schemas import NUMERIC_FIELDS, SEVERITIES
+from fleetscope.session import written
+
 
 def check_range(name: str, value: int, lo: int, hi: int) -> int:
     if not isinstance(value, int) or isinstance(value, bool) or not lo <= value <= hi:
@@ -102,50 +107,67 @@ def stats_summary(events: DataFrame, alerts: DataFrame, as_of=None) -> DataFrame
 
 
 # -- operator 29 -----------------------------------------------------------
+def percentile_name(p: float) -> str:
+    """0.95 -> p95, 0.994 -> p99_4, 0.999 -> p99_9."""
+    return "p" + format((Decimal(str(p)) * 100).normalize(), "f").replace(".", "_")
+
+
 def ingest_lag_percentiles(df: DataFrame, group_cols: list[str], lag_col: str = "lag_ms",
-                           percentiles=(0.95, 0.99), bucket_width: float = 1.0) -> DataFrame:
+                           percentiles=(0.95, 0.99), widths=(2.0 ** 20, 2.0 ** 10, 1.0)) -> DataFrame:
     """Median (mean of the two middle values) and pXX = sorted[int(n*XX)]
     (0-based) of ``lag_col`` per group -- exact, without collecting a group.
-
-    Two levels, so no task holds a group's rows even when one group has a
-    third of the data:
-    1. counts per (group, bucket of ``bucket_width``, value), map-side
-       combined; a window over the per-bucket totals of a group (at most
-       range / width rows) finds the bucket holding each target rank;
-    2. a window over the distinct values of that one bucket picks the value.
+    Rows without a lag do not count.
+
+    The target ranks are followed down through buckets of falling
+    ``widths``: on each level the rows of the buckets that still hold a
+    target are counted by the next finer bucket (map-side combined), and a
+    window over these counts finds the bucket of the rank. A window sees a
+    group's counts in one bucket of the level above, never its rows, also
+    without group columns.
     """
-    g = list(group_cols)
-    v = F.col(lag_col)
-    fine = (df.select(*g, v.alias("_v"), F.floor(v / F.lit(bucket_width)).cast("long").alias("_b"))
-            .groupBy(*g, "_b", "_v").agg(F.count(F.lit(1)).alias("_cnt")))
-    buckets = fine.groupBy(*g, "_b").agg(F.sum("_cnt").alias("_bc"))
-    w_run = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding,
-                                                               Window.currentRow)
-    buckets = buckets.withColumns({"_cum": F.sum("_bc").over(w_run),
-                                   "_n": F.sum("_bc").over(Window.partitionBy(*g))})
+    names = {p: percentile_name(p) for p in percentiles}
+    if len(set(names.values())) < len(names):
+        raise ValueError("percentiles must differ")
+    # never empty, and not a constant, so that it stays a grouping column
+    g = list(group_cols) or ["_all"]
+    lags = df.where(F.col(lag_col).isNotNull() & ~F.isnan(F.col(lag_col).cast("double")))
+    lags = lags.withColumn("_all", F.pmod(F.hash(lag_col), F.lit(1))) if not group_cols else lags
+    fine = written(lags.groupBy(*g, F.col(lag_col).alias("_v")).agg(F.count(F.lit(1)).alias("_cnt")), "lag-counts")
+
     n = F.col("_n")
     ranks = {"lo": F.floor((n + 1) / 2), "hi": F.floor(n / 2) + 1}
     for p in percentiles:
-        ranks[f"p{int(round(p * 100))}"] = F.least(n, F.floor(n.cast("double") * F.lit(float(p))) + 1)
-    wanted = F.array(*[F.struct(F.lit(k).alias("_t"), r.cast("long").alias("_rank"))
-                       for k, r in ranks.items()])
-    targets = (buckets.select(*g, "_b", "_bc", "_cum", "_n", F.inline(wanted))
-               .where((F.col("_cum") - F.col("_bc") < F.col("_rank")) & (F.col("_rank") <= F.col("_cum")))
-               .select(*g, "_b", "_t", "_n", (F.col("_rank") - (F.col("_cum") - F.col("_bc"))).alias("_in")))
-    w_in = (Window.partitionBy(*g, "_b", "_t").orderBy("_v")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    picked = (fine.join(targets, [*g, "_b"])
-              .withColumn("_c2", F.sum("_cnt").over(w_in))
-              .where((F.col("_c2") - F.col("_cnt") < F.col("_in")) & (F.col("_in") <= F.col("_c2"))))
+        ranks[names[p]] = F.least(n, F.floor(n.cast("double") * F.lit(float(p))) + 1)
+    wanted = F.array(*[F.struct(F.lit(k).alias("_t"), r.cast("long").alias("_rank")) for k, r in ranks.items()])
+    # some rows for each group, written on every level
+    targets = written(fine.groupBy(*g).agg(F.sum("_cnt").alias("_n"))
+                      .select(*g, "_n", F.inline(wanted)).withColumn("_p", F.lit(0).cast("double")), "lag-targets")
+
+    def same(a: DataFrame, b: DataFrame, cols: list[str]) -> Column:
+        return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in cols])
+
+    above = F.lit(0).cast("double")
+    for w in [*widths, None]:
+        bucket = F.floor(F.col("_v") / F.lit(float(w))).cast("double") if w else F.col("_v").cast("double")
+        rows = fine.select(*g, above.alias("_p"), bucket.alias("_b"), "_cnt")
+        open_ = targets.select(*g, "_p").distinct()
+        rows = rows.join(open_, same(rows, open_, [*g, "_p"]), "left_semi")
+        counts = rows.groupBy(*g, "_p", "_b").agg(F.sum("_cnt").alias("_c"))
+        upto = (Window.partitionBy(*g, "_p").orderBy("_b")
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        counts = counts.withColumn("_cum", F.sum("_c").over(upto))
+        found = (targets.join(counts, same(targets, counts, [*g, "_p"])
+                              & (F.col("_cum") - F.col("_c") < F.col("_rank")) & (F.col("_rank") <= F.col("_cum"))))
+        targets = written(found.select(*[targets[c] for c in g], "_n", "_t", (
+            F.col("_rank") - (F.col("_cum") - F.col("_c"))).alias("_rank"), F.col("_b").alias("_p")), "lag-targets")
+        above = bucket
 
     def val(t):
-        return F.max(F.when(F.col("_t") == t, F.col("_v")))
+        return F.max(F.when(F.col("_t") == t, F.col("_p")))
 
     aggs = [F.max("_n").alias("n"), ((val("lo") + val("hi")) / 2.0).alias("p50")]
-    for p in percentiles:
-        name = f"p{int(round(p * 100))}"
-        aggs.append(val(name).cast("double").alias(name))
-    return picked.groupBy(*g).agg(*aggs)
+    aggs += [val(name).alias(name) for name in names.values()]
+    return targets.groupBy(*g).agg(*aggs).select(*group_cols, "n", "p50", *names.values())
 
 
 # -- operator 30 -----------------------------------------------------------
@@ -188,7 +210,7 @@ class NotFound(LookupError):
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """Raise NotFound if df is empty (reads at most one row)."""
     if not df.take(1):
-        raise NotFound(f"No data found for {what}")
+        raise NotFound(f"{what}: no rows in the asked period")
     return df
 
 

@@ -7,7 +7,11 @@ Tables ``events``, ``lineitem`` ... are views the checker registers.
 
 from __future__ import annotations
 
-from fleetscope.schemas import MONITORED_METRICS, THRESHOLDS, WINDOW_SIZE
+# Fixed values, stated again so that the oracle does not follow the code under test.
+METRICS = ["cpu_usage_pct", "signal_strength_dbm", "throughput_mbps", "memory_usage_pct"]
+THRESHOLDS = {"cpu_usage_pct": (2.0, 3.0), "signal_strength_dbm": (1.8, 2.5), "throughput_mbps": (1.8, 2.5),
+              "memory_usage_pct": (2.2, 3.2)}
+WINDOW_SIZE = 60
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 
@@ -18,10 +22,9 @@ SELECT *, CASE
   ELSE 'normal' END AS event_type
 FROM (
  SELECT event_id, concat('DEV-', lpad(cast(user_id AS varchar), 5, '0')) AS device_id,
-  CASE user_id % 5 WHEN 0 THEN 'SD8Gen3' WHEN 1 THEN 'SD7sGen3' WHEN 2 THEN 'SD6Gen1'
-    WHEN 3 THEN 'SD4Gen2' ELSE 'SD888' END AS model,
+  concat('tracker-', chr(97 + cast(user_id % 7 AS int))) AS model,
   concat('v', cast(10 + user_id % 6 AS varchar), '.', cast(user_id % 10 AS varchar), '.0') AS firmware,
-  CASE WHEN user_id % 5 IN (1, 4) THEN 'LTE' ELSE '5G' END AS network_type,
+  CASE WHEN user_id % 3 = 0 THEN 'wifi' ELSE 'mesh' END AS network_type,
   ts AS event_timestamp,
   cast(CASE WHEN j = 0 THEN 95 WHEN j = 75 THEN 75 ELSE 20 + (k * 25) / 100.0 END AS decimal(5,2)) AS cpu_usage_pct,
   cast(40 + ((event_id * 131) % 2501) / 100.0 AS decimal(5,2)) AS memory_usage_pct,
@@ -95,7 +98,7 @@ FROM (
 
 def telemetry_alerts_sql(extra: list[str] | None = None) -> str:
     return alerts_sql(f"({TELEMETRY_SQL}) tv", "device_id", "event_timestamp",
-                      ["event_timestamp", "event_id"], MONITORED_METRICS, THRESHOLDS,
+                      ["event_timestamp", "event_id"], METRICS, THRESHOLDS,
                       extra=extra)
 
 

@@ -1,15 +1,18 @@
 """Refreshing the stored rollup without blocking readers (operator 28).
 
-The rollup lives in version folders, ``<root>/_v=<n>/event_month=<m>``, of
-additive rows (counts, sums of hundredths, max, min), and a small manifest
-``<root>/_current.json`` names the live folder of every month and the last
-event batch folded in. A refresh:
-
-1. reads only the event batches newer than the manifest's last batch
-   (partition pruning on ``batch_id``) and aggregates them,
-2. merges those rows with the live rows of the months they touch and
-   writes the merged months into a new version folder,
-3. replaces the manifest in one file write.
+The rollup lives in version folders, ``<root>/_v=<n>/event_day=<d>``, of
+additive rows (counts, sums of hundredths, max, min). Small numbered
+manifests ``<root>/_manifest-<n>.json``, each written once and never
+replaced, name the live folder of every day and the last event batch of
+every run that is folded in; the highest number counts. A refresh:
+
+1. reads only the event batches newer than the manifest's last batch of
+   their run (partition pruning on ``run_id`` and ``batch_id``) and, where
+   the stream's checkpoint is given, only those in its commit log,
+2. merges those rows with the live rows of the days they touch and writes
+   the merged days into a new version folder,
+3. adds the next manifest: written under another name, then renamed to a
+   name that does not exist yet. A crash before that leaves the old version.
 
 Readers resolve the manifest first and read only the folders it names, so
 a refresh never deletes or rewrites a folder that a running reader uses.
@@ -19,13 +22,15 @@ It works from an empty rollup (no manifest yet).
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope.operators.rollup import finish_rollup, merge_partial_rollups, partial_rollup
+from fleetscope.streaming.sinks import run_id_of
 
-MANIFEST = "_current.json"
+_MANIFEST = re.compile(r"_manifest-(\d+)\.json$")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -34,11 +39,17 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def _names(fs, p) -> list[str]:
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def _read_manifest(spark: SparkSession, root: str) -> dict:
-    fs, p, jvm = _fs(spark, f"{root.rstrip('/')}/{MANIFEST}")
-    if not fs.exists(p):
-        return {"months": {}, "last_batch": -1, "version": 0}
-    stream = fs.open(p)
+    root = root.rstrip("/")
+    fs, p, jvm = _fs(spark, root)
+    versions = [int(m[1]) for m in map(_MANIFEST.match, _names(fs, p)) if m]
+    if not versions:
+        return {"days": {}, "last_batch": {}, "version": 0}
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(f"{root}/_manifest-{max(versions)}.json"))
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
         text = "".join(iter(reader.readLine, None))
@@ -48,57 +59,69 @@ def _read_manifest(spark: SparkSession, root: str) -> dict:
 
 
 def _write_manifest(spark: SparkSession, root: str, manifest: dict) -> None:
-    fs, final, jvm = _fs(spark, f"{root.rstrip('/')}/{MANIFEST}")
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_tmp-{manifest['version']}.json")
+    root = root.rstrip("/")
+    fs, final, jvm = _fs(spark, f"{root}/_manifest-{manifest['version']}.json")
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{root}/_tmp-{manifest['version']}.json")
     out = fs.create(tmp, True)
     try:
         out.write(bytearray(json.dumps(manifest, sort_keys=True).encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(final):
-        fs.delete(final, False)
-    fs.rename(tmp, final)
+    if fs.exists(final) or not fs.rename(tmp, final):
+        raise RuntimeError(f"another refresh has written version {manifest['version']}")
+
 
+def committed_batch(spark: SparkSession, checkpoint: str) -> int:
+    """The last micro-batch in a stream's commit log, -1 if there is none."""
+    fs, p, _ = _fs(spark, f"{checkpoint.rstrip('/')}/commits")
+    return max((int(n) for n in _names(fs, p) if n.isdigit()), default=-1)
 
-def refresh_rollup(spark: SparkSession, events_path: str, root: str) -> dict:
+
+def refresh_rollup(spark: SparkSession, events_path: str, root: str, checkpoint: str | None = None) -> dict:
     """Fold event batches newer than the last refresh into the rollup.
     Returns the new manifest.
 
-    Only the new batches are read (``batch_id`` partition pruning) and
-    aggregated; their additive rows are merged with the live version of the
-    months they touch, and those months get a new version folder. A folder
-    left by a failed attempt is simply overwritten: no manifest names it.
+    ``checkpoint`` names the checkpoint of the stream that writes the
+    events: of its run only committed batches are folded, so that a batch
+    that is half written is left for the next refresh. A folder left by a
+    failed attempt is simply overwritten: no manifest names it.
     """
     manifest = _read_manifest(spark, root)
-    events = spark.read.parquet(events_path)
-    fresh = events.where(F.col("batch_id") > manifest["last_batch"])
-    stats = fresh.agg(F.max("batch_id").alias("b")).first()
-    if stats["b"] is None:
+    fresh = spark.read.parquet(events_path)
+    done = F.lit(False)
+    for run, last in manifest["last_batch"].items():
+        done = done | ((F.col("run_id") == run) & (F.col("batch_id") <= last))
+    fresh = fresh.where(~done)
+    if checkpoint:
+        own = F.col("run_id") == run_id_of(spark, checkpoint)
+        fresh = fresh.where(~own | (F.col("batch_id") <= committed_batch(spark, checkpoint)))
+    # partition values only: a row for each run, and one for each touched day
+    runs = {r.run_id: int(r.b) for r in fresh.groupBy("run_id").agg(F.max("batch_id").alias("b")).collect()}
+    if not runs:
         return manifest
-    # Month names only: one row per touched month.
-    months = sorted(r[0] for r in fresh.select("event_month").distinct().collect())
+    parts = partial_rollup(fresh).withColumn("event_day", _day())
+    days = sorted(r[0] for r in fresh.select(F.date_format("event_timestamp", "yyyy-MM-dd")).distinct().collect())
     version = manifest["version"] + 1
-    parts = partial_rollup(fresh).withColumn("event_month", F.date_format("window_start", "yyyy-MM"))
-    old_paths = [manifest["months"][m] for m in months if m in manifest["months"]]
+    old_paths = [manifest["days"][d] for d in days if d in manifest["days"]]
     if old_paths:
-        old = spark.read.parquet(*old_paths)
-        parts = parts.unionByName(old.withColumn("event_month", F.date_format("window_start", "yyyy-MM")))
-    merged = merge_partial_rollups(parts).withColumn(
-        "event_month", F.date_format("window_start", "yyyy-MM"))
+        parts = parts.unionByName(spark.read.parquet(*old_paths).withColumn("event_day", _day()))
+    merged = merge_partial_rollups(parts).withColumn("event_day", _day())
     staging = f"{root.rstrip('/')}/_v={version}"
-    merged.write.mode("overwrite").partitionBy("event_month").parquet(staging)
-    new_months = dict(manifest["months"])
-    for m in months:
-        new_months[m] = f"{staging}/event_month={m}"
-    new = {"months": new_months, "last_batch": int(stats["b"]), "version": version}
+    (merged.hint("rebalance", F.col("event_day")).write.mode("overwrite").partitionBy("event_day").parquet(staging))
+    new = {"days": {**manifest["days"], **{d: f"{staging}/event_day={d}" for d in days}},
+           "last_batch": {**manifest["last_batch"], **runs}, "version": version}
     _write_manifest(spark, root, new)
     return new
 
 
+def _day():
+    return F.date_format("window_start", "yyyy-MM-dd")
+
+
 def read_rollup(spark: SparkSession, root: str) -> DataFrame:
-    """The live rollup (all months) as named by the manifest."""
+    """The live rollup (all days) as named by the newest manifest."""
     manifest = _read_manifest(spark, root)
-    paths = [p for _, p in sorted(manifest["months"].items())]
+    paths = [p for _, p in sorted(manifest["days"].items())]
     if not paths:
         return spark.createDataFrame([], "device_id string, network_type string, window_start timestamp, "
                                          "event_count bigint, avg_cpu double, max_cpu double, avg_memory double, "
@@ -108,12 +131,12 @@ def read_rollup(spark: SparkSession, root: str) -> DataFrame:
 
 
 def vacuum_rollup(spark: SparkSession, root: str, retain: int = 1) -> list[str]:
-    """Delete month folders of old versions that the manifest no longer
+    """Delete day folders of old versions that the manifest no longer
     names, keeping the newest ``retain`` versions before the current one
     so readers holding an older manifest can finish. Returns the deleted
     paths."""
     manifest = _read_manifest(spark, root)
-    live = set(manifest["months"].values())
+    live = set(manifest["days"].values())
     keep_from = manifest["version"] - retain
     fs, base, jvm = _fs(spark, root.rstrip("/"))
     if not fs.exists(base):
@@ -132,7 +155,7 @@ def vacuum_rollup(spark: SparkSession, root: str, retain: int = 1) -> list[str]:
         remaining = 0
         for mdir in fs.listStatus(vdir.getPath()):
             path = f"{root.rstrip('/')}/{name}/{mdir.getPath().getName()}"
-            if mdir.isDirectory() and mdir.getPath().getName().startswith("event_month=") and path not in live:
+            if mdir.isDirectory() and mdir.getPath().getName().startswith("event_day=") and path not in live:
                 fs.delete(mdir.getPath(), True)
                 deleted.append(path)
             elif mdir.isDirectory():

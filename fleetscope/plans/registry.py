@@ -51,6 +51,35 @@ def alerts(spark, sf_dir) -> DataFrame:
     return D.detect_anomalies(telemetry(spark, sf_dir))
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def _stored(spark, sf_dir, name: str, write) -> str:
+    """A table written once per application and data folder, as the ingest
+    path would have left it; the lookups read it."""
+    from fleetscope.session import new_subdir
+    key = (spark.conf.get("spark.app.id", ""), sf_dir, name)
+    if key not in _STORED:
+        path = f"{new_subdir(spark, 'stored')}/{name}"
+        write(path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
+def stored_alerts(spark, sf_dir) -> DataFrame:
+    """The alert table: month partitions, NUMERIC columns read as doubles."""
+    from fleetscope.streaming.sinks import read_alerts, write_anomaly_alerts
+    return read_alerts(spark, _stored(spark, sf_dir, "alerts", lambda path: write_anomaly_alerts(
+        alerts(spark, sf_dir), 0, path)))
+
+
+def stored_events(spark, sf_dir) -> DataFrame:
+    """The event table: month partitions, sorted by device and time."""
+    from fleetscope.streaming.sinks import write_events_by_month
+    return spark.read.parquet(_stored(spark, sf_dir, "events", lambda path: write_events_by_month(
+        telemetry(spark, sf_dir), 0, path, extra=["event_id"])))
+
+
 # ---------------------------------------------------------------- detection
 @register("detect_anomalies", O.telemetry_alerts_sql())
 def q_detect(spark, sf_dir):
@@ -79,7 +108,7 @@ def q_detect_blocked(spark, sf_dir):
 
 _LONG_SQL = " UNION ALL ".join(
     f"SELECT device_id, event_id, '{m}' AS metric, cast({m} AS double) AS x FROM telemetry"
-    for m in D.MONITORED_METRICS)
+    for m in O.METRICS)
 
 
 @register("unpivot_metrics", O.with_views(_LONG_SQL))
@@ -96,7 +125,7 @@ _STATS_SQL = O.with_views(f"""
 SELECT device_id, event_id, metric, n, s, q, cast(s AS double) / (n * 100) AS mean,
        sqrt(cast(n * q - s * s AS double)) / (n * 100) AS std
 FROM ({O.window_stats_sql('telemetry', 'device_id', ['event_timestamp', 'event_id'],
-                          D.MONITORED_METRICS, ['event_timestamp', 'event_id'])}) w""")
+                          O.METRICS, ['event_timestamp', 'event_id'])}) w""")
 
 
 @register("rolling_stats", _STATS_SQL)
@@ -110,16 +139,16 @@ def q_rolling_stats(spark, sf_dir):
 
 _Z_SQL = O.with_views(f"""
 SELECT device_id, event_id, metric, z,
-       CASE WHEN z >= {O.thresholds_case(D.THRESHOLDS, 1)} THEN 'critical'
-            WHEN z >= {O.thresholds_case(D.THRESHOLDS, 0)} THEN 'warning' END AS severity
+       CASE WHEN z >= {O.thresholds_case(O.THRESHOLDS, 1)} THEN 'critical'
+            WHEN z >= {O.thresholds_case(O.THRESHOLDS, 0)} THEN 'warning' END AS severity
 FROM ({O.scored_sql(O.window_stats_sql('telemetry', 'device_id', ['event_timestamp', 'event_id'],
-                                       D.MONITORED_METRICS, ['event_timestamp', 'event_id']))}) t""")
+                                       O.METRICS, ['event_timestamp', 'event_id']))}) t""")
 
 
 _ZONLY_SQL = O.with_views(f"""
 SELECT device_id, event_id, metric, z
 FROM ({O.scored_sql(O.window_stats_sql('telemetry', 'device_id', ['event_timestamp', 'event_id'],
-                                       D.MONITORED_METRICS, ['event_timestamp', 'event_id']))}) t""")
+                                       O.METRICS, ['event_timestamp', 'event_id']))}) t""")
 
 
 @register("zscore_guarded", _ZONLY_SQL)
@@ -137,7 +166,7 @@ def q_severity(spark, sf_dir):
 
 @register("tracked_devices", O.with_views(
     "SELECT count(DISTINCT device_id) AS devices_tracked FROM telemetry WHERE "
-    + " OR ".join(f"{m} IS NOT NULL" for m in D.MONITORED_METRICS)))
+    + " OR ".join(f"{m} IS NOT NULL" for m in O.METRICS)))
 def q_tracked(spark, sf_dir):
     return D.tracked_devices(telemetry(spark, sf_dir))
 
@@ -170,7 +199,8 @@ _RAW_SQL = """raw AS (SELECT event_id, value / 5.0 - 10 AS cpu_usage_pct, value
 
 
 def _round2_sql(x: str) -> str:
-    return f"cast(round(cast({x} AS decimal(20,6)), 2) AS double)"
+    # the decimal digits of the double, rounded half away from zero
+    return f"cast(round(cast(cast({x} AS varchar) AS decimal(38,18)), 2) AS double)"
 
 
 @register("clamp_metrics", f"""WITH {_RAW_SQL}
@@ -235,17 +265,21 @@ def q_event_totals(spark, sf_dir):
 
 @register("anomaly_totals", O.with_views(_ANOMALY_TOTALS, alerts=True))
 def q_anomaly_totals(spark, sf_dir):
-    return R.anomaly_totals(alerts(spark, sf_dir), as_of=AS_OF)
+    return R.anomaly_totals(stored_alerts(spark, sf_dir), as_of=AS_OF)
 
 
-@register("stats_summary", O.with_views(f"""
+_SUMMARY_SQL = O.with_views(f"""
 SELECT e.total_events, a.total_anomalies, a.critical_anomalies, e.unique_devices,
        e.events_last_hour, a.anomalies_last_hour
-FROM ({_EVENT_TOTALS}) e, ({_ANOMALY_TOTALS}) a""", alerts=True))
+FROM ({_EVENT_TOTALS}) e, ({_ANOMALY_TOTALS}) a""", alerts=True)
+
+
+@register("pipeline_stats", _SUMMARY_SQL)
+@register("stats_summary", _SUMMARY_SQL)
 def q_stats_summary(spark, sf_dir):
-    """The reference's /stats/summary."""
-    t = telemetry(spark, sf_dir)
-    return R.stats_summary(t, D.detect_anomalies(t), as_of=AS_OF)
+    """Operator 25 over the stored events and alerts; the reference's
+    /stats/summary."""
+    return R.stats_summary(stored_events(spark, sf_dir), stored_alerts(spark, sf_dir), as_of=AS_OF)
 
 
 def _cents_avg_sql(c: str) -> str:
@@ -271,38 +305,51 @@ def q_rollup(spark, sf_dir):
     return rollup_5min(telemetry(spark, sf_dir))
 
 
-@register("ingest_lag_percentiles", O.with_views("""
-SELECT device_id, cast(max(n) AS bigint) AS n,
-  (max(CASE WHEN lo < (n + 1) // 2 AND (n + 1) // 2 <= cum THEN lag_ms END)
-   + max(CASE WHEN lo < n // 2 + 1 AND n // 2 + 1 <= cum THEN lag_ms END)) / 2.0 AS p50,
-  cast(max(CASE WHEN lo < least(n, floor(n * 0.95::double) + 1) AND least(n, floor(n * 0.95::double) + 1) <= cum
-           THEN lag_ms END) AS double) AS p95,
-  cast(max(CASE WHEN lo < least(n, floor(n * 0.99::double) + 1) AND least(n, floor(n * 0.99::double) + 1) <= cum
-           THEN lag_ms END) AS double) AS p99
-FROM (SELECT device_id, lag_ms, cnt, cum - cnt AS lo, cum, n FROM (
-        SELECT device_id, lag_ms, cnt,
-               sum(cnt) OVER (PARTITION BY device_id ORDER BY lag_ms ROWS UNBOUNDED PRECEDING) AS cum,
-               sum(cnt) OVER (PARTITION BY device_id) AS n
-        FROM (SELECT device_id, lag_ms, count(*) AS cnt FROM (
-                SELECT device_id,
-                       date_diff('microsecond', event_timestamp,
-                                 event_timestamp + to_microseconds(cast(round(value * 1000000) AS bigint))) / 1000.0 AS lag_ms
-                FROM (SELECT event_id, ts AS event_timestamp, value,
-                             concat('DEV-', lpad(cast(user_id AS varchar), 5, '0')) AS device_id FROM events) t) l
-              GROUP BY device_id, lag_ms) h) c) r
-GROUP BY device_id"""))
-def q_ingest_lag(spark, sf_dir):
-    """Median/p95/p99 of arrival lag per device. Arrival = event time plus a
-    delivery delay taken from events.value (seconds)."""
+# Arrival lag in ms: the delivery delay (events.value, seconds) to the
+# microsecond; some readings have not arrived (NULL).
+_LAG_SQL = """SELECT concat('DEV-', lpad(cast(user_id AS varchar), 5, '0')) AS device_id,
+  CASE WHEN event_id % 9 <> 4 THEN cast(round(value * 1000000) AS bigint) / 1000.0 END AS lag_ms FROM events"""
+
+
+def _lag_sql(group: str) -> str:
+    picks = ", ".join(
+        f"cast(max(CASE WHEN r = least(n, floor({p}::double * n) + 1) THEN lag_ms END) AS double) AS {name}"
+        for p, name in ((0.95, "p95"), (0.99, "p99"), (0.994, "p99_4"), (0.999, "p99_9")))
+    return f"""
+SELECT {group} cast(max(n) AS bigint) AS n,
+  (max(CASE WHEN r = (n + 1) // 2 THEN lag_ms END) + max(CASE WHEN r = n // 2 + 1 THEN lag_ms END)) / 2.0 AS p50, {picks}
+FROM (SELECT *, row_number() OVER (PARTITION BY {group or 'NULL,'} 1 ORDER BY lag_ms) AS r,
+             count(*) OVER (PARTITION BY {group or 'NULL,'} 1) AS n
+      FROM ({_LAG_SQL}) l WHERE lag_ms IS NOT NULL) x
+{'GROUP BY device_id' if group else ''}"""
+
+
+def _lags(spark, sf_dir) -> DataFrame:
+    """Lag of every reading; arrival is stamped as event time + delay."""
     from fleetscope.operators.ingest import ingest_lag_ms, stamp_ingest_time
     ev = FX.load_table(spark, sf_dir, "events")
     delay_us = F.round(F.col("value") * 1_000_000).cast("long")
     view = FX.telemetry_view(ev.withColumn("_delay_us", delay_us), carry=["_delay_us"])
     arrival = F.col("event_timestamp") + F.make_dt_interval(
         secs=(F.col("_delay_us") / 1_000_000).cast("decimal(18,6)"))
-    lag = stamp_ingest_time(view, at=arrival).select(
+    arrived = F.when(F.col("event_id") % 9 != 4, arrival)
+    return stamp_ingest_time(view, at=arrived).select(
         "device_id", ingest_lag_ms("ingested_at", "event_timestamp").alias("lag_ms"))
-    return R.ingest_lag_percentiles(lag, ["device_id"])
+
+
+_PERCENTILES = (0.95, 0.99, 0.994, 0.999)
+
+
+@register("ingest_lag_percentiles", _lag_sql("device_id,"))
+def q_ingest_lag(spark, sf_dir):
+    """Median and percentiles of arrival lag per device."""
+    return R.ingest_lag_percentiles(_lags(spark, sf_dir), ["device_id"], percentiles=_PERCENTILES)
+
+
+@register("ingest_lag_percentiles_total", _lag_sql(""))
+def q_ingest_lag_total(spark, sf_dir):
+    """The same over all devices together."""
+    return R.ingest_lag_percentiles(_lags(spark, sf_dir), [], percentiles=_PERCENTILES)
 
 
 # ---------------------------------------------------------------- lookups
@@ -318,7 +365,7 @@ SELECT cast(event_timestamp AS varchar) AS event_timestamp, {_EV_COLS_SQL} FROM
 WHERE device_id = '{DEVICE}' AND event_timestamp >= {O.AS_OF} - INTERVAL 1440 MINUTE
 ORDER BY telemetry.event_timestamp DESC, event_id DESC LIMIT 100"""))
 def q_device_metrics(spark, sf_dir):
-    return R.device_metrics(telemetry(spark, sf_dir), DEVICE, as_of=AS_OF, since_minutes=1440, limit=100)
+    return R.device_metrics(stored_events(spark, sf_dir), DEVICE, as_of=AS_OF, since_minutes=1440, limit=100)
 
 
 @register("device_metrics_fleet", O.with_views(f"""
@@ -326,14 +373,14 @@ SELECT device_id, rank, cast(event_timestamp AS varchar) AS event_timestamp, {_E
   SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY event_timestamp DESC, event_id DESC) AS rank
   FROM telemetry WHERE event_timestamp >= {O.AS_OF} - INTERVAL 1440 MINUTE) t WHERE rank <= 3"""))
 def q_device_metrics_fleet(spark, sf_dir):
-    return R.device_metrics_fleet(telemetry(spark, sf_dir), as_of=AS_OF, since_minutes=1440, limit=3)
+    return R.device_metrics_fleet(stored_events(spark, sf_dir), as_of=AS_OF, since_minutes=1440, limit=3)
 
 
 @register("device_anomalies", O.with_views(f"""
 SELECT {_AL_COLS_SQL} FROM alerts WHERE device_id = '{DEVICE}'
 ORDER BY alerts.detected_at DESC, device_id, metric LIMIT 50""", alerts=True))
 def q_device_anomalies(spark, sf_dir):
-    return R.device_anomalies(alerts(spark, sf_dir), DEVICE, limit=50)
+    return R.device_anomalies(stored_alerts(spark, sf_dir), DEVICE, limit=50)
 
 
 @register("device_anomalies_fleet", O.with_views(f"""
@@ -341,21 +388,35 @@ SELECT rank, {_AL_COLS_SQL} FROM (
   SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY detected_at DESC, metric) AS rank
   FROM alerts WHERE severity = 'critical') t WHERE rank <= 2""", alerts=True))
 def q_device_anomalies_fleet(spark, sf_dir):
-    return R.device_anomalies_fleet(alerts(spark, sf_dir), severity="critical", limit=2)
+    return R.device_anomalies_fleet(stored_alerts(spark, sf_dir), severity="critical", limit=2)
 
 
 @register("recent_anomalies", O.with_views(f"""
 SELECT {_AL_COLS_SQL} FROM alerts WHERE detected_at >= {O.AS_OF} - INTERVAL 1440 MINUTE
 ORDER BY alerts.detected_at DESC, device_id, metric LIMIT 100""", alerts=True))
 def q_recent_anomalies(spark, sf_dir):
-    return R.recent_anomalies(alerts(spark, sf_dir), as_of=AS_OF, since_minutes=1440, limit=100)
+    return R.recent_anomalies(stored_alerts(spark, sf_dir), as_of=AS_OF, since_minutes=1440, limit=100)
+
+
+@register("device_anomalies_critical", O.with_views(f"""
+SELECT {_AL_COLS_SQL} FROM alerts WHERE device_id = '{DEVICE}' AND severity = 'critical'
+ORDER BY alerts.detected_at DESC, device_id, metric LIMIT 50""", alerts=True))
+def q_device_anomalies_critical(spark, sf_dir):
+    return R.device_anomalies(stored_alerts(spark, sf_dir), DEVICE, severity="critical", limit=50)
+
+
+@register("recent_anomalies_critical", O.with_views(f"""
+SELECT {_AL_COLS_SQL} FROM alerts WHERE detected_at >= {O.AS_OF} - INTERVAL 1440 MINUTE AND severity = 'critical'
+ORDER BY alerts.detected_at DESC, device_id, metric LIMIT 100""", alerts=True))
+def q_recent_anomalies_critical(spark, sf_dir):
+    return R.recent_anomalies(stored_alerts(spark, sf_dir), as_of=AS_OF, since_minutes=1440, severity="critical", limit=100)
 
 
 @register("anomalies_by_metric", O.with_views(f"""
 SELECT {_AL_COLS_SQL} FROM alerts WHERE metric = 'signal_strength_dbm'
 ORDER BY alerts.detected_at DESC, device_id, metric LIMIT 100""", alerts=True))
 def q_anomalies_by_metric(spark, sf_dir):
-    return R.anomalies_by_metric(alerts(spark, sf_dir), "signal_strength_dbm", limit=100)
+    return R.anomalies_by_metric(stored_alerts(spark, sf_dir), "signal_strength_dbm", limit=100)
 
 
 _EVENT_ROW_SQL = f"device_id, network_type, cast(event_timestamp AS varchar) AS event_timestamp, {_EV_COLS_SQL}"
@@ -365,14 +426,14 @@ _EVENT_ROW_SQL = f"device_id, network_type, cast(event_timestamp AS varchar) AS
 SELECT {_EVENT_ROW_SQL} FROM telemetry WHERE event_type = 'critical'
 ORDER BY telemetry.event_timestamp DESC, device_id, event_id LIMIT 100"""))
 def q_critical_events(spark, sf_dir):
-    return R.critical_events(telemetry(spark, sf_dir), limit=100)
+    return R.critical_events(stored_events(spark, sf_dir), limit=100)
 
 
 @register("network_segment_events", O.with_views(f"""
-SELECT {_EVENT_ROW_SQL} FROM telemetry WHERE network_type = 'LTE'
+SELECT {_EVENT_ROW_SQL} FROM telemetry WHERE network_type = 'wifi'
 ORDER BY telemetry.event_timestamp DESC, device_id, event_id LIMIT 100"""))
 def q_network_segment_events(spark, sf_dir):
-    return R.network_segment_events(telemetry(spark, sf_dir), "LTE", limit=100)
+    return R.network_segment_events(stored_events(spark, sf_dir), "wifi", limit=100)
 
 
 # ---------------------------------------------------------------- messages
@@ -380,6 +441,7 @@ _FAULT_REASONS = {
     10: ",".join(f"missing:{f}" for f in ["device_id", "model", "firmware", "network_type", "timestamp",
                                           "cpu_usage_pct", "memory_usage_pct", "signal_strength_dbm",
                                           "throughput_mbps", "battery_pct", "event_type"]),
+    15: "out_of_range:throughput_mbps", 55: "malformed", 65: "malformed",
     20: "malformed", 30: "malformed", 60: "malformed", 120: "malformed",
     40: "not_finite:cpu_usage_pct", 70: "out_of_range:cpu_usage_pct",
     80: "bad_value:event_type", 90: "missing:timestamp", 110: "too_long:model",
@@ -395,6 +457,13 @@ _TABLE_COLS_SQL = ("device_id, model, firmware, network_type, event_timestamp, "
                    "event_type")
 
 
+# the accepted edge values (FX.EDGES) as the table rounds them
+_EDGE_COLS_SQL = _TABLE_COLS_SQL
+for _j, _f, _v in ((25, "cpu_usage_pct", 100.0), (35, "signal_strength_dbm", -40.0), (45, "throughput_mbps", 0.0)):
+    _EDGE_COLS_SQL = _EDGE_COLS_SQL.replace(
+        f"cast({_f} AS double) AS {_f}", f"CASE WHEN event_id % 150 = {_j} THEN {_v} ELSE cast({_f} AS double) END AS {_f}")
+
+
 def _decoded(spark, sf_dir, faults=False, replay_below=0):
     from fleetscope.sources.messages import decode_telemetry
     msgs = FX.wire_messages(telemetry(spark, sf_dir), faults=faults, replay_below=replay_below)
@@ -442,7 +511,7 @@ def q_quarantine(spark, sf_dir):
 
 
 @register("conform_event", O.with_views(f"""
-SELECT event_id, {_TABLE_COLS_SQL} FROM telemetry WHERE event_id % 150 NOT IN ({_FAULT_LIST})"""))
+SELECT event_id, {_EDGE_COLS_SQL} FROM telemetry WHERE event_id % 150 NOT IN ({_FAULT_LIST})"""))
 def q_conform(spark, sf_dir):
     """Valid messages shaped into stored-table rows."""
     from fleetscope.operators.ingest import conform_event, quarantine_invalid, split_valid
@@ -464,7 +533,7 @@ SELECT device_id AS key, device_id, strftime(detected_at, '%Y-%m-%dT%H:%M:%S.%f+
 def q_publish(spark, sf_dir):
     """Alert messages (key + JSON), decoded back for checking."""
     from fleetscope.sources.messages import decode_alerts, publish_alerts
-    return decode_alerts(publish_alerts(alerts(spark, sf_dir)))
+    return decode_alerts(publish_alerts(stored_alerts(spark, sf_dir)))
 
 
 @register("stamp_ingest_time", """
@@ -483,33 +552,39 @@ def _alerts_with_event_sql() -> str:
 
 @register("batch_progress", O.with_views(f"""
 , b AS (SELECT event_id // 200 AS batch_id, device_id FROM telemetry),
+heard AS (SELECT * FROM b WHERE device_id <> '{DEVICE}'),
 ev AS (SELECT batch_id, count(*) AS events FROM b GROUP BY batch_id),
-an AS (SELECT event_id // 200 AS batch_id, count(*) AS anomalies FROM ({_alerts_with_event_sql()}) x GROUP BY 1),
+an AS (SELECT event_id // 200 AS batch_id, count(*) AS anomalies FROM ({_alerts_with_event_sql()}) x
+       WHERE device_id <> '{DEVICE}' GROUP BY 1),
 nd AS (SELECT batch_id, count(*) AS new_devices FROM
-         (SELECT device_id, min(batch_id) AS batch_id FROM b GROUP BY device_id) f GROUP BY batch_id)
+         (SELECT device_id, min(batch_id) AS batch_id FROM heard GROUP BY device_id) f GROUP BY batch_id)
 SELECT ev.batch_id, events, coalesce(anomalies, 0) AS anomalies,
        cast(sum(events) OVER (ORDER BY ev.batch_id) AS bigint) AS total_processed,
        cast(sum(coalesce(anomalies, 0)) OVER (ORDER BY ev.batch_id) AS bigint) AS total_anomalies,
        cast(sum(coalesce(new_devices, 0)) OVER (ORDER BY ev.batch_id) AS bigint) AS devices_tracked
 FROM ev LEFT JOIN an ON ev.batch_id = an.batch_id LEFT JOIN nd ON ev.batch_id = nd.batch_id"""))
 def q_batch_progress(spark, sf_dir):
-    """Per flush of 200 events (arrival order): counts and running totals."""
+    """Per flush of 200 events (arrival order): counts and running totals.
+    One device sends readings without any metric and is not tracked."""
     from fleetscope.operators.progress import batch_progress
     t = telemetry(spark, sf_dir)
+    t = t.withColumns({m: F.when(F.col("device_id") != DEVICE, F.col(m)) for m in D.MONITORED_METRICS})
     a = D.detect_anomalies(t, keep=["event_id"])
     batch = (F.col("event_id") / 200).cast("long")
     return batch_progress(t.withColumn("batch_id", batch), a.withColumn("batch_id", batch))
 
 
 # ---------------------------------------------------------------- streams
-def _stream_source(spark, sf_dir, replay_below: int = 0, chunks: int = 3) -> dict:
+def _stream_source(spark, sf_dir, replay_below: int = 0, chunks: int = 3, view: DataFrame | None = None,
+                   faults: bool = False) -> dict:
     """Message files of every reading (3 ordered chunks, one per trigger)
     under a fresh folder of the session's shared checkpoint dir."""
     from fleetscope.session import new_subdir
     root = new_subdir(spark, "stream")
-    msgs = FX.wire_messages(telemetry(spark, sf_dir), replay_below=replay_below)
+    view = telemetry(spark, sf_dir) if view is None else view
+    msgs = FX.wire_messages(view, faults=faults, replay_below=replay_below)
     FX.write_wire_chunks(msgs, f"{root}/messages", chunks=chunks)
-    return {"path": f"{root}/messages", "options": {"maxFilesPerTrigger": "1"}, "_root": root}
+    return {"path": f"{root}/messages", "options": {"maxFilesPerTrigger": str(FX.FILES)}, "_root": root}
 
 
 def _src(d: dict) -> dict:
@@ -571,31 +646,119 @@ def q_write_events(spark, sf_dir):
     return _stored_rows(spark.read.parquet(f"{s['_root']}/events"))
 
 
-@register("telemetry_source", "SELECT event_id AS offset, "
-          "concat('DEV-', lpad(cast(user_id AS varchar), 5, '0')) AS key FROM events")
+@register("dedup_stream", O.with_views(f"SELECT event_id, {_EDGE_COLS_SQL} FROM telemetry "
+                                       f"WHERE event_id % 150 NOT IN ({_FAULT_LIST})"))
+def q_dedup_stream(spark, sf_dir):
+    """Messages whose own timestamps run backwards by more than the dedup
+    horizon, some of them redelivered, some damaged: every good one is
+    stored, once."""
+    from fleetscope.streaming.jobs import run_to_end, start_events_query
+    s = _stream_source(spark, sf_dir, replay_below=30, faults=True)
+    with state_partitions(spark):
+        run_to_end(start_events_query(spark, _src(s), f"{s['_root']}/events", f"{s['_root']}/_ck_events"))
+    return _stored_rows(spark.read.parquet(f"{s['_root']}/events"))
+
+
+_PARTIAL_SQL = f"""(SELECT * REPLACE (
+  CASE WHEN event_id % 7 <> 3 THEN cpu_usage_pct END AS cpu_usage_pct,
+  CASE WHEN event_id % 11 <> 5 THEN signal_strength_dbm END AS signal_strength_dbm)
+  FROM ({O.TELEMETRY_SQL}) tv) pv"""
+
+
+@register("detect_anomalies_stream_partial", O.alerts_sql(
+    _PARTIAL_SQL, "device_id", "event_timestamp", ["event_timestamp", "event_id"], O.METRICS, O.THRESHOLDS))
+def q_detect_stream_partial(spark, sf_dir):
+    """Readings that lack a metric, the battery or the model are scored on
+    the metrics they have, and published."""
+    from fleetscope.streaming.jobs import run_to_end, start_alerts_query
+    from fleetscope.streaming.sinks import read_alerts
+    s = _stream_source(spark, sf_dir, replay_below=10, view=FX.partial_view(telemetry(spark, sf_dir)))
+    with state_partitions(spark):
+        run_to_end(start_alerts_query(spark, _src(s), f"{s['_root']}/alerts", f"{s['_root']}/_ck_alerts",
+                                      publish={"path": f"{s['_root']}/published"}))
+    a = read_alerts(spark, f"{s['_root']}/alerts")
+    return a.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "detected_at" else F.col(c)
+                      for c in ALERT_COLUMNS])
+
+
+_SPIKED = "l_extendedprice + CASE WHEN l_orderkey % 1000 = 7 THEN 10000000000.0 ELSE 0.0 END"
+
+
+@register("detect_anomalies_stream_general", f"""
+SELECT device_id, l_shipdate, l_orderkey, l_linenumber, severity FROM (
+  SELECT *, CASE WHEN z >= 2.5 THEN 'critical' WHEN z >= 1.8 THEN 'warning' END AS severity FROM (
+    SELECT *, CASE WHEN n >= 30 AND sd >= 1e-6 THEN abs(x - mean) / sd END AS z FROM (
+      SELECT *, count(*) OVER w AS n, avg(x) OVER w AS mean, stddev_pop(x) OVER w AS sd FROM (
+        SELECT cast(l_suppkey AS varchar) AS device_id, l_shipdate, l_orderkey, l_linenumber, {_SPIKED} AS x
+        FROM lineitem) v
+      WINDOW w AS (PARTITION BY device_id ORDER BY l_shipdate, l_orderkey, l_linenumber
+                   ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)) s) z) t
+WHERE severity IS NOT NULL""")
+def q_detect_stream_general(spark, sf_dir):
+    """Keyed-state detection on doubles: prices with spikes of 1e10, after
+    which the windows' numbers are as exact as before."""
+    from fleetscope.session import new_subdir
+    from fleetscope.streaming.detect_stream import detect_anomalies_stream
+    root = new_subdir(spark, "stream")
+    src = FX.load_table(spark, sf_dir, "lineitem")
+    # as a pattern, which the stream's reader takes for a file and for a folder
+    rows = spark.readStream.schema(src.schema).parquet(f"{sf_dir.rstrip('/')}/lineitem.parque[t]")
+    rows = rows.select(F.col("l_suppkey").cast("string").alias("device_id"), *FX.LINEITEM_ORDER,
+                       F.expr(_SPIKED).alias("price"))
+    found = detect_anomalies_stream(rows, time_col="l_shipdate", order_cols=FX.LINEITEM_ORDER, metrics=["price"],
+                                    thresholds={"price": (1.8, 2.5)}, exact=False, keep=["l_orderkey", "l_linenumber"])
+    with state_partitions(spark):
+        (found.writeStream.format("parquet").option("path", f"{root}/alerts").outputMode("append")
+         .option("checkpointLocation", f"{root}/_ck").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(found.schema).parquet(f"{root}/alerts").select(
+        "device_id", F.col("detected_at").alias("l_shipdate"), "l_orderkey", "l_linenumber", "severity")
+
+
+@register("telemetry_source", O.with_views("""
+SELECT event_id AS offset, device_id AS key, TRUE AS one_partition,
+       concat('{"device_id":"', device_id, '","model":"', model, '","firmware":"', firmware, '","network_type":"', network_type,
+              '","timestamp":"', strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f+00:00'),
+              '","cpu_usage_pct":', cast(cpu_usage_pct AS double), ',"memory_usage_pct":', cast(memory_usage_pct AS double),
+              ',"signal_strength_dbm":', cast(signal_strength_dbm AS double), ',"throughput_mbps":',
+              cast(throughput_mbps AS double), ',"battery_pct":', cast(battery_pct AS double), ',"event_type":"', event_type,
+              '"}') AS value
+FROM telemetry"""))
 def q_source(spark, sf_dir):
-    """Every message of the source read once, in micro-batches."""
+    """Every message of the source read once, in micro-batches: key, value
+    and offset, and whether all of a key's messages share a partition."""
     from fleetscope.sources.messages import telemetry_source
     s = _stream_source(spark, sf_dir)
-    out = telemetry_source(spark, **_src(s)).select(F.col("offset"), F.col("key").cast("string").alias("key"))
+    out = telemetry_source(spark, **_src(s)).select(
+        F.col("offset"), F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "partition")
     q = (out.writeStream.format("parquet").option("path", f"{s['_root']}/raw")
          .option("checkpointLocation", f"{s['_root']}/_ck_raw").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{s['_root']}/raw")
+    raw = spark.read.parquet(f"{s['_root']}/raw")
+    keys = raw.groupBy("key").agg(((F.min("partition") == F.max("partition")) & (F.min("partition") >= 0)
+                                   & (F.max("partition") < 6)).alias("one_partition"))
+    return raw.join(keys, "key").select("offset", "key", "value", "one_partition")
 
 
 @register("refresh_rollup", _ROLLUP_SQL)
 def q_refresh(spark, sf_dir):
-    """Stored events -> versioned rollup, refreshed from empty."""
+    """Stored events -> versioned rollup in three refreshes: the committed
+    batches of a stream, then two further runs whose events are late (they
+    lie before and among those already folded in)."""
     from fleetscope.plans.refresh import read_rollup, refresh_rollup
     from fleetscope.streaming.jobs import run_to_end, start_events_query
-    s = _stream_source(spark, sf_dir)
+    from fleetscope.streaming.sinks import write_events_by_month
+    t = telemetry(spark, sf_dir)
+    late = F.col("event_id") % 5
+    s = _stream_source(spark, sf_dir, view=t.where(late > 1))
+    events, rollup = f"{s['_root']}/events", f"{s['_root']}/rollup"
     with state_partitions(spark):
-        run_to_end(start_events_query(spark, _src(s), f"{s['_root']}/events", f"{s['_root']}/_ck_events"))
-    refresh_rollup(spark, f"{s['_root']}/events", f"{s['_root']}/rollup")
-    r = read_rollup(spark, f"{s['_root']}/rollup")
-    return r.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
-
+        run_to_end(start_events_query(spark, _src(s), events, f"{s['_root']}/_ck_events"))
+    refresh_rollup(spark, events, rollup, checkpoint=f"{s['_root']}/_ck_events")
+    for k in (0, 1):
+        rows = t.where(late == k).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
+        write_events_by_month(rows, 0, events, extra=[], run_id=f"late-{k}")
+        refresh_rollup(spark, events, rollup)
+    return read_rollup(spark, rollup).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @register("rollup_5min_stream", f"""
@@ -604,9 +767,9 @@ SELECT * FROM r WHERE window_start + INTERVAL 5 MINUTE
                       <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
 def q_rollup_stream(spark, sf_dir):
     """Rollup as a stream: windows the watermark (max time - 10 min) has
-    passed are emitted once, in append mode."""
+    passed are emitted once, in append mode; redelivered messages count once."""
     from fleetscope.streaming.jobs import run_to_end, start_rollup_query
-    s = _stream_source(spark, sf_dir)
+    s = _stream_source(spark, sf_dir, replay_below=10)
     with state_partitions(spark):
         run_to_end(start_rollup_query(spark, _src(s), f"{s['_root']}/rollup", f"{s['_root']}/_ck_rollup"))
     r = spark.read.parquet(f"{s['_root']}/rollup")
@@ -637,7 +800,7 @@ def q_quarantine_stream(spark, sf_dir):
     root = new_subdir(spark, "stream")
     msgs = FX.wire_messages(telemetry(spark, sf_dir), faults=True)
     FX.write_wire_chunks(msgs, f"{root}/messages", chunks=3)
-    src = {"path": f"{root}/messages", "options": {"maxFilesPerTrigger": "1"}}
+    src = {"path": f"{root}/messages", "options": {"maxFilesPerTrigger": str(FX.FILES)}}
     with state_partitions(spark):
         run_to_end(start_quarantine_query(spark, src, f"{root}/rejected", f"{root}/_ck_rejected"))
     return spark.read.parquet(f"{root}/rejected").select(F.col("offset").alias("event_id"), "reasons")

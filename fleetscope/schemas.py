@@ -61,13 +61,3 @@ EVENT_COLUMNS = TEXT_FIELDS + ["event_timestamp"] + NUMERIC_FIELDS + ["event_typ
 # timestamp/mean/std_dev instead of detected_at/rolling_mean/rolling_std_dev.
 ALERT_COLUMNS = ["device_id", "detected_at", "metric", "observed_value",
                  "rolling_mean", "rolling_std_dev", "z_score", "severity"]
-
-# Schema of a keyed message source (the shape of Spark's Kafka source).
-MESSAGE_SCHEMA = T.StructType([
-    T.StructField("key", T.BinaryType()),
-    T.StructField("value", T.BinaryType()),
-    T.StructField("topic", T.StringType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("timestamp", T.TimestampType()),
-])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "fleetscope",
@@ -89,6 +89,14 @@ def new_subdir(spark: SparkSession, name: str) -> str:
     return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: it is not
+    computed again, and Spark knows its size."""
+    path = new_subdir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

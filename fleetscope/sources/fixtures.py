@@ -21,10 +21,9 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _VIEW_EXPRS = [
     "event_id",
     "concat('DEV-', lpad(cast(user_id AS string), 5, '0')) AS device_id",
-    "CASE user_id % 5 WHEN 0 THEN 'SD8Gen3' WHEN 1 THEN 'SD7sGen3' WHEN 2 THEN 'SD6Gen1' "
-    "WHEN 3 THEN 'SD4Gen2' ELSE 'SD888' END AS model",
+    "concat('tracker-', chr(97 + user_id % 7)) AS model",
     "concat('v', cast(10 + user_id % 6 AS string), '.', cast(user_id % 10 AS string), '.0') AS firmware",
-    "CASE WHEN user_id % 5 IN (1, 4) THEN 'LTE' ELSE '5G' END AS network_type",
+    "CASE WHEN user_id % 3 = 0 THEN 'wifi' ELSE 'mesh' END AS network_type",
     "ts AS event_timestamp",
     "cast(CASE WHEN j = 0 THEN 95 WHEN j = 75 THEN 75 ELSE 20 + (k * 25) / 100.0 END AS decimal(5,2)) AS cpu_usage_pct",
     "cast(40 + ((event_id * 131) % 2501) / 100.0 AS decimal(5,2)) AS memory_usage_pct",
@@ -84,16 +83,36 @@ FAULTS = {
     80: "unknown event_type",
     90: "no timestamp",
     110: "model longer than 30",
+    15: "throughput that the table's type cannot hold",
+    55: "two objects",
+    65: "a brace too many",
     120: "bytes that are not UTF-8",
     130: "signal above -40",
     140: "negative throughput",
 }
 
 
+# Values just outside a range that the table rounds into it (accepted).
+EDGES = {25: ("cpu_usage_pct", 100.004), 35: ("signal_strength_dbm", -39.996), 45: ("throughput_mbps", -0.004)}
+
+
+def partial_view(view: DataFrame) -> DataFrame:
+    """Readings of which some lack a metric or a field that is not monitored."""
+    e = F.col("event_id")
+    return view.withColumns({
+        "cpu_usage_pct": F.when(e % 7 != 3, F.col("cpu_usage_pct")),
+        "signal_strength_dbm": F.when(e % 11 != 5, F.col("signal_strength_dbm")),
+        "battery_pct": F.when(e % 5 != 2, F.col("battery_pct")),
+        "model": F.when(e % 13 != 1, F.col("model"))})
+
+
 def wire_messages(view: DataFrame, faults: bool = False, replay_below: int = 0) -> DataFrame:
     """The view as keyed JSON messages (offset = event_id). With ``faults``
-    some messages are damaged (see FAULTS); with ``replay_below`` = r the
-    messages with j < r are delivered twice (at-least-once redelivery)."""
+    some messages are damaged (see FAULTS) and some on the edge of a range
+    (EDGES); with ``replay_below`` = r the messages with j < r are delivered
+    twice (at-least-once redelivery). Fields that are null are written as
+    null in every other message and left out in the rest. The messages' own
+    timestamps run backwards, as those of a lagging partition may."""
     from fleetscope.sources.messages import encode_events
     j = F.col("event_id") % 150
     src = view
@@ -105,9 +124,13 @@ def wire_messages(view: DataFrame, faults: bool = False, replay_below: int = 0)
             "model": F.when(j == 110, F.repeat(F.lit("M"), 31)).otherwise(F.col("model")),
             "signal_strength_dbm": F.when(j == 130, F.lit(-39.99))
                                     .otherwise(F.col("signal_strength_dbm").cast("double")),
-            "throughput_mbps": F.when(j == 140, F.lit(-0.01))
+            "throughput_mbps": F.when(j == 140, F.lit(-0.01)).when(j == 15, F.lit(999999.995))
                                 .otherwise(F.col("throughput_mbps").cast("double"))})
+        src = src.withColumns({f: F.when(j == n, F.lit(x)).otherwise(F.col(f)) for n, (f, x) in EDGES.items()})
     msgs = encode_events(src)
+    explicit = encode_events(src, null_fields=True)
+    msgs = msgs.where("offset % 2 = 0").unionByName(explicit.where("offset % 2 = 1"))
+    msgs = msgs.withColumn("timestamp", F.timestamp_seconds(F.lit(1_800_000_000) - 600 * F.col("offset")))
     if faults:
         jm = F.col("offset") % 150
         text = F.col("value").cast("string")
@@ -116,7 +139,9 @@ def wire_messages(view: DataFrame, faults: bool = False, replay_below: int = 0)
         value = (F.when(jm == 10, F.lit("{}").cast("binary"))
                  .when(jm == 20, F.lit("{bad").cast("binary"))
                  .when(jm == 30, F.lit("[1]").cast("binary"))
+                 .when(jm == 55, F.concat(F.col("value"), F.col("value")))
                  .when(jm == 60, bad_cpu.cast("binary"))
+                 .when(jm == 65, F.concat(text, F.lit("}")).cast("binary"))
                  .when(jm == 90, no_ts.cast("binary"))
                  .when(jm == 120, F.concat(F.col("value"), F.unhex(F.lit("FF"))))
                  .otherwise(F.col("value")))
@@ -126,26 +151,30 @@ def wire_messages(view: DataFrame, faults: bool = False, replay_below: int = 0)
     return msgs
 
 
-def write_wire_chunks(messages: DataFrame, path: str, chunks: int = 3) -> None:
-    """Write messages as ``chunks`` JSON files in offset order, one write
-    per chunk, so a file stream (one file per trigger) sees each device's
-    readings in order across micro-batches. The messages are computed once
-    into a staging table partitioned by chunk; each chunk write then reads
-    only its own partition."""
+#: Files of one chunk; with as many files per trigger, a trigger reads one chunk.
+FILES = 4
+
+
+def write_wire_chunks(messages: DataFrame, path: str, chunks: int = 3, files: int = FILES) -> None:
+    """Write messages as ``chunks`` sets of JSON files in offset order, one
+    write per chunk, so a file stream (``files`` files per trigger) sees each
+    device's readings in order across micro-batches. Every file holds an
+    equal range of offsets. The messages are computed once into a staging
+    table; each chunk write then reads only its own part."""
     from fleetscope.functions.expressions import int_div
     spark = messages.sparkSession
     bounds = messages.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
     if bounds["lo"] is None:
         return
     span = bounds["hi"] - bounds["lo"] + 1
-    part = int_div((F.col("offset") - F.lit(bounds["lo"])) * chunks, F.lit(span))
-    staging = f"{path.rstrip('/')}-staging"
-    messages.withColumn("_chunk", part).write.mode("overwrite").partitionBy("_chunk").parquet(staging)
+    part = int_div((F.col("offset") - F.lit(bounds["lo"])) * (chunks * files), F.lit(span))
+    staging = f"{path.rstrip('/')}-staging-{bounds['lo']}"
+    (messages.withColumn("_file", part).withColumn("_chunk", int_div("_file", F.lit(files)))
+     .write.mode("overwrite").partitionBy("_chunk").parquet(staging))
     staged = spark.read.parquet(staging)
     for i in range(chunks):
-        _append_json(staged.where(F.col("_chunk") == i).drop("_chunk").coalesce(1), path)
-
-
-def _append_json(df: DataFrame, path: str) -> None:
-    df.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-              "topic", "partition", "offset").write.mode("append").json(path)
+        chunk = staged.where(F.col("_chunk") == i).repartition(files, "_file")
+        (chunk.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+                      "topic", "partition", "offset", "timestamp",
+                      F.format_string("%d-%d", F.lit(bounds["lo"]), "_file").alias("_file"))
+         .write.mode("append").partitionBy("_file").json(path))

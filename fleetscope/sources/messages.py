@@ -25,6 +25,7 @@ MESSAGE_FILE_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType()),
     T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
+    T.StructField("timestamp", T.TimestampType()),
 ])
 
 
@@ -45,8 +46,7 @@ def telemetry_source(spark: SparkSession, *, topic: str = "device-telemetry",
         reader = (spark.readStream.format("kafka")
                   .option("kafka.bootstrap.servers", bootstrap)
                   .option("subscribe", topic)
-                  .option("startingOffsets", "earliest")
-                  .option("failOnDataLoss", "false"))
+                  .option("startingOffsets", "earliest"))  # lost offsets fail the query (Spark's default)
         if max_offsets_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
         for k, v in opts.items():
@@ -60,25 +60,10 @@ def telemetry_source(spark: SparkSession, *, topic: str = "device-telemetry",
     return as_messages(reader.json(path))
 
 
-def read_messages(spark: SparkSession, path: str) -> DataFrame:
-    """Batch read of message files (same columns as the stream)."""
-    return as_messages(spark.read.schema(MESSAGE_FILE_SCHEMA).json(path))
-
-
 def as_messages(files: DataFrame) -> DataFrame:
     return files.select(F.col("key").cast("binary").alias("key"),
                         F.col("value").cast("binary").alias("value"),
-                        "topic", "partition", "offset")
-
-
-def write_message_files(messages: DataFrame, path: str, files: int | None = None) -> None:
-    """Write messages as JSON-lines files (value as UTF-8 text)."""
-    out = messages.select(F.col("key").cast("string").alias("key"),
-                          F.col("value").cast("string").alias("value"),
-                          "topic", "partition", "offset")
-    if files:
-        out = out.repartitionByRange(files, "offset")
-    out.write.mode("errorifexists").json(path)
+                        "topic", "partition", "offset", "timestamp")
 
 
 # -- operator 2 ------------------------------------------------------------
@@ -100,13 +85,19 @@ def decode_telemetry(messages: DataFrame, keep: list[str] | None = None) -> Data
     once = messages.select(*keep, text.alias("_text"), parsed.alias("_e"))
     corrupt = (F.when(F.col("_text").isNull(), F.lit("<invalid utf-8>"))
                .otherwise(F.col(f"_e.{CORRUPT}")))
+    # Exactly one object: as the only element of an array, and as the first of
+    # two. No text that closes the array early passes both.
+    body = F.col("_text")
+    # bare NaN and Infinity are read as numbers above, but not by the count
+    plain = F.regexp_replace(body, r"(?<=[:,\[\s])-?(?:NaN|Infinity)(?=[,}\]\s])", "0")
+    alone = F.json_array_length(F.concat(F.lit("["), plain, F.lit("]"))) == 1
+    first = F.json_array_length(F.concat(F.lit("["), plain, F.lit(",0]"))) == 2
+    one_object = (F.btrim(body, F.lit(" \t\r\n")).startswith("{")
+                  & F.coalesce(alone, F.lit(False)) & F.coalesce(first, F.lit(False)))
     decoded = F.struct(
         *[F.col(f"_e.{f.name}").alias(f.name) for f in WIRE_EVENT_SCHEMA.fields],
         corrupt.alias(CORRUPT),
-        (F.col("_text").isNotNull()
-         & ~(F.btrim(F.col("_text"), F.lit(" \t\r\n")).startswith("{")
-             & F.btrim(F.col("_text"), F.lit(" \t\r\n")).endswith("}")))
-        .alias("_not_object"))
+        (body.isNotNull() & ~one_object).alias("_not_object"))
     # ... then inline(array(x)), exactly one row per message. As a Generate
     # it is a barrier: filters on decoded fields (quarantine) are not pushed
     # below it, so the parse is never copied into each check.
@@ -115,8 +106,9 @@ def decode_telemetry(messages: DataFrame, keep: list[str] | None = None) -> Data
 
 # -- encode (wire form of readings; also operator 7 for alerts) -----------
 def encode_events(events: DataFrame, topic: str = "device-telemetry", partitions: int = 6,
-                  offset_col: str = "event_id") -> DataFrame:
-    """Stored-table rows -> keyed JSON messages (key = device_id).
+                  offset_col: str = "event_id", null_fields: bool = False) -> DataFrame:
+    """Stored-table rows -> keyed JSON messages (key = device_id). Null
+    fields are left out, or written as null with ``null_fields``.
 
     The partition is a hash of the key, so all readings of a device share
     one partition; ``offset_col`` must grow in arrival order per device.
@@ -125,7 +117,7 @@ def encode_events(events: DataFrame, topic: str = "device-telemetry", partitions
         *[F.col(c) for c in TEXT_FIELDS],
         iso_text(F.col("event_timestamp")).alias("timestamp"),
         *[F.col(c).cast("double").alias(c) for c in NUMERIC_FIELDS],
-        F.col("event_type")))
+        F.col("event_type")), {"ignoreNullFields": "false" if null_fields else "true"})
     return events.select(
         F.col("device_id").cast("binary").alias("key"),
         body.cast("binary").alias("value"),
@@ -169,12 +161,21 @@ def decode_alerts(messages: DataFrame) -> DataFrame:
     return messages.select(F.col("key").cast("string").alias("key"), a.alias("a")).select("key", "a.*")
 
 
-def kafka_sink(df: DataFrame, bootstrap: str, topic: str, checkpoint: str, options: dict | None = None):
-    """Start a streaming write of key/value rows to a Kafka topic."""
-    w = (df.select("key", "value").writeStream.format("kafka")
-         .option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
-         .option("checkpointLocation", checkpoint))
-    for k, v in (options or {}).items():
-        w = w.option(k, v)
-    return w.start()
-
+def write_alert_messages(messages: DataFrame, batch_id: int, *, path: str | None = None,
+                         bootstrap: str | None = None, topic: str = "device-anomalies",
+                         options: dict | None = None) -> None:
+    """Publish one micro-batch of alert messages to a Kafka topic
+    (``bootstrap``, at least once) or to JSON files, where a replayed batch
+    replaces itself (``path``)."""
+    if bootstrap:
+        w = (messages.select("key", "value").write.format("kafka")
+             .option("kafka.bootstrap.servers", bootstrap).option("topic", topic))
+        for k, v in (options or {}).items():
+            w = w.option(k, v)
+        w.save()
+    elif path:
+        (messages.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "topic",
+                         F.lit(int(batch_id)).alias("batch_id"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").json(path))
+    else:
+        raise ValueError("publishing needs bootstrap (Kafka) or path (message files)")

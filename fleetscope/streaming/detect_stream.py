@@ -7,8 +7,8 @@ readings of each metric (integer hundredths in the exact form, doubles in
 the general form), kept in Spark's state store (RocksDB in
 ``build_session``) and checkpointed with the query, so a restart continues
 where it stopped. Within a micro-batch a device's new readings are sorted
-by the arrival order and scored with prefix sums (numpy, vectorised),
-giving the same numbers as the batch operator.
+by the arrival order and scored in numpy (exact form: prefix sums of integers;
+general form: each frame by itself), giving the same numbers as the batch operator.
 
 Order caveat: readings are applied in the order micro-batches arrive. The
 stream equals the batch result when each device's readings arrive in
@@ -34,6 +34,15 @@ from fleetscope.operators.detect import severity_expr
 from fleetscope.schemas import MIN_STD, MONITORED_METRICS, THRESHOLDS, WINDOW_SIZE
 
 
+#: Frames of the general form that are in memory at once.
+_FRAMES = 4096
+
+
+def _half_up(x: np.ndarray) -> np.ndarray:
+    """Rounded half away from zero, as Spark's ``round`` does."""
+    return (np.sign(x) * np.floor(np.abs(x) + 0.5)).astype(np.int64)
+
+
 def _score_metric(old: np.ndarray, new: np.ndarray, window: int, scale: int, exact: bool):
     """Frame stats of each new reading given the previous buffer."""
     vals = np.concatenate([old, new])
@@ -51,15 +60,15 @@ def _score_metric(old: np.ndarray, new: np.ndarray, window: int, scale: int, exa
             z = np.abs(n * new - s).astype(np.float64) / root
         mean = s / (n * float(scale))
     else:
-        # Prefix sums of values shifted by a reference value (small
-        # cancellation); frames are at most `window` long.
-        ref = vals[0]
-        v = vals - ref
-        cs = np.concatenate([[0.0], np.cumsum(v)])
-        cq = np.concatenate([[0.0], np.cumsum(v * v)])
-        m = (cs[pos + 1] - cs[lo]) / n
-        std = np.sqrt(np.maximum((cq[pos + 1] - cq[lo]) / n - m * m, 0.0))
-        mean = m + ref
+        # mean and squared deviations of each frame by itself: no value
+        # outside a frame touches its numbers, however large it is
+        padded = np.concatenate([np.full(window - 1, np.nan), vals])
+        frames = np.lib.stride_tricks.sliding_window_view(padded, window)[len(old):]
+        mean, std = np.empty(len(new)), np.empty(len(new))
+        for at in range(0, len(new), _FRAMES):
+            part = frames[at:at + _FRAMES]
+            mean[at:at + _FRAMES] = np.nanmean(part, axis=1)
+            std[at:at + _FRAMES] = np.sqrt(np.nanmean((part - mean[at:at + _FRAMES, None]) ** 2, axis=1))
         s = np.zeros(len(new), dtype=np.int64)
         with np.errstate(divide="ignore", invalid="ignore"):
             z = np.abs(new - mean) / std
@@ -95,7 +104,7 @@ def _scorer(metrics: list[str], order_cols: list[str], carry: list[str], window:
                 continue
             idx = np.flatnonzero(ok)
             xv = x[idx]
-            new = np.round(xv * scale).astype(np.int64) if exact else xv
+            new = _half_up(xv * scale) if exact else xv
             buf, n, s, mean, z, std = _score_metric(np.asarray(prev, dtype=dtype), new, window,
                                                     scale, exact)
             new_bufs.append(buf.tolist())
@@ -135,6 +144,8 @@ def detect_anomalies_stream(readings: DataFrame, *, device_col: str = "device_id
     the reference where devices never expire."""
     from fleetscope.session import ship_package
     ship_package(readings.sparkSession)  # the state function runs in Python workers
+    if exact and 10_000 % scale:
+        raise ValueError("scale must divide 10,000; use exact=False for other data")
     order_cols = order_cols or [time_col, "event_id"]
     keep = keep or []
     carry = list(dict.fromkeys([*order_cols, time_col, *keep]))

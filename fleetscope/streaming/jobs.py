@@ -5,8 +5,8 @@ its own checkpoint (Spark's unit of exactly-once progress):
 
 * events:     decode -> quarantine (valid) -> conform -> dedup -> stored events
 * quarantine: decode -> quarantine (rejected) -> rejected messages with reasons
-* alerts:     decode -> quarantine (valid) -> conform -> dedup -> keyed state -> alerts
-* rollup:     decode -> quarantine (valid) -> conform -> 5-minute windows
+* alerts:     decode -> readable (device, time) -> dedup -> keyed state -> stored and published alerts
+* rollup:     decode -> quarantine (valid) -> conform -> dedup -> 5-minute windows
 
 A micro-batch is written before its offsets are committed, so after a
 failure the batch is replayed; the sinks overwrite their own batch.
@@ -17,14 +17,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.operators.ingest import (conform_event, dedup_events, quarantine_invalid,
-                                         split_valid, stamp_ingest_time)
-from fleetscope.sources.messages import decode_telemetry, telemetry_source
+from fleetscope.operators.ingest import (conform_event, dedup_events, detector_readings,
+                                         quarantine_invalid, split_valid, stamp_ingest_time)
+from fleetscope.sources.messages import (decode_telemetry, publish_alerts, telemetry_source,
+                                         write_alert_messages)
 from fleetscope.streaming.detect_stream import detect_anomalies_stream
 from fleetscope.streaming.rollup_stream import rollup_5min_stream
-from fleetscope.streaming.sinks import write_anomaly_alerts, write_events_by_month
+from fleetscope.streaming.sinks import run_id_of, write_anomaly_alerts, write_events_by_month
 
-DEFAULT_WATERMARK = "1 hour"  # redelivery horizon, on arrival time
+DEFAULT_WATERMARK = "1 hour"  # redelivery horizon, on the time of the micro-batch
+DEFAULT_INTERVAL = "1 minute"  # a batch folder a minute
+# A micro-batch is bounded, also when a long backlog is read.
+MAX_OFFSETS_PER_TRIGGER = 5_000_000
+MAX_FILES_PER_TRIGGER = "64"
 
 
 class _start_conf:
@@ -54,39 +59,51 @@ class _start_conf:
 _NO_EMPTY_BATCHES = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 
 
-def checked_messages(spark: SparkSession, source: dict) -> DataFrame:
-    """Decoded and checked messages (``reject_reasons`` set), with their
-    arrival time ``_arrival``: the broker's timestamp when the source has
-    one (Kafka), else the micro-batch time."""
-    msgs = telemetry_source(spark, **source)
-    if "timestamp" in msgs.columns:
-        msgs = msgs.withColumnRenamed("timestamp", "_arrival")
+def decoded_messages(spark: SparkSession, source: dict) -> DataFrame:
+    """Decoded messages with ``_arrival``, the time of the micro-batch that
+    read them. The broker's timestamps are not used for it: a lagging
+    partition or a slow producer clock must not make messages late that are
+    seen for the first time."""
+    source = dict(source)
+    if source.get("bootstrap"):
+        source.setdefault("max_offsets_per_trigger", MAX_OFFSETS_PER_TRIGGER)
     else:
-        msgs = msgs.withColumn("_arrival", F.current_timestamp())
-    decoded = decode_telemetry(msgs, keep=["key", "partition", "offset", "_arrival"])
-    return quarantine_invalid(decoded)
+        source["options"] = {"maxFilesPerTrigger": MAX_FILES_PER_TRIGGER, **(source.get("options") or {})}
+    msgs = telemetry_source(spark, **source).withColumn("_arrival", F.current_timestamp())
+    return decode_telemetry(msgs, keep=["key", "partition", "offset", "_arrival"])
 
 
-def valid_readings(spark: SparkSession, source: dict, watermark: str = DEFAULT_WATERMARK,
-                   dedup: bool = True) -> DataFrame:
-    """Stored-table rows of the valid messages, with the source position.
+def once(rows: DataFrame, watermark: str = DEFAULT_WATERMARK) -> DataFrame:
+    """Redelivered messages (same partition + offset) are dropped while they
+    arrive within ``watermark`` of each other; no message is ever late."""
+    return dedup_events(rows.withWatermark("_arrival", watermark), ["partition", "offset"],
+                        watermark_col="_arrival").drop("_arrival")
 
-    Redelivered messages (same partition + offset) are dropped while they
-    arrive within ``watermark`` of each other. The watermark is on arrival
-    time, not event time, so readings that are late by event time are kept
-    and processed on arrival, as the reference does."""
-    valid, _ = split_valid(checked_messages(spark, source))
-    rows = conform_event(valid, keep=["partition", "offset", "_arrival"])
-    if dedup:
-        rows = dedup_events(rows.withWatermark("_arrival", watermark), ["partition", "offset"],
-                            watermark_col="_arrival")
-    return rows.drop("_arrival")
+
+def valid_readings(spark: SparkSession, source: dict, watermark: str = DEFAULT_WATERMARK) -> DataFrame:
+    """Stored-table rows of the valid messages, each once, with the source
+    position. Readings that are late by event time are kept and processed on
+    arrival, as the reference does."""
+    valid, _ = split_valid(quarantine_invalid(decoded_messages(spark, source)))
+    return once(conform_event(valid, keep=["partition", "offset", "_arrival"]), watermark)
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
     if available_now:
         return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=interval or "500 milliseconds")
+    return writer.trigger(processingTime=interval or DEFAULT_INTERVAL)
+
+
+class _run_id:
+    """The query's run id, read from its checkpoint with the first batch."""
+
+    def __init__(self, checkpoint: str):
+        self.checkpoint, self.value = checkpoint, None
+
+    def __call__(self, spark: SparkSession) -> str:
+        if self.value is None:
+            self.value = run_id_of(spark, self.checkpoint)
+        return self.value
 
 
 def start_events_query(spark, source: dict, events_path: str, checkpoint: str,
@@ -96,8 +113,11 @@ def start_events_query(spark, source: dict, events_path: str, checkpoint: str,
     rows = rows.observe("batch", F.count(F.lit(1)).alias("events"),
                         F.count_if(F.col("event_type") == "critical").alias("critical"))
 
+    run_id = _run_id(checkpoint)
+
     def sink(batch: DataFrame, batch_id: int):
-        write_events_by_month(batch, batch_id, events_path, extra=["ingested_at", "partition", "offset"])
+        write_events_by_month(batch, batch_id, events_path, extra=["ingested_at", "partition", "offset"],
+                              run_id=run_id(batch.sparkSession))
 
     w = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     with _start_conf(spark, _NO_EMPTY_BATCHES):
@@ -106,7 +126,7 @@ def start_events_query(spark, source: dict, events_path: str, checkpoint: str,
 
 def start_quarantine_query(spark, source: dict, path: str, checkpoint: str,
                            available_now: bool = True, interval: str | None = None):
-    _, rejected = split_valid(checked_messages(spark, source))
+    _, rejected = split_valid(quarantine_invalid(decoded_messages(spark, source)))
     out = rejected.select("partition", "offset", F.col("key").cast("string").alias("key"),
                           F.concat_ws(",", "reject_reasons").alias("reasons"),
                           F.col("_corrupt").alias("raw_text"))
@@ -117,15 +137,25 @@ def start_quarantine_query(spark, source: dict, path: str, checkpoint: str,
 
 def start_alerts_query(spark, source: dict, alerts_path: str, checkpoint: str,
                        available_now: bool = True, interval: str | None = None,
-                       window: int = 60, state_timeout: str | None = None, created_at=None):
-    rows = valid_readings(spark, source)
+                       window: int = 60, state_timeout: str | None = None, created_at=None,
+                       publish: dict | None = None):
+    """Alerts of all readable readings -> the alert table and, with
+    ``publish`` (the arguments of ``write_alert_messages``), a topic or
+    message files."""
+    rows = once(detector_readings(decoded_messages(spark, source), keep=["partition", "offset", "_arrival"]))
     alerts = detect_anomalies_stream(rows, order_cols=["offset"], window=window,
                                      state_timeout=state_timeout, keep=["offset"])
     alerts = alerts.observe("batch", F.count(F.lit(1)).alias("anomalies"),
                             F.count_if(F.col("severity") == "critical").alias("critical"))
+    run_id = _run_id(checkpoint)
 
     def sink(batch: DataFrame, batch_id: int):
-        write_anomaly_alerts(batch, batch_id, alerts_path, created_at=created_at)
+        if publish:
+            batch = batch.persist()  # read by two writers
+        write_anomaly_alerts(batch, batch_id, alerts_path, created_at=created_at, run_id=run_id(batch.sparkSession))
+        if publish:
+            write_alert_messages(publish_alerts(batch), batch_id, **publish)
+            batch.unpersist()
 
     w = alerts.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     with _start_conf(spark, _NO_EMPTY_BATCHES):
@@ -134,9 +164,12 @@ def start_alerts_query(spark, source: dict, alerts_path: str, checkpoint: str,
 
 def start_rollup_query(spark, source: dict, path: str, checkpoint: str, delay: str = "10 minutes",
                        available_now: bool = True, interval: str | None = None):
-    valid, _ = split_valid(checked_messages(spark, source))
-    rows = conform_event(valid)
-    out = rollup_5min_stream(rows, delay=delay)
+    """Windows of the valid readings, each message counted once. The dedup
+    state is kept for ``delay`` behind the event-time watermark of the
+    windows: a query has one watermark, so messages that repeat later than
+    that belong to windows that are closed already."""
+    valid, _ = split_valid(quarantine_invalid(decoded_messages(spark, source)))
+    out = rollup_5min_stream(conform_event(valid, keep=["partition", "offset"]), delay=delay, once=["partition", "offset"])
     w = (out.writeStream.format("parquet").option("path", path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     return _trigger(w, available_now, interval).start()

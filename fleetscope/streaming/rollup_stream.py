@@ -17,9 +17,14 @@ from fleetscope.schemas import ROLLUP_MINUTES
 
 
 def rollup_5min_stream(readings: DataFrame, delay: str = "10 minutes",
-                       minutes: int = ROLLUP_MINUTES) -> DataFrame:
-    return (readings.withWatermark("event_timestamp", delay)
-            .groupBy("device_id", "network_type",
+                       minutes: int = ROLLUP_MINUTES, once: list[str] | None = None) -> DataFrame:
+    """``once``: columns that name a message; a redelivered one is counted
+    once (``dropDuplicates`` with the event time among its keys, so that
+    the watermark clears its state)."""
+    rows = readings.withWatermark("event_timestamp", delay)
+    if once:
+        rows = rows.dropDuplicates([*once, "event_timestamp"])
+    return (rows.groupBy("device_id", "network_type",
                      F.window("event_timestamp", f"{minutes} minutes").alias("w"))
             .agg(*rollup_aggs())
             .select("device_id", "network_type", F.col("w.start").alias("window_start"),

@@ -13,7 +13,7 @@ def test_percentiles_brute_force(spark):
         for _ in range(n):
             rows.append((f"g{g}", round(rng.choice([rng.uniform(0, 50), 12.5, 3.0]), 3)))
     df = spark.createDataFrame(rows, "device_id string, lag_ms double")
-    got = {r.device_id: r for r in R.ingest_lag_percentiles(df, ["device_id"], bucket_width=0.7).collect()}
+    got = {r.device_id: r for r in R.ingest_lag_percentiles(df, ["device_id"], widths=(0.7 * 64, 0.7)).collect()}
     for g in sorted(got):
         vals = sorted(v for k, v in rows if k == g)
         n = len(vals)
