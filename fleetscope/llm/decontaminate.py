@@ -184,7 +184,7 @@ def digests(docs: DataFrame, items: DataFrame) -> DataFrame:
         "doc_id", F.col("n_words").cast("long").alias("n_words"), hits.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        (F.size("word_spans") > 0).alias("contaminated"), "char_spans")
+        (F.size("word_spans") > 0).alias("contaminated"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
@@ -201,3 +201,30 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+  FROM documents),
+items AS (
+  SELECT cast(item_id AS varchar) AS item, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(words), 10) AS n, array_to_string(list_slice(words, i, i + 9), ' ') AS w
+  FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 8, 2))) AS i FROM items WHERE len(words) > 0) x),
+sizes AS (SELECT DISTINCT n FROM windows),
+spots AS (
+  SELECT rid, i, n, array_to_string(list_slice(words, i, i + n - 1), ' ') AS w
+  FROM (SELECT rid, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM docs, sizes WHERE len(words) >= n) x),
+hits AS (SELECT rid, i, windows.n, item FROM spots JOIN windows USING (n, w)),
+covered AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hits) x GROUP BY rid),
+found AS (SELECT rid, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM hits GROUP BY rid)
+SELECT doc_id, cast(len(words) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)
+"""

@@ -32,7 +32,7 @@ from fleetscope.session import ship_package
 
 FOLDS, HELD_OUT = 5, 0
 UNKNOWN = "und"
-ROWS, PER_LANGUAGE = 6000, 1500
+ROWS, PER_LANGUAGE = 4000, 1000
 #: Languages that a model may have; the sample and the model grow with them.
 MAX_LANGUAGES = 500
 DIMENSIONS = 4096

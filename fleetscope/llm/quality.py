@@ -112,3 +112,38 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS lines
+  FROM documents),
+windows AS (SELECT rid, i, array_to_string(list_slice(words, i, i + 7), ' ') AS w
+            FROM (SELECT rid, words, unnest(range(1, len(words) - 6)) AS i FROM d) x),
+repeated AS (SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, w) AS n FROM windows) x WHERE n > 1),
+covered AS (
+  SELECT rid, cast(sum(least(8, coalesce(after - i, 8))) AS bigint) AS n_repeat_words
+  FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS after FROM repeated) x GROUP BY rid),
+measured AS (
+  SELECT d.rid, doc_id, source, cast(len(words) AS bigint) AS n_words,
+         cast(length(array_to_string(words, '')) AS bigint) AS word_chars,
+         cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS bigint) AS n_symbols,
+         cast(len(lines) - len(list_distinct(lines)) AS bigint) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM d LEFT JOIN covered USING (rid)),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured),
+hosts AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS f FROM judged GROUP BY source),
+total AS (
+  SELECT sum(f) / sum(n) AS mean, sum(f * f / n) / sum(n) AS second, count(*) / sum(n) AS inverse
+  FROM (SELECT n::double AS n, f::double AS f FROM hosts) h),
+spread AS (SELECT mean, greatest(second - mean * mean - mean * (1 - mean) * inverse, 0.0) AS between_hosts FROM total),
+prior AS (
+  SELECT mean, CASE WHEN between_hosts > 0 THEN least(greatest(mean * (1 - mean) / between_hosts - 1, 1e-3), 10000.0)
+                    ELSE 10000.0 END AS strength FROM spread),
+verdicts AS (SELECT source, (f + mean * strength) / (n + strength) > 0.5 AS host_failed FROM hosts, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT host_failed AS kept
+FROM judged JOIN verdicts ON judged.source IS NOT DISTINCT FROM verdicts.source
+"""

@@ -24,4 +24,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_license_scan": licenses.ORACLE_SQL,
     "op4_warc_revisits": warc.ORACLE_SQL,
+    "op6_quality_rules": quality.ORACLE_SQL,
+    "op10_decontamination": decontaminate.ORACLE_SQL,
 }

@@ -33,6 +33,8 @@ SHARDS = 24
 MAX_ROUNDS = 20
 #: Rows of one bucket within which rows are numbered by a window.
 BUCKET_ROWS = 8192
+#: The same for the members of one group.
+GROUP_BUCKET_ROWS = 1024
 
 
 def _numbered(rows: DataFrame, by: list[str], order: list[str], bucket: Column, out: str, name: str) -> DataFrame:
@@ -98,9 +100,9 @@ def propagate(cells: DataFrame, capacities: DataFrame, max_rounds: int = MAX_ROU
     return written(kept.select("group", F.col("to").alias("shard"), "n"), "shard-cells")
 
 
-def _bucket(key: str, rows: Column | int) -> Column:
-    """A hash bucket of about BUCKET_ROWS of ``rows`` rows."""
-    n = F.greatest(F.lit(1), F.ceil((rows if isinstance(rows, Column) else F.lit(rows)) / BUCKET_ROWS))
+def _bucket(key: str, rows: Column | int, size: int = BUCKET_ROWS) -> Column:
+    """A hash bucket of about ``size`` of ``rows`` rows."""
+    n = F.greatest(F.lit(1), F.ceil((rows if isinstance(rows, Column) else F.lit(rows)) / size))
     return F.pmod(F.xxhash64(key), n.cast("long"))
 
 
@@ -126,7 +128,7 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     before = F.coalesce(F.sum("n").over(W.partitionBy("group").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     dealt = written(cells.withColumn("first", before).groupBy("group").agg(F.collect_list(F.struct(
         "shard", "first", (F.col("first") + F.col("n")).alias("end"))).alias("dealt")), "shard-dealt")
-    linked = _numbered(linked, ["group"], ["id", "row"], _bucket("id", F.col("group_rows")), "number", "shard-numbered")
+    linked = _numbered(linked, ["group"], ["id", "row"], _bucket("id", F.col("group_rows"), GROUP_BUCKET_ROWS), "number", "shard-numbered")
     linked = linked.join(dealt, "group", "left").withColumn("shard", F.get(F.filter("dealt", lambda d: (
         d["first"] <= F.col("number")) & (F.col("number") < d["end"])), F.lit(0))["shard"]).drop("number", "dealt")
     linked = written(linked, "shard-placed")
