@@ -36,14 +36,14 @@ from fleetscope.session import ship_package
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
-POSITIVES, UNLABELLED = 3000, 6000
+POSITIVES, UNLABELLED = 2500, 5000
 FEATURES = 4096
 #: Hashed features.
 _BITS = 20
 #: Lengths, in bytes, of the beginnings of a word that are features.
 _BEGINNINGS = range(4, 9)
 #: Words whose score a worker keeps; the cache is emptied when full.
-_CACHE = 300_000
+_CACHE = 200_000
 _LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
@@ -89,14 +89,16 @@ class Scorer:
 # -- training ------------------------------------------------------------------------------------------------------
 
 def fit(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, positive: np.ndarray, prior: float, keep: int = FEATURES,
-        least: int = 3, lift: float = 2.0, steps: int = 400, rate: float = 0.05, decay: float = 2e-3) -> Model:
+        least: int = 3, lift: float = 2.0, steps: int = 400, rate: float = 0.05, decay: float = 1e-3,
+        few: float = 0.3) -> Model:
     """nnPU over a sparse matrix given by (row, feature, value); ``positive`` tells the confirmed rows. A feature must be
-    in ``least`` of them and be ``lift`` times as frequent there as in the others."""
+    in ``least`` of them and be ``lift`` times as frequent there as in the others. Weights are held near zero by ``decay``
+    or, with few positives, by ``few`` / their number."""
     n, n_p = len(positive), int(positive.sum())
     n_u = n - n_p
     if not n_p or not n_u or not 0 < prior < 1:
         return Model({}, -np.inf if not n_p else float(np.log(prior / (1 - prior))) if 0 < prior < 1 else 0.0)
-    size = 1 << _BITS
+    size, decay = 1 << _BITS, max(decay, few / n_p)
     in_p = np.bincount(cols[positive[rows]], minlength=size)
     in_u = np.bincount(cols[~positive[rows]], minlength=size)
     share_p, share_u = (in_p + 0.5) / (n_p + 1), (in_u + 0.5) / (n_u + 1)
@@ -104,7 +106,7 @@ def fit(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, positive: np.nda
     stands_out[(in_p < least) | (share_p < lift * share_u)] = 0
     chosen = np.argsort(-stands_out, kind="stable")[:keep]
     chosen = np.sort(chosen[stands_out[chosen] > 0])
-    place = np.full(size, -1)
+    place = np.full(size, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
     col = place[cols]
     row, val, col = rows[col >= 0], values[col >= 0].astype(float), col[col >= 0]
