@@ -58,7 +58,7 @@ def _stored(spark, sf_dir, name: str, write) -> str:
     """A table written once per application and data folder, as the ingest
     path would have left it; the lookups read it."""
     from fleetscope.session import new_subdir
-    key = (spark.conf.get("spark.app.id", ""), sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
         path = f"{new_subdir(spark, 'stored')}/{name}"
         write(path)
@@ -575,16 +575,21 @@ def q_batch_progress(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streams
-def _stream_source(spark, sf_dir, replay_below: int = 0, chunks: int = 3, view: DataFrame | None = None,
+def _stream_source(spark, sf_dir, replay_below: int = 0, chunks: int = 3, part: str = "all",
                    faults: bool = False) -> dict:
-    """Message files of every reading (3 ordered chunks, one per trigger)
-    under a fresh folder of the session's shared checkpoint dir."""
+    """Message files of every reading (3 ordered chunks, one per trigger),
+    written once per application and data folder, and a fresh folder of the
+    session's shared checkpoint dir for what the stream writes. ``part``:
+    readings that lack fields (``partial``) or three fifths of them (``early``)."""
     from fleetscope.session import new_subdir
-    root = new_subdir(spark, "stream")
-    view = telemetry(spark, sf_dir) if view is None else view
-    msgs = FX.wire_messages(view, faults=faults, replay_below=replay_below)
-    FX.write_wire_chunks(msgs, f"{root}/messages", chunks=chunks)
-    return {"path": f"{root}/messages", "options": {"maxFilesPerTrigger": str(FX.FILES)}, "_root": root}
+
+    def write(path: str) -> None:
+        view = telemetry(spark, sf_dir)
+        view = FX.partial_view(view) if part == "partial" else view.where("event_id % 5 > 1") if part == "early" else view
+        FX.write_wire_chunks(FX.wire_messages(view, faults=faults, replay_below=replay_below), path, chunks=chunks)
+
+    path = _stored(spark, sf_dir, f"messages-{part}-{replay_below}-{chunks}-{faults}", write)
+    return {"path": path, "options": {"maxFilesPerTrigger": str(FX.FILES)}, "_root": new_subdir(spark, "stream")}
 
 
 def _src(d: dict) -> dict:
@@ -672,7 +677,7 @@ def q_detect_stream_partial(spark, sf_dir):
     the metrics they have, and published."""
     from fleetscope.streaming.jobs import run_to_end, start_alerts_query
     from fleetscope.streaming.sinks import read_alerts
-    s = _stream_source(spark, sf_dir, replay_below=10, view=FX.partial_view(telemetry(spark, sf_dir)))
+    s = _stream_source(spark, sf_dir, replay_below=10, part="partial")
     with state_partitions(spark):
         run_to_end(start_alerts_query(spark, _src(s), f"{s['_root']}/alerts", f"{s['_root']}/_ck_alerts",
                                       publish={"path": f"{s['_root']}/published"}))
@@ -749,7 +754,7 @@ def q_refresh(spark, sf_dir):
     from fleetscope.streaming.sinks import write_events_by_month
     t = telemetry(spark, sf_dir)
     late = F.col("event_id") % 5
-    s = _stream_source(spark, sf_dir, view=t.where(late > 1))
+    s = _stream_source(spark, sf_dir, part="early")
     events, rollup = f"{s['_root']}/events", f"{s['_root']}/rollup"
     with state_partitions(spark):
         run_to_end(start_events_query(spark, _src(s), events, f"{s['_root']}/_ck_events"))
@@ -795,12 +800,8 @@ WHERE event_id % 150 IN ({_FAULT_LIST})"""))
 def q_quarantine_stream(spark, sf_dir):
     """Damaged messages through the stream's quarantine sink (rejected
     rows with reasons), read back."""
-    from fleetscope.session import new_subdir
     from fleetscope.streaming.jobs import run_to_end, start_quarantine_query
-    root = new_subdir(spark, "stream")
-    msgs = FX.wire_messages(telemetry(spark, sf_dir), faults=True)
-    FX.write_wire_chunks(msgs, f"{root}/messages", chunks=3)
-    src = {"path": f"{root}/messages", "options": {"maxFilesPerTrigger": str(FX.FILES)}}
+    s = _stream_source(spark, sf_dir, faults=True)
     with state_partitions(spark):
-        run_to_end(start_quarantine_query(spark, src, f"{root}/rejected", f"{root}/_ck_rejected"))
-    return spark.read.parquet(f"{root}/rejected").select(F.col("offset").alias("event_id"), "reasons")
+        run_to_end(start_quarantine_query(spark, _src(s), f"{s['_root']}/rejected", f"{s['_root']}/_ck_rejected"))
+    return spark.read.parquet(f"{s['_root']}/rejected").select(F.col("offset").alias("event_id"), "reasons")
