@@ -22,13 +22,12 @@ import re
 from collections.abc import Iterator
 from itertools import repeat
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm.common import slices, table, written
+from fleetscope.llm.common import mapped, slices, table, written
 from fleetscope.session import ship_package
 
 WINDOW = 10
@@ -169,10 +168,10 @@ def _pass(known: Broadcast, window: int, last: bool):
 
 
 def _clean(known: Broadcast, window: int):
-    @F.pandas_udf("boolean")
-    def clean(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
         automaton = _automaton(known, window)
-        return pd.Series([not automaton.scan(words(t))[0] for t in texts], dtype=bool)
+        return mapped(texts, lambda t: not automaton.scan(words(t))[0], pa.bool_())
 
     return clean
 

@@ -25,13 +25,12 @@ from dataclasses import dataclass
 from math import exp
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm.common import fold, hashed_share, slices, table
+from fleetscope.llm.common import fold, hashed_share, mapped, slices, table
 from fleetscope.session import ship_package
 
 FOLDS, HELD_OUT = 4, 2
@@ -183,13 +182,13 @@ def scores(spark: SparkSession, model: Model):
 
 
 def _score(model: Broadcast):
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         key = hash((model.value.bias, *model.value.weights.items()))
         if key not in _SCORERS:
             _SCORERS.clear()
             _SCORERS[key] = Scorer(model.value)
-        return pd.Series(list(map(_SCORERS[key].score, texts)), dtype="float64")
+        return mapped(texts, _SCORERS[key].score, pa.float64())
 
     return score
 
