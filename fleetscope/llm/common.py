@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.session import shared_dir
+from fleetscope.session import written  # noqa: F401 - the operators take it from here
 
 #: Rows and text bytes that one Python step holds at a time; a longer text is one slice of its own.
 SLICE_ROWS = 1024
@@ -22,15 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder of the cluster and read back: cuts the lineage, and a lost
-    executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fold(id_col: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % folds
