@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,7 +83,6 @@ def new_subdir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared dir."""
     base = shared_dir(spark)
     if "://" in base and not base.startswith("file:"):
-        import uuid
         return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     base = base[len("file:"):] if base.startswith("file:") else base
     os.makedirs(base, exist_ok=True)
@@ -90,11 +90,13 @@ def new_subdir(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: it is not
-    computed again, and Spark knows its size."""
-    path = new_subdir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written once to the shared folder and read back: this cuts its
+    lineage (a lost executor costs no recomputation), it is not computed
+    again, and Spark knows its size."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set[str] = set()
