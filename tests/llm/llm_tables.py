@@ -1,11 +1,7 @@
-import os
-import sys
-
+"""Test tables; the fixtures are imported by the test modules (a second conftest would hide the first one)."""
 import pandas as pd
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 SF = "/root/testdata/sf0.01"
 LONG = "wide " * 30_000 + "\n" + "9" * 50_000
 

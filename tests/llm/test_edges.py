@@ -2,7 +2,7 @@
 import pytest
 
 import brute as B
-from conftest import LONG
+from llm_tables import LONG, empty, messy  # noqa: F401 - fixtures
 
 import __spark_entry__ as E
 

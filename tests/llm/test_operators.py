@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute as B
-from conftest import SF
+from llm_tables import SF, docs10  # noqa: F401 - a fixture
 from oracle_util import compare
 
 import __spark_entry__ as E
