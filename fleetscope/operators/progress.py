@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fleetscope.functions.expressions import int_div
 from fleetscope.schemas import MONITORED_METRICS
+from fleetscope.session import written
 
 
 LEVELS = 3
@@ -58,7 +59,8 @@ def batch_progress(events: DataFrame, alerts: DataFrame, batch_col: str = "batch
              .groupBy(batch_col).agg(F.count(F.lit(1)).alias("new_devices")))
     per = (ev.join(an, batch_col, "left").join(first, batch_col, "left")
            .fillna(0, ["anomalies", "new_devices"]))
-    out = running_totals(per, batch_col, {"events": "total_processed",
+    # a row for each batch; every level of the totals reads it
+    out = running_totals(written(per, "progress"), batch_col, {"events": "total_processed",
                                           "anomalies": "total_anomalies",
                                           "new_devices": "devices_tracked"})
     return out.select(batch_col, "events", "anomalies", "total_processed", "total_anomalies",
