@@ -118,7 +118,7 @@ def close_pairs(values: np.ndarray, task: np.ndarray, side: np.ndarray, budget:
                 near &= i != j
                 yield i[near], j[near]
                 a0, a1, b0, b1, d = (x[~leaf] for x in (a0, a1, b0, b1, d))
-            if not len(a0):
+            if not len(a0) or bit < 0:  # below the last bit only equal values are left
                 break
             if bit not in ones:
                 ones[bit] = np.concatenate([[0], np.cumsum((values >> np.uint64(bit) & np.uint64(1)).astype(np.int64))])

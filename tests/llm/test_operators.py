@@ -235,6 +235,12 @@ def test_edges_do_not_outnumber_rows(spark, prints):
     assert simhash.links(df).count() < 10 * 512
 
 
+def test_repeated_values_end_the_walk():
+    values = np.array([5, 5, 5, 7], np.uint64)
+    pairs = list(simhash.close_pairs(values, np.zeros(4, np.int64), np.zeros(4, np.int32), 3))
+    assert {(int(i), int(j)) for a, b in pairs for i, j in zip(a, b)} <= {(0, 3), (1, 3), (2, 3)}
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5000, 5000), (None, 3)]
     random.Random(2).shuffle(chain)
