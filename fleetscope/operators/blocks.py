@@ -5,14 +5,14 @@ numbers blocks of about ``target_rows`` consecutive rows (in the sort order)
 within every key, whatever the rate of its rows and without a limit on the
 number of keys:
 
-1. rows are counted per (key, coarse bucket of the first order column) and
-   the counts are summed up per key; a bucket's block is the number of rows
-   before it divided by ``target_rows``;
+1. rows are counted per key; those of keys with more than ``target_rows`` are
+   counted per (key, coarse bucket of the first order column), and the counts
+   are summed up; a bucket's block is the number of rows before it divided by
+   ``target_rows``;
 2. a bucket that alone holds more than ``target_rows`` is counted again by
-   the next finer level (hour, second, exact value, next order column, ...),
-   so a burst is split too;
-3. the blocks of the keys that have several are joined back on
-   (key, bucket). All other rows are block 0.
+   the next finer level (day, hour, second, exact value, next order column,
+   ...), so a burst is split too;
+3. the blocks are joined back on (key, bucket). All other rows are block 0.
 
 The block table has a row per (key, bucket) of the split keys only and is
 written to the shared folder first, so that Spark sees its size: it is
@@ -28,7 +28,6 @@ from pyspark.sql import types as T
 from fleetscope.session import written
 
 DEFAULT_TARGET_ROWS = 1_000_000
-COARSE_SECONDS = 3600
 
 
 def _levels(df: DataFrame, order_cols: list[str]) -> list[Column]:
@@ -37,12 +36,14 @@ def _levels(df: DataFrame, order_cols: list[str]) -> list[Column]:
     first, dtype = F.col(order_cols[0]), df.schema[order_cols[0]].dataType
     if isinstance(dtype, T.TimestampType):
         micros = F.unix_micros(first)
-        start = [F.floor(micros / (COARSE_SECONDS * 1_000_000)), F.floor(micros / 1_000_000)]
+        start = [F.floor(micros / (s * 1_000_000)) for s in (86_400, 3600, 1)]
     elif isinstance(dtype, T.TimestampNTZType):
         # no step through a time zone, so that buckets never go backwards
-        start = [F.unix_date(F.to_date(first)) * 24 + F.hour(first), F.date_trunc("second", first)]
+        start = [F.to_date(first), F.hour(first), F.date_trunc("second", first)]
     elif isinstance(dtype, T.NumericType):
-        start = [F.floor(first / 1024)]
+        start = [F.floor(first / 2 ** 20), F.floor(first / 1024)]
+    elif isinstance(dtype, T.DateType):
+        start = [F.floor(F.unix_date(first) / 32)]
     else:
         start = []
     return [*start, first, *[F.col(c) for c in order_cols[1:]]]
@@ -60,29 +61,30 @@ def assign_blocks(df: DataFrame, keys: list[str], order_cols: list[str],
     levels = _levels(df, order_cols)
     names = [f"_l{i}" for i in range(len(levels))]
     slim = df.select(*keys, *[c.alias(n) for c, n in zip(levels, names)])
+    # 0, but not a constant: Spark would drop a constant _blk from the keys of
+    # the window and no longer see that a shuffle on (key, _blk) satisfies it
+    zero = F.pmod(F.hash(*keys), F.lit(1)).cast("long")
+    # the coarsest bucket is the key itself
+    large = written(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target_rows)
+                    .select(*keys, F.lit(0).cast("long").alias("_base")), "blocks")
+    if large.isEmpty():
+        return df.withColumns({"_blk": zero, "_split": F.lit(False)})
     out = df.withColumns(dict(zip(names, levels)))
-    blocks, large = [], None
+    blocks = []
     for i in range(len(levels)):
         own = names[:i + 1]
-        rows = slim if large is None else slim.join(large, [*keys, *names[:i]])
-        base = F.lit(0) if large is None else F.first("_base")
-        counts = rows.groupBy(*keys, *own).agg(F.count(F.lit(1)).alias("_n"), base.alias("_base"))
-        # a window over the buckets of one key (or of one larger bucket), not over rows
+        counts = (slim.join(large, [*keys, *names[:i]]).groupBy(*keys, *own)
+                  .agg(F.count(F.lit(1)).alias("_n"), F.first("_base").alias("_base")))
+        # a window over the buckets of one larger bucket, not over rows
         running = (Window.partitionBy(*keys, *own[:-1]).orderBy(own[-1])
                    .rowsBetween(Window.unboundedPreceding, -1))
         counts = counts.withColumn("_before", F.col("_base") + F.coalesce(F.sum("_n").over(running), F.lit(0)))
-        if large is None:  # only keys with several blocks
-            counts = (counts.withColumn("_all", F.sum("_n").over(Window.partitionBy(*keys)))
-                      .where(F.col("_all") > target_rows))
         found = written(counts.select(*keys, *own, F.floor(F.col("_before") / target_rows).alias(f"_b{i}"),
-                                     "_n", "_before"), "blocks")
+                                      "_n", "_before"), "blocks")
         out = out.join(found.drop("_n", "_before"), [*keys, *own], "left")
         blocks.insert(0, F.col(f"_b{i}"))
         large = found.where(F.col("_n") > target_rows).select(*keys, *own, F.col("_before").alias("_base"))
         if large.isEmpty():
             break
-    # 0, but not a constant: Spark would drop a constant _blk from the keys of
-    # the window and no longer see that a shuffle on (key, _blk) satisfies it
-    zero = F.pmod(F.hash(*keys), F.lit(1)).cast("long")
     return (out.withColumns({"_blk": F.coalesce(*blocks, zero), "_split": F.col("_b0").isNotNull()})
             .select(*df.columns, "_blk", "_split"))

@@ -19,7 +19,7 @@ from fleetscope.schemas import MONITORED_METRICS
 from fleetscope.session import written
 
 
-LEVELS = 3
+LEVELS = 2
 
 
 def running_totals(df: DataFrame, order_col: str, sums: dict[str, str], block: int = 1024) -> DataFrame:

@@ -113,7 +113,7 @@ def percentile_name(p: float) -> str:
 
 
 def ingest_lag_percentiles(df: DataFrame, group_cols: list[str], lag_col: str = "lag_ms",
-                           percentiles=(0.95, 0.99), widths=(2.0 ** 20, 2.0 ** 10, 1.0)) -> DataFrame:
+                           percentiles=(0.95, 0.99), widths=(2.0 ** 16, 2.0 ** 6)) -> DataFrame:
     """Median (mean of the two middle values) and pXX = sorted[int(n*XX)]
     (0-based) of ``lag_col`` per group -- exact, without collecting a group.
     Rows without a lag do not count.
