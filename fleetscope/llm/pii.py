@@ -3,8 +3,9 @@ adjust its score.
 
 A pattern's matches and what stands between them come from ``regexp_extract_all`` and ``split``; the running sum of their
 lengths gives the offsets (code points, end exclusive). Kinds: e-mail, IP address, payment card (14 to 19 digits, Luhn),
-phone number (10 to 15 digits), and the added IBAN (mod 97) and social security number. Matches of one kind do not
-overlap, and one that fails its check is dropped. A span's score is its kind's, plus or minus what the context words
+phone number (10 to 15 digits), and the added IBAN (mod 97) and social security number. An IBAN ends at its country's
+length, so that a word or number after it is not taken in; after an unknown country code any length is tried. Matches of
+one kind do not overlap, and one that fails its check is dropped. A span's score is its kind's, plus or minus what the context words
 within ``NEAR`` characters say. Spans of the four base kinds stay whatever their score; of the added ones only those that
 reach ``LEAST``. A social security number has no checksum and needs a context word.
 
@@ -55,6 +56,26 @@ def _mod_97(value: Column) -> Column:
     return _length_between(compact, 15, 34) & (rest == 1)
 
 
+#: Characters of an IBAN and the countries with that length.
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban(blank: str) -> str:
+    """IBANs of known countries; ``blank`` stands between groups of four."""
+    def of(length: int, codes: str) -> str:
+        fours, rest = divmod(length - 4, 4)
+        return (f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:{blank}[A-Z0-9]{{4}}){{{fours}}}"
+                + (f"{blank}[A-Z0-9]{{{rest}}}" if rest else ""))
+    return f"(?:{'|'.join(of(*x) for x in IBAN_COUNTRIES.items())})(?![A-Za-z0-9])"
+
+
+# a blank within an IBAN: no other IBAN starts after it
+_BLANK = rf"(?:\x20(?!{_iban(chr(92) + 'x20?')}))?"
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
 
@@ -84,7 +105,8 @@ BASE = (
          "tel|phone|call|mobile|fax|telefon|téléphone|teléfono", "order|tracking|serial"),
 )
 ADDED = (
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    Kind("iban", rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_iban(_BLANK)}"
+         rf"|[A-Z]{{2}}[0-9]{{2}}(?:{_BLANK}[A-Z0-9]{{4}}){{2,7}}(?:{_BLANK}[A-Z0-9]{{1,3}})?(?![A-Za-z0-9]))",
          _mod_97, 0.8, "", "iban|account|bank|konto|compte|cuenta", "serial|part"),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
          lambda v: ~v.rlike("^(?:000|666|9)|-00-|-0000$"), 0.3, "-", "ssn|social security|sozialversicherung", "order|part"),

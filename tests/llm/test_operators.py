@@ -150,6 +150,20 @@ def test_added_kinds_need_checksum_or_context(spark):
     assert near > far
 
 
+def test_ibans_end_at_the_length_of_their_country(spark):
+    numbers = ["ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034",
+               "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
+    texts = [(f"{before}{x}{after}", x) for x in numbers for before in ("", "AB12 ") for after in (" BIC", " EUR", " BANK", " 1234 X", ".", "")]
+    both = "ES91 2100 0418 4502 0005 1332 DE89 3704 0044 0532 0130 00 BIC"
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)] + [(-1, both)], "doc_id int, text string")
+    found = {r.doc_id: [r.text[s.start:s.end] for s in r.spans if s.kind == "iban"]
+             for r in pii.find(df).join(df, "doc_id").collect()}
+    assert found.pop(-1) == [both[:29], both[30:57]]
+    assert found == {i: [x] for i, (_, x) in enumerate(texts)}
+    masked = {r.doc_id: r.text for r in pii.mask(df).collect()}
+    assert masked[0] == "<IBAN> BIC" and masked[-1] == "<IBAN> <IBAN> BIC"
+
+
 # -- quality -------------------------------------------------------------------------------------------------------
 
 def test_measures(spark, docs10):
