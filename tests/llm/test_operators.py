@@ -286,6 +286,18 @@ def test_shards_are_even_and_keep_groups(spark):
     assert got[got.group_rows == 700].shard.nunique() <= 8  # at least 4 are needed
 
 
+def test_all_rows_linked_in_pairs_and_a_group_of_a_third(spark):
+    texts = [f"pair {i // 2}" for i in range(4000)] + ["group"] * 2000
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sharding.shard(df, shards=12).toPandas()
+    sizes = got.groupby("shard").size()
+    assert len(got) == 6000 and list(sizes) == [500] * 12
+    assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
+    whole = (got[got.group_rows == 2].groupby("group").shard.nunique() == 1).mean()
+    assert whole > 0.99, whole
+    assert sum(sorted(got[got.group_rows == 2000].shard.value_counts())[-4:]) > 1980  # 4 shards hold 2,000 rows
+
+
 def test_sharding_is_the_same_again(spark, docs10):
     a, b = (sorted(map(tuple, QUERIES["op9_sharding"](spark, SF).select("doc_id", "shard", "slot").collect())) for _ in range(2))
     assert a == b and len(a) == len(docs10)
