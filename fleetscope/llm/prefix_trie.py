@@ -21,8 +21,8 @@ The hash of the ids that end at a node is made in the shard; where copies of one
 shard's ids are joined to text there, and these pieces, in order, go through one hash (the hash is sequential by definition,
 its input is some bytes an id).
 
-Bounds: a shard holds SHARD nodes and rows at most, or one conversation. A conversation is one row while it is rebuilt: 36
-bytes a turn, whatever its texts. Nothing but counts goes through the driver.
+Bounds: a shard holds SHARD nodes at most, or 64 conversations. A conversation is one row while it is rebuilt: 36 bytes a
+turn, whatever its texts. Nothing but counts goes through the driver.
 
 Defined results: rows without a conv_id belong to no conversation; of turns with equal numbers (null comes first) the order
 is that of their SHA-256, and repeated rows are turns of their own; an empty text has no words; extra columns are not read; an
@@ -125,7 +125,8 @@ class Parentheses:
         for k in range(len(self.low)):
             right = node[climbing] + 1
             ok = (node[climbing] % 2 == 0) & (right < len(self.low[k]))
-            ok[ok] = self.low[k][right[ok]] <= want[climbing][ok]
+            # the excess moves by single steps: a range reaches all between its minimum and maximum
+            ok[ok] = (self.low[k][right[ok]] <= want[climbing][ok]) & (want[climbing][ok] <= self.high[k][right[ok]])
             node[climbing[ok]], level[climbing[ok]] = right[ok], k
             climbing = climbing[~ok]
             node[climbing] //= 2
@@ -385,9 +386,10 @@ def _joined_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _level(keys: DataFrame, bottom: bool, shard_size: int) -> DataFrame:
     """The final nodes of the trie of ``keys`` (written before), with the places of those above the bottom."""
     spark = keys.sparkSession
-    size = keys.agg(F.sum(F.octet_length("key") / NAME + 1)).first()[0] or 0
-    top = not bottom and size <= shard_size
-    parts = -(-int(size) // shard_size)
+    n, size = keys.agg(F.count("*"), F.sum(F.octet_length("key") / NAME + 1)).first()
+    size = size or 0
+    top = not bottom and (size <= shard_size or n <= _FEWEST)
+    parts = min(-(-int(size) // shard_size), -(-n // _FEWEST))
     if bottom:
         parts = max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = keys.repartition(1) if top else keys.repartitionByRange(max(1, parts), "key", "conv_id")
@@ -456,7 +458,8 @@ ends AS (SELECT path, sha256(string_agg(conv_id::varchar, ',' ORDER BY conv_id))
 node AS (
   SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
          any_value(len(regexp_extract_all(text, '[^ 	
-]+'))) AS words
+
+]+'))) AS words
   FROM member GROUP BY path),
 kids AS (SELECT left(path, (32 * depth - 32)::int) AS path, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1),
 full_node AS (SELECT node.*, coalesce(kids.n, 0) AS n_children FROM node LEFT JOIN kids USING (path)),

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetscope.llm import byte_bpe, decontaminate, language_id, licenses, pii, quality, sharding, simhash, toxicity, warc
+from fleetscope.llm import (byte_bpe, decontaminate, hard_negatives, language_id, licenses, minhash, pii, prefix_trie, quality,
+                            sharding, simhash, toxicity, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": byte_bpe.op1,
@@ -19,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": simhash.op8,
     "op9_sharding": sharding.op9,
     "op10_decontamination": decontaminate.op10,
+    "op11_prefix_trie": prefix_trie.op11,
+    "op12_hard_negatives": hard_negatives.op12,
+    "op13_minhash": minhash.op13,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +30,6 @@ ORACLES: dict[str, str] = {
     "op4_warc_revisits": warc.ORACLE_SQL,
     "op6_quality_rules": quality.ORACLE_SQL,
     "op10_decontamination": decontaminate.ORACLE_SQL,
+    "op11_prefix_trie": prefix_trie.ORACLE_SQL,
+    "op12_hard_negatives": hard_negatives.ORACLE_SQL,
 }

@@ -2,7 +2,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 
 import public_tokenizers
 import tiktoken
@@ -103,3 +105,76 @@ def measured(text):
         seen.setdefault(tuple(w[i:i + 8]), []).append(i)
     covered = {p for places in seen.values() if len(places) > 1 for i in places for p in range(i, i + 8)}
     return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered))
+
+
+def trie(turns) -> list[tuple]:
+    """Nodes of the prefix trie of rebuilt conversations, from (conv_id, turn, role, text)."""
+    convs: dict[int, list] = {}
+    for c, turn, role, text in turns:
+        if c is not None:
+            role, text = role or "", text or ""
+            convs.setdefault(c, []).append((turn is not None, turn or 0, sha(f"{len(role.encode())}:{role}{text}"), role, text))
+    convs = {c: [t[3:] for t in sorted(ts)] for c, ts in convs.items()}
+    members: dict[tuple, list[int]] = {}
+    ends: dict[tuple, list[int]] = {}
+    for c in sorted(convs):
+        h = zlib.crc32(str(c).encode()) % 4
+        path = tuple(convs.get(c - int(math.fmod(c, 20)), [])[:h] + convs[c][h:])
+        for d in range(len(path) + 1):
+            members.setdefault(path[:d], []).append(c)
+        ends.setdefault(path, []).append(c)
+    kids: dict[tuple, int] = {}
+    for v in members:
+        if v:
+            kids[v[:-1]] = kids.get(v[:-1], 0) + 1
+    leaves, saved = dict.fromkeys(members, 0), dict.fromkeys(members, 0)
+    for v, own in members.items():
+        for d in range(len(v) + 1):
+            leaves[v[:d]] += v not in kids
+            saved[v[:d]] += (len(own) - 1) * (len(SPACED.findall(v[-1][1])) if v else 0)
+    return [(own[0], len(v), members[v[:-1]][0] if v else None, len(own), kids.get(v, 0), leaves[v], saved[v],
+             sha(",".join(map(str, ends.get(v, []))))) for v, own in members.items()]
+
+
+def hard_negatives(rows, every: int = 100) -> list[tuple]:
+    """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) from (vec_id, vector, label)."""
+    kept = [(i, v, label) for i, v, label in rows if label is not None and v is not None
+            and all(x is not None and math.isfinite(x) for x in v)]
+    dims = max([1] + [len(v) for _, v, _ in kept])
+    most = min(1 << 30, math.isqrt((1 << 59) // dims))
+    quantised = [(i, [math.floor(max(-most, min(most, 256 * x))) for x in v] + [0] * (dims - len(v)),
+                  (label + 1) % 10 if i is not None and i % 7 == 0 else label) for i, v, label in kept]
+    out = []
+    for n, (anchor, a, own) in enumerate(quantised):
+        if anchor is None or anchor % every:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(a, b)), i is None, i or 0, label) for m, (i, b, label) in enumerate(quantised) if m != n)
+        for p, none, i, label in [x for x in scored if x[3] == own][:5]:
+            low = [x for x in scored if x[3] != own and 30 * -p <= 100 * -x[0] <= 90 * -p][:10]
+            out += [(anchor, None if none else i, rank, None if x[1] else x[2], -p, -x[0]) for rank, x in enumerate(low, 1)]
+    return out
+
+
+def shingle_set(text) -> frozenset:
+    w = SPACED.findall((text or "").translate(LOWER))
+    return frozenset(" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))) if w else frozenset()
+
+
+def linked_sets(sets, percent: int = 85) -> list[int]:
+    """For each set the place of the first one that its links reach."""
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)):
+                both = len(a & b)
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    low, high = sorted((find(i), find(j)))
+                    root[high] = low
+    return [find(i) for i in range(len(sets))]

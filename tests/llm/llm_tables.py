@@ -11,15 +11,18 @@ def docs10(spark):
     return pd.read_parquet(f"{SF}/documents.parquet")
 
 
-def write_tables(spark, root, documents, labels, benchmark, pages):
+def write_tables(spark, root, documents, labels, benchmark, pages, conversations=(), embeddings=()):
     """Parquet tables with columns whose names the operators use inside."""
     from pyspark.sql import functions as F
-    extra = ["id", "fp", "group", "score", "path", "row", "host", "words", "spans", "shard", "key", "part", "own"]
+    extra = ["id", "fp", "group", "score", "path", "row", "host", "spans", "shard", "key", "part", "own", "words",
+             "member", "q", "windows", "ts", "of", "least"]
     for name, rows, schema in (
             ("documents", documents, "doc_id long, text string, lang string, source string, n_chars long"),
             ("labels", labels, "doc_id long, quality int, toxic int"),
-            ("benchmark", benchmark, "item_id long, text string"), ("pages", pages, "page_id long, url string, html string")):
-        df = spark.createDataFrame(rows, schema)
+            ("benchmark", benchmark, "item_id long, text string"), ("pages", pages, "page_id long, url string, html string"),
+            ("conversations", conversations, "conv_id long, turn long, role string, text string"),
+            ("embeddings", embeddings, "vec_id long, embedding array<float>, label int")):
+        df = spark.createDataFrame(list(rows), schema)
         df.select("*", *[F.lit("other").alias(c) for c in extra]).repartition(3).write.parquet(f"{root}/{name}.parquet")
     return str(root)
 
@@ -39,7 +42,18 @@ def messy(spark, tmp_path_factory):
     benchmark = [(1, passage), (1, passage), (2, None), (3, ""), (None, "short item"), (4, "?!")]
     pages = [(1, "http://www.A.example/x/?utm_source=f", "one"), (2, "https://a.example/x#top", "one"), (3, None, "two"),
              (None, "http://a.example/x", None), (2, "https://a.example/x#top", "one"), (5, "", "")]
-    return write_tables(spark, tmp_path_factory.mktemp("messy"), documents, labels, benchmark, pages)
+    conversations = [
+        (0, 0, "user", "Hi there"), (0, None, "user", "null turn first"), (0, 1, "assistant", None), (0, 1, "assistant", None),
+        (1, 0, "user", "own"), (1, 1, None, "own two"), (1, 2, "user", "x " * 40_000), (2, 0, "", ""), (3, 5, "user", "late"),
+        (4, 0, "user", "Hi there"), (5, 0, "user", "Hi there"), (23, 0, "user", "no base"), (24, 0, "user", "no base"),
+        (None, 0, "user", "no conversation"), (None, None, None, None), (-3, 0, "user", "below zero"), (40, None, None, None)]
+    vector = [0.5, -0.25, 0.125]
+    embeddings = [
+        (0, vector, 1), (100, vector, 1), (100, vector, 1), (7, vector, 0), (1, [0.5, -0.25, 0.0], 1), (2, [0.4, -0.2], 2),
+        (3, [0.3, 0.1, 0.1], 2), (3, [0.3, 0.1, 0.1], 2), (None, [0.35, -0.1, 0.1], 3), (4, None, 1), (5, vector, None),
+        (6, [float("nan"), 0.0, 0.0], 1), (8, [None, 0.1, 0.1], 1), (9, [float("inf"), 0.0, 0.0], 1), (200, [], 1),
+        (11, [1e30, 1.0, 1.0], 4), (300, [0.2, -0.1, 0.3, 0.0], 2), (None, None, None), (12, [-0.5, 0.25, -0.1], 1)]
+    return write_tables(spark, tmp_path_factory.mktemp("messy"), documents, labels, benchmark, pages, conversations, embeddings)
 
 
 @pytest.fixture(scope="session")

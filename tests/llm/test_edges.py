@@ -8,7 +8,7 @@ import __spark_entry__ as E
 
 DOCS = 14
 QUERIES = E._llm()[0]
-PER_DOCUMENT = [q for q in QUERIES if q not in ("op4_warc_revisits", "pipeline")]
+PER_DOCUMENT = [q for q in QUERIES if q not in ("op4_warc_revisits", "op11_prefix_trie", "op12_hard_negatives", "pipeline")]
 
 
 def by_id(df):
@@ -18,8 +18,8 @@ def by_id(df):
     return out
 
 
-def test_eleven_queries():
-    assert len(QUERIES) == 11
+def test_fourteen_queries():
+    assert len(QUERIES) == 14
 
 
 @pytest.mark.parametrize("name", QUERIES)
@@ -108,6 +108,27 @@ def test_op10(spark, messy):
     assert (got[1][0].n_words, got[1][0].items_sha256, got[1][0].contaminated) == (0, B.sha(""), False)
 
 
+def test_op11(spark, messy):
+    turns = spark.read.parquet(f"{messy}/conversations.parquet").collect()
+    got = sorted(map(tuple, QUERIES["op11_prefix_trie"](spark, messy).collect()), key=str)
+    assert got == sorted(B.trie((r.conv_id, r.turn, r.role, r.text) for r in turns), key=str)
+
+
+def test_op12(spark, messy):
+    rows = spark.read.parquet(f"{messy}/embeddings.parquet").collect()
+    got = sorted(map(tuple, QUERIES["op12_hard_negatives"](spark, messy).collect()), key=str)
+    want = sorted(B.hard_negatives([(r.vec_id, r.embedding, r.label) for r in rows]), key=str)
+    assert got == want and {r[0] for r in got} >= {0, 100} and any(r[3] is None for r in got)
+
+
+def test_op13(spark, messy):
+    got = by_id(QUERIES["op13_minhash"](spark, messy))
+    assert {(r.n_shingles, r.component_id, r.kept) for i in (1, 2, 3) for r in got[i]} == {(0, i, True) for i in (1, 2, 3)}
+    assert {(r.n_shingles, r.component_id) for i in (4, 5) for r in got[i]} == {(5, 4)} and not got[5][0].kept
+    assert sorted((r.n_shingles, r.component_id, r.kept) for r in got[None]) == [(0, None, True), (6, None, True)]
+    assert got[10][0].n_shingles == 1 and got[10][0].kept
+
+
 def test_pipeline(spark, messy):
     got = by_id(QUERIES["pipeline"](spark, messy))
     # of 1, 2, 3 and a null row one stays, of 4, 4, 5 one; 7 is contaminated
