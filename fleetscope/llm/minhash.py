@@ -153,23 +153,22 @@ def least_equal(percent: int = PERCENT, lanes: int = LANES, bits: int = BITS, mi
 
 
 def prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(row, id, n_shingles, digest, bands, signature, shingles) of every row; no bands where there is no shingle."""
+    """(row, id, text_hash, n_shingles, digest, bands, signature) of every row; no bands where there is no shingle."""
     ship_package(docs.sparkSession)
+    text = F.col(text_col).cast("string")
     picked = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
-                         F.col(text_col).cast("string").alias("text"))
+                         F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         make = Hasher(shingle)
-        for part in slices(batches, 2):
-            n, digest, bands, signature, sets = [], [], [], [], []
-            for text in part.column(2).to_pylist():
+        for part in slices(batches, 3):
+            n, digest, bands, signature = [], [], [], []
+            for text in part.column(3).to_pylist():
                 names = make.shingles(text)
                 n.append(len(names))
-                raw = names.tobytes()
-                sets.append(raw)
-                digest.append(xxhash.xxh3_128_digest(raw, _SEED))
+                digest.append(xxhash.xxh3_128_digest(names.tobytes(), _SEED))
                 if len(names):
                     minima = make.minima(names)
                     bands.append(make.band_keys(minima).view(np.int64))
@@ -178,13 +177,31 @@ def prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
                     bands.append(None)
                     signature.append(None)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array(bands, pa.list_(pa.int64())), pa.array(signature, pa.binary()), pa.array(sets, pa.binary())],
-                names=["row", "id", "n_shingles", "digest", "bands", "signature", "shingles"])
+                [*part.columns[:3], pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
+                 pa.array(bands, pa.list_(pa.int64())), pa.array(signature, pa.binary())],
+                names=["row", "id", "text_hash", "n_shingles", "digest", "bands", "signature"])
 
     kind = picked.schema["id"].dataType.simpleString()
-    return picked.mapInArrow(run, f"row long, id {kind}, n_shingles long, digest binary, bands array<long>, "
-                                  "signature binary, shingles binary")
+    return picked.mapInArrow(run, f"row long, id {kind}, text_hash long, n_shingles long, digest binary, bands array<long>, "
+                                  "signature binary")
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """(member, shingles) of ``wanted`` (member, id, text_hash), from the texts: only theirs are read into sets."""
+    text = F.col(text_col).cast("string")
+    named = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("of_id"), F.xxhash64(text).alias("text_hash"),
+                        text.alias("text"))
+    wanted = wanted.select("member", F.coalesce(F.col("id").cast("string"), F.lit("")).alias("of_id"), "text_hash")
+    # repeated rows have the same id and text; one is enough
+    picked = named.join(written(wanted, "minhash-wanted"), ["of_id", "text_hash"]).select("member", "text").dropDuplicates(["member"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = Hasher(shingle)
+        for part in slices(batches, 1):
+            sets = [make.shingles(t).tobytes() for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], names=["member", "shingles"])
+
+    return picked.mapInArrow(run, "member long, shingles binary")
 
 
 # -- links inside groups ------------------------------------------------------------------------------------------
@@ -270,17 +287,23 @@ def _walk(percent: int, confirm: bool):
     return run
 
 
-def links(members: DataFrame, percent: int = PERCENT, confirm: bool = False, chunk: int = CHUNK,
+def links(members: DataFrame, payload: DataFrame, percent: int = PERCENT, chunk: int = CHUNK,
           chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Edges (a, b) that join all members of a group that are linked. ``members``: group long, member long, signature
-    and, to ``confirm`` links on them, shingles; written before."""
+    """Edges (a, b) that join all members of a group that are linked. ``members``: group long, member long; ``payload``:
+    member, signature and, to confirm links on them, shingles. Both written before. Members that are alone in their group
+    are left out first, so that only the others' signatures and sets are moved."""
+    confirm = "shingles" in payload.columns
     extra = ["signature", "shingles"] if confirm else ["signature"]
-    weight = F.sum(F.octet_length("shingles")) if confirm else F.lit(0).cast("long")
+    sized = members
+    if confirm:
+        sized = members.join(payload.select("member", F.octet_length("shingles").alias("bytes")), "member")
+    weight = F.sum(F.col("bytes").cast("long")) if confirm else F.lit(0).cast("long")
     parts = F.greatest(F.ceil(F.count("*") / chunk), F.ceil(weight / chunk_bytes)).cast("int")
-    groups = written(members.groupBy("group").agg(F.count("*").alias("count"), F.min("member").alias("center"),
-                                                  parts.alias("parts")).filter("count > 1").drop("count"), "minhash-groups")
+    groups = written(sized.groupBy("group").agg(F.count("*").alias("count"), F.min("member").alias("center"),
+                                                parts.alias("parts")).filter("count > 1").drop("count"), "minhash-groups")
     part = F.pmod(F.xxhash64("member", F.lit("part")), F.col("parts")).cast("int")
-    rows = members.join(groups, "group").select("group", "member", "center", "parts", part.alias("part"), *extra)
+    rows = members.join(groups, "group").select("group", "member", "center", "parts", part.alias("part"))
+    rows = rows.join(payload, "member").select("group", "member", "center", "parts", "part", *extra)
     many = not groups.filter("parts > 1").isEmpty()
     if many:  # read by three steps
         rows = written(rows, "minhash-rows")
@@ -321,14 +344,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # documents of equal sets are one class, which its first row stands for
     classes = written(made.filter("n_shingles > 0").groupBy("digest").agg(
         F.min("row").alias("first"), F.min("id").alias("least")), "minhash-classes")
-    firsts = classes.select(F.col("first").alias("row"))
-    buckets = written(made.select("row", "bands", "signature").join(firsts, "row", "left_semi").select(
-        F.explode("bands").alias("group"), F.col("row").alias("member"), "signature"), "minhash-buckets")
-    clusters = written(components(links(buckets, percent, chunk=chunk), "a", "b"), "minhash-clusters")
-    sets = written(made.select("row", "signature", "shingles").join(
-        clusters.select(F.col("node").alias("row"), F.col("root").alias("group")), "row")
-        .withColumnRenamed("row", "member"), "minhash-sets")
-    linked = written(components(links(sets, percent, confirm=True, chunk=chunk), "a", "b"), "minhash-linked")
+    firsts = written(made.select(F.col("row").alias("member"), "id", "text_hash", "bands", "signature").join(
+        classes.select(F.col("first").alias("member")), "member", "left_semi"), "minhash-firsts")
+    buckets = firsts.select(F.explode("bands").alias("group"), "member")
+    near = links(buckets, firsts.select("member", "signature"), percent, chunk)
+    clusters = written(components(near, "a", "b").select(F.col("node").alias("member"), F.col("root").alias("group")),
+                       "minhash-clusters")
+    picked = firsts.select("member", "id", "text_hash", "signature").join(clusters.select("member"), "member", "left_semi")
+    picked = written(picked, "minhash-picked")
+    sets = full_sets(docs, picked, id_col, text_col).join(picked.select("member", "signature"), "member")
+    sets = written(sets.select("member", "signature", "shingles"), "minhash-sets")
+    linked = written(components(links(clusters, sets, percent, chunk), "a", "b"), "minhash-linked")
 
     rooted = written(classes.join(linked.withColumnRenamed("node", "first"), "first", "left").select(
         "digest", "least", F.coalesce("root", "first").alias("root")), "minhash-rooted")

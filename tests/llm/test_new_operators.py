@@ -2,7 +2,6 @@
 import random
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,7 +173,9 @@ def test_links_do_not_outnumber_members(spark):
     """300 copies that are all linked with each other: chunks return stars."""
     base = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join([*base, f"n{i}"])) for i in range(300)]
-    made = minhash.prints(spark.createDataFrame(rows, "doc_id long, text string")).cache()
-    members = made.select(F.lit(1).cast("long").alias("group"), F.col("row").alias("member"), "signature", "shingles")
-    assert minhash.links(members, confirm=True, chunk=32).count() < 330
-    assert pd.Series([r.n_shingles for r in made.collect()]).eq(199).all()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made = minhash.prints(docs).withColumnRenamed("row", "member").cache()
+    sets = minhash.full_sets(docs, made).join(made.select("member", "signature"), "member").cache()
+    members = made.select(F.lit(1).cast("long").alias("group"), "member")
+    assert minhash.links(members, sets, chunk=32).count() < 330
+    assert {r.n_shingles for r in made.collect()} == {199} and sets.count() == 300
