@@ -40,7 +40,7 @@ def clamp_metrics(df, cols: dict | None = None):
 
     cpu and memory to 0..100, signal to -120..-40, throughput to >= 0;
     battery is only rounded. Rounding is half away from zero, once. A
-    reading that is NaN has no place in a range and stays NaN.
+    reading that is missing or NaN has no place in a range and stays so.
     """
     cols = cols or {
         "cpu_usage_pct": VALUE_RANGES["cpu_usage_pct"],
@@ -57,7 +57,7 @@ def clamp_metrics(df, cols: dict | None = None):
         if hi is not None:
             c = F.least(c, F.lit(float(hi)))
         own = F.col(name).cast("double")
-        out = out.withColumn(name, F.when(F.isnan(own), own).otherwise(F.round(c, 2)))
+        out = out.withColumn(name, F.when(own.isNull() | F.isnan(own), own).otherwise(F.round(c, 2)))
     return out
 
 

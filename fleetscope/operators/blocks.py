@@ -49,13 +49,20 @@ def _levels(df: DataFrame, order_cols: list[str]) -> list[Column]:
     return [*start, first, *[F.col(c) for c in order_cols[1:]]]
 
 
+def _joined(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal ``cols``, where null equals null; the columns come from ``left``."""
+    renamed = right.withColumnsRenamed({c: f"_of_{c}" for c in cols})
+    on = [left[c].eqNullSafe(renamed[f"_of_{c}"]) for c in cols]
+    return left.join(renamed, on, how).drop(*[f"_of_{c}" for c in cols])
+
+
 def assign_blocks(df: DataFrame, keys: list[str], order_cols: list[str],
                   target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Adds ``_blk`` (long, 0 for the first rows of a key, growing in the
     order of ``order_cols``) and ``_split`` (has the key several blocks?).
 
-    Rows that are equal in all order columns stay in one block. Rows with a
-    null key or a null first order column (which sorts first) are block 0."""
+    Rows that are equal in all order columns stay in one block. A null key is
+    a key, and null order values (which sort first) are split like others."""
     if target_rows < 1:
         raise ValueError("target_rows must be >= 1")
     levels = _levels(df, order_cols)
@@ -64,16 +71,21 @@ def assign_blocks(df: DataFrame, keys: list[str], order_cols: list[str],
     # 0, but not a constant: Spark would drop a constant _blk from the keys of
     # the window and no longer see that a shuffle on (key, _blk) satisfies it
     zero = F.pmod(F.hash(*keys), F.lit(1)).cast("long")
+    whole = df.withColumns({"_blk": zero, "_split": F.lit(False)})
+    # a table of so few rows has no larger key (of Parquet, the rows are counted from the footers)
+    if df.count() <= target_rows:
+        return whole
     # the coarsest bucket is the key itself
-    large = written(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target_rows)
-                    .select(*keys, F.lit(0).cast("long").alias("_base")), "blocks")
+    large = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target_rows)
+             .select(*keys, F.lit(0).cast("long").alias("_base")))
     if large.isEmpty():
-        return df.withColumns({"_blk": zero, "_split": F.lit(False)})
+        return whole
+    large = written(large, "blocks")
     out = df.withColumns(dict(zip(names, levels)))
     blocks = []
     for i in range(len(levels)):
         own = names[:i + 1]
-        counts = (slim.join(large, [*keys, *names[:i]]).groupBy(*keys, *own)
+        counts = (_joined(slim, large, [*keys, *names[:i]]).groupBy(*keys, *own)
                   .agg(F.count(F.lit(1)).alias("_n"), F.first("_base").alias("_base")))
         # a window over the buckets of one larger bucket, not over rows
         running = (Window.partitionBy(*keys, *own[:-1]).orderBy(own[-1])
@@ -81,7 +93,7 @@ def assign_blocks(df: DataFrame, keys: list[str], order_cols: list[str],
         counts = counts.withColumn("_before", F.col("_base") + F.coalesce(F.sum("_n").over(running), F.lit(0)))
         found = written(counts.select(*keys, *own, F.floor(F.col("_before") / target_rows).alias(f"_b{i}"),
                                       "_n", "_before"), "blocks")
-        out = out.join(found.drop("_n", "_before"), [*keys, *own], "left")
+        out = _joined(out, found.drop("_n", "_before"), [*keys, *own], "left")
         blocks.insert(0, F.col(f"_b{i}"))
         large = found.where(F.col("_n") > target_rows).select(*keys, *own, F.col("_before").alias("_base"))
         if large.isEmpty():

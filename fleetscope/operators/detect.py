@@ -48,6 +48,10 @@ from fleetscope.operators.blocks import DEFAULT_TARGET_ROWS, assign_blocks
 from fleetscope.schemas import MIN_STD, MONITORED_METRICS, THRESHOLDS, WINDOW_SIZE
 
 
+#: Windows of so many rows or more use running sums.
+PREFIX_SUMS_FROM = 512
+
+
 # -- operator 15 -----------------------------------------------------------
 def unpivot_metrics(df: DataFrame, ids: list[str], metrics: list[str] = MONITORED_METRICS,
                     value_col: str = "x") -> DataFrame:
@@ -64,10 +68,22 @@ def unpivot_metrics(df: DataFrame, ids: list[str], metrics: list[str] = MONITORE
 
 def _frame_aggs(w_order, value: str, exact: bool, window: int) -> list[dict]:
     """Window columns n, s, q (exact) or n, mean, std (general) over the
-    last ``window`` rows of ``w_order``. A bounded frame: a sum of at most
-    ``window`` squares cannot overflow, unlike running prefix sums over a
-    long history (measured: prefix sums on decimal(38,0) were slower)."""
+    last ``window`` rows of ``w_order``: a bounded frame, whose rows Spark adds
+    up again for each row, or for large windows running sums less the running
+    sums ``window`` rows back, whose cost does not depend on the window. The
+    running sums are decimal(38,0), as squares over a long block leave BIGINT."""
     frame = w_order.rowsBetween(-(window - 1), Window.currentRow)
+    if exact and window >= PREFIX_SUMS_FROM:
+        so_far = w_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        c = F.col("_c").cast("decimal(19,0)")
+
+        def in_frame(column: str) -> Column:
+            before = F.coalesce(F.lag(column, window).over(w_order), F.lit(0).cast("decimal(38,0)"))
+            return (F.col(column) - before).cast("decimal(38,0)")
+
+        return [{"_ps": F.sum(c).over(so_far).cast("decimal(38,0)"), "_pq": F.sum(c * c).over(so_far).cast("decimal(38,0)"),
+                 "_pn": F.row_number().over(w_order)},
+                {"n": F.least("_pn", F.lit(window)).cast("long"), "s": in_frame("_ps").cast("long"), "q": in_frame("_pq")}]
     if exact:
         return [{"n": F.count(F.lit(1)).over(frame),
                  "s": F.sum("_c").over(frame),
@@ -80,7 +96,7 @@ def _frame_aggs(w_order, value: str, exact: bool, window: int) -> list[dict]:
 def _apply(df: DataFrame, steps: list[dict]) -> DataFrame:
     for step in steps:
         df = df.withColumns(step)
-    return df
+    return df.drop("_ps", "_pq", "_pn")
 
 
 # -- operator 16 -----------------------------------------------------------
@@ -137,11 +153,15 @@ def rolling_stats(long: DataFrame, keys: list[str], order_cols: list[str], *,
 def stats_columns(window: int = WINDOW_SIZE, exact: bool = True, scale: int = 100) -> dict:
     """Derived columns of ``rolling_stats``: mean, std, the guard and z."""
     if exact:
-        d = F.col("n") * F.col("q") - F.col("s") * F.col("s")
-        root = F.sqrt(d.cast("double"))
-        std = root / (F.col("n") * scale)
-        mean = F.col("s") / (F.col("n") * F.lit(float(scale)))
-        dev = F.abs(F.col("n") * F.col("_c") - F.col("s")).cast("double") / root
+        n, s, q = F.col("n"), F.col("s"), F.col("q")
+        # in BIGINT where n q fits it (s s is never more); readings near the limits of their type need decimals
+        wide = lambda c: c.cast("decimal(38,0)")
+        d = F.when(q <= (2 ** 63 - 1) // window, (n * q.cast("long") - s * s).cast("double")).otherwise(
+            (wide(wide(n) * wide(q)) - wide(wide(s) * wide(s))).cast("double"))
+        root = F.sqrt(d)
+        std = root / (n * scale)
+        mean = s / (n * F.lit(float(scale)))
+        dev = F.abs(n * F.col("_c") - s).cast("double") / root
     else:
         std = F.col("std")
         mean = F.col("mean")
@@ -177,8 +197,44 @@ def severity_expr(thresholds: dict = THRESHOLDS, metric_col: str = "metric",
     return F.when(z >= crit, F.lit("critical")).when(z >= warn, F.lit("warning"))
 
 
-def severity_for(scored: DataFrame, thresholds: dict = THRESHOLDS) -> DataFrame:
-    return scored.withColumn("severity", severity_expr(thresholds))
+def severity_for(scored: DataFrame, thresholds: dict | DataFrame = THRESHOLDS, **columns) -> DataFrame:
+    """``thresholds``: a mapping metric -> (warning, critical), or a relation (see ``severity_by_table``)."""
+    if isinstance(thresholds, dict):
+        return scored.withColumn("severity", severity_expr(thresholds))
+    return severity_by_table(scored, thresholds, **columns)
+
+
+def severity_by_table(scored: DataFrame, thresholds: DataFrame, metrics: list[str] = MONITORED_METRICS, *,
+                      device_col: str = "device_id", metric_col: str = "metric", z_col: str = "z") -> DataFrame:
+    """Adds ``severity`` by a relation (metric, warning, critical, optionally
+    device_id) instead of a fixed mapping.
+
+    A row with a device holds for that device and metric and goes before the
+    metric's own row (no device, or a null one). A metric without a row is
+    never an alert; a null threshold is never reached; of several rows for one
+    key the lowest thresholds count; rows without a metric hold for nothing.
+
+    The metrics' own rows are at most one for each of ``metrics`` and so are
+    broadcast; how the rows of devices are joined is left to Spark."""
+    limits = [F.min("warning").cast("double").alias("_warning"), F.min("critical").cast("double").alias("_critical")]
+    by_device = "device_id" in thresholds.columns
+    own = thresholds.where(F.col("device_id").isNull()) if by_device else thresholds
+    own = own.where(F.col("metric").isin(*metrics)).groupBy(F.col("metric").alias("_metric")).agg(*limits)
+    out = scored.join(F.broadcast(own), F.col(metric_col) == F.col("_metric"), "left").drop("_metric")
+    warning, critical = F.col("_warning"), F.col("_critical")
+    drop = ["_warning", "_critical"]
+    if by_device:
+        special = (thresholds.where(F.col("device_id").isNotNull() & F.col("metric").isNotNull())
+                   .groupBy(F.col("device_id").alias("_device"), F.col("metric").alias("_metric"))
+                   .agg(*[c.alias(n) for c, n in zip(limits, ("_device_warning", "_device_critical"))]))
+        out = out.join(special, (F.col(device_col) == F.col("_device")) & (F.col(metric_col) == F.col("_metric")), "left")
+        has = F.col("_device").isNotNull()
+        warning = F.when(has, F.col("_device_warning")).otherwise(warning)
+        critical = F.when(has, F.col("_device_critical")).otherwise(critical)
+        drop += ["_device", "_metric", "_device_warning", "_device_critical"]
+    z = F.col(z_col)
+    return (out.withColumn("severity", F.when(z >= critical, F.lit("critical")).when(z >= warning, F.lit("warning")))
+            .drop(*drop))
 
 
 # -- operator 19 -----------------------------------------------------------
@@ -186,7 +242,7 @@ def detect_anomalies(df: DataFrame, *, device_col: str = "device_id",
                      time_col: str = "event_timestamp",
                      order_cols: list[str] | None = None,
                      metrics: list[str] = MONITORED_METRICS,
-                     thresholds: dict = THRESHOLDS, window: int = WINDOW_SIZE,
+                     thresholds: dict | DataFrame = THRESHOLDS, window: int = WINDOW_SIZE,
                      exact: bool = True, scale: int = 100,
                      target_rows: int = DEFAULT_TARGET_ROWS,
                      keep: list[str] | None = None) -> DataFrame:
@@ -212,7 +268,11 @@ def detect_anomalies(df: DataFrame, *, device_col: str = "device_id",
                           exact=exact, scale=scale, blocked=True)
     derived = stats_columns(window, exact, scale)
     scored = stats.withColumn("z", derived["z"]).where(F.col("z").isNotNull())
-    flagged = scored.withColumn("severity", severity_expr(thresholds)).where(F.col("severity").isNotNull())
+    if isinstance(thresholds, dict):
+        flagged = severity_for(scored, thresholds)
+    else:
+        flagged = severity_by_table(scored, thresholds, metrics, device_col=device_col)
+    flagged = flagged.where(F.col("severity").isNotNull())
     if exact:
         per_unit = 10_000 // scale
         mean4 = div_half_up(F.col("s") * per_unit, F.col("n")) / F.lit(10_000.0)

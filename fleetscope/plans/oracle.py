@@ -71,14 +71,14 @@ def scored_sql(stats_sql: str, window: int = WINDOW_SIZE) -> str:
 SELECT *, CASE WHEN n >= {window // 2} AND root / (n * 100) >= 1e-6
                THEN cast(abs(n * c - s) AS double) / root END AS z,
           root / (n * 100) AS std
-FROM (SELECT *, sqrt(cast(n * q - s * s AS double)) AS root FROM ({stats_sql}) w) r
+FROM (SELECT *, sqrt(cast(n::hugeint * q - s::hugeint * s AS double)) AS root FROM ({stats_sql}) w) r
 """
 
 
 def alerts_sql(src: str, device: str, time_col: str, order: list[str], metrics: list[str],
                thresholds: dict, window: int = WINDOW_SIZE, extra: list[str] | None = None) -> str:
     extra = extra or []
-    ids = list(dict.fromkeys([*order, time_col]))
+    ids = list(dict.fromkeys([*(o.split()[0] for o in order), time_col]))
     stats = window_stats_sql(src, device, order, metrics, ids, window)
     sc = scored_sql(stats, window)
     crit, warn = thresholds_case(thresholds, 1), thresholds_case(thresholds, 0)

@@ -106,6 +106,54 @@ def q_detect_blocked(spark, sf_dir):
         thresholds=FX.LINEITEM_THRESHOLDS, target_rows=150)
 
 
+_NULL_ORDER = ["sent", "l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate"]
+
+
+@register("detect_anomalies_null_order", O.alerts_sql(
+    "(SELECT *, CASE WHEN l_orderkey % 5 <> 0 THEN l_shipdate END AS sent FROM lineitem) v", "cast(l_suppkey AS varchar)",
+    "l_shipdate", ["sent NULLS FIRST", *_NULL_ORDER[1:]], O.LINEITEM_METRICS, {m: (1.8, 2.5) for m in O.LINEITEM_METRICS}))
+def q_detect_null_order(spark, sf_dir):
+    """A fifth of the rows lack their first order value: they come first and
+    are split into blocks like all others."""
+    rows = FX.load_lineitem_history(spark, sf_dir).withColumn("sent", F.expr("CASE WHEN l_orderkey % 5 <> 0 THEN l_shipdate END"))
+    return D.detect_anomalies(rows, time_col="l_shipdate", order_cols=_NULL_ORDER, metrics=FX.LINEITEM_METRICS,
+                              thresholds=FX.LINEITEM_THRESHOLDS, target_rows=50)
+
+
+_LIMITS_SQL = f"""(SELECT * REPLACE (
+  cast(CASE WHEN event_id % 41 = 0 THEN 0 ELSE 999999.99 - (event_id % 89) * (event_id % 7) / 100.0 END AS decimal(8,2)) AS throughput_mbps)
+  FROM ({O.TELEMETRY_SQL}) tv) lv"""
+
+
+@register("detect_anomalies_limits", O.alerts_sql(
+    _LIMITS_SQL, "device_id", "event_timestamp", ["event_timestamp", "event_id"], O.METRICS, O.THRESHOLDS))
+def q_detect_limits(spark, sf_dir):
+    """Throughput at the limits of its stored type: sums beyond BIGINT."""
+    top = F.expr("cast(CASE WHEN event_id % 41 = 0 THEN 0 ELSE 999999.99 - (event_id % 89) * (event_id % 7) / 100.0 END "
+                 "AS decimal(8,2))")
+    return D.detect_anomalies(telemetry(spark, sf_dir).withColumn("throughput_mbps", top))
+
+
+_LONG_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+
+
+@register("rolling_stats_large", f"""
+SELECT l_returnflag, {', '.join(_LONG_ORDER)}, n, CAST(s AS bigint) AS s,
+       round(sqrt(cast(n::hugeint * q - s::hugeint * s AS double)) / (n * 100), 6) AS std
+FROM (SELECT *, count(*) OVER w AS n, sum(c) OVER w AS s, sum(c::hugeint * c) OVER w AS q
+      FROM (SELECT *, cast(round(l_extendedprice * 100) AS bigint) AS c FROM lineitem) v
+      WINDOW w AS (PARTITION BY l_returnflag ORDER BY {', '.join(_LONG_ORDER)}
+                   ROWS BETWEEN 9999 PRECEDING AND CURRENT ROW)) x""")
+def q_rolling_stats_large(spark, sf_dir):
+    """Statistics over the last 10,000 rows by running sums, stitched over
+    blocks of about 25,000 rows."""
+    rows = FX.load_table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", *_LONG_ORDER, F.col("l_extendedprice").cast("double").alias("x"))
+    st = D.rolling_stats(rows, ["l_returnflag"], _LONG_ORDER, window=10_000, target_rows=25_000)
+    cols = D.stats_columns(10_000)
+    return st.select("l_returnflag", *_LONG_ORDER, "n", "s", F.round(cols["std"], 6).alias("std"))
+
+
 _LONG_SQL = " UNION ALL ".join(
     f"SELECT device_id, event_id, '{m}' AS metric, cast({m} AS double) AS x FROM telemetry"
     for m in O.METRICS)
@@ -123,7 +171,7 @@ def _stats(spark, sf_dir):
 
 _STATS_SQL = O.with_views(f"""
 SELECT device_id, event_id, metric, n, s, q, cast(s AS double) / (n * 100) AS mean,
-       sqrt(cast(n * q - s * s AS double)) / (n * 100) AS std
+       sqrt(cast(n::hugeint * q - s::hugeint * s AS double)) / (n * 100) AS std
 FROM ({O.window_stats_sql('telemetry', 'device_id', ['event_timestamp', 'event_id'],
                           O.METRICS, ['event_timestamp', 'event_id'])}) w""")
 
@@ -164,6 +212,35 @@ def q_severity(spark, sf_dir):
     return D.severity_for(z).select("device_id", "event_id", "metric", "z", "severity")
 
 
+# thresholds that users keep in a table: some metrics' own, and some devices'
+_THRESHOLDS_SQL = """
+SELECT 'cpu_usage_pct' AS metric, NULL AS device_id, 2.1 AS warning, 2.9 AS critical
+UNION ALL SELECT 'throughput_mbps', NULL, 1.9, NULL UNION ALL SELECT 'signal_strength_dbm', NULL, NULL, 2.4
+UNION ALL SELECT 'no_such_metric', NULL, 0.0, 0.0 UNION ALL SELECT NULL, NULL, 0.0, 0.0
+UNION ALL SELECT 'cpu_usage_pct', NULL, 2.2, 2.8
+UNION ALL SELECT DISTINCT m, concat('DEV-', lpad(cast(user_id AS {text}), 5, '0')), 1.5 + user_id % 4 / 4.0,
+       CASE WHEN user_id % 3 <> 0 THEN 2.0 + user_id % 5 / 5.0 END
+FROM events, (SELECT 'cpu_usage_pct' AS m UNION ALL SELECT 'memory_usage_pct') k WHERE user_id % 6 = 1"""
+
+
+@register("severity_table", O.with_views(f"""
+, thresholds AS (SELECT metric, device_id, min(warning)::double AS warning, min(critical)::double AS critical
+  FROM ({_THRESHOLDS_SQL.format(text='varchar')}) u GROUP BY ALL)
+SELECT z.device_id, event_id, z.metric, z,
+  CASE WHEN z >= CASE WHEN d.metric IS NULL THEN m.critical ELSE d.critical END THEN 'critical'
+       WHEN z >= CASE WHEN d.metric IS NULL THEN m.warning ELSE d.warning END THEN 'warning' END AS severity
+FROM ({_ZONLY_SQL}) z
+LEFT JOIN thresholds m ON m.metric = z.metric AND m.device_id IS NULL
+LEFT JOIN thresholds d ON d.metric = z.metric AND d.device_id = z.device_id"""))
+def q_severity_table(spark, sf_dir):
+    """Severity by a relation of thresholds: the metric's own or a device's,
+    missing limits, metrics without any."""
+    FX.load_table(spark, sf_dir, "events").createOrReplaceTempView("fleetscope_events")
+    th = spark.sql(_THRESHOLDS_SQL.format(text="string").replace("FROM events", "FROM fleetscope_events"))
+    z = D.zscore_guarded(_stats(spark, sf_dir))
+    return D.severity_for(z, th).select("device_id", "event_id", "metric", "z", "severity")
+
+
 @register("tracked_devices", O.with_views(
     "SELECT count(DISTINCT device_id) AS devices_tracked FROM telemetry WHERE "
     + " OR ".join(f"{m} IS NOT NULL" for m in O.METRICS)))
@@ -182,19 +259,23 @@ def q_classify(spark, sf_dir):
 
 
 def raw_readings(spark, sf_dir) -> DataFrame:
-    """Unclamped readings derived from events.value (some out of range)."""
+    """Unclamped readings derived from events.value (some out of range, some missing or not a number)."""
     ev = FX.load_table(spark, sf_dir, "events")
+    missing = lambda k, c: F.when(F.col("event_id") % 7 != k, c)
     return ev.select(
         "event_id",
-        (F.col("value") / 5.0 - 10).alias("cpu_usage_pct"),
-        (F.col("value") / 5.0).alias("memory_usage_pct"),
-        (-F.col("value") * 0.18 - 30).alias("signal_strength_dbm"),
-        (F.col("value") - 100).alias("throughput_mbps"),
+        missing(0, F.when(F.col("event_id") % 11 == 5, F.lit(float("nan"))).otherwise(F.col("value") / 5.0 - 10)).alias("cpu_usage_pct"),
+        missing(1, F.col("value") / 5.0).alias("memory_usage_pct"),
+        missing(2, -F.col("value") * 0.18 - 30).alias("signal_strength_dbm"),
+        missing(3, F.col("value") - 100).alias("throughput_mbps"),
         (F.col("value") * 0.18).alias("battery_pct"))
 
 
-_RAW_SQL = """raw AS (SELECT event_id, value / 5.0 - 10 AS cpu_usage_pct, value / 5.0 AS memory_usage_pct,
-  -value * 0.18 - 30 AS signal_strength_dbm, value - 100 AS throughput_mbps, value * 0.18 AS battery_pct
+_RAW_SQL = """raw AS (SELECT event_id,
+  CASE WHEN event_id % 7 <> 0 THEN CASE WHEN event_id % 11 = 5 THEN 'nan'::double ELSE value / 5.0 - 10 END END AS cpu_usage_pct,
+  CASE WHEN event_id % 7 <> 1 THEN value / 5.0 END AS memory_usage_pct,
+  CASE WHEN event_id % 7 <> 2 THEN -value * 0.18 - 30 END AS signal_strength_dbm,
+  CASE WHEN event_id % 7 <> 3 THEN value - 100 END AS throughput_mbps, value * 0.18 AS battery_pct
   FROM (SELECT event_id, cast(value AS double) AS value FROM events) e)"""
 
 
@@ -203,13 +284,18 @@ def _round2_sql(x: str) -> str:
     return f"cast(round(cast(cast({x} AS varchar) AS decimal(38,18)), 2) AS double)"
 
 
+def _clamped_sql(column: str, clamped: str) -> str:
+    # least and greatest skip nulls
+    return f"CASE WHEN {column} IS NULL OR isnan({column}) THEN {column} ELSE {_round2_sql(clamped)} END AS {column}"
+
+
 @register("clamp_metrics", f"""WITH {_RAW_SQL}
 SELECT event_id,
-  {_round2_sql('least(greatest(cpu_usage_pct, 0.0), 100.0)')} AS cpu_usage_pct,
-  {_round2_sql('least(greatest(memory_usage_pct, 0.0), 100.0)')} AS memory_usage_pct,
-  {_round2_sql('least(greatest(signal_strength_dbm, -120.0), -40.0)')} AS signal_strength_dbm,
-  {_round2_sql('greatest(throughput_mbps, 0.0)')} AS throughput_mbps,
-  {_round2_sql('battery_pct')} AS battery_pct
+  {_clamped_sql('cpu_usage_pct', 'least(greatest(cpu_usage_pct, 0.0), 100.0)')},
+  {_clamped_sql('memory_usage_pct', 'least(greatest(memory_usage_pct, 0.0), 100.0)')},
+  {_clamped_sql('signal_strength_dbm', 'least(greatest(signal_strength_dbm, -120.0), -40.0)')},
+  {_clamped_sql('throughput_mbps', 'greatest(throughput_mbps, 0.0)')},
+  {_clamped_sql('battery_pct', 'battery_pct')}
 FROM raw""")
 def q_clamp(spark, sf_dir):
     return X.clamp_metrics(raw_readings(spark, sf_dir))

@@ -50,8 +50,13 @@ def _score_metric(old: np.ndarray, new: np.ndarray, window: int, scale: int, exa
     lo = np.maximum(0, pos - window + 1)
     n = pos + 1 - lo
     if exact:
-        cs = np.concatenate([[0], np.cumsum(vals, dtype=np.int64)])
-        cq = np.concatenate([[0], np.cumsum(vals * vals, dtype=np.int64)])
+        most = int(np.abs(vals).max(initial=0))
+        # n q - s s is at most (window * most)^2; beyond BIGINT in Python's integers
+        wide = (window * most) ** 2 >= 1 << 63
+        if wide:
+            vals, new, n = vals.astype(object), new.astype(object), n.astype(object)
+        cs = np.concatenate([[0], np.cumsum(vals)])
+        cq = np.concatenate([[0], np.cumsum(vals * vals)])
         s = cs[pos + 1] - cs[lo]
         q = cq[pos + 1] - cq[lo]
         root = np.sqrt((n * q - s * s).astype(np.float64))
@@ -59,6 +64,8 @@ def _score_metric(old: np.ndarray, new: np.ndarray, window: int, scale: int, exa
         with np.errstate(divide="ignore", invalid="ignore"):
             z = np.abs(n * new - s).astype(np.float64) / root
         mean = s / (n * float(scale))
+        if wide:
+            vals, n, s, mean = vals.astype(np.int64), n.astype(np.int64), s.astype(np.int64), mean.astype(np.float64)
     else:
         # mean and squared deviations of each frame by itself: no value
         # outside a frame touches its numbers, however large it is

@@ -149,3 +149,56 @@ def test_general_form_matches_exact(spark):
     a = {(r.device_id, r.detected_at, r.metric, r.severity) for r in D.detect_anomalies(t).collect()}
     b = {(r.device_id, r.detected_at, r.metric, r.severity) for r in D.detect_anomalies(t, exact=False).collect()}
     assert a == b and len(a) == 47
+
+
+@pytest.mark.parametrize("target", [1_000_000, 90])
+@pytest.mark.parametrize("window", [3, 512, 700])
+def test_large_windows_by_running_sums(spark, monkeypatch, window, target):
+    """The same numbers as a bounded frame, at the limits of the type too."""
+    rows = [("d", i, (999_999.99 if i % 3 else -999_999.99) + i % 7 / 100) for i in range(2000)]
+    rows += [("e", i, 1.0) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, i long, x double")
+    monkeypatch.setattr(D, "PREFIX_SUMS_FROM", 2)
+    got = D.rolling_stats(df, ["k"], ["i"], window=window, target_rows=target).collect()
+    values = {}
+    for k, i, x in rows:
+        values.setdefault(k, []).append(round(x * 100))
+    for r in got:
+        last = values[r.k][max(0, r.i - window + 1):r.i + 1]
+        assert (r.n, r.s, int(r.q)) == (len(last), sum(last), sum(v * v for v in last))
+    assert len(got) == len(rows)
+
+
+def test_values_at_the_limits_in_batch_and_stream_numbers(spark):
+    from fleetscope.streaming.detect_stream import _score_metric
+    import numpy as np
+    x = [99_999_999 if i % 2 else -99_999_999 for i in range(90)]
+    df = spark.createDataFrame([("d", i, v / 100) for i, v in enumerate(x)], "device_id string, t long, cpu_usage_pct double")
+    st = D.rolling_stats(df.withColumnRenamed("cpu_usage_pct", "x"), ["device_id"], ["t"])
+    batch = {r.t: r.z for r in D.zscore_guarded(st).collect()}
+    _, n, s, mean, z, std = _score_metric(np.zeros(0, np.int64), np.array(x), 60, 100, True)
+    assert all(math.isclose(batch[i], z[i]) for i in range(29, 90)) and s.dtype == np.int64
+
+
+@pytest.mark.parametrize("target", [7, 70, 150, 10_000])
+def test_null_order_values_are_split_like_others(spark, target):
+    rows = [("d" if i % 4 else None, None if i % 5 == 0 else i // 3, i, (i * 37 % 101 + (900 if i % 53 == 0 else 0)) / 1.0)
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "device_id string, t long, event_id long, cpu_usage_pct double")
+    run = lambda n: sorted(map(tuple, D.detect_anomalies(
+        df, time_col="event_id", order_cols=["t", "event_id"], metrics=["cpu_usage_pct"], target_rows=n).collect()), key=str)
+    assert run(target) == run(10 ** 9) and len(run(target)) > 5
+    sizes = [r["count"] for r in assign_blocks(df, ["device_id"], ["t", "event_id"], target).groupBy("device_id", "_blk").count().collect()]
+    assert max(sizes) <= 2 * target
+
+
+def test_severity_by_a_table(spark):
+    scored = spark.createDataFrame([("a", "m", 2.0), ("b", "m", 2.0), ("a", "n", 9.0), ("a", "m", None), (None, "m", 3.0), ("c", "m", 2.0)],
+                                   "device_id string, metric string, z double")
+    th = spark.createDataFrame([("m", None, 1.5, 3.0), ("m", "b", 2.5, None), ("m", "b", 2.1, 4.0), ("m", "c", None, 2.0), (None, "a", 0.0, 0.0),
+                                ("other", None, 0.0, 0.0)], "metric string, device_id string, warning double, critical double")
+    got = [(r.device_id, r.metric, r.z, r.severity) for r in D.severity_for(scored, th, metrics=["m", "n"]).collect()]
+    assert sorted(got, key=str) == sorted([("a", "m", 2.0, "warning"), ("b", "m", 2.0, None), ("a", "n", 9.0, None), ("a", "m", None, None),
+                                           (None, "m", 3.0, "critical"), ("c", "m", 2.0, "critical")], key=str)
+    own = th.drop("device_id").where("metric = 'other'")
+    assert {r.severity for r in D.severity_for(scored, own, metrics=["m", "n"]).collect()} == {None}
