@@ -750,6 +750,25 @@ def q_dedup_stream(spark, sf_dir):
     return _stored_rows(spark.read.parquet(f"{s['_root']}/events"))
 
 
+@register("insert_once_stream", O.with_views(f"SELECT event_id, {_TABLE_COLS_SQL} FROM telemetry"))
+def q_insert_once(spark, sf_dir):
+    """Every message of an earlier run is delivered again after a restart,
+    with others among them that come for the first time, out of order: each
+    is stored once."""
+    from fleetscope.streaming.jobs import run_to_end, start_events_query
+    early, every = (_stream_source(spark, sf_dir, part=part, replay_below=8) for part in ("early", "all"))
+    root = early["_root"]
+    # one log: the messages of the first source, and those of the second, which has them all once more
+    from fleetscope.sources.messages import MESSAGE_FILE_SCHEMA
+    for s in (early, every):
+        (spark.read.schema(MESSAGE_FILE_SCHEMA).json(s["path"]).repartition(6, F.col("offset") % 6)
+         .write.mode("append").json(f"{root}/log"))
+        with state_partitions(spark):
+            run_to_end(start_events_query(spark, {"path": f"{root}/log", "options": {"maxFilesPerTrigger": "2"}},
+                                          f"{root}/events", f"{root}/_ck_events"))
+    return _stored_rows(spark.read.parquet(f"{root}/events"))
+
+
 _PARTIAL_SQL = f"""(SELECT * REPLACE (
   CASE WHEN event_id % 7 <> 3 THEN cpu_usage_pct END AS cpu_usage_pct,
   CASE WHEN event_id % 11 <> 5 THEN signal_strength_dbm END AS signal_strength_dbm)

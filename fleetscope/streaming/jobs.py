@@ -3,10 +3,10 @@
 One keyed message source feeds independent streaming queries, each with
 its own checkpoint (Spark's unit of exactly-once progress):
 
-* events:     decode -> quarantine (valid) -> conform -> dedup -> stored events
+* events:     decode -> quarantine (valid) -> conform -> once -> stored events
 * quarantine: decode -> quarantine (rejected) -> rejected messages with reasons
 * alerts:     decode -> readable (device, time) -> dedup -> keyed state -> stored and published alerts
-* rollup:     decode -> quarantine (valid) -> conform -> dedup -> 5-minute windows
+* rollup:     decode -> quarantine (valid) -> conform -> once -> 5-minute windows
 
 A micro-batch is written before its offsets are committed, so after a
 failure the batch is replayed; the sinks overwrite their own batch.
@@ -14,18 +14,21 @@ failure the batch is replayed; the sinks overwrite their own batch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.operators.ingest import (conform_event, dedup_events, detector_readings,
-                                         quarantine_invalid, split_valid, stamp_ingest_time)
+from fleetscope.operators.ingest import (conform_event, dedup_events, detector_readings, quarantine_invalid,
+                                         split_valid, stamp_ingest_time)
 from fleetscope.sources.messages import (decode_telemetry, publish_alerts, telemetry_source,
                                          write_alert_messages)
 from fleetscope.streaming.detect_stream import detect_anomalies_stream
+from fleetscope.streaming.insert_once import insert_once
 from fleetscope.streaming.rollup_stream import rollup_5min_stream
 from fleetscope.streaming.sinks import run_id_of, write_anomaly_alerts, write_events_by_month
 
-DEFAULT_WATERMARK = "1 hour"  # redelivery horizon, on the time of the micro-batch
+# Redelivery horizon of the alerts query, on the time of the micro-batch. (Spark allows one keyed
+# Python state in a query, and there it is the detector's; the other queries know no horizon.)
+ALERTS_HORIZON = "1 hour"
 DEFAULT_INTERVAL = "1 minute"  # a batch folder a minute
 # A micro-batch is bounded, also when a long backlog is read.
 MAX_OFFSETS_PER_TRIGGER = 5_000_000
@@ -53,39 +56,30 @@ class _start_conf:
         return False
 
 
-# Queries whose output does not wait for the watermark need no extra
-# micro-batch when only the watermark moved (dedup state is then evicted
-# with the next data batch instead).
+# Queries whose output does not wait for a watermark need no micro-batch
+# without data.
 _NO_EMPTY_BATCHES = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 
 
-def decoded_messages(spark: SparkSession, source: dict) -> DataFrame:
-    """Decoded messages with ``_arrival``, the time of the micro-batch that
-    read them. The broker's timestamps are not used for it: a lagging
-    partition or a slow producer clock must not make messages late that are
-    seen for the first time."""
+def decoded_messages(spark: SparkSession, source: dict, arrival: Column | None = None) -> DataFrame:
+    """Decoded messages with their key and source position, and ``arrival`` as ``_arrival``."""
     source = dict(source)
     if source.get("bootstrap"):
         source.setdefault("max_offsets_per_trigger", MAX_OFFSETS_PER_TRIGGER)
     else:
         source["options"] = {"maxFilesPerTrigger": MAX_FILES_PER_TRIGGER, **(source.get("options") or {})}
-    msgs = telemetry_source(spark, **source).withColumn("_arrival", F.current_timestamp())
-    return decode_telemetry(msgs, keep=["key", "partition", "offset", "_arrival"])
+    messages, keep = telemetry_source(spark, **source), ["key", "partition", "offset"]
+    if arrival is not None:
+        messages, keep = messages.withColumn("_arrival", arrival), [*keep, "_arrival"]
+    return decode_telemetry(messages, keep=keep)
 
 
-def once(rows: DataFrame, watermark: str = DEFAULT_WATERMARK) -> DataFrame:
-    """Redelivered messages (same partition + offset) are dropped while they
-    arrive within ``watermark`` of each other; no message is ever late."""
-    return dedup_events(rows.withWatermark("_arrival", watermark), ["partition", "offset"],
-                        watermark_col="_arrival").drop("_arrival")
-
-
-def valid_readings(spark: SparkSession, source: dict, watermark: str = DEFAULT_WATERMARK) -> DataFrame:
+def valid_readings(spark: SparkSession, source: dict) -> DataFrame:
     """Stored-table rows of the valid messages, each once, with the source
     position. Readings that are late by event time are kept and processed on
     arrival, as the reference does."""
     valid, _ = split_valid(quarantine_invalid(decoded_messages(spark, source)))
-    return once(conform_event(valid, keep=["partition", "offset", "_arrival"]), watermark)
+    return insert_once(conform_event(valid, keep=["partition", "offset"]))
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
@@ -142,7 +136,10 @@ def start_alerts_query(spark, source: dict, alerts_path: str, checkpoint: str,
     """Alerts of all readable readings -> the alert table and, with
     ``publish`` (the arguments of ``write_alert_messages``), a topic or
     message files."""
-    rows = once(detector_readings(decoded_messages(spark, source), keep=["partition", "offset", "_arrival"]))
+    # on the time of the micro-batch, never on the broker's timestamps: no message is late when it is first seen
+    arrived = decoded_messages(spark, source, F.current_timestamp())
+    rows = detector_readings(arrived, keep=["partition", "offset", "_arrival"]).withWatermark("_arrival", ALERTS_HORIZON)
+    rows = dedup_events(rows, ["partition", "offset"], watermark_col="_arrival").drop("_arrival")
     alerts = detect_anomalies_stream(rows, order_cols=["offset"], window=window,
                                      state_timeout=state_timeout, keep=["offset"])
     alerts = alerts.observe("batch", F.count(F.lit(1)).alias("anomalies"),
@@ -164,12 +161,9 @@ def start_alerts_query(spark, source: dict, alerts_path: str, checkpoint: str,
 
 def start_rollup_query(spark, source: dict, path: str, checkpoint: str, delay: str = "10 minutes",
                        available_now: bool = True, interval: str | None = None):
-    """Windows of the valid readings, each message counted once. The dedup
-    state is kept for ``delay`` behind the event-time watermark of the
-    windows: a query has one watermark, so messages that repeat later than
-    that belong to windows that are closed already."""
-    valid, _ = split_valid(quarantine_invalid(decoded_messages(spark, source)))
-    out = rollup_5min_stream(conform_event(valid, keep=["partition", "offset"]), delay=delay, once=["partition", "offset"])
+    """Windows of the valid readings, each message counted once, however
+    late it is delivered again."""
+    out = rollup_5min_stream(valid_readings(spark, source), delay=delay)
     w = (out.writeStream.format("parquet").option("path", path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     return _trigger(w, available_now, interval).start()

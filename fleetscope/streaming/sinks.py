@@ -98,11 +98,13 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         p = json.loads(event.progress.json)
+        counters = (p.get("observedMetrics") or {}).get("batch", {})
+        # only the keyed state of the detector's query (which counts anomalies) holds a row for each device
+        keyed = [s["numRowsTotal"] for s in p.get("stateOperators") or []
+                 if "GroupsWithState" in s["operatorName"] or "InPandas" in s["operatorName"]]
         row = {"query_id": p["id"], "batch_id": p["batchId"], "input_rows": p["numInputRows"],
-               # only the detector's state holds a row for each device; dedup state has one for each message
-               "devices_tracked": sum(s["numRowsTotal"] for s in p.get("stateOperators") or []
-                                      if "GroupsWithState" in s["operatorName"] or "InPandas" in s["operatorName"])}
-        row.update({k: v for k, v in (p.get("observedMetrics") or {}).get("batch", {}).items() if isinstance(v, int)})
+               "devices_tracked": sum(keyed) if "anomalies" in counters else 0}
+        row.update({k: v for k, v in counters.items() if isinstance(v, int)})
         jvm = self.spark.sparkContext._jvm
         file = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{p['id']}/{p['batchId']}.json")
         out = file.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).create(file, True)
