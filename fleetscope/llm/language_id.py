@@ -33,7 +33,8 @@ from fleetscope.session import ship_package
 FOLDS, HELD_OUT = 5, 0
 UNKNOWN = "und"
 ROWS, PER_LANGUAGE = 4000, 1000
-#: Languages that a model may have; the sample and the model grow with them.
+#: Languages that a model may have, as the sample and the model grow with them: of more label values the most frequent are
+#: learned, of equally frequent ones the first by name.
 MAX_LANGUAGES = 500
 DIMENSIONS = 4096
 #: Bytes of a text that are counted at once.
@@ -179,17 +180,18 @@ def fit(x: np.ndarray, y: list[str], decay: float = 1e-5) -> Model | None:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = FOLDS,
-          held_out: int = HELD_OUT, rows: int = ROWS, per_language: int = PER_LANGUAGE) -> Model | None:
+          held_out: int = HELD_OUT, rows: int = ROWS, per_language: int = PER_LANGUAGE,
+          languages: int = MAX_LANGUAGES) -> Model | None:
     """A model from the labelled rows outside the held-out fold; None if there are none."""
     ship_package(docs.sparkSession)
     known = docs.filter(F.col(lang_col).isNotNull() & (fold(F.col(id_col), folds) != held_out)).select(
         F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"),
         F.col(text_col).cast("string").alias("text"))
-    sizes = {r.lang: r["count"] for r in known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counted = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    sizes = {r.lang: r["count"] for r in counted.collect()}
     if not sizes:
         return None
+    known = known.filter(F.col("lang").isin(list(sizes)))
     most = min(per_language, max(1, rows // len(sizes)))
     shares = F.create_map(*(F.lit(v) for lang, n in sizes.items() for v in (lang, int(min(1.0, most / n) * (1 << 30)))))
     chosen = known.filter(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 30)) < shares[F.col("lang")])

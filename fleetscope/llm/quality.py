@@ -1,9 +1,10 @@
 """Host-level quality rules by DataFrame functions.
 
 Every document is measured (words, symbols, repeated lines, repeated windows of words) and judged by its own rules. The
-failures are counted by host; a host's failure rate is shrunk towards the rate of all hosts by an empirical beta prior,
-whose two parameters come from the mean and variance of the hosts' rates (method of moments); a host whose shrunk rate is
-too high fails, and its verdict is joined back to its documents.
+failures of each rule are counted by host; for each rule a host's failure rate is shrunk towards the rate of all hosts by an
+empirical beta prior, whose two parameters come from the mean and variance of the hosts' rates (method of moments). A host
+fails by a rule if its shrunk rate is higher than HOST_FACTOR times that of all hosts and than HOST_LEAST, or than HOST_RATE
+in any case; its verdict is joined back to its documents. The host of a document is its ``source``.
 
 The measures of a document are made row by row; only they, not the texts, are written and shuffled. The counts by host
 are combined before they are shuffled, the prior is one row, and the join of the verdicts is a plain equi-join, whose hot
@@ -27,8 +28,10 @@ WINDOW = 8
 LEAST_WORDS = 20
 #: A document fails if more than this share of its words, in percent, lies in repeated windows.
 REPEATED = 30
-#: A host fails if its shrunk failure rate is higher.
+#: A host fails if its shrunk failure rate by a rule is higher than this, whatever the others' is,
 HOST_RATE = 0.5
+#: or than this, and than so many times the rate of all hosts.
+HOST_LEAST, HOST_FACTOR = 0.1, 3.0
 #: Most documents that the prior may count for.
 STRONGEST = 10_000.0
 
@@ -73,38 +76,50 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "n_repeat_words")
 
 
-def own_rules(least_words: int = LEAST_WORDS, repeated: int = REPEATED) -> Column:
-    """Whether a measured document fails by itself."""
-    return (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > repeated * F.col("n_words"))
+def own_rules(least_words: int = LEAST_WORDS, repeated: int = REPEATED) -> dict[str, Column]:
+    """By which rules a measured document fails by itself."""
+    return {"short": F.col("n_words") < least_words,
+            "repeated": 100 * F.col("n_repeat_words") > repeated * F.col("n_words")}
 
 
-def host_verdicts(judged: DataFrame, host_rate: float = HOST_RATE) -> DataFrame:
-    """(host, host_docs, host_failures, host_failure_rate, host_failed) from rows with ``host`` and ``base_failed``."""
-    hosts = written(judged.groupBy("host").agg(F.count("*").alias("host_docs"), F.sum(F.col("base_failed").cast("long"))
-                                               .alias("host_failures")), "quality-hosts")
+def _prior(total, rule: str) -> tuple[float, float, float]:
+    """The rate of all hosts and the two parameters of the beta prior of a rule, from the sums over hosts."""
     # mean and variance of the rates, each host weighted by its documents; what chance alone adds is taken off
-    rate = F.col("host_failures") / F.col("host_docs")
-    total = hosts.agg(F.sum("host_docs").alias("n"), F.sum("host_failures").alias("f"), F.count("*").alias("hosts"),
-                      F.sum(F.col("host_docs") * rate * rate).alias("squares"))
-    mean = F.col("f") / F.col("n")
-    spread = F.col("squares") / F.col("n") - mean * mean
-    chance = mean * (1 - mean) * F.col("hosts") / F.col("n")
-    between = F.greatest(spread - chance, F.lit(0.0))
-    strength = F.when(between > 0, F.least(F.greatest(mean * (1 - mean) / between - 1, F.lit(1e-3)), F.lit(STRONGEST))
-                      ).otherwise(F.lit(STRONGEST))
-    prior = total.filter("n > 0").select((mean * strength).alias("a"), ((1 - mean) * strength).alias("b")).first()
-    a, b = (prior.a, prior.b) if prior else (0.0, 0.0)
-    shrunk = (F.col("host_failures") + F.lit(a)) / (F.col("host_docs") + F.lit(a + b))
-    return hosts.select("host", "host_docs", "host_failures", shrunk.alias("host_failure_rate"),
-                        (shrunk > host_rate).alias("host_failed"))
+    mean = total[f"{rule}_f"] / total.n
+    between = total[f"{rule}_squares"] / total.n - mean * mean - mean * (1 - mean) * total.hosts / total.n
+    strength = min(max(mean * (1 - mean) / between - 1, 1e-3), STRONGEST) if between > 0 else STRONGEST
+    return mean, mean * strength, (1 - mean) * strength
+
+
+def host_verdicts(judged: DataFrame, host_rate: float = HOST_RATE, rules: tuple[str, ...] = ("base_failed",),
+                  least: float = HOST_LEAST, factor: float = HOST_FACTOR) -> DataFrame:
+    """(host, host_docs, host_failures, host_failure_rate, host_failed and <rule>_rate of each rule) from rows with ``host`` and
+    a boolean for each of ``rules``; failures of several rules are counted apart, host_failure_rate is the highest rate."""
+    counts = [F.sum(F.col(r).cast("long")).alias(f"{r}_f") for r in rules]
+    hosts = written(judged.groupBy("host").agg(F.count("*").alias("host_docs"), *counts), "quality-hosts")
+    squares = [F.sum(F.col(f"{r}_f") * F.col(f"{r}_f") / F.col("host_docs")).alias(f"{r}_squares") for r in rules]
+    total = hosts.agg(F.sum("host_docs").alias("n"), F.count("*").alias("hosts"),
+                      *[F.sum(f"{r}_f").alias(f"{r}_f") for r in rules], *squares).first()
+    rates, failed = [], F.lit(False)
+    for r in rules:
+        mean, a, b = _prior(total, r) if total.n else (0.0, 0.0, 0.0)
+        rate = (F.col(f"{r}_f") + F.lit(a)) / (F.col("host_docs") + F.lit(a + b))
+        rates.append(rate.alias(f"{r}_rate"))
+        failed = failed | (rate > min(host_rate, max(least, factor * mean)))
+    worst = rates[0] if len(rates) == 1 else F.greatest(*rates)
+    failures = sum((F.col(f"{r}_f") for r in rules[1:]), F.col(f"{rules[0]}_f"))
+    return hosts.select("host", "host_docs", failures.alias("host_failures"), worst.alias("host_failure_rate"),
+                        failed.alias("host_failed"), *rates)
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
           host_rate: float = HOST_RATE) -> DataFrame:
-    """The measures, base_failed, the host's shrunk failure rate and kept of every row of ``docs``."""
-    judged = written(measure(docs, id_col, text_col, host_col).withColumn("base_failed", own_rules()), "quality")
+    """The measures, base_failed, the host's shrunk failure rates and kept of every row of ``docs``."""
+    rules = own_rules()
+    base = rules["short"] | rules["repeated"]
+    judged = written(measure(docs, id_col, text_col, host_col).withColumns({**rules, "base_failed": base}), "quality")
     # the verdicts are written, so that both sides of the join are plain scans
-    verdicts = written(host_verdicts(judged, host_rate).withColumnRenamed("host", "of_host"), "quality-verdicts")
+    verdicts = written(host_verdicts(judged, host_rate, tuple(rules)).withColumnRenamed("host", "of_host"), "quality-verdicts")
     found = judged.join(verdicts, F.col("host").eqNullSafe(F.col("of_host")), "left").drop("of_host")
     return found.withColumn("kept", ~F.col("base_failed") & ~F.col("host_failed"))
 
@@ -133,17 +148,20 @@ measured AS (
          cast(len(lines) - len(list_distinct(lines)) AS bigint) AS n_dup_lines,
          coalesce(n_repeat_words, 0) AS n_repeat_words
   FROM d LEFT JOIN covered USING (rid)),
-judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured),
-hosts AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS f FROM judged GROUP BY source),
-total AS (
-  SELECT sum(f) / sum(n) AS mean, sum(f * f / n) / sum(n) AS second, count(*) / sum(n) AS inverse
-  FROM (SELECT n::double AS n, f::double AS f FROM hosts) h),
-spread AS (SELECT mean, greatest(second - mean * mean - mean * (1 - mean) * inverse, 0.0) AS between_hosts FROM total),
+judged AS (SELECT *, n_words < 20 AS short, 100 * n_repeat_words > 30 * n_words AS repeated FROM measured),
+hosts AS (
+  SELECT source, unnest(['short', 'repeated']) AS rule, count(*)::double AS n,
+         unnest([count(*) FILTER (WHERE short), count(*) FILTER (WHERE repeated)])::double AS f
+  FROM judged GROUP BY source),
+total AS (SELECT rule, sum(f) / sum(n) AS mean, sum(f * f / n) / sum(n) AS second, count(*) / sum(n) AS inverse FROM hosts GROUP BY rule),
+spread AS (SELECT rule, mean, second - mean * mean - mean * (1 - mean) * inverse AS between_hosts FROM total),
 prior AS (
-  SELECT mean, CASE WHEN between_hosts > 0 THEN least(greatest(mean * (1 - mean) / between_hosts - 1, 1e-3), 10000.0)
-                    ELSE 10000.0 END AS strength FROM spread),
-verdicts AS (SELECT source, (f + mean * strength) / (n + strength) > 0.5 AS host_failed FROM hosts, prior)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT host_failed AS kept
+  SELECT rule, mean, CASE WHEN between_hosts > 0 THEN least(greatest(mean * (1 - mean) / between_hosts - 1, 1e-3), 10000.0)
+                          ELSE 10000.0 END AS strength FROM spread),
+verdicts AS (
+  SELECT source, bool_or((f + mean * strength) / (n + strength) > least(0.5, greatest(0.1, 3.0 * mean))) AS host_failed
+  FROM hosts JOIN prior USING (rule) GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeated AS base_failed,
+       NOT short AND NOT repeated AND NOT host_failed AS kept
 FROM judged JOIN verdicts ON judged.source IS NOT DISTINCT FROM verdicts.source
 """

@@ -41,14 +41,21 @@ PATIENCE = 4
 BUCKET_ROWS = 8192
 #: The same for the members of one group.
 GROUP_BUCKET_ROWS = 1024
+#: Buckets whose running sum is made at once.
+LEVEL = 4096
 
 
 def _numbered(rows: DataFrame, by: list[str], order: list[str], bucket: Column, out: str, name: str) -> DataFrame:
     """Adds ``out``: 0, 1, 2, ... within each ``by``, by bucket and then ``order``. ``bucket`` is a hash bucket of a row."""
     rows = rows.withColumn("__bucket", bucket)
-    sizes = rows.groupBy(*by, "__bucket").agg(F.count("*").alias("__n"))
-    before = F.sum("__n").over(W.partitionBy(*by).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1))
-    sizes = written(sizes.select(*by, "__bucket", F.coalesce(before, F.lit(0)).alias("__before")), name)
+    # running sums in two levels, so that no window holds a row for every bucket
+    many = F.floor(F.col("__bucket") / LEVEL)
+    sizes = written(rows.groupBy(*by, "__bucket").agg(F.count("*").alias("__n")).withColumn("__many", many), name)
+    so_far = lambda of, order: F.coalesce(F.sum("__n").over(
+        W.partitionBy(*of).orderBy(order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    above = sizes.groupBy(*by, "__many").agg(F.sum("__n").alias("__n")).withColumn("__above", so_far(by, "__many")).drop("__n")
+    sizes = sizes.withColumn("__within", so_far([*by, "__many"], "__bucket")).join(above, [*by, "__many"])
+    sizes = written(sizes.select(*by, "__bucket", (F.col("__above") + F.col("__within")).alias("__before")), name)
     own = F.row_number().over(W.partitionBy(*by, "__bucket").orderBy(*order)) - 1
     rows = written(rows.withColumn("__own", own), name)
     return rows.join(sizes, [*by, "__bucket"]).withColumn(out, (F.col("__before") + F.col("__own")).cast("long")).drop(
@@ -207,10 +214,10 @@ def propagate(cells: DataFrame, capacities: DataFrame, max_rounds: int | None =
     return written(kept.select("group", F.col("to").alias("shard"), "n"), "shard-cells")
 
 
-def _bucket(key: str, rows: Column | int, size: int = BUCKET_ROWS) -> Column:
-    """A hash bucket of about ``size`` of ``rows`` rows."""
+def _bucket(rows: Column | int, size: int = BUCKET_ROWS) -> Column:
+    """A hash bucket of about ``size`` of ``rows`` rows. The row is hashed beside its id, as ids can be null or repeat."""
     n = F.greatest(F.lit(1), F.ceil((rows if isinstance(rows, Column) else F.lit(rows)) / size))
-    return F.pmod(F.xxhash64(key), n.cast("long"))
+    return F.pmod(F.xxhash64("id", "row"), n.cast("long"))
 
 
 def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
@@ -228,14 +235,14 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     rows = written(rows.join(groups, "group"), "shard-linked")
     linked = rows.filter("group_rows > 1")
 
-    cells = linked.groupBy("group", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")).agg(
+    cells = linked.groupBy("group", F.pmod(F.xxhash64("id", "row"), F.lit(shards)).cast("int").alias("shard")).agg(
         F.count("*").alias("n"))
     cells = propagate(written(cells, "shard-cells"), capacities, max_rounds)
     # the numbers of a group's members that go to each of its shards: at most one interval for each shard
     before = F.coalesce(F.sum("n").over(W.partitionBy("group").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     dealt = written(cells.withColumn("first", before).groupBy("group").agg(F.collect_list(F.struct(
         "shard", "first", (F.col("first") + F.col("n")).alias("end"))).alias("dealt")), "shard-dealt")
-    linked = _numbered(linked, ["group"], ["id", "row"], _bucket("id", F.col("group_rows"), GROUP_BUCKET_ROWS), "number", "shard-numbered")
+    linked = _numbered(linked, ["group"], ["id", "row"], _bucket(F.col("group_rows"), GROUP_BUCKET_ROWS), "number", "shard-numbered")
     linked = linked.join(dealt, "group", "left").withColumn("shard", F.get(F.filter("dealt", lambda d: (
         d["first"] <= F.col("number")) & (F.col("number") < d["end"])), F.lit(0))["shard"]).drop("number", "dealt")
     linked = written(linked, "shard-placed")
@@ -247,10 +254,10 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
         end += r.capacity - taken.get(r.shard, 0)
         ends.append(end)
     rest = rows.filter("group_rows = 1").unionByName(linked.filter("shard is null").drop("shard"))
-    rest = _numbered(rest, [], ["id", "row"], _bucket("id", n), "number", "shard-rest")
+    rest = _numbered(rest, [], ["id", "row"], _bucket(n), "number", "shard-rest")
     rest = rest.withColumn("shard", F.size(F.filter(F.array(*map(F.lit, ends)), lambda e: e <= F.col("number")))).drop("number")
     placed = linked.filter("shard is not null").unionByName(rest.withColumn("shard", F.col("shard").cast("int")))
-    placed = _numbered(placed, ["shard"], ["id", "row"], _bucket("id", n // shards), "slot", "shard-slots")
+    placed = _numbered(placed, ["shard"], ["id", "row"], _bucket(n // shards), "slot", "shard-slots")
     return placed.select(F.col("id").alias(id_col), "size", "text_crc32", "group", "group_rows", "shard", "slot")
 
 

@@ -159,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model({}, -np.inf)
     # the ids of the sampled positives are bounded by ``positives``
     confirmed = labels.filter((F.col("y") == 1) & hashed_share(F.col("id"), positives / n_p)).select("id").distinct()
-    confirmed = docs.join(F.broadcast(confirmed.limit(2 * positives)), "id", "left_semi").withColumn("positive", F.lit(True))
+    confirmed = docs.join(F.broadcast(confirmed.orderBy(F.xxhash64("id"), "id").limit(2 * positives)), "id", "left_semi").withColumn("positive", F.lit(True))
     others = docs.filter(hashed_share(F.col("id"), unlabelled / n_u)).withColumn("positive", F.lit(False))
     rows = confirmed.unionByName(others).select(F.col("id").cast("string").alias("id"), "positive", "text")
     # an id that repeats counts once, so that the sample is bounded whatever the ids
