@@ -11,8 +11,9 @@ linked sets (``least_equal``) join classes to clusters, and in a cluster links a
 
 Both steps compare the members of groups (``links``): buckets of a band key first, clusters after that. A group is cut into
 chunks of bounded size that each get the group's least member too; a chunk is one task, which joins its members by the
-links found and returns a star for each joined set, never all pairs. Most large groups are one component after that. Of
-groups that are not, chunks are compared two by two, so that no pair of unjoined members is left out.
+links found and returns a star for each joined set, never all pairs. A group whose chunks are all one star, by the least
+member that they share, is done. Of the others, chunks are compared two by two, so that no pair of unjoined members is
+left out.
 
 Bounds: a link of similarity t is missed by all bands with probability (1 - t^ROWS)^BANDS (7e-9 at 0.85) and dropped by its
 signature with at most MISSED; no bucket, cluster or candidate is capped. A task holds CHUNK rows or CHUNK_BYTES of sets.
@@ -187,13 +188,13 @@ def prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(member, shingles) of ``wanted`` (member, id, text_hash), from the texts: only theirs are read into sets."""
+    """(member, shingles) of ``wanted`` (member, id, text_hash; written before), from the texts: only theirs are read into sets."""
     text = F.col(text_col).cast("string")
     named = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("of_id"), F.xxhash64(text).alias("text_hash"),
                         text.alias("text"))
     wanted = wanted.select("member", F.coalesce(F.col("id").cast("string"), F.lit("")).alias("of_id"), "text_hash")
     # repeated rows have the same id and text; one is enough
-    picked = named.join(written(wanted, "minhash-wanted"), ["of_id", "text_hash"]).select("member", "text").dropDuplicates(["member"])
+    picked = named.join(wanted, ["of_id", "text_hash"]).select("member", "text").dropDuplicates(["member"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Hasher(shingle)
@@ -206,15 +207,16 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_c
 
 # -- links inside groups ------------------------------------------------------------------------------------------
 
-def _near(signature: np.ndarray, task: np.ndarray, side: np.ndarray, least: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of one task whose signatures are near; sides: 0 with itself, 1 with 2. Rows are sorted by task."""
+def _near(signature: np.ndarray, task: np.ndarray, side: np.ndarray, root: np.ndarray,
+          least: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of one task with near signatures and different roots; sides: 0 with itself, 1 with 2. Rows are sorted by task."""
     found, n = [], len(task)
     size = np.diff(np.append(np.flatnonzero(np.append(True, task[1:] != task[:-1])), n)).max(initial=0)
     at = np.arange(n)
     for d in range(1, size):
         at = at[at < n - d]
         at = at[task[at] == task[at + d]]  # a task's rows lie together: a pair that is too wide stays so
-        i = at[(side[at] == 0) | (side[at] != side[at + d])]
+        i = at[((side[at] == 0) | (side[at] != side[at + d])) & (root[at] != root[at + d])]
         for k in range(0, len(i), 1 << 16):
             a = i[k:k + (1 << 16)]
             near = equal_lanes(signature[a], signature[a + d]) >= least
@@ -222,16 +224,14 @@ def _near(signature: np.ndarray, task: np.ndarray, side: np.ndarray, least: int)
     return found
 
 
-def _estimated(rows: dict[str, np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Stars of the members that near signatures join, task by task."""
-    root = stars(len(rows["task"]), _near(rows["signature"], rows["task"], rows["side"], least))
-    at = np.flatnonzero(root != np.arange(len(root)))
-    return rows["member"][at], rows["member"][root[at]]
+def _estimated(rows: dict[str, np.ndarray], least: int) -> np.ndarray:
+    """The index of the row that each row is joined to by near signatures, task by task."""
+    return stars(len(rows["task"]), _near(rows["signature"], rows["task"], rows["side"], rows["root"], least))
 
 
-def _confirmed(rows: dict[str, np.ndarray], least: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that the full sets confirm; of members that are joined already no pair is compared."""
-    sets, n, out = rows["shingles"], rows["n"], ([], [])
+def _confirmed(rows: dict[str, np.ndarray], least: int, percent: int) -> np.ndarray:
+    """The same by links that the full sets confirm; of members that are joined already no pair is compared."""
+    sets, n, out = rows["shingles"], rows["n"], []
     starts = np.append(np.flatnonzero(np.append(True, rows["task"][1:] != rows["task"][:-1])), len(n))
     for lo, hi in zip(starts[:-1], starts[1:]):
         label = np.unique(rows["root"][lo:hi], return_inverse=True)[1]
@@ -247,27 +247,30 @@ def _confirmed(rows: dict[str, np.ndarray], least: int, percent: int) -> tuple[n
                 both = len(np.intersect1d(sets[lo + i], sets[lo + k], assume_unique=True))
                 if 100 * both >= percent * (int(size[i]) + int(size[k]) - both):
                     label[label == label[k]] = label[i]
-                    out[0].append(rows["member"][lo + i])
-                    out[1].append(rows["member"][lo + k])
-    return np.array(out[0], np.int64), np.array(out[1], np.int64)
+        first, of = np.unique(label, return_index=True, return_inverse=True)[1:]
+        out.append(lo + first[of])
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
 def _walk(percent: int, confirm: bool):
-    """Rows (task, side, member, root, signature[, shingles]) sorted by task, each task in one partition -> edges (a, b)."""
+    """Rows (task, side, root, signature[, shingles]) sorted by task, each task in one partition -> edges (task, a, b)
+    between roots, a star for each joined set of a task."""
     least = least_equal(percent)
 
     def edges(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(held).combine_chunks()
-        rows = {c: t.column(c).to_numpy() for c in ("task", "side", "member", "root")}
+        rows = {c: t.column(c).to_numpy() for c in ("task", "side", "root")}
         rows["signature"] = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint64).reshape(t.num_rows, -1)
-        order = np.lexsort((rows["member"], rows["side"], rows["task"]))
+        order = np.lexsort((rows["root"], rows["side"], rows["task"]))
         rows = {c: x[order] for c, x in rows.items()}
         if confirm:
             sets = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
             rows["shingles"] = [sets[i] for i in order.tolist()]
             rows["n"] = np.array([len(x) for x in rows["shingles"]])
-        a, b = _confirmed(rows, least, percent) if confirm else _estimated(rows, least)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        to = rows["root"][_confirmed(rows, least, percent) if confirm else _estimated(rows, least)]
+        at = np.flatnonzero(to != rows["root"])
+        found = np.unique(np.stack([rows["task"][at], rows["root"][at], to[at]]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["task", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []  # the last task, which the next batch may go on with
@@ -287,23 +290,28 @@ def _walk(percent: int, confirm: bool):
     return run
 
 
-def links(members: DataFrame, payload: DataFrame, percent: int = PERCENT, chunk: int = CHUNK,
+def links(members: DataFrame, payload: DataFrame | None = None, percent: int = PERCENT, chunk: int = CHUNK,
           chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Edges (a, b) that join all members of a group that are linked. ``members``: group long, member long; ``payload``:
     member, signature and, to confirm links on them, shingles. Both written before. Members that are alone in their group
-    are left out first, so that only the others' signatures and sets are moved."""
-    confirm = "shingles" in payload.columns
+    are left out first, so that only the others' signatures and sets are moved. Without ``payload``, ``members`` has its columns."""
+    confirm = "shingles" in (members if payload is None else payload).columns
     extra = ["signature", "shingles"] if confirm else ["signature"]
     sized = members
     if confirm:
-        sized = members.join(payload.select("member", F.octet_length("shingles").alias("bytes")), "member")
+        size = F.octet_length("shingles").alias("bytes")
+        sized = (members.select("group", "member", size) if payload is None
+                 else members.join(payload.select("member", size), "member"))
     weight = F.sum(F.col("bytes").cast("long")) if confirm else F.lit(0).cast("long")
     parts = F.greatest(F.ceil(F.count("*") / chunk), F.ceil(weight / chunk_bytes)).cast("int")
     groups = written(sized.groupBy("group").agg(F.count("*").alias("count"), F.min("member").alias("center"),
                                                 parts.alias("parts")).filter("count > 1").drop("count"), "minhash-groups")
     part = F.pmod(F.xxhash64("member", F.lit("part")), F.col("parts")).cast("int")
-    rows = members.join(groups, "group").select("group", "member", "center", "parts", part.alias("part"))
-    rows = rows.join(payload, "member").select("group", "member", "center", "parts", "part", *extra)
+    rows = members.join(groups, "group").withColumn("part", part)
+    if payload is not None:
+        rows = rows.select("group", "member", "center", "parts", "part").join(payload, "member")
+    task = F.xxhash64("group", "part").alias("task")
+    rows = rows.select("group", "member", "center", "parts", "part", *extra)
     many = not groups.filter("parts > 1").isEmpty()
     if many:  # read by three steps
         rows = written(rows, "minhash-rows")
@@ -312,26 +320,27 @@ def links(members: DataFrame, payload: DataFrame, percent: int = PERCENT, chunk:
         center = rows.filter("parts > 1 and member = center")
         everywhere = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: p != F.col("part"))
         tasks = tasks.unionByName(center.select("group", F.explode(everywhere).alias("part"), "member", *extra))
-    found = _edges(tasks.select(F.xxhash64("group", "part").alias("task"), F.lit(0).alias("side"), "member",
-                                F.col("member").alias("root"), *extra), percent, confirm)
+    found = _edges(tasks.select(task, F.lit(0).alias("side"), F.col("member").alias("root"), *extra), percent, confirm)
     if not many:
-        return found
+        return found.select("a", "b")
     found = written(found, "minhash-links")
-    roots = written(components(found, "a", "b").withColumnRenamed("node", "member"), "minhash-roots")
-    rows = written(rows.filter("parts > 1").join(roots, "member", "left")
-                   .withColumn("root", F.coalesce("root", "member")), "minhash-open")
+    # the root of a member is the least one that its chunk joins it to; the shared member's star has the same in all chunks
+    star = found.select("task", F.col("a").alias("member"), F.col("b").alias("root"))
+    rows = written(rows.filter("parts > 1").withColumn("task", task).join(star, ["task", "member"], "left")
+                   .withColumn("root", F.coalesce("root", "member")).drop("task"), "minhash-open")
     apart = rows.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-    rows = rows.join(written(apart.select("group"), "minhash-apart"), "group", "left_semi")
+    rows = rows.join(apart.select("group"), "group", "left_semi")
     others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: p != F.col("part"))
     rows = rows.select("*", F.explode(others).alias("other"))
     low, high = F.least("part", "other"), F.greatest("part", "other")
-    return found.unionByName(_edges(rows.select(
-        F.xxhash64("group", low, high).alias("task"), F.when(F.col("part") < F.col("other"), 1).otherwise(2).alias("side"),
-        "member", "root", *extra), percent, confirm))
+    pairs = _edges(rows.select(F.xxhash64("group", low, high).alias("task"),
+                               F.when(F.col("part") < F.col("other"), 1).otherwise(2).alias("side"), "root", *extra),
+                   percent, confirm)
+    return found.unionByName(pairs).select("a", "b")
 
 
 def _edges(rows: DataFrame, percent: int, confirm: bool) -> DataFrame:
-    return rows.repartition("task").sortWithinPartitions("task").mapInArrow(_walk(percent, confirm), "a long, b long")
+    return rows.repartition("task").sortWithinPartitions("task").mapInArrow(_walk(percent, confirm), "task long, a long, b long")
 
 
 # -- the operator -------------------------------------------------------------------------------------------------
@@ -348,18 +357,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         classes.select(F.col("first").alias("member")), "member", "left_semi"), "minhash-firsts")
     buckets = firsts.select(F.explode("bands").alias("group"), "member")
     near = links(buckets, firsts.select("member", "signature"), percent, chunk)
-    clusters = written(components(near, "a", "b").select(F.col("node").alias("member"), F.col("root").alias("group")),
-                       "minhash-clusters")
-    picked = firsts.select("member", "id", "text_hash", "signature").join(clusters.select("member"), "member", "left_semi")
-    picked = written(picked, "minhash-picked")
-    sets = full_sets(docs, picked, id_col, text_col).join(picked.select("member", "signature"), "member")
-    sets = written(sets.select("member", "signature", "shingles"), "minhash-sets")
-    linked = written(components(links(clusters, sets, percent, chunk), "a", "b"), "minhash-linked")
+    clusters = components(near, "a", "b").select(F.col("node").alias("member"), F.col("root").alias("group"))
+    picked = written(firsts.select("member", "id", "text_hash", "signature").join(clusters, "member"), "minhash-picked")
+    sets = full_sets(docs, picked, id_col, text_col).join(picked.select("group", "member", "signature"), "member")
+    sets = written(sets.select("group", "member", "signature", "shingles"), "minhash-sets")
+    linked = components(links(sets, percent=percent, chunk=chunk), "a", "b")
 
     rooted = written(classes.join(linked.withColumnRenamed("node", "first"), "first", "left").select(
         "digest", "least", F.coalesce("root", "first").alias("root")), "minhash-rooted")
-    ids = written(rooted.groupBy("root").agg(F.min("least").alias("component")), "minhash-ids")
-    given = written(rooted.join(ids, "root").select(F.col("digest").alias("of"), "component"), "minhash-given")
+    ids = rooted.groupBy("root").agg(F.min("least").alias("component"))
+    given = rooted.join(ids, "root").select(F.col("digest").alias("of"), "component")
     alone = F.col("n_shingles") == 0
     component = F.when(alone, F.col("id")).otherwise(F.col("component"))
     return made.select("id", "n_shingles", "digest").join(given, F.col("digest") == F.col("of"), "left").select(
