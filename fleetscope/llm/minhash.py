@@ -50,6 +50,8 @@ BITS = 4
 MISSED = 1e-9
 #: Rows of a task, and bytes of their sets.
 CHUNK, CHUNK_BYTES = 1024, 32 << 20
+#: Bits of the map of wanted texts (4 MB); the most of them that are told apart before texts are shuffled.
+MAP_BITS = 1 << 25
 #: Shingles whose hashes are made at once.
 _RUN = 512
 _SEED = 13
@@ -187,6 +189,18 @@ def prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
                                   "signature binary")
 
 
+def _maybe_wanted(texts: DataFrame, wanted: DataFrame, bits: int = MAP_BITS) -> DataFrame:
+    """``texts`` without most of those whose ``text_hash`` is not among ``wanted``, by a map of one bit a hash: ``bits`` / 8
+    bytes are broadcast, whatever the size of the tables. With very many wanted hashes it lets more through; a join decides."""
+    place = F.pmod(F.col("text_hash"), F.lit(bits)) + 1
+    maps = wanted.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("map"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col("map"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return texts.join(F.broadcast(maps), F.bitmap_bucket_number(place) == F.col("bucket")).where(
+        F.getbit(byte, (at % 8).cast("int")) == 1).drop("bucket", "map")
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(member, shingles) of ``wanted`` (member, id, text_hash; written before), from the texts: only theirs are read into sets."""
     text = F.col(text_col).cast("string")
@@ -194,7 +208,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str = "doc_id", text_c
                         text.alias("text"))
     wanted = wanted.select("member", F.coalesce(F.col("id").cast("string"), F.lit("")).alias("of_id"), "text_hash")
     # repeated rows have the same id and text; one is enough
-    picked = named.join(wanted, ["of_id", "text_hash"]).select("member", "text").dropDuplicates(["member"])
+    picked = _maybe_wanted(named, wanted).join(wanted, ["of_id", "text_hash"]).select("member", "text").dropDuplicates(["member"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Hasher(shingle)
