@@ -254,15 +254,22 @@ def detect_anomalies(df: DataFrame, *, device_col: str = "device_id",
     columns (e.g. ``event_id``) into the result.
     """
     order_cols = order_cols or [time_col, "event_id"]
-    keep = keep or []
-    ids = list(dict.fromkeys([device_col, *order_cols, time_col, *keep]))
     # Blocks are decided on the readings, and the readings are shuffled once
     # on (device, block) *before* the 4x unpivot: a window on (device, metric,
     # block) is satisfied by that partitioning, so the long rows are never
     # shuffled.
+    wide = assign_blocks(df, [device_col], order_cols, target_rows).repartition(device_col, "_blk")
+    return score_blocked(wide, device_col=device_col, time_col=time_col, order_cols=order_cols, metrics=metrics,
+                         thresholds=thresholds, window=window, exact=exact, scale=scale, keep=keep)
+
+
+def score_blocked(wide: DataFrame, *, device_col: str, time_col: str, order_cols: list[str], metrics: list[str],
+                  thresholds: dict | DataFrame, window: int, exact: bool, scale: int, keep: list[str] | None) -> DataFrame:
+    """``detect_anomalies`` of readings that have ``_blk`` and ``_split`` and are partitioned by (device, ``_blk``)."""
+    keep = keep or []
+    ids = list(dict.fromkeys([device_col, *order_cols, time_col, *keep]))
     if exact and 10_000 % scale:
         raise ValueError("scale must divide 10,000; use exact=False for other data")
-    wide = assign_blocks(df, [device_col], order_cols, target_rows).repartition(device_col, "_blk")
     long = unpivot_metrics(wide, [*ids, "_blk", "_split"], metrics)
     stats = rolling_stats(long, [device_col, "metric"], order_cols, window=window,
                           exact=exact, scale=scale, blocked=True)

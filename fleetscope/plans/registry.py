@@ -718,6 +718,21 @@ def q_detect_stream(spark, sf_dir):
                       for c in ALERT_COLUMNS])
 
 
+@register("detect_anomalies_stream_split", O.telemetry_alerts_sql())
+def q_detect_stream_split(spark, sf_dir):
+    """The same by micro-batch, with blocks of 20 readings in a micro-batch: every device is cut over several tasks and
+    continues from the tail that the batches before left."""
+    from fleetscope.streaming.jobs import run_to_end, start_split_alerts_query
+    from fleetscope.streaming.sinks import read_alerts
+    s = _stream_source(spark, sf_dir, replay_below=10)
+    with state_partitions(spark):
+        run_to_end(start_split_alerts_query(spark, _src(s), f"{s['_root']}/alerts", f"{s['_root']}/_ck_alerts",
+                                            target_rows=20, full_every=2))
+    a = read_alerts(spark, f"{s['_root']}/alerts")
+    return a.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "detected_at" else F.col(c)
+                      for c in ALERT_COLUMNS])
+
+
 def _stored_rows(df: DataFrame) -> DataFrame:
     """Stored events -> the oracle's column types (doubles, NTZ time)."""
     from fleetscope.schemas import NUMERIC_FIELDS

@@ -6,6 +6,7 @@ its own checkpoint (Spark's unit of exactly-once progress):
 * events:     decode -> quarantine (valid) -> conform -> once -> stored events
 * quarantine: decode -> quarantine (rejected) -> rejected messages with reasons
 * alerts:     decode -> readable (device, time) -> dedup -> keyed state -> stored and published alerts
+* alerts of hot devices: decode -> readable -> once -> batch detection with tails -> stored and published alerts
 * rollup:     decode -> quarantine (valid) -> conform -> once -> 5-minute windows
 
 A micro-batch is written before its offsets are committed, so after a
@@ -17,10 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetscope.operators.blocks import DEFAULT_TARGET_ROWS
 from fleetscope.operators.ingest import (conform_event, dedup_events, detector_readings, quarantine_invalid,
                                          split_valid, stamp_ingest_time)
+from fleetscope.schemas import WINDOW_SIZE
 from fleetscope.sources.messages import (decode_telemetry, publish_alerts, telemetry_source,
                                          write_alert_messages)
+from fleetscope.streaming.detect_batches import TailTable, detect_batch
 from fleetscope.streaming.detect_stream import detect_anomalies_stream
 from fleetscope.streaming.insert_once import insert_once
 from fleetscope.streaming.rollup_stream import rollup_5min_stream
@@ -159,6 +163,32 @@ def start_alerts_query(spark, source: dict, alerts_path: str, checkpoint: str,
         return _trigger(w, available_now, interval).start()
 
 
+def start_split_alerts_query(spark, source: dict, alerts_path: str, checkpoint: str, available_now: bool = True,
+                             interval: str | None = None, window: int = WINDOW_SIZE, created_at=None,
+                             publish: dict | None = None, target_rows: int = DEFAULT_TARGET_ROWS, full_every: int = 32):
+    """The alerts query for streams in which one device may send much of a micro-batch: its readings are cut over tasks
+    (``detect_batch``). The detector keeps no Spark state, so messages are known by ``insert_once``, without a horizon."""
+    rows = insert_once(detector_readings(decoded_messages(spark, source), keep=["partition", "offset"]))
+    run_id, tails = _run_id(checkpoint), TailTable(spark, f"{checkpoint.rstrip('/')}/_tails", full_every=full_every)
+
+    def sink(batch: DataFrame, batch_id: int):
+        batch = batch.persist()  # read by the blocks, the alerts and the tail
+        try:
+            tails.drop_unused(batch_id)
+            alerts, tail = detect_batch(batch, tails.read(batch_id), batch_id, order_cols=["offset"], window=window,
+                                        target_rows=target_rows, keep=["offset"])
+            write_anomaly_alerts(alerts, batch_id, alerts_path, created_at=created_at, run_id=run_id(batch.sparkSession))
+            if publish:
+                write_alert_messages(publish_alerts(alerts), batch_id, **publish)
+            tails.write(tail, batch_id)
+        finally:
+            batch.unpersist()
+
+    w = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    with _start_conf(spark, _NO_EMPTY_BATCHES):
+        return _trigger(w, available_now, interval).start()
+
+
 def start_rollup_query(spark, source: dict, path: str, checkpoint: str, delay: str = "10 minutes",
                        available_now: bool = True, interval: str | None = None):
     """Windows of the valid readings, each message counted once, however
