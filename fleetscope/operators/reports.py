@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from fleetscope.functions.expressions import render_time
 from fleetscope.schemas import NUMERIC_FIELDS, SEVERITIES
-from fleetscope.session import written
 
 
 def check_range(name: str, value: int, lo: int, hi: int) -> int:
@@ -119,11 +118,11 @@ def ingest_lag_percentiles(df: DataFrame, group_cols: list[str], lag_col: str =
     Rows without a lag do not count.
 
     The target ranks are followed down through buckets of falling
-    ``widths``: on each level the rows of the buckets that still hold a
-    target are counted by the next finer bucket (map-side combined), and a
-    window over these counts finds the bucket of the rank. A window sees a
-    group's counts in one bucket of the level above, never its rows, also
-    without group columns.
+    ``widths``, in one plan: values are counted once (map-side combined),
+    the counts summed up to each level of buckets, and on each level a
+    window over the counts of the buckets that hold a target finds the next
+    one. A window sees a group's counts in one bucket of the level above,
+    never its rows, also without group columns.
     """
     names = {p: percentile_name(p) for p in percentiles}
     if len(set(names.values())) < len(names):
@@ -132,42 +131,42 @@ def ingest_lag_percentiles(df: DataFrame, group_cols: list[str], lag_col: str =
     g = list(group_cols) or ["_all"]
     lags = df.where(F.col(lag_col).isNotNull() & ~F.isnan(F.col(lag_col).cast("double")))
     lags = lags.withColumn("_all", F.pmod(F.hash(lag_col), F.lit(1))) if not group_cols else lags
-    fine = written(lags.groupBy(*g, F.col(lag_col).alias("_v")).agg(F.count(F.lit(1)).alias("_cnt")), "lag-counts")
+    fine = lags.groupBy(*g, F.col(lag_col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    levels = [f"_b{i}" for i in range(len(widths) + 1)]
+    buckets = [F.floor(F.col("_v") / F.lit(float(w))).cast("double") for w in widths] + [F.col("_v").cast("double")]
+    counts = [fine.select(*g, *[b.alias(name) for b, name in zip(buckets, levels)], "_c")]
+    for i in range(len(widths), 0, -1):
+        counts.insert(0, counts[0].groupBy(*g, *levels[:i]).agg(F.sum("_c").alias("_c")))
 
     n = F.col("_n")
     ranks = {"lo": F.floor((n + 1) / 2), "hi": F.floor(n / 2) + 1}
     for p in percentiles:
         ranks[names[p]] = F.least(n, F.floor(n.cast("double") * F.lit(float(p))) + 1)
-    wanted = F.array(*[F.struct(F.lit(k).alias("_t"), r.cast("long").alias("_rank")) for k, r in ranks.items()])
-    # some rows for each group, written on every level
-    targets = written(fine.groupBy(*g).agg(F.sum("_cnt").alias("_n"))
-                      .select(*g, "_n", F.inline(wanted)).withColumn("_p", F.lit(0).cast("double")), "lag-targets")
-
-    def same(a: DataFrame, b: DataFrame, cols: list[str]) -> Column:
-        return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in cols])
-
-    above = F.lit(0).cast("double")
-    for w in [*widths, None]:
-        bucket = F.floor(F.col("_v") / F.lit(float(w))).cast("double") if w else F.col("_v").cast("double")
-        rows = fine.select(*g, above.alias("_p"), bucket.alias("_b"), "_cnt")
-        open_ = targets.select(*g, "_p").distinct()
-        rows = rows.join(open_, same(rows, open_, [*g, "_p"]), "left_semi")
-        counts = rows.groupBy(*g, "_p", "_b").agg(F.sum("_cnt").alias("_c"))
-        upto = (Window.partitionBy(*g, "_p").orderBy("_b")
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        counts = counts.withColumn("_cum", F.sum("_c").over(upto))
-        found = (targets.join(counts, same(targets, counts, [*g, "_p"])
-                              & (F.col("_cum") - F.col("_c") < F.col("_rank")) & (F.col("_rank") <= F.col("_cum"))))
-        targets = written(found.select(*[targets[c] for c in g], "_n", "_t", (
-            F.col("_rank") - (F.col("_cum") - F.col("_c"))).alias("_rank"), F.col("_b").alias("_p")), "lag-targets")
-        above = bucket
+    wanted = F.array(*[F.struct(F.lit(k).alias("t"), r.cast("long").alias("rank")) for k, r in ranks.items()])
+
+    open_ = None
+    for i, level in enumerate(levels):
+        above = [*g, *levels[:i]]
+        rows = counts[i]
+        if open_ is None:
+            rows = rows.withColumn("_n", F.sum("_c").over(Window.partitionBy(*g))).withColumn("_targets", wanted)
+        else:
+            held = open_.select(*[F.col(c).alias(f"_held_{c}") for c in above], "_n", "_targets")
+            same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in above])
+            rows = rows.join(held, same).select(*above, level, "_c", "_n", "_targets")
+        upto = Window.partitionBy(*above).orderBy(level).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        rows = rows.withColumn("_before", F.sum("_c").over(upto) - F.col("_c"))
+        here = F.filter("_targets", lambda t: (t["rank"] > F.col("_before")) & (t["rank"] <= F.col("_before") + F.col("_c")))
+        left = F.transform(here, lambda t: F.struct(t["t"].alias("t"), (t["rank"] - F.col("_before")).alias("rank")))
+        open_ = rows.select(*above, level, "_n", left.alias("_targets")).where(F.size("_targets") > 0)
 
     def val(t):
-        return F.max(F.when(F.col("_t") == t, F.col("_p")))
+        return F.max(F.when(F.col("_t.t") == t, F.col(levels[-1])))
 
     aggs = [F.max("_n").alias("n"), ((val("lo") + val("hi")) / 2.0).alias("p50")]
     aggs += [val(name).alias(name) for name in names.values()]
-    return targets.groupBy(*g).agg(*aggs).select(*group_cols, "n", "p50", *names.values())
+    return (open_.select(*g, "_n", levels[-1], F.explode("_targets").alias("_t"))
+            .groupBy(*g).agg(*aggs).select(*group_cols, "n", "p50", *names.values()))
 
 
 # -- operator 30 -----------------------------------------------------------
