@@ -16,7 +16,10 @@ from fleetscope.functions.expressions import iso_text
 from fleetscope.schemas import NUMERIC_FIELDS, TEXT_FIELDS, WIRE_EVENT_SCHEMA
 
 CORRUPT = "_corrupt"
-_DECODE_SCHEMA = T.StructType(list(WIRE_EVENT_SCHEMA.fields) + [T.StructField(CORRUPT, T.StringType())])
+_MARK = "_mark"
+_DECODE_SCHEMA = T.StructType([
+    T.StructField("m", T.ArrayType(T.StructType(list(WIRE_EVENT_SCHEMA.fields) + [T.StructField(_MARK, T.StringType())]))),
+    T.StructField(CORRUPT, T.StringType())])
 
 # Message files: one JSON object per line; value is the message text.
 MESSAGE_FILE_SCHEMA = T.StructType([
@@ -72,32 +75,34 @@ def decode_telemetry(messages: DataFrame, keep: list[str] | None = None) -> Data
 
     Malformed messages are kept, not fatal: ``_corrupt`` holds their text
     (or "<invalid utf-8>"); ``_not_object`` marks text that is not one JSON
-    object (an array, a number, or trailing data after the object, which
-    ``from_json`` alone would ignore). Quarantine decides what happens to
-    them.
+    object (an array, a number, a second object or trailing data after the
+    object, which ``from_json`` alone would ignore). Quarantine decides what
+    happens to them.
+
+    One parse does both: the text is read as the middle of three array
+    elements, between two marks that hold its SHA-256. Text that closes the
+    array or object around it early, or adds elements, either is no JSON or
+    loses a mark, and cannot hold its own digest to replace it.
     """
     keep = keep if keep is not None else [c for c in ("key", "partition", "offset")
                                           if c in messages.columns]
     text = F.when(F.is_valid_utf8(F.col("value")), F.col("value").cast("string"))
-    parsed = F.from_json(text, _DECODE_SCHEMA, {"mode": "PERMISSIVE",
-                                                "columnNameOfCorruptRecord": CORRUPT})
+    mark = F.sha2(F.col("value"), 256)
+    ends = F.concat(F.lit(f'{{"{_MARK}":"'), mark, F.lit('"}'))
+    parsed = F.from_json(F.concat(F.lit('{"m":['), ends, F.lit(","), text, F.lit(","), ends, F.lit("]}")), _DECODE_SCHEMA,
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     # Parse once per message (a projection) ...
-    once = messages.select(*keep, text.alias("_text"), parsed.alias("_e"))
-    corrupt = (F.when(F.col("_text").isNull(), F.lit("<invalid utf-8>"))
-               .otherwise(F.col(f"_e.{CORRUPT}")))
-    # Exactly one object: as the only element of an array, and as the first of
-    # two. No text that closes the array early passes both.
+    once = messages.select(*keep, text.alias("_text"), mark.alias("_sha"), parsed.alias("_e"))
     body = F.col("_text")
-    # bare NaN and Infinity are read as numbers above, but not by the count
-    plain = F.regexp_replace(body, r"(?<=[:,\[\s])-?(?:NaN|Infinity)(?=[,}\]\s])", "0")
-    alone = F.json_array_length(F.concat(F.lit("["), plain, F.lit("]"))) == 1
-    first = F.json_array_length(F.concat(F.lit("["), plain, F.lit(",0]"))) == 2
-    one_object = (F.btrim(body, F.lit(" \t\r\n")).startswith("{")
-                  & F.coalesce(alone, F.lit(False)) & F.coalesce(first, F.lit(False)))
+    at = lambda i: F.get(F.col("_e.m"), F.lit(i))
+    corrupt = (F.when(body.isNull(), F.lit("<invalid utf-8>"))
+               .when(F.col(f"_e.{CORRUPT}").isNotNull(), body))
+    one_object = (F.btrim(body, F.lit(" \t\r\n")).startswith("{") & (F.size(F.col("_e.m")) == 3)
+                  & at(0)[_MARK].eqNullSafe(F.col("_sha")) & at(2)[_MARK].eqNullSafe(F.col("_sha")))
     decoded = F.struct(
-        *[F.col(f"_e.{f.name}").alias(f.name) for f in WIRE_EVENT_SCHEMA.fields],
+        *[at(1)[f.name].alias(f.name) for f in WIRE_EVENT_SCHEMA.fields],
         corrupt.alias(CORRUPT),
-        (body.isNotNull() & ~one_object).alias("_not_object"))
+        (body.isNotNull() & ~F.coalesce(one_object, F.lit(False))).alias("_not_object"))
     # ... then inline(array(x)), exactly one row per message. As a Generate
     # it is a barrier: filters on decoded fields (quarantine) are not pushed
     # below it, so the parse is never copied into each check.

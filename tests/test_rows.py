@@ -1,4 +1,5 @@
 """Boundary rows (classification, checks, limits) and bad messages."""
+import hashlib
 import json
 
 import pytest
@@ -59,6 +60,27 @@ def test_bad_messages(spark):
     assert got[6] == "malformed"
 
 
+def test_one_object_only(spark):
+    good, other = json.dumps(GOOD), json.dumps(dict(GOOD, device_id="other"))
+    digest = hashlib.sha256(good.encode()).hexdigest()
+    closing = [good + end for end in ("]", "}", "]}", "],", ",", ",0", "," + other, "]}junk", " junk", other)]
+    forged = [good + '],"m":[' + other, good + '],"x":[' + other, good + ',{"_mark":"%s"}]}' % digest,
+              good + ',{"_mark":"%s"}],"m":[{"_mark":"%s"},%s' % (digest, digest, other)]
+    early = ['],"m":[' + good, "0," + good, "[" + good + "]", "", " ", "null", "1", '"a"']
+    assert _reasons(spark, closing + forged + early) == ["malformed"] * len(closing + forged + early)
+    extra = json.dumps(dict(GOOD, _mark="x", m=[1, {"_mark": 2}], unknown={"a": [1]}))
+    twice = good[:-1] + ', "device_id": "second"}'
+    assert _reasons(spark, [good, " \t\r\n" + good + "\n", twice, extra.replace('"_mark": "x", ', "")]) == [""] * 4
+    rows = decode_telemetry(_messages(spark, [twice, good + " junk"])).orderBy("offset").collect()
+    assert rows[0].device_id == "second" and rows[0]._corrupt is None and not rows[0]._not_object
+    assert rows[1]._corrupt == good + " junk" and rows[1].device_id is None
+
+
+def test_messages_are_parsed_once(spark):
+    plan = decode_telemetry(_messages(spark, [json.dumps(GOOD)]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and "json_array_length" not in plan
+
+
 @pytest.mark.parametrize("field,ok,bad", [
     ("cpu_usage_pct", [0, 100], [-0.01, 100.01]),
     ("memory_usage_pct", [0, 100], [-0.01, 100.01]),
