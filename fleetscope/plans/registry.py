@@ -666,12 +666,17 @@ def _stream_source(spark, sf_dir, replay_below: int = 0, chunks: int = 3, part:
     """Message files of every reading (3 ordered chunks, one per trigger),
     written once per application and data folder, and a fresh folder of the
     session's shared checkpoint dir for what the stream writes. ``part``:
-    readings that lack fields (``partial``) or three fifths of them (``early``)."""
+    readings that lack fields (``partial``), three fifths of them (``early``) or all, a fifth
+    after the others (``late``)."""
     from fleetscope.session import new_subdir
 
     def write(path: str) -> None:
         view = telemetry(spark, sf_dir)
         view = FX.partial_view(view) if part == "partial" else view.where("event_id % 5 > 1") if part == "early" else view
+        if part == "late":
+            behind = view.agg(F.max("event_id").alias("n"))
+            view = view.join(F.broadcast(behind)).withColumn("event_id", F.expr(
+                "CASE WHEN event_id % 5 = 1 THEN event_id + n + 1 ELSE event_id END")).drop("n")
         FX.write_wire_chunks(FX.wire_messages(view, faults=faults, replay_below=replay_below), path, chunks=chunks)
 
     path = _stored(spark, sf_dir, f"messages-{part}-{replay_below}-{chunks}-{faults}", write)
@@ -901,6 +906,19 @@ def q_rollup_stream(spark, sf_dir):
     return r.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+@register("rollup_5min_late_stream", _ROLLUP_SQL)
+def q_rollup_late_stream(spark, sf_dir):
+    """A fifth of the readings arrives long after the watermark has passed
+    their windows, some twice: the windows are corrected, none is trimmed."""
+    from fleetscope.streaming.jobs import run_to_end, start_late_rollup_query
+    from fleetscope.streaming.rollup_batches import read_rollup_batches
+    s = _stream_source(spark, sf_dir, part="late", replay_below=10)
+    with state_partitions(spark):
+        run_to_end(start_late_rollup_query(spark, _src(s), f"{s['_root']}/rollup", f"{s['_root']}/_ck_rollup"))
+    r = read_rollup_batches(spark, f"{s['_root']}/rollup")
+    return r.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 @register("write_anomaly_alerts", O.telemetry_alerts_sql())
 def q_write_alerts(spark, sf_dir):
     """Batch alerts written through the alert sink twice under the same

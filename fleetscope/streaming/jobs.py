@@ -27,6 +27,7 @@ from fleetscope.sources.messages import (decode_telemetry, publish_alerts, telem
 from fleetscope.streaming.detect_batches import TailTable, detect_batch
 from fleetscope.streaming.detect_stream import detect_anomalies_stream
 from fleetscope.streaming.insert_once import insert_once
+from fleetscope.streaming.rollup_batches import Clock, write_rollup_batch
 from fleetscope.streaming.rollup_stream import rollup_5min_stream
 from fleetscope.streaming.sinks import run_id_of, write_anomaly_alerts, write_events_by_month
 
@@ -199,6 +200,26 @@ def start_rollup_query(spark, source: dict, path: str, checkpoint: str, delay: s
     return _trigger(w, available_now, interval).start()
 
 
+def start_late_rollup_query(spark, source: dict, path: str, checkpoint: str, late_path: str | None = None,
+                            delay_minutes: int = 10, available_now: bool = True, interval: str | None = None):
+    """The rollup with late readings folded into their windows (``rollup_batches``); they are counted, and written to
+    ``late_path`` as stored events."""
+    run_id, clock = _run_id(checkpoint), Clock(spark, f"{checkpoint.rstrip('/')}/_clock")
+
+    def sink(batch: DataFrame, batch_id: int):
+        batch, run = batch.persist(), run_id(batch.sparkSession)
+        try:
+            write_late = late_path and (lambda rows, n: write_events_by_month(
+                rows, n, late_path, extra=["partition", "offset"], run_id=run))
+            write_rollup_batch(batch, batch_id, path, clock, delay_minutes, run_id=run, write_late=write_late)
+        finally:
+            batch.unpersist()
+
+    w = valid_readings(spark, source).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    with _start_conf(spark, _NO_EMPTY_BATCHES):
+        return _trigger(w, available_now, interval).start()
+
+
 def run_to_end(query) -> None:
     """Wait for an availableNow query and surface its failure, if any."""
     query.awaitTermination()
