@@ -349,6 +349,33 @@ def q_event_totals(spark, sf_dir):
     return R.event_totals(telemetry(spark, sf_dir), as_of=AS_OF)
 
 
+@register("event_totals_approx", O.with_views("""
+SELECT cast(cast(event_timestamp AS date) AS varchar) AS day, count(*) AS total_events,
+  count(*) FILTER (WHERE event_type = 'critical') AS critical_events,
+  cast(max(event_timestamp) AS varchar) AS last_seen, TRUE AS devices_within_error
+FROM telemetry GROUP BY GROUPING SETS ((1), ())"""))
+def q_event_totals_approx(spark, sf_dir):
+    """Totals by day and over all days (no day) from stored daily sketches
+    of three batches, the last with late events and written twice; devices
+    within four standard errors of the exact number."""
+    from fleetscope.operators.sketches import relative_error, totals_of_sketches
+    from fleetscope.session import new_subdir
+    from fleetscope.streaming.sinks import write_daily_sketches
+    path, t = f"{new_subdir(spark, 'sketches')}/days", telemetry(spark, sf_dir)
+    for k in (0, 1, 2, 2):
+        write_daily_sketches(t.where(F.col("event_id") % 3 == k), k, path)
+    days = spark.read.parquet(path)
+    none = F.lit(None).cast("date").alias("day")
+    got = totals_of_sketches(days, ["day"]).unionByName(totals_of_sketches(days).withColumn("day", none))
+    daily = t.withColumn("day", F.to_date("event_timestamp"))
+    exact = F.count_distinct("device_id").alias("exact")
+    exact = daily.groupBy("day").agg(exact).unionByName(daily.agg(exact).withColumn("day", none))
+    off = F.abs(F.col("unique_devices") - F.col("exact")) / F.col("exact")
+    return got.join(exact.withColumnRenamed("day", "_day"), F.col("day").eqNullSafe(F.col("_day"))).select(
+        F.col("day").cast("string").alias("day"), "total_events", "critical_events", X.render_time("last_seen").alias("last_seen"),
+        (off <= 4 * relative_error()).alias("devices_within_error"))
+
+
 @register("anomaly_totals", O.with_views(_ANOMALY_TOTALS, alerts=True))
 def q_anomaly_totals(spark, sf_dir):
     return R.anomaly_totals(stored_alerts(spark, sf_dir), as_of=AS_OF)

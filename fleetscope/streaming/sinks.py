@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from fleetscope.operators.progress import running_totals
+from fleetscope.operators.sketches import daily_sketches
 from fleetscope.schemas import ALERT_COLUMNS, EVENT_COLUMNS
 
 
@@ -78,6 +79,14 @@ def read_alerts(spark, path: str) -> DataFrame:
                        else F.col(c) for c in ALERT_COLUMNS], "created_at", "event_month", "run_id", "batch_id")
 
 
+def write_daily_sketches(batch: DataFrame, batch_id: int, path: str, run_id: str = "batch") -> None:
+    """Append one micro-batch's daily totals (``operators/sketches``), partitioned and replaced like the events."""
+    days = daily_sketches(batch).withColumns({"event_month": F.date_format("day", "yyyy-MM"), "run_id": F.lit(str(run_id)),
+                                              "batch_id": F.lit(int(batch_id))})
+    (days.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("event_month", "run_id", "batch_id").parquet(path))
+
+
 # -- operator 10 -----------------------------------------------------------
 class ProgressLog(StreamingQueryListener):
     """Writes the counters of every micro-batch of the session's streaming
