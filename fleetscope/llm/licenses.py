@@ -1,12 +1,12 @@
 """License scan by DataFrame functions: SPDX tags, sparse TF-IDF cosine of headers and licence files to templates, then
 inheritance from the nearest directory above that has a licence file.
 
-Templates are short notices, the usual file headers and licence texts (long ones by their opening). A template has a *mark*,
-two neighbouring words of its own. Words are compared, not lines, so that a header over several comment lines reads like one
-in a line: wherever a template's mark stands in a text, the words around it are cut out as far as the template reaches before
-and after its mark, and this window is compared with the template. So a notice is found wherever it stands in a text of any
-length, and what stands beside it does not count. Words weigh by their share of all documents, counted for every word that
-stands in a window: idf = 1 - ln(share + RARE), so that words rarer than RARE weigh alike and a notice's weight does not
+Templates are short notices, the usual file headers and licence texts (long ones by their opening). Words are compared, not
+lines, so that a header over several comment lines reads like one in a line: every window of as many neighbouring words as a
+template has, at every position of every text and cut by its ends too, is compared with the template. Only windows that by a
+bound on the cosine cannot reach ``least`` are left out before (``_windows``). So a notice is found wherever it stands in a
+text of any length, whichever of its words are missing or changed, and what stands beside it does not count. Words weigh by
+their share of all documents, counted for every word: idf = 1 - ln(share + RARE), so that words rarer than RARE weigh alike and a notice's weight does not
 depend on how large the table is. Equal windows are compared once; term weights, products and lengths are joins and sums
 over (window, word) rows. A document's own licence is that of its first SPDX tag, else that of its best window, if the cosine
 reaches ``least``.
@@ -25,9 +25,11 @@ empty table.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetscope.llm.common import table, written
@@ -36,6 +38,8 @@ from fleetscope.llm.common import table, written
 LEAST = 0.6
 #: Words in a smaller share of the documents weigh alike.
 RARE = 0.01
+#: Bounds on a cosine are taken so much lower, for what is lost in sums of doubles.
+MARGIN = 1e-6
 #: A licence text begins within so many words of its file.
 HEAD_WORDS = 40
 
@@ -136,7 +140,7 @@ def _numbered() -> list[tuple[int, str, str, int, int, bool, list[str]]]:
     return out
 
 
-#: A text that does not match has neither a mark nor a tag.
+# Marks and tags of all templates in one pattern; the scan compares texts without a mark too.
 _MARK = "|".join(["spdx-license-identifier:"] + [
     "[^a-z0-9]+".join(map(re.escape, m.split())) for m in sorted({t[2] for t in _numbered()})])
 
@@ -145,25 +149,61 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0))
 
 
-def _windows(words: str) -> tuple[Column, Column]:
-    """Distinct (template, window, whole) of an array of words: for each template the words around its marks; ``whole``: the
-    text is the licence's, as it begins with it or is mostly it. Reads the column ``found`` of marks, which is second."""
-    templates = F.array(*(F.struct(F.lit(n).alias("n"), F.lit(mark).alias("mark"), F.lit(before).alias("before"),
-                                   F.lit(size).alias("size"), F.lit(text).alias("text"))
-                          for n, _, mark, before, size, text, _ in _numbered()))
-    marks = F.array(*(F.lit(m) for m in sorted({t[2] for t in _numbered()})))
-    w = F.col(words)
-    pairs = F.transform(w, lambda x, i: F.struct(F.concat(x, F.lit(" "), F.coalesce(F.get(w, i + 1), F.lit(""))).alias("mark"),
-                                                 i.alias("at")))
-    found = F.filter(pairs, lambda p: F.array_contains(marks, p["mark"]))
-
-    def cut(t: Column, p: Column) -> Column:
-        start, stop = F.greatest(p["at"] - t["before"], F.lit(0)), F.least(p["at"] - t["before"] + t["size"], F.size(w))
-        return F.struct(t["n"].alias("template"), F.array_join(F.slice(w, start + 1, stop - start), " ").alias("window"),
-                        ((t["text"] & (start <= HEAD_WORDS)) | (2 * t["size"] >= F.size(w))).alias("whole"))
-
-    return F.array_distinct(F.flatten(F.transform(templates, lambda t: F.transform(
-        F.filter(F.col("found"), lambda p: p["mark"] == t["mark"]), lambda p: cut(t, p))))), found
+def _model(idf: dict[str, float], least: float) -> tuple[list[tuple], set[str]]:
+    """Rows (template, size, text, word, share, product, square) of the templates' words by their weights, and the words of which a
+    window that reaches ``least`` has at least one. ``share``: the word's part of the squared length; a window's cosine is at
+    most the root of the shares of the words that it has. ``product``: what each occurrence adds to the dot product; ``square``:
+    at least what it adds to the window's squared length."""
+    rows, needed = [], set()
+    for n, _, _, _, size, text, words in _numbered():
+        weight = {w: c * idf[w] for w, c in Counter(words).items()}
+        length = sum(x * x for x in weight.values())
+        rest = 1.0
+        for w, x in sorted(weight.items(), key=lambda p: (-p[1], p[0])):
+            rows.append((n, size, text, w, x * x / length, idf[w] * x / length ** 0.5, idf[w] ** 2))
+            if rest >= least * least - MARGIN:
+                needed.add(w)
+            rest -= x * x / length
+    return rows, needed
+
+
+def _windows(seen: DataFrame, counted: DataFrame, model: DataFrame, least: float) -> DataFrame:
+    """(row, template, window, whole) of ``seen`` (row, words): for each template all windows of as many words as it has, those
+    cut by the ends of the text included, less those that by two bounds cannot reach ``least``: the shares of the template's
+    words in the window, and the dot product over the root of the summed squares, at first of the template's words, then of
+    all (no more than the length, as a repeated word counts more there). ``whole``: the text is the licence's, as it begins with it or is mostly it."""
+    low = least - MARGIN
+    shares = F.broadcast(model.select("template", "word", "share"))
+    pairs = seen.select("row", F.explode(F.array_distinct("words")).alias("word")).join(shares, "word").groupBy("row", "template").agg(
+        F.sum("share").alias("share")).where(F.col("share") >= low * low).select(F.col("row").alias("of"), "template")
+    pairs = written(pairs, "licence-pairs")
+    hits = seen.join(pairs, F.col("row") == F.col("of")).select("row", "template", F.posexplode("words").alias("at", "word")).join(
+        F.broadcast(model), ["template", "word"]).drop("word")
+    # places in template lengths: a range of 1 holds as many neighbouring places as the template has words
+    place = lambda at: F.col(at) / (F.col("size") - 0.5)
+    each = Window.partitionBy("row", "template")
+    ahead = lambda at: each.orderBy(place(at)).rangeBetween(0, 1)
+    hits = hits.withColumns({"shares": F.sum("share").over(ahead("at")), "last": F.lag("at").over(each.orderBy("at"))})
+    # every window has one first word of the template's: the windows that begin behind the one before it
+    starts = hits.withColumn("start", F.explode(F.sequence(F.greatest(F.coalesce(F.col("last") + 1, F.col("at") - F.col("size") + 1),
+                                                                      F.col("at") - F.col("size") + 1), F.col("at"))))
+    first = lambda c: F.sum(F.when(F.col("start") == F.col("at"), F.col(c)).otherwise(0.0)).over(ahead("start"))
+    starts = starts.withColumns({"dot": first("product"), "own": first("square")}).where(
+        (F.col("shares") >= low * low) & (F.col("dot") >= low * F.sqrt("own")))
+    starts = written(starts.select(F.col("row").alias("of"), "template", "size", "text", "start", "dot"), "licence-starts")
+
+    # the other words of these texts weigh too
+    texts = seen.join(starts.select("of").distinct(), F.col("row") == F.col("of"), "left_semi")
+    squares = texts.select("row", F.posexplode("words").alias("at", "word")).join(counted, "word").groupBy("row").agg(
+        F.sort_array(F.collect_list(F.struct("at", (F.col("idf") * F.col("idf")).alias("square")))).alias("squares"))
+    squares = squares.select(F.col("row").alias("squares_of"), F.col("squares.square").alias("squares"))
+    cut = starts.join(texts, F.col("of") == F.col("row")).join(squares, F.col("of") == F.col("squares_of")).withColumns({
+        "stop": F.least(F.col("start") + F.col("size"), F.size("words")), "start": F.greatest("start", F.lit(0))})
+    part = lambda c: F.slice(c, F.col("start") + 1, F.col("stop") - F.col("start"))
+    squared = F.aggregate(part("squares"), F.lit(0.0), lambda total, x: total + x)
+    return cut.where(F.col("dot") >= low * F.sqrt(squared)).select(
+        "row", "template", F.array_join(part("words"), " ").alias("window"),
+        ((F.col("text") & (F.col("start") <= HEAD_WORDS)) | (2 * F.col("size") >= F.size("words"))).alias("whole")).distinct()
 
 
 def own_licences(docs: DataFrame, least: float = LEAST) -> DataFrame:
@@ -171,16 +211,25 @@ def own_licences(docs: DataFrame, least: float = LEAST) -> DataFrame:
     no window reaches ``least``."""
     spark = docs.sparkSession
     numbered = _numbered()
-    # one pass over the texts: tags and windows of those that have a mark
-    marked = F.lower("text").rlike(_MARK)
-    cut, found = _windows("words")
-    seen = docs.select(F.monotonically_increasing_id().alias("row"), "id", "path", "text", marked.alias("marked"))
-    seen = seen.withColumn("words", F.when(F.col("marked"), _words(F.col("text"))).otherwise(F.array().cast("array<string>")))
-    seen = written(seen.withColumn("found", found).select(
-        "row", "id", "path", F.when(F.col("marked"), F.nullif(F.regexp_extract(F.lower("text"), _TAG, 1), F.lit(""))).alias("tag"),
-        cut.alias("windows")), "licence-seen")
-
-    pairs = seen.select(F.explode("windows").alias("w")).select("w.template", "w.window").distinct()
+    n = docs.count()
+    weight = lambda df: 1 - F.log(df / F.lit(max(n, 1)) + F.lit(RARE))
+    counted = written(docs.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("word")).groupBy("word").agg(
+        weight(F.count("*")).alias("idf")), "licence-counted")
+    # the words of the templates: bounded by the list above
+    own = sorted({w for t in numbered for w in t[6]})
+    idf = dict.fromkeys(own, 1 - math.log(RARE)) | {r["word"]: r["idf"] for r in counted.where(F.col("word").isin(own)).collect()}
+    rows, needed = _model(idf, least)
+    model = spark.createDataFrame(rows, "template int, size int, text boolean, word string, share double, product double, square double")
+    # one pass over the texts: tags, and the words of the texts in which a window may reach ``least``
+    lower = F.lower("text")
+    tag = F.when(lower.contains("spdx-license-identifier:"), F.nullif(F.regexp_extract(lower, _TAG, 1), F.lit("")))
+    seen = docs.select(F.monotonically_increasing_id().alias("row"), "id", "path", tag.alias("tag"), _words(F.col("text")).alias("words"))
+    some = F.arrays_overlap("words", F.array(*map(F.lit, sorted(needed))))
+    seen = written(seen.select("row", "id", "path", "tag", F.when(some, F.col("words")).otherwise(
+        F.array().cast("array<string>")).alias("words")), "licence-seen")
+    windows = written(_windows(seen.where(F.size("words") > 0).select("row", "words"), counted, model, least), "licence-windows")
+
+    pairs = windows.select("template", "window").distinct()
     terms = written(pairs.select("template", "window", F.explode(F.split("window", " ")).alias("word")).groupBy(
         "template", "window", "word").agg(F.count("*").alias("n")), "licence-terms")
     # a row for each word of the templates: bounded by the list above
@@ -189,11 +238,8 @@ def own_licences(docs: DataFrame, least: float = LEAST) -> DataFrame:
         "template", "word").agg(F.count("*").alias("n"))
     # the documents of every word that stands in a window or a template
     wanted = written(terms.select("word").union(own_words.select("word")).distinct(), "licence-wanted")
-    n = docs.count()
-    counted = docs.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("word")).groupBy("word").agg(
-        F.count("*").alias("df"))
-    idf = 1 - F.log(F.coalesce(F.col("df"), F.lit(0)) / F.lit(max(n, 1)) + F.lit(RARE))
-    weights = written(wanted.join(counted, "word", "left").select("word", idf.alias("idf")), "licence-words")
+    weights = written(wanted.join(counted, "word", "left").select("word", F.coalesce("idf", weight(F.lit(0))).alias("idf")),
+                      "licence-words")
 
     weighted = own_words.join(weights, "word").withColumn("w", F.col("n") * F.col("idf"))
     size = weighted.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
@@ -206,7 +252,7 @@ def own_licences(docs: DataFrame, least: float = LEAST) -> DataFrame:
     name = F.array(*(F.lit(t[1]) for t in numbered))[F.col("template")]
     best = written(cosine.select("template", "window", F.round(F.col("dot") / F.col("size"), 9).alias("cosine"), name.alias(
         "licence")).filter(F.col("cosine") >= least), "licence-best")
-    found = seen.select("row", F.explode("windows").alias("w")).select("row", "w.*").join(best, ["template", "window"]).groupBy(
+    found = windows.join(best, ["template", "window"]).groupBy(
         "row").agg(F.min(F.struct((-F.col("cosine")).alias("neg"), "licence")).alias("best"), F.max("whole").alias("whole"))
     found = written(found.withColumnRenamed("row", "of"), "licence-own")
     known = {x.lower(): x for x in (t[1] for t in numbered)}

@@ -79,3 +79,12 @@ def test_marks_stand_in_their_templates():
     for _, _, mark, before, size, _, words in licenses._numbered():
         assert " ".join(words[before:before + 2]) == mark and len(words) == size
         assert re.search(licenses._MARK, " ".join(words))
+
+
+def test_notices_without_their_mark_are_found(spark):
+    rows = [("a/x", "Subject to the terms of the Mozilla Foundation Public License, version 2.0."),
+            ("b/x", "words before it. All rights are reserved. And words behind it that go on and on, more of them than before"),
+            ("c/x", HEADER["GPL-2.0"].replace("GNU General", "GNU (General)").replace("General Public", "Gen. Public")),
+            ("d/x", TEXT["MIT"].replace("hereby granted", "granted") + " more of it" * 200), ("e/x", "under the terms of the public")]
+    prose = [(f"p/{i}", "the plain prose of this under a text that is for you and all to use") for i in range(60)]
+    assert [r[0] for r in scan(spark, rows + prose)[:5]] == ["MPL-2.0", "Proprietary", "GPL-2.0", "MIT", None]
