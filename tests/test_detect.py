@@ -202,3 +202,22 @@ def test_severity_by_a_table(spark):
                                            (None, "m", 3.0, "critical"), ("c", "m", 2.0, "critical")], key=str)
     own = th.drop("device_id").where("metric = 'other'")
     assert {r.severity for r in D.severity_for(scored, own, metrics=["m", "n"]).collect()} == {None}
+
+
+@pytest.mark.parametrize("window, target, parts", [(5, 7, 1), (40, 9, 1), (40, 100, 4), (700, 90, 1)])
+def test_edges_of_a_key_are_dealt_over_parts(spark, monkeypatch, window, target, parts):
+    """Nulls included, the same numbers as one window over the key; no task has all edge rows of a key."""
+    monkeypatch.setattr(D, "PART_BLOCKS", parts)
+    rows = [("d", i, None if i % 11 < 8 and i < 900 else i * 37 % 101 / 4) for i in range(2500)] + [("e", i, 1.0) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, i long, x double")
+    out = D.rolling_stats(df, ["k"], ["i"], window=window, target_rows=target)
+    values = {k: [x if x is None else round(x * 100) for q, _, x in rows if q == k] for k in "de"}
+    got = out.collect()
+    for r in got:
+        frame = values[r.k][max(0, r.i - window + 1):r.i + 1]
+        last = [v for v in frame if v is not None]
+        want = (len(frame), sum(last) if last or window >= D.PREFIX_SUMS_FROM else None)
+        assert (r.n, r.s) == want or (window >= D.PREFIX_SUMS_FROM and not last and not r.s), (r, want)
+        assert not last or int(r.q) == sum(v * v for v in last)
+    assert len(got) == len(rows)
+    assert "_part" in out._jdf.queryExecution().analyzed().toString()
