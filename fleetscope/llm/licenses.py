@@ -167,18 +167,32 @@ def _model(idf: dict[str, float], least: float) -> tuple[list[tuple], set[str]]:
     return rows, needed
 
 
+def _reached(words: Column, rows: list[tuple], needed: set[str], least: float) -> Column:
+    """The templates of which ``words`` have so many words that by their shares a window may reach ``least``: no join or shuffle of
+    the texts for it, as the words of all templates (``rows`` of ``_model``) are a fixed list."""
+    terms: dict[int, list[tuple]] = {}
+    for n, _, _, word, share, _, _ in rows:
+        terms.setdefault(n, []).append((word, share))
+    given = F.array(*(F.struct(F.lit(n).alias("template"), F.array(*(F.struct(F.lit(w).alias("word"), F.lit(x).alias("share"))
+                                                                     for w, x in of)).alias("terms")) for n, of in terms.items()))
+    low = least - MARGIN
+    # as the one element of an array, so that the words of templates are looked up once a text
+    own = F.array(F.array_intersect(words, F.array(*map(F.lit, sorted({r[3] for r in rows})))))
+    share = lambda t, there: F.aggregate(
+        t["terms"], F.lit(0.0), lambda total, x: total + F.when(F.array_contains(there, x["word"]), x["share"]).otherwise(0.0))
+    found = F.transform(own, lambda there: F.transform(F.filter(given, lambda t: share(t, there) >= low * low), lambda t: t["template"]))
+    some = F.arrays_overlap(words, F.array(*map(F.lit, sorted(needed))))
+    return F.when(some, found[0]).otherwise(F.array().cast("array<int>"))
+
+
 def _windows(seen: DataFrame, counted: DataFrame, model: DataFrame, least: float) -> DataFrame:
-    """(row, template, window, whole) of ``seen`` (row, words): for each template all windows of as many words as it has, those
-    cut by the ends of the text included, less those that by two bounds cannot reach ``least``: the shares of the template's
-    words in the window, and the dot product over the root of the summed squares, at first of the template's words, then of
-    all (no more than the length, as a repeated word counts more there). ``whole``: the text is the licence's, as it begins with it or is mostly it."""
+    """(row, template, window, whole) of ``seen`` (row, words, templates): for each of its templates all windows of as many words as
+    it has, those cut by the ends of the text included, less those that by two bounds cannot reach ``least``: the shares of the
+    template's words in the window, and the dot product over the root of the summed squares, at first of the template's words, then
+    of all (no more than the length, as a repeated word counts more there). ``whole``: the text is the licence's, as it begins with it or is mostly it."""
     low = least - MARGIN
-    shares = F.broadcast(model.select("template", "word", "share"))
-    pairs = seen.select("row", F.explode(F.array_distinct("words")).alias("word")).join(shares, "word").groupBy("row", "template").agg(
-        F.sum("share").alias("share")).where(F.col("share") >= low * low).select(F.col("row").alias("of"), "template")
-    pairs = written(pairs, "licence-pairs")
-    hits = seen.join(pairs, F.col("row") == F.col("of")).select("row", "template", F.posexplode("words").alias("at", "word")).join(
-        F.broadcast(model), ["template", "word"]).drop("word")
+    hits = seen.select("row", "templates", F.posexplode("words").alias("at", "word")).join(F.broadcast(model), "word").where(
+        F.array_contains("templates", F.col("template"))).drop("word", "templates")
     # places in template lengths: a range of 1 holds as many neighbouring places as the template has words
     place = lambda at: F.col(at) / (F.col("size") - 0.5)
     each = Window.partitionBy("row", "template")
@@ -193,7 +207,9 @@ def _windows(seen: DataFrame, counted: DataFrame, model: DataFrame, least: float
     starts = written(starts.select(F.col("row").alias("of"), "template", "size", "text", "start", "dot"), "licence-starts")
 
     # the other words of these texts weigh too
-    texts = seen.join(starts.select("of").distinct(), F.col("row") == F.col("of"), "left_semi")
+    # words cross the network as one string, of less than half the size of an array
+    texts = seen.select("row", F.array_join("words", " ").alias("line")).join(
+        starts.select("of").distinct(), F.col("row") == F.col("of"), "left_semi").select("row", F.split("line", " ").alias("words"))
     squares = texts.select("row", F.posexplode("words").alias("at", "word")).join(counted, "word").groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("at", (F.col("idf") * F.col("idf")).alias("square")))).alias("squares"))
     squares = squares.select(F.col("row").alias("squares_of"), F.col("squares.square").alias("squares"))
@@ -220,14 +236,15 @@ def own_licences(docs: DataFrame, least: float = LEAST) -> DataFrame:
     idf = dict.fromkeys(own, 1 - math.log(RARE)) | {r["word"]: r["idf"] for r in counted.where(F.col("word").isin(own)).collect()}
     rows, needed = _model(idf, least)
     model = spark.createDataFrame(rows, "template int, size int, text boolean, word string, share double, product double, square double")
-    # one pass over the texts: tags, and the words of the texts in which a window may reach ``least``
+    # one pass over the texts: tags, and the words of the texts in which a window may reach ``least``, with the templates
     lower = F.lower("text")
     tag = F.when(lower.contains("spdx-license-identifier:"), F.nullif(F.regexp_extract(lower, _TAG, 1), F.lit("")))
     seen = docs.select(F.monotonically_increasing_id().alias("row"), "id", "path", tag.alias("tag"), _words(F.col("text")).alias("words"))
-    some = F.arrays_overlap("words", F.array(*map(F.lit, sorted(needed))))
-    seen = written(seen.select("row", "id", "path", "tag", F.when(some, F.col("words")).otherwise(
+    seen = seen.withColumn("templates", _reached(F.col("words"), rows, needed, least))
+    seen = written(seen.select("row", "id", "path", "tag", "templates", F.when(F.size("templates") > 0, F.col("words")).otherwise(
         F.array().cast("array<string>")).alias("words")), "licence-seen")
-    windows = written(_windows(seen.where(F.size("words") > 0).select("row", "words"), counted, model, least), "licence-windows")
+    windows = written(_windows(seen.where(F.size("words") > 0).select("row", "words", "templates"), counted, model, least),
+                      "licence-windows")
 
     pairs = windows.select("template", "window").distinct()
     terms = written(pairs.select("template", "window", F.explode(F.split("window", " ")).alias("word")).groupBy(

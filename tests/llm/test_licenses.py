@@ -88,3 +88,21 @@ def test_notices_without_their_mark_are_found(spark):
             ("d/x", TEXT["MIT"].replace("hereby granted", "granted") + " more of it" * 200), ("e/x", "under the terms of the public")]
     prose = [(f"p/{i}", "the plain prose of this under a text that is for you and all to use") for i in range(60)]
     assert [r[0] for r in scan(spark, rows + prose)[:5]] == ["MPL-2.0", "Proprietary", "GPL-2.0", "MIT", None]
+
+
+def test_only_texts_that_a_template_may_reach_are_kept_and_joined(spark, monkeypatch):
+    """Words of the templates stand in most prose; such texts do not go through the joins by row."""
+    kept = {}
+    real = licenses.written
+
+    def written(df, name):
+        kept[name] = real(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(licenses, "written", written)
+    prose = [(f"p/{i}", f"the public software of the foundation, with a license for {i} of us and no version") for i in range(60)]
+    got = scan(spark, [("a/x", "Code released under the MIT License."), ("a/y", "all rights reserved"),
+                       ("b/x", "a letter from mit"), ("b/y", "released again"), *prose])
+    assert [r[0] for r in got] == ["MIT", "Proprietary"] + [None] * 62
+    seen = kept["licence-seen"]
+    assert sorted(r["id"] for r in seen.where(F.size("words") > 0).collect()) == [0, 1]
