@@ -284,3 +284,21 @@ def test_vacuum_keeps_live_months(spark):
     deleted = vacuum_rollup(spark, f"{root}/rollup", retain=1)
     assert all("_v=1/" in d for d in deleted)  # _v=2 kept for readers, _v=3 live
     assert read_rollup(spark, f"{root}/rollup").count() == before == rollup_5min(view).count()
+
+
+def test_files_of_a_chunk_grow_in_number_and_none_is_missing(spark, monkeypatch):
+    """Large chunks have more files, each written by one task; a range of offsets without messages takes no file of the next chunk."""
+    import glob
+    monkeypatch.setattr(FX, "FILE_ROWS", 50)
+    files = FX.chunk_files(1000, 3)
+    assert files == 7 and FX.chunk_files(10, 3) == FX.FILES
+    root = new_subdir(spark, "t-chunks")
+    view = FX.load_telemetry(spark, SF_SMALL)
+    msgs = FX.wire_messages(view.where("event_id < 100 or event_id >= 200"))
+    FX.write_wire_chunks(msgs, f"{root}/messages", chunks=3, files=files)
+    assert len(glob.glob(f"{root}/messages/_file=*/*.json*")) == 21 and not glob.glob(f"{root}/*staging*")
+    q = start_events_query(spark, {"path": f"{root}/messages", "options": {"maxFilesPerTrigger": str(files)}}, f"{root}/events", f"{root}/_ck")
+    run_to_end(q)
+    ev = spark.read.parquet(f"{root}/events")
+    last = ev.groupBy("batch_id").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).orderBy("batch_id").collect()
+    assert ev.count() == 900 and [(r["lo"], r["hi"]) for r in last] == [(0, 333), (334, 666), (667, 999)]
