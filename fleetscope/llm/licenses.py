@@ -207,7 +207,7 @@ def _windows(seen: DataFrame, counted: DataFrame, model: DataFrame, least: float
     starts = written(starts.select(F.col("row").alias("of"), "template", "size", "text", "start", "dot"), "licence-starts")
 
     # the other words of these texts weigh too
-    # words cross the network as one string, of less than half the size of an array
+    # words cross the network as one string, not as an array
     texts = seen.select("row", F.array_join("words", " ").alias("line")).join(
         starts.select("of").distinct(), F.col("row") == F.col("of"), "left_semi").select("row", F.split("line", " ").alias("words"))
     squares = texts.select("row", F.posexplode("words").alias("at", "word")).join(counted, "word").groupBy("row").agg(
