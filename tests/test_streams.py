@@ -335,3 +335,15 @@ def test_a_device_call_takes_few_columns_and_keeps_numbers_and_nulls(spark):
                              thresholds={"a": (1.5, 2.0), "b": (1.5, 2.0)}, keep=["name"])
     key = ["name", "metric", "severity", "z_score", "rolling_mean", "rolling_std_dev", "observed_value"]
     assert sorted(map(tuple, got.select(*key).collect())) == sorted(map(tuple, batch.select(*key).collect()))
+
+
+def test_validation_is_compiled(spark):
+    """No generated method of the valid rows' plan is longer than the 8,000 bytes that the JVM compiles."""
+    from fleetscope.operators.ingest import conform_event, quarantine_invalid, split_valid
+    from fleetscope.sources.messages import decode_telemetry
+    valid, _ = split_valid(quarantine_invalid(decode_telemetry(FX.wire_messages(FX.load_telemetry(spark, SF_SMALL), faults=True))))
+    rows = conform_event(valid, keep=["partition", "offset"])
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+    stages = getattr(debug, "MODULE$").codegenStringSeq(rows._jdf.queryExecution().executedPlan())
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert sizes and max(sizes) < 8000
