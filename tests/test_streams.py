@@ -310,12 +310,13 @@ def test_a_device_call_takes_few_columns_and_keeps_numbers_and_nulls(spark):
     root = new_subdir(spark, "t-packed")
     rows = spark.range(200).selectExpr(
         "concat('d', id % 2) AS device_id", "id AS nr", "CASE WHEN id % 20 < 10 THEN id + (1L << 60) END AS big",
-        "CASE WHEN id % 40 >= 20 THEN timestamp_micros(id * 1000001) END AS at", "concat('k', id) AS name", "date_from_unix_date(cast(id AS int)) AS day",
+        "CASE WHEN id % 40 >= 20 THEN timestamp_micros(id * 1000001) END AS at", "concat('k', id) AS name",
+        "CASE WHEN id % 20 < 15 THEN timestamp_ntz'2024-01-01 00:00:00.000001' + make_dt_interval(id) END AS local", "date_from_unix_date(cast(id AS int)) AS day",
         "CASE WHEN id >= 100 AND id % 10 < 2 THEN 500.25 ELSE id % 7 END AS a", "CASE WHEN id % 3 > 0 THEN id % 5 END AS b")
     rows.coalesce(1).write.parquet(f"{root}/in")
     src = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
     out = detect_anomalies_stream(src, time_col="day", order_cols=["at", "nr"], metrics=["a", "b"], window=20,
-                                  thresholds={"a": (1.5, 2.0), "b": (1.5, 2.0)}, keep=["big", "name"])
+                                  thresholds={"a": (1.5, 2.0), "b": (1.5, 2.0)}, keep=["big", "name", "local"])
     q = (out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/_ck")
          .trigger(availableNow=True).start())
     run_to_end(q)
@@ -324,8 +325,8 @@ def test_a_device_call_takes_few_columns_and_keeps_numbers_and_nulls(spark):
     assert "_i#" in node and "big#" not in node and "day#" not in node
     got = spark.read.parquet(f"{root}/out")
     assert got.schema["big"].dataType == rows.schema["big"].dataType and got.schema["detected_at"].dataType == rows.schema["day"].dataType
-    want = rows.selectExpr("name", "big", "day AS detected_at", "device_id")
-    found = got.select("name", "big", "detected_at", "device_id")
+    want = rows.selectExpr("name", "big", "local", "day AS detected_at", "device_id")
+    found = got.select("name", "big", "local", "detected_at", "device_id")
     n = found.count()
     assert n > 10 and found.where("big IS NULL").count() > 0 and found.where("big IS NOT NULL").count() > 0
     assert found.distinct().intersect(want).count() == found.distinct().count()
