@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fleetscope.operators import detect as D
+from fleetscope.operators import blocks as B
 from fleetscope.operators.blocks import assign_blocks
 from fleetscope.schemas import THRESHOLDS
 
@@ -192,6 +193,59 @@ def test_null_order_values_are_split_like_others(spark, target):
     assert max(sizes) <= 2 * target
 
 
+def test_small_blocks_shuffle_events_twice_and_nothing_else(spark, monkeypatch):
+    """Blocks of fewer rows than the window: no table with a row per bucket is written or joined to the readings, and both
+    shuffles are of events, not of events by metric."""
+    rows = [(f"d{i % 5}", None if i % 7 < 2 else i, i, float(i * 37 % 101), float(i * 13 % 17), i % 3 / 4, 1.0) for i in range(2000)]
+    names = ["m1", "m2", "m3", "m4"]
+    df = spark.createDataFrame(rows, "device_id string, t long, event_id long, " + ", ".join(f"{m} double" for m in names))
+    tables = []
+    monkeypatch.setattr(B, "written", lambda table, name, f=B.written: tables.append(f(table, name)) or tables[-1])
+    out = D.detect_anomalies(df, time_col="event_id", order_cols=["t", "event_id"], metrics=names,
+                             thresholds={m: (1.6, 2.0) for m in names}, target_rows=20)
+    assert len(out.collect()) > 100
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan[:plan.index("== Initial Plan ==")]
+    shuffles = [x for x in final.splitlines() if " Exchange hashpartitioning" in x and "Reused" not in x]
+    assert len(shuffles) == 2 and not any("metric" in x for x in shuffles), final
+    assert "Join" not in final and tables == []
+
+
+@pytest.mark.parametrize("part_rows, target, window, exact", [
+    (10 ** 6, 7, 60, True), (300, 50, 60, True), (300, 7, 60, False), (60, 50, 9, True), (40, 7, 5, True)])
+def test_small_blocks_in_parts_give_the_same_alerts(spark, monkeypatch, part_rows, target, window, exact):
+    """Null devices, order values and readings, a metric with fewer readings than a window over many blocks, repeated rows."""
+    rows = [("d" if i % 4 else None, None if i % 5 == 0 else i // 3, i, (i * 37 % 101 + (900 if i % 53 == 0 else 0)) / 4,
+             float(i * i % 23 + (60 if i % 222 == 0 else 0)) if i % 31 == 0 else None) for i in range(4000)]
+    rows += [("e", 1, i, None if i % 3 else float(i), 2.0) for i in range(5)] + [("f", 3, 7, 2.5, 1.0)] * 400
+    names = ["m1", "m2"]
+    df = spark.createDataFrame(rows, "device_id string, t long, event_id long, m1 double, m2 double").repartition(5)
+    run = lambda n: sorted(map(tuple, D.detect_anomalies(
+        df, time_col="event_id", order_cols=["t", "event_id"], metrics=names, thresholds={m: (1.6, 2.0) for m in names},
+        window=window, exact=exact, target_rows=n, keep=["t"]).select("device_id", "detected_at", "metric", "severity", "t").collect()), key=str)
+    want = run(10 ** 9)
+    monkeypatch.setattr(B, "PART_ROWS", part_rows)
+    assert run(target) == want and {x[2] for x in want} == set(names)
+
+
+@pytest.mark.parametrize("part_rows", [100, 10 ** 6])
+def test_dealt_blocks_are_runs_of_rows_in_one_task(spark, monkeypatch, part_rows):
+    monkeypatch.setattr(B, "PART_ROWS", part_rows)
+    rows = [("d" if i % 4 else None, None if i % 5 == 0 else i // 3, i) for i in range(2000)] + [("e", i, i) for i in range(20)]
+    rows += [("same", 1, 1)] * 90
+    df = spark.createDataFrame(rows, "k string, t long, id long").repartition(7)
+    got = B.deal_blocks(df, ["k"], ["t", "id"], 20).withColumn("_task", F.spark_partition_id()).collect()
+    assert sorted(((r.k, r.t, r.id) for r in got), key=str) == sorted(rows, key=str)
+    place = lambda r: (r.t is not None, r.t or 0, r.id)
+    for k in (None, "d", "e", "same"):
+        own = sorted((r for r in got if r.k == k), key=place)
+        assert [r._blk for r in own] == sorted(r._blk for r in own) and own[0]._blk == 0
+        assert {r._split for r in own} == {len(own) > 20}
+        sizes = [sum(r._blk == b for r in own) for b in {r._blk for r in own}]
+        assert k == "same" and sizes == [90] or max(sizes) <= 20
+    assert len({(r.k, r._blk) for r in got}) == len({(r.k, r._blk, r._task) for r in got})
+
+
 def test_severity_by_a_table(spark):
     scored = spark.createDataFrame([("a", "m", 2.0), ("b", "m", 2.0), ("a", "n", 9.0), ("a", "m", None), (None, "m", 3.0), ("c", "m", 2.0)],
                                    "device_id string, metric string, z double")
