@@ -19,7 +19,7 @@ def duck(sf_dir: str, sql: str) -> pd.DataFrame:
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA:  # a null of a nullable column
         return None
     if isinstance(v, float):
         if math.isnan(v):
